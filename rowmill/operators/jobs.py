@@ -1,7 +1,8 @@
 """Catalogue of ETL job files: a table of ``(job, xml)`` in, component and link tables out.
 
-Each file is parsed once by Spark's XML reader function into one nested row; every table below is an
-explode of it, so the catalogue of a large corpus needs no shuffle until tables are joined.
+Spark's XML function parses each file into one nested row; every table below is an explode of it, so
+the catalogue of a large corpus shuffles only for lineage and census. Parsing is the cost: to build
+several tables, write ``parse_jobs`` to a table once and start from that.
 """
 
 from __future__ import annotations
@@ -11,25 +12,27 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from rowmill.session import use_shared_checkpoints
 
 # Element and attribute names of the job file format.
-_ENTRY = "array<struct<_name:string,_expression:string,_type:string>>"
-_TABLE = f"array<struct<_name:string,mapperTableEntries:{_ENTRY}>>"
+_COLUMNS = """array<struct<_name:string, _type:string, _length:int, _precision:int,
+  _nullable:boolean, _key:boolean>>"""
+_ENTRIES = "array<struct<_name:string, _expression:string, _type:string>>"
+_TABLES = f"array<struct<_name:string, mapperTableEntries:{_ENTRIES}>>"
 _LINKS = """array<struct<_connectorName:string, _label:string, _metaname:string, _source:string,
   _target:string>>"""
-_VARIABLES = "array<struct<ref:string, text:string>>"
 JOB_SCHEMA = f"""
 node array<struct<
   _componentName:string, _componentVersion:string,
   elementParameter:array<struct<_field:string, _name:string, _value:string,
     elementValue:array<struct<_elementRef:string, _value:string>>>>,
-  metadata:array<struct<_connector:string, _name:string,
-    column:array<struct<_name:string, _type:string, _length:int, _precision:int,
-      _nullable:boolean, _key:boolean>>>>,
-  nodeData:struct<varTables:{_TABLE}, outputTables:{_TABLE}, inputTables:{_TABLE}>>>,
+  metadata:array<struct<_connector:string, _name:string, column:{_COLUMNS}>>,
+  nodeData:struct<varTables:{_TABLES}, outputTables:{_TABLES}, inputTables:{_TABLES}>>>,
 connection {_LINKS}
 """
 UNIQUE_NAME = "UNIQUE_NAME"
 FLOW = "FLOW"
 
+_DECLARED = f"array<struct<component:string, connector:string, column:{_COLUMNS}>>"
+_VARIABLES = "array<struct<ref:string, text:string>>"
+
 
 def read_job_files(spark: SparkSession, path: str) -> DataFrame:
     """``(job, xml)``, one row per file."""
@@ -48,8 +51,15 @@ def _unique_name(node: Column) -> Column:
     return F.get(named, 0)["_value"]
 
 
+def _rows(jobs: DataFrame, array: Column | str, name: str, *others: Column) -> DataFrame:
+    """One row per element. A plain explode would first filter on the array's size, and Spark would
+    parse every file again for that filter."""
+    rows = jobs.select("job", F.explode_outer(array).alias(name), *others)
+    return rows.filter(F.col(name).isNotNull())
+
+
 def _nodes(jobs: DataFrame) -> DataFrame:
-    rows = jobs.select("job", F.explode("node").alias("node"))
+    rows = _rows(jobs, "node", "node")
     return rows.select("job", _unique_name(F.col("node")).alias("unique_name"), "node")
 
 
@@ -109,7 +119,7 @@ def columns(jobs: DataFrame) -> DataFrame:
 
 
 def links(jobs: DataFrame) -> DataFrame:
-    rows = jobs.select("job", F.explode("connection").alias("c"))
+    rows = _rows(jobs, "connection", "c")
     return rows.select("job", F.col("c._connectorName").alias("connector"),
                        F.col("c._label").alias("label"), F.col("c._source").alias("source"),
                        F.col("c._target").alias("target"))
@@ -117,15 +127,14 @@ def links(jobs: DataFrame) -> DataFrame:
 
 def _declared(node: Column) -> Column:
     """Every connector of a component with its columns, as one array."""
-    return F.transform(node["metadata"], lambda m: F.struct(
-        _unique_name(node).alias("component"), m["_connector"].alias("connector"),
-        m["column"].alias("column")))
+    return F.transform(node["metadata"],
+                       lambda m: F.struct(_unique_name(node), m["_connector"], m["column"]))
 
 
 def _all_declared() -> Column:
     """The connectors of all components of a job; a component may have none."""
     some = F.filter("node", lambda n: F.size(n["metadata"]) > 0)
-    return F.flatten(F.transform(some, _declared))
+    return F.flatten(F.transform(some, _declared)).cast(_DECLARED)
 
 
 def _shape(column: Column) -> Column:
@@ -139,8 +148,7 @@ def column_changes(jobs: DataFrame) -> DataFrame:
 
     The row of a job holds both ends of its links, so nothing is shuffled.
     """
-    flows = jobs.select("job", F.explode("connection").alias("link"),
-                        _all_declared().alias("declared"))
+    flows = _rows(jobs, "connection", "link", _all_declared().alias("declared"))
 
     def ends_at(component: str, connector: Column) -> Column:
         found = F.filter("declared", lambda d: (d["component"] == F.col(component))
@@ -189,8 +197,8 @@ def lineage(jobs: DataFrame) -> DataFrame:
 
 def dangling_outputs(jobs: DataFrame) -> DataFrame:
     """Declared side outputs with columns that no link takes; the main flow may end anywhere."""
-    rows = jobs.select("job", F.coalesce("connection", F.array().cast(_LINKS)).alias("connection"),
-                       F.explode(_all_declared()).alias("d"))
+    rows = _rows(jobs, _all_declared(), "d",
+                 F.coalesce("connection", F.array().cast(_LINKS)).alias("connection"))
     taken = F.exists("connection", lambda c: (c["_source"] == F.col("d.component"))
                      & (c["_connectorName"] == F.col("d.connector")))
     rows = rows.filter((F.col("d.connector") != FLOW) & (F.size("d.column") > 0) & ~taken)
@@ -213,10 +221,10 @@ def map_expressions(jobs: DataFrame) -> DataFrame:
     rows = _nodes(jobs).filter(F.col("node.nodeData").isNotNull())
     variables = F.flatten(F.transform("node.nodeData.varTables", lambda t: F.transform(
         t["mapperTableEntries"], lambda e: F.struct(
-            F.concat(t["_name"], F.lit("."), e["_name"]).alias("ref"),
-            F.trim(e["_expression"]).alias("text")))))
+            F.concat(t["_name"], F.lit("."), e["_name"]), F.trim(e["_expression"])))))
     rows = rows.select("job", "unique_name",
-                       F.coalesce(variables, F.array().cast(_VARIABLES)).alias("vars"),
+                       F.coalesce(variables.cast(_VARIABLES), F.array().cast(_VARIABLES))
+                       .alias("vars"),
                        F.explode("node.nodeData.outputTables").alias("t"))
     rows = rows.select("job", "unique_name", "vars", F.col("t._name").alias("table"),
                        F.explode("t.mapperTableEntries").alias("e"))

@@ -1,0 +1,179 @@
+"""New versions of a table, and tables written and read back."""
+
+from __future__ import annotations
+
+import uuid
+
+from pyspark.sql import DataFrame, functions as F
+
+from rowmill.operators.compliance import ColumnRule
+from rowmill.queries import query
+from rowmill.queries.fixtures import (
+    CUSTOMER_CHANGES, RAW_PEOPLE, customer_changes, raw_people, table)
+from rowmill.session import scratch_path
+from rowmill.sinks import tables as W
+from rowmill.streaming.incremental import load_new
+
+KEY = ["c_custkey"]
+# The latest of the changes to each key, and the earliest.
+_LATEST = f"""WITH {CUSTOMER_CHANGES}, latest AS (
+    SELECT c_custkey, seq, c_name, c_acctbal FROM (SELECT *, row_number() OVER (
+        PARTITION BY c_custkey ORDER BY seq DESC) AS rn FROM customer_changes) WHERE rn = 1),
+    earliest AS (
+    SELECT c_custkey, seq, c_name, c_acctbal FROM (SELECT *, row_number() OVER (
+        PARTITION BY c_custkey ORDER BY seq) AS rn FROM customer_changes) WHERE rn = 1)"""
+_UPDATED = _LATEST + """SELECT c.c_custkey,
+        CASE WHEN l.seq IS NOT NULL THEN l.c_name ELSE c.c_name END AS c_name, c.c_nationkey,
+        CASE WHEN l.seq IS NOT NULL THEN l.c_acctbal ELSE c.c_acctbal END AS c_acctbal, c.c_mktsegment
+    FROM customer c LEFT JOIN latest l ON c.c_custkey = l.c_custkey"""
+_UPSERTED = _LATEST + """SELECT * FROM customer c WHERE NOT EXISTS (
+        SELECT 1 FROM latest l WHERE l.c_custkey = c.c_custkey)
+    UNION ALL SELECT c_custkey, c_name, NULL, c_acctbal, NULL FROM latest"""
+
+
+def stored(df: DataFrame, label: str) -> str:
+    """Write ``df`` as a table of its own name in the shared folder."""
+    name = f"{label}_{uuid.uuid4().hex}"
+    df.write.option("path", scratch_path(df.sparkSession, label)).saveAsTable(name)
+    return name
+
+
+@query("update", _UPDATED)
+def _update(spark, d):
+    return W.updated(table(spark, d, "customer"), customer_changes(spark, d), KEY, ["seq"])
+
+
+@query("update_hot", _UPDATED)
+def _update_hot(spark, d):
+    return W.updated(table(spark, d, "customer"), customer_changes(spark, d), KEY, ["seq"],
+                     share=0.0, rows=1)
+
+
+@query("update_masked", _LATEST + """SELECT c.* REPLACE (
+        CASE WHEN l.seq IS NOT NULL THEN l.c_name ELSE c.c_name END AS c_name)
+    FROM customer c LEFT JOIN latest l ON c.c_custkey = l.c_custkey""")
+def _update_masked(spark, d):
+    return W.updated(table(spark, d, "customer"), customer_changes(spark, d), KEY, ["seq"],
+                     updatable=["c_name"])
+
+
+@query("update_null_safe", """WITH target AS (
+        SELECT c_custkey, CASE WHEN c_custkey % 5 <> 0 THEN c_nationkey END AS nation, c_name
+        FROM customer),
+    latest AS (SELECT CASE WHEN n_nationkey <> 3 THEN n_nationkey END AS nation, n_name FROM nation)
+    SELECT c_custkey, t.nation, coalesce(n_name, c_name) AS c_name FROM target t
+    LEFT JOIN latest l ON t.nation IS NOT DISTINCT FROM l.nation""")
+def _update_null_safe(spark, d):
+    target = table(spark, d, "customer").select(
+        "c_custkey", F.when(F.col("c_custkey") % 5 != 0, F.col("c_nationkey")).alias("nation"),
+        "c_name")
+    source = table(spark, d, "nation").select(
+        F.when(F.col("n_nationkey") != 3, F.col("n_nationkey")).alias("nation"),
+        F.col("n_name").alias("c_name"))
+    return W.updated(target, source, ["nation"], null_safe=True)
+
+
+@query("upsert", _UPSERTED)
+def _upsert(spark, d):
+    return W.upserted(table(spark, d, "customer"), customer_changes(spark, d), KEY, ["seq"])
+
+
+@query("insert_or_update", _LATEST + """SELECT c.* REPLACE (
+        CASE WHEN l.seq IS NOT NULL THEN l.c_acctbal ELSE c.c_acctbal END AS c_acctbal)
+    FROM customer c LEFT JOIN latest l ON c.c_custkey = l.c_custkey
+    UNION ALL SELECT e.c_custkey, e.c_name, NULL, l.c_acctbal, NULL
+    FROM earliest e JOIN latest l ON e.c_custkey = l.c_custkey
+    WHERE e.c_custkey NOT IN (SELECT c_custkey FROM customer)""")
+def _insert_or_update(spark, d):
+    return W.inserted_or_updated(table(spark, d, "customer"), customer_changes(spark, d), KEY,
+                                 ["seq"], on_duplicate=["c_acctbal"])
+
+
+@query("delete_matching", f"""WITH {CUSTOMER_CHANGES} SELECT * FROM customer
+    WHERE c_custkey NOT IN (SELECT c_custkey FROM customer_changes)""")
+def _delete_matching(spark, d):
+    return W.deleted(table(spark, d, "customer"), customer_changes(spark, d), KEY)
+
+
+@query("insert_written", f"""WITH {CUSTOMER_CHANGES}
+    SELECT c_custkey, c_name, c_acctbal, c_mktsegment FROM customer
+    UNION ALL SELECT c_custkey, c_name, c_acctbal, 'NEW' FROM customer_changes""")
+def _insert_written(spark, d):
+    name = stored(table(spark, d, "customer").drop("c_nationkey"), "insert")
+    W.write_insert(customer_changes(spark, d), name, add_cols={"c_mktsegment": F.lit("NEW")},
+                   max_records_per_file=W.BATCH_ROWS)
+    return spark.table(name)
+
+
+@query("update_written", _UPDATED)
+def _update_written(spark, d):
+    name = stored(table(spark, d, "customer"), "update")
+    W.write_update(customer_changes(spark, d), name, KEY, ["seq"])
+    return spark.table(name)
+
+
+@query("upsert_written", _UPSERTED)
+def _upsert_written(spark, d):
+    name = stored(table(spark, d, "customer"), "upsert")
+    W.write_upsert(customer_changes(spark, d), name, KEY, ["seq"])
+    return spark.table(name)
+
+
+_BY_USER = """SELECT user_id, event_id, ts, event_type, value, props FROM (
+    SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY ts DESC) AS rn FROM events)
+    WHERE rn = 1"""
+
+
+@query("incremental", _BY_USER)
+def _incremental(spark, d):
+    """Two loads into one table keyed by user: the older half, then all events again."""
+    events = table(spark, d, "events")
+    half = events.agg(F.avg("event_id").alias("half")).scalar()
+    name = stored(W.upserted(events.limit(0), events.filter(F.col("event_id") < half), ["user_id"],
+                             ["ts"]), "incremental")
+    return W.as_incremental(events, name, ["user_id"], "ts")
+
+
+@query("incremental_stream", _BY_USER)
+def _incremental_stream(spark, d):
+    """The same table, fed by a stream that reads files it has not seen and stops."""
+    inbox, events = scratch_path(spark, "inbox"), table(spark, d, "events")
+    name = stored(events.limit(0), "stream")
+    checkpoint = scratch_path(spark, "stream-checkpoint")
+    half = events.agg(F.avg("event_id").alias("half")).scalar()
+    for part in (events.filter(F.col("event_id") < half), events.filter(F.col("event_id") >= half)):
+        part.write.mode("append").parquet(inbox)
+        stream = spark.readStream.schema(events.schema).parquet(inbox)
+        load_new(stream, name, ["user_id"], ["ts"], checkpoint)
+    return spark.table(name)
+
+
+_RULES = [ColumnRule("SAL", "int", nullable=False, max_length=6)]
+
+
+@query("sink_written", f"""WITH {RAW_PEOPLE} SELECT * FROM raw_people WHERE "SAL" IS NOT NULL
+    AND TRY_CAST("SAL" AS INTEGER) IS NOT NULL AND length("SAL") <= 6""")
+def _sink_written(spark, d):
+    return W.split_for_write(raw_people(spark, d), _RULES)["written"]
+
+
+@query("sink_quarantine", f"""WITH {RAW_PEOPLE}
+    SELECT *, CASE WHEN "SAL" IS NULL THEN '4' WHEN length("SAL") > 6 THEN '8' ELSE '2' END
+        AS "errorCode",
+        CASE WHEN "SAL" IS NULL THEN 'SAL:empty' WHEN length("SAL") > 6 THEN 'SAL:length'
+             ELSE 'SAL:type' END AS "errorMessage", 'people' AS source, 'r1' AS run
+    FROM raw_people WHERE NOT coalesce(TRY_CAST("SAL" AS INTEGER) IS NOT NULL
+        AND length("SAL") <= 6, false)""")
+def _sink_quarantine(spark, d):
+    rejected = W.split_for_write(raw_people(spark, d), _RULES)["reject"]
+    tagged = rejected.withColumns({"source": F.lit(""), "run": F.lit("")})
+    name = stored(tagged.limit(0), "quarantine")
+    W.quarantine(rejected, name, "people", "r1")
+    return spark.table(name)
+
+
+@query("high_water", """SELECT event_id, ts FROM events
+    WHERE ts > (SELECT max(ts) FROM events WHERE event_type = 'error')""")
+def _high_water(spark, d):
+    events = table(spark, d, "events").select("event_id", "ts", "event_type")
+    return W.newer_than(events, events.filter("event_type = 'error'"), "ts").drop("event_type")
