@@ -97,7 +97,8 @@ def similar_pairs(left: DataFrame, right: DataFrame, left_col: str, right_col: s
     """``(left_value, right_value, score)`` of all distinct values with enough common tokens.
 
     Exact prefix filter: with tokens ordered from rare to common, two sets of overlap t share a
-    token among the first n - ceil(t n) + 1 of each, so common tokens rarely join anything.
+    token among the first n - ceil(t n) + 1 of each, so common tokens rarely join anything. A pair
+    goes on only if the tokens from its first shared one can still add up to the threshold.
     """
     if not 0 < threshold <= 1:
         raise ValueError("threshold must lie in (0, 1]")
@@ -112,17 +113,19 @@ def similar_pairs(left: DataFrame, right: DataFrame, left_col: str, right_col: s
     size = F.size("ranked")
     prefix = size - F.ceil(F.lit(threshold) * size - 1e-9).cast("int") + 1
     heads = ranked.select("side", "value", size.alias("size"),
-                          F.explode(F.slice("ranked", F.lit(1), prefix)).alias("head"))
-    heads = heads.select("side", "value", "size", F.col("head.token").alias("token"))
-
-    x = (heads.filter("side = 0")
-         .select(F.col("value").alias("left_value"), F.col("size").alias("nx"), "token"))
-    y = (heads.filter("side = 1")
-         .select(F.col("value").alias("right_value"), F.col("size").alias("ny"), "token"))
-    sized = ((F.col("ny") >= F.lit(threshold) * F.col("nx") - 1e-9)
-             & (F.col("nx") >= F.lit(threshold) * F.col("ny") - 1e-9))
+                          F.posexplode(F.slice("ranked", F.lit(1), prefix)).alias("at", "head"))
+    heads = heads.select("side", "value", "head.token",
+                         F.col("size"), (F.col("size") - F.col("at")).alias("left"))
+
+    def side(which: int, prefix: str) -> DataFrame:
+        return heads.filter(F.col("side") == which).select(
+            F.col("value").alias(f"{prefix}_value"), F.col("size").alias(f"{prefix}_size"),
+            F.col("left").alias(f"{prefix}_rest"), "token")
+
+    needed = F.lit(threshold / (1 + threshold)) * (F.col("left_size") + F.col("right_size")) - 1e-9
+    possible = F.least("left_rest", "right_rest") >= needed
     score = overlap(tokens(F.col("left_value"), ngram), tokens(F.col("right_value"), ngram))
-    return (x.join(y, "token").filter(sized)
+    return (side(0, "left").join(side(1, "right"), "token").filter(possible)
             .select("left_value", "right_value", score.alias("score"))
             .filter(F.col("score") >= threshold - 1e-12).distinct())
 

@@ -12,8 +12,8 @@ from datetime import datetime
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from rowmill.functions.scalars import band, stamp
-from rowmill.operators.compliance import ColumnRule, compliance
-from rowmill.operators.dedupe import tag_duplicates
+from rowmill.operators.compliance import ColumnRule, compliance, tag_compliance
+from rowmill.operators.dedupe import tag_duplicates, uniq
 from rowmill.operators.project import map_columns
 from rowmill.session import scratch_path
 from rowmill.sinks.tables import quarantine, write_insert, write_update
@@ -30,25 +30,21 @@ RULES = (
     ColumnRule("DATE_TIMESTAMP", "string", nullable=False),
 )
 KEYS = ("NAME",)
+CASE = {"NAME": False}
 
 
-def enrich(unique: DataFrame, run_at: datetime | Column) -> DataFrame:
+def enrich(unique: DataFrame, run_at: datetime | Column, keep: Sequence[str] = ()) -> DataFrame:
     """The map step: the columns as they come, the salary band and the run's stamp."""
     moment = run_at if isinstance(run_at, Column) else F.lit(run_at)
     return map_columns(
         unique,
         {**{c: F.col(c) for c in COLUMNS}, "SAL_RANGE": F.col("sal_band"),
-         "DATE_TIMESTAMP": F.col("run_stamp")},
+         "DATE_TIMESTAMP": F.col("run_stamp"), **{c: F.col(c) for c in keep}},
         variables={"sal_band": band(F.col("SAL")), "run_stamp": stamp(moment)})
 
 
-def tagged_rows(rows: DataFrame, order_by: Sequence[str | Column] = ("ID",), **skew) -> DataFrame:
-    return tag_duplicates(rows, list(KEYS), order_by, {k: False for k in KEYS}, "route", **skew)
-
-
-def links(tagged: DataFrame, run_at: datetime | Column) -> dict[str, DataFrame]:
-    unique = tagged.filter(F.col("route") == "unique").drop("route")
-    duplicate = tagged.filter(F.col("route") == "duplicate").drop("route")
+def _links(unique: DataFrame, duplicate: DataFrame, run_at: datetime | Column
+           ) -> dict[str, DataFrame]:
     mapped = enrich(unique, run_at)
     checked = compliance(mapped, RULES)
     return {"unique": unique, "duplicate": duplicate, "mapped": mapped,
@@ -57,7 +53,23 @@ def links(tagged: DataFrame, run_at: datetime | Column) -> dict[str, DataFrame]:
 
 def flow(rows: DataFrame, run_at: datetime | Column, order_by: Sequence[str | Column] = ("ID",),
          **skew) -> dict[str, DataFrame]:
-    return links(tagged_rows(rows, order_by, **skew), run_at)
+    """Every link as a plan of its own, none dearer than it has to be alone."""
+    parts = uniq(rows, list(KEYS), order_by, CASE, **skew)
+    return _links(parts["unique"], parts["duplicate"], run_at)
+
+
+def link_counts(rows: DataFrame, run_at: datetime | Column,
+                order_by: Sequence[str | Column] = ("ID",), **skew) -> DataFrame:
+    """Rows per link, all from one pass over the tagged and checked rows."""
+    tagged = tag_duplicates(rows, list(KEYS), order_by, CASE, "route", **skew)
+    checked = tag_compliance(enrich(tagged, run_at, keep=("route",)), RULES)
+    first, clean = F.col("route") == "unique", F.col("errorCode").isNull()
+    counts = checked.agg(*[F.count_if(test).alias(link) for link, test in (
+        ("unique", first), ("duplicate", ~first), ("mapped", first), ("pass", first & clean),
+        ("reject", first & ~clean))])
+    pairs = F.array(*[F.struct(F.lit(c).alias("link"), F.col(c).alias("n_rows"))
+                      for c in counts.columns])
+    return counts.select(F.inline(pairs))
 
 
 def run(spark: SparkSession, rows: DataFrame, run_at: datetime, clean_table: str,
@@ -65,10 +77,13 @@ def run(spark: SparkSession, rows: DataFrame, run_at: datetime, clean_table: str
         order_by: Sequence[str | Column] = ("ID",), **skew) -> Mapping[str, str]:
     """Write all three tables; the stored split is cut by route, so each sink reads its part only."""
     path = scratch_path(spark, "split")
-    tagged_rows(rows, order_by, **skew).write.partitionBy("route").parquet(path)
-    schema = rows.schema.add("route", "string")
-    out = links(spark.read.schema(schema).parquet(path), run_at)
-    write_insert(out["duplicate"], duplicate_table)
+    tagged = tag_duplicates(rows, list(KEYS), order_by, CASE, "route", **skew)
+    tagged.write.partitionBy("route").parquet(path)
+    stored = spark.read.schema(tagged.schema).parquet(path)
+    unique = stored.filter(F.col("route") == "unique").drop("route")
+    duplicate = stored.filter(F.col("route") == "duplicate").drop("route")
+    out = _links(unique, duplicate, run_at)
+    write_insert(duplicate, duplicate_table)
     quarantine(out["reject"], reject_table, clean_table, run_at.isoformat())
     replaced = write_update(out["pass"], clean_table, update_keys)
     return {"split": path, "replaced": replaced}

@@ -9,6 +9,12 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """Small tables come as one file and so as one task; give each core a part of the costly work."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+
+
 def null_every(n: int, key: str, value: Column) -> Column:
     return F.when(F.col(key) % n != 0, value)
 

@@ -62,7 +62,14 @@ def _flow_duplicate(spark, d):
     UNION ALL SELECT 'pass', count(*) FROM passed
     UNION ALL SELECT 'reject', count(*) FROM rejected""")
 def _flow_counts(spark, d):
-    return flow_counts(_flow(spark, d))
+    return employee.link_counts(employees(spark, d), RUN_AT, ORDER)
+
+
+@query("flow_counts_by_link", _FLOW + """SELECT 'duplicate' AS link, count(*) AS n_rows FROM repeated
+    UNION ALL SELECT 'reject', count(*) FROM rejected""")
+def _flow_counts_by_link(spark, d):
+    links = _flow(spark, d)
+    return flow_counts({link: links[link] for link in ("duplicate", "reject")})
 
 
 @query("flow_written", _FLOW + """

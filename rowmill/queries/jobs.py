@@ -8,7 +8,7 @@ from rowmill.operators import jobs as J
 from rowmill.operators.project import schema_diff
 from rowmill.plans.employee import enrich
 from rowmill.queries import query
-from rowmill.queries.fixtures import employees, table
+from rowmill.queries.fixtures import employees, spread, table
 from rowmill.session import scratch_path
 
 # A job has 2 to 4 components in a chain; component i declares columns c0 to ci. The second is a
@@ -50,8 +50,8 @@ _XML = r"""concat(
 
 
 def _files(spark: SparkSession, d: str) -> DataFrame:
-    jobs = table(spark, d, "orders").withColumn(
-        "last", (F.col("o_orderkey") % 3 + 1).cast("int"))
+    jobs = spread(table(spark, d, "orders").withColumn(
+        "last", (F.col("o_orderkey") % 3 + 1).cast("int")))
     return jobs.select(F.col("o_orderkey").cast("string").alias("job"), F.expr(_XML).alias("xml"))
 
 
