@@ -25,13 +25,21 @@ def key_columns(df: DataFrame, keys: Sequence[str],
     return out
 
 
-def full_order(df: DataFrame, order_by: Sequence[str | Column]) -> list[Column]:
-    """The wanted order, made total by every comparable column."""
-    named = {c for c in order_by if isinstance(c, str)}
+def full_order(df: DataFrame, order_by: Sequence[str | Column], same: Sequence[str] = ()
+               ) -> list[Column]:
+    """The wanted order, made total by every comparable column but those that are the ``same``."""
+    named = {c for c in order_by if isinstance(c, str)} | set(same)
     wanted = [F.col(f"`{c}`") if isinstance(c, str) else c for c in order_by]
     return wanted + [F.col(f"`{c}`") for c in comparable(df) if c not in named]
 
 
+def _exact(keys: Sequence[str], case_sensitive: bool | Mapping[str, bool]) -> list[str]:
+    """Keys whose columns are alike in all rows of a group; folded ones may differ in case."""
+    if isinstance(case_sensitive, bool):
+        return list(keys) if case_sensitive else []
+    return [k for k in keys if case_sensitive.get(k, True)]
+
+
 def row_num(df: DataFrame, keys: Sequence[str], order_by: Sequence[str | Column],
             name: str = "row_num", case_sensitive: bool | Mapping[str, bool] = True) -> DataFrame:
     """Number the rows of each key from 1.
@@ -40,7 +48,7 @@ def row_num(df: DataFrame, keys: Sequence[str], order_by: Sequence[str | Column]
     full numbering of a hot key is one task's work by nature; ``tag_duplicates`` needs none.
     """
     window = (Window.partitionBy(*key_columns(df, keys, case_sensitive))
-              .orderBy(*full_order(df, order_by)))
+              .orderBy(*full_order(df, order_by, _exact(keys, case_sensitive))))
     return df.withColumn(name, F.row_number().over(window))
 
 
@@ -70,7 +78,7 @@ def tag_duplicates(df: DataFrame, keys: Sequence[str], order_by: Sequence[str |
     key, then the first row of each share competes for the key: at most ``salts`` rows meet there.
     """
     exprs = key_columns(df, keys, case_sensitive)
-    order = full_order(df, order_by)
+    order = full_order(df, order_by, _exact(keys, case_sensitive))
     cold, warm, _ = split_hot(df, exprs, share, rows)
 
     plain = cold.withColumn(

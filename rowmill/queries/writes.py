@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import uuid
+from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, functions as F
 
@@ -31,10 +32,11 @@ _UPSERTED = _LATEST + """SELECT * FROM customer c WHERE NOT EXISTS (
     UNION ALL SELECT c_custkey, c_name, NULL, c_acctbal, NULL FROM latest"""
 
 
-def stored(df: DataFrame, label: str) -> str:
+def stored(df: DataFrame, label: str, partition_by: Sequence[str] = ()) -> str:
     """Write ``df`` as a table of its own name in the shared folder."""
     name = f"{label}_{uuid.uuid4().hex}"
-    df.write.option("path", scratch_path(df.sparkSession, label)).saveAsTable(name)
+    path = scratch_path(df.sparkSession, label)
+    df.write.option("path", path).partitionBy(*partition_by).saveAsTable(name)
     return name
 
 
@@ -119,6 +121,22 @@ def _upsert_written(spark, d):
     return spark.table(name)
 
 
+@query("update_partitions", """SELECT * REPLACE (
+        CASE WHEN o_totalprice > 400000 THEN o_totalprice + 1 ELSE o_totalprice END AS o_totalprice,
+        CASE WHEN o_totalprice > 400000 AND o_orderstatus = 'P' THEN 'F' ELSE o_orderstatus END
+            AS o_orderstatus) FROM orders""")
+def _update_partitions(spark, d):
+    """A table in partitions by status; the update sets prices and moves rows from P to F."""
+    orders = table(spark, d, "orders")
+    name = stored(orders, "orders", ["o_orderstatus"])
+    dear = orders.filter("o_totalprice > 400000").select(
+        "o_orderkey", (F.col("o_totalprice") + 1).alias("o_totalprice"),
+        F.when(F.col("o_orderstatus") == "P", "F").otherwise(F.col("o_orderstatus"))
+        .alias("o_orderstatus"))
+    W.write_update(dear, name, ["o_orderkey"])
+    return spark.table(name)
+
+
 _BY_USER = """SELECT user_id, event_id, ts, event_type, value, props FROM (
     SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY ts DESC) AS rn FROM events)
     WHERE rn = 1"""

@@ -1,20 +1,20 @@
 """Writing tables: insert, update, upsert, views and models.
 
 Parquet tables have no UPDATE or MERGE. The functions in the first half compute the new version of
-a table as a DataFrame; ``replace_version`` writes it beside the old one and then moves the table to
-it, so a lost executor or a failed job leaves the table as it was.
+a table as a DataFrame; the ``write_`` functions store it as in ``versions``, and of a partitioned
+table they read and write only the partitions the change can alter.
 """
 
 from __future__ import annotations
 
-import uuid
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, Row, functions as F
 
 from rowmill.operators.compliance import ColumnRule, compliance
-from rowmill.operators.dedupe import full_order
 from rowmill.operators.skew import HOT_ROWS, LOOKUP_SHARE, comparable, join_unique
+from rowmill.sinks.versions import (
+    in_partitions, partition_columns, replace_partitions, replace_table)
 
 BATCH_ROWS = 10_000
 
@@ -155,39 +155,61 @@ def write_insert(df: DataFrame, table: str, add_cols: Mapping[str, Column] | Non
     writer.insertInto(table)
 
 
-def table_location(spark: SparkSession, table: str) -> str:
-    rows = spark.sql(f"DESCRIBE TABLE EXTENDED {table}").filter("col_name = 'Location'")
-    return rows.first()["data_type"]
+def _touched(target: DataFrame, source: DataFrame, keys: Sequence[str], columns: Sequence[str],
+             null_safe: bool, share: float, rows: int, moved: bool) -> list[Row]:
+    """Partitions with a row that a source key matches, and those that source rows go to."""
+    wanted = source.select(*[F.col(f"`{k}`").alias(f"__key_{k}") for k in keys]).distinct()
+    hit = join_unique(target.select(*dict.fromkeys([*keys, *columns])), wanted, list(keys),
+                      [f"__key_{k}" for k in keys], "semi", null_safe, share, rows)
+    found = hit.select(*columns)
+    if moved:
+        found = found.unionByName(_as_target(source, target).select(*columns))
+    return found.distinct().collect()
 
 
-def replace_version(df: DataFrame, table: str) -> str:
-    """Write ``df`` as the table's next version and point the table to it; returns the old path."""
+def _write_version(df: DataFrame, table: str, keys: Sequence[str], change, moved: bool,
+                   null_safe: bool = False, share: float = LOOKUP_SHARE, rows: int = HOT_ROWS
+                   ) -> str:
+    """Apply ``change`` to the table, or to no more than the partitions it can alter."""
+    _need_keys(keys)
     spark = df.sparkSession
-    held = spark.table(table)
-    old = table_location(spark, table)
-    new = f"{old.rstrip('/').split('__v_')[0]}__v_{uuid.uuid4().hex}"
-    _as_target(df, held).write.parquet(new)
-    spark.sql(f"ALTER TABLE {table} SET LOCATION '{new}'")
-    spark.catalog.refreshTable(table)
-    return old
+    target, columns = spark.table(table), partition_columns(spark, table)
+    options = {"null_safe": null_safe, "share": share, "rows": rows}
+    if not columns:
+        return replace_table(_as_target(change(target, **options), target), table)
+    touched = _touched(target, df, keys, columns, moved=moved, **options)
+    part = in_partitions(target, columns, touched)
+    return replace_partitions(_as_target(change(part, **options), target), table, columns, touched)
 
 
 def write_update(df: DataFrame, table: str, keys: Sequence[str], order_by: Sequence[str] = (),
-                 add_cols: Mapping[str, Column] | None = None, **options) -> str:
-    target = df.sparkSession.table(table)
-    return replace_version(updated(target, with_added(df, add_cols), keys, order_by, **options),
-                           table)
+                 add_cols: Mapping[str, Column] | None = None,
+                 updatable: Sequence[str] | None = None, **options) -> str:
+    """Update matching rows of a table; of a partitioned one only the partitions that hold any."""
+    source = with_added(df, add_cols)
+    columns = partition_columns(df.sparkSession, table)
+    moved = any(c in with_masks(source, updatable) and c not in keys and c in source.columns
+                for c in columns)
+
+    def change(target: DataFrame, **skew) -> DataFrame:
+        return updated(target, source, keys, order_by, updatable, **skew)
+
+    return _write_version(source, table, keys, change, moved, **options)
 
 
 def write_upsert(df: DataFrame, table: str, keys: Sequence[str], order_by: Sequence[str] = (),
                  on_duplicate: Sequence[str] | None = None,
-                 add_cols: Mapping[str, Column] | None = None, **options) -> str:
+                 add_cols: Mapping[str, Column] | None = None,
+                 insertable: Sequence[str] | None = None, **options) -> str:
     """Replace on key, or with ``on_duplicate`` insert and set only those columns on a match."""
-    target, rows = df.sparkSession.table(table), with_added(df, add_cols)
-    if on_duplicate is None:
-        return replace_version(upserted(target, rows, keys, order_by, **options), table)
-    return replace_version(
-        inserted_or_updated(target, rows, keys, order_by, on_duplicate, **options), table)
+    source = with_added(df, add_cols)
+
+    def change(target: DataFrame, **skew) -> DataFrame:
+        if on_duplicate is None:
+            return upserted(target, source, keys, order_by, insertable, **skew)
+        return inserted_or_updated(target, source, keys, order_by, on_duplicate, insertable, **skew)
+
+    return _write_version(source, table, keys, change, True, **options)
 
 
 def write_jdbc(df: DataFrame, url: str, table: str, properties: Mapping[str, str] | None = None,
@@ -202,8 +224,8 @@ def as_view(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.table(name)
 
 
-def as_table(df: DataFrame, name: str) -> DataFrame:
-    df.write.mode("overwrite").saveAsTable(name)
+def as_table(df: DataFrame, name: str, partition_by: Sequence[str] = ()) -> DataFrame:
+    df.write.mode("overwrite").partitionBy(*partition_by).saveAsTable(name)
     return df.sparkSession.table(name)
 
 

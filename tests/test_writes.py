@@ -77,6 +77,39 @@ def test_update_keeps_the_old_version(spark):
     assert old != again and spark.read.parquet(old).count() == 4
 
 
+def parted(spark, name):
+    df = spark.createDataFrame(
+        [(1, "a", "x y"), (2, "b", "x y"), (3, "c", "it's"), (4, "d", None), (5, "e", "z+1/2")],
+        "id int, name string, place string")
+    W.as_table(df, name, ["place"])
+
+
+def test_update_of_a_partitioned_table_rewrites_only_what_it_touches(spark):
+    parted(spark, "t_parts")
+    before = {r["id"]: r["f"] for r in spark.table("t_parts")
+              .select("id", F.col("_metadata.file_path").alias("f")).collect()}
+    source = spark.createDataFrame([(3, "C"), (4, "D"), (9, "no")], "id int, name string")
+    W.write_update(source, "t_parts", ["id"])
+    after = spark.table("t_parts").select("id", "name", "place",
+                                          F.col("_metadata.file_path").alias("f")).collect()
+    assert sorted((r["id"], r["name"], r["place"]) for r in after) == [
+        (1, "a", "x y"), (2, "b", "x y"), (3, "C", "it's"), (4, "D", None), (5, "e", "z+1/2")]
+    assert {r["id"] for r in after if r["f"] == before[r["id"]]} == {1, 2, 5}
+
+
+def test_upsert_moves_rows_between_partitions_and_empties_one(spark):
+    parted(spark, "t_moves")
+    source = spark.createDataFrame([(3, "C", "x y"), (6, "f", "new"), (5, "E", "z+1/2")],
+                                   "id int, name string, place string")
+    W.write_upsert(source, "t_moves", ["id"])
+    want = [(1, "a", "x y"), (2, "b", "x y"), (3, "C", "x y"), (4, "d", None), (5, "E", "z+1/2"),
+            (6, "f", "new")]
+    assert rows(spark.table("t_moves")) == want
+    W.write_update(spark.createDataFrame([(6, "it's")], "id int, place string"), "t_moves", ["id"])
+    want[-1] = (6, "f", "it's")
+    assert rows(spark.table("t_moves")) == want
+
+
 def test_incremental_creates_then_adds(spark):
     first = spark.createDataFrame([(1, "a", 1), (1, "b", 2)], "id int, name string, at int")
     assert rows(W.as_incremental(first, "t_incremental", ["id"], "at")) == [(1, "b", 2)]
