@@ -98,14 +98,10 @@ def _reason(code: Column, name: str) -> Column:
     return F.when(code != 0, F.concat(F.lit(f"{name}:"), F.concat_ws("+", *words)))
 
 
-def tag_compliance(df: DataFrame, rules: Sequence[ColumnRule],
-                   empty_is_null: bool | Sequence[str] = True, substring: bool = False,
-                   date_mode: str = "strict", ignore_timezone: bool = False) -> DataFrame:
-    """Every row with ``errorCode`` and ``errorMessage``, both null where the row is right.
-
-    ``substring`` shortens text over its limit instead of rejecting the row. ``date_mode`` is
-    strict (exact pattern), lenient (unpadded parts allowed) or fast (digits in place only).
-    """
+def _coded(df: DataFrame, rules: Sequence[ColumnRule], empty_is_null: bool | Sequence[str] = True,
+           substring: bool = False, date_mode: str = "strict", ignore_timezone: bool = False
+           ) -> tuple[DataFrame, dict[str, str]]:
+    """The rows with one integer code column per rule, and those columns by rule name, sorted."""
     if date_mode not in ("strict", "lenient", "fast"):
         raise ValueError(f"unknown date_mode: {date_mode}")
     if substring:
@@ -113,24 +109,44 @@ def tag_compliance(df: DataFrame, rules: Sequence[ColumnRule],
                  if r.max_length is not None
                  and isinstance(df.schema[r.name].dataType, T.StringType)}
         df = df.withColumns(texts) if texts else df
-    width = len(df.columns)
-    names = sorted(r.name for r in rules)
-    place = {name: f"__code_{names.index(name)}" for name in names}
-    codes = {place[r.name]: _column_code(
-        df, r, empty_is_null if isinstance(empty_is_null, bool) else r.name in empty_is_null,
-        date_mode, ignore_timezone) for r in rules}
-    checked = df.withColumns(codes)
-    marks = [F.col(place[n]) for n in names]
-    bad = reduce(lambda a, b: a + b, [F.when(m != 0, 1).otherwise(0) for m in marks])
-    total = reduce(lambda a, b: a + b, marks)
+    by_name = {r.name: r for r in rules}
+    places = {name: f"__code_{i}" for i, name in enumerate(sorted(by_name))}
+
+    def empties(name: str) -> bool:
+        return empty_is_null if isinstance(empty_is_null, bool) else name in empty_is_null
+
+    return df.withColumns({place: _column_code(df, by_name[name], empties(name), date_mode,
+                                               ignore_timezone)
+                           for name, place in places.items()}), places
+
+
+def _tagged(coded: DataFrame, places: dict[str, str]) -> DataFrame:
+    marks = [F.col(place) for place in places.values()]
+    bad = reduce(lambda a, b: a + b, [F.when(m != 0, 1).otherwise(0) for m in marks], F.lit(0))
+    total = reduce(lambda a, b: a + b, marks, F.lit(0))
     code = F.when(bad == 1, total.cast("string")).when(bad > 1, F.lit(str(MANY_CODE)))
-    message = F.when(bad > 0, F.concat_ws(";", *[_reason(F.col(place[n]), n) for n in names]))
-    return checked.select(*[F.col(f"`{c}`") for c in checked.columns[:width]],
-                          code.alias("errorCode"), message.alias("errorMessage"))
+    reasons = [_reason(F.col(place), name) for name, place in places.items()]
+    message = F.nullif(F.concat_ws(";", *reasons), F.lit(""))
+    return coded.withColumns({"errorCode": code, "errorMessage": message}).drop(*places.values())
+
+
+def tag_compliance(df: DataFrame, rules: Sequence[ColumnRule], **options) -> DataFrame:
+    """Every row with ``errorCode`` and ``errorMessage``, both null where the row is right.
+
+    ``empty_is_null`` (all text columns, none, or a list) counts empty text as null. ``substring``
+    shortens text over its limit instead of rejecting the row. ``date_mode`` is strict (exact
+    pattern), lenient (unpadded parts allowed) or fast (digits in place only).
+    """
+    return _tagged(*_coded(df, rules, **options))
 
 
 def compliance(df: DataFrame, rules: Sequence[ColumnRule], **options) -> dict[str, DataFrame]:
-    """``{"pass", "reject"}`` by one narrow tagging step, without a shuffle."""
-    tagged = tag_compliance(df, rules, **options)
-    return {"pass": tagged.filter(F.col("errorCode").isNull()).drop("errorCode", "errorMessage"),
-            "reject": tagged.filter(F.col("errorCode").isNotNull())}
+    """``{"pass", "reject"}`` without a shuffle; see ``tag_compliance`` for the options.
+
+    The parts are cut by the plain code columns: Spark copies what a filter tests into the filter,
+    and the codes are short where ``errorCode`` is long.
+    """
+    coded, places = _coded(df, rules, **options)
+    right = reduce(lambda a, b: a & b, [F.col(p) == 0 for p in places.values()], F.lit(True))
+    return {"pass": coded.filter(right).drop(*places.values()),
+            "reject": _tagged(coded.filter(~right), places)}

@@ -28,6 +28,7 @@ EMPLOYEE = T.StructType([
 
 _FIELDS = "__fields"
 _WHOLE = "__whole"
+_AT = "__at"
 _BAD = "__bad"
 _PLACE = ("__file", "__block", "__row")
 
@@ -139,25 +140,19 @@ def _field(field: T.StructField, trim: bool, check_date: bool, thousands: str |
     return value, text.isNotNull() & value.isNull()
 
 
-def tag_delimited(spark: SparkSession, path: str | Sequence[str], schema: T.StructType,
-                  sep: str = "|", row_sep: str = "\n", header: int = 1, footer: int = 0,
-                  remove_empty: bool = True, trim_all: bool = True,
-                  trim_cols: Sequence[str] = (), encoding: str = "UTF-8", csv: bool = False,
-                  quote: str = '"', escape: str = '"', check_fields: bool = False,
-                  check_date: bool = False, thousands: str | None = None,
-                  decimal: str | None = None, decode_cols: Sequence[str] = (),
-                  split_record: str | None = None) -> DataFrame:
-    """The typed columns with ``line``, ``errorCode`` and ``errorMessage``, null on good rows.
-
-    ``header`` and ``footer`` count lines to skip in each file. A row may fail by TYPE or, with
-    ``check_fields``, by FIELDS; without it short rows get nulls and extra fields drop out.
-    """
+def _tagged(spark: SparkSession, path: str | Sequence[str], schema: T.StructType,
+            sep: str = "|", row_sep: str = "\n", header: int = 1, footer: int = 0,
+            remove_empty: bool = True, trim_all: bool = True, trim_cols: Sequence[str] = (),
+            encoding: str = "UTF-8", csv: bool = False, quote: str = '"', escape: str = '"',
+            check_fields: bool = False, check_date: bool = False, thousands: str | None = None,
+            decimal: str | None = None, decode_cols: Sequence[str] = (),
+            split_record: str | None = None) -> DataFrame:
     lines = read_lines(spark, path, encoding, row_sep, header, footer, remove_empty)
     if split_record:
         lines = lines.select(F.explode(F.split("value", re.escape(split_record))).alias("value"))
     fields, whole = _text_fields(F.col("value"), schema.names, sep, csv, quote, escape)
-    rows = (lines.withColumn(_FIELDS, fields)
-            .withColumn(_WHOLE, whole if not csv else F.col(f"{_FIELDS}.{_BAD}").isNull()))
+    rows = lines.select("value", fields.alias(_FIELDS), F.spark_partition_id().alias(_AT))
+    rows = rows.withColumn(_WHOLE, whole if not csv else F.col(f"{_FIELDS}.{_BAD}").isNull())
     typed_fields = {f.name: _field(f, trim_all or f.name in trim_cols, check_date, thousands,
                                    decimal, f.name in decode_cols) for f in schema.fields}
     wrong = F.concat_ws(";", *[F.when(bad, F.lit(f"{n}:type"))
@@ -167,33 +162,49 @@ def tag_delimited(spark: SparkSession, path: str | Sequence[str], schema: T.Stru
                        F.col("value").alias("line"),
                        F.when(odd, "FIELDS").when(wrong != "", "TYPE").alias("errorCode"),
                        F.when(odd, f"expected {len(schema)} fields")
-                       .otherwise(empty_to_null(wrong)).alias("errorMessage"))
+                       .otherwise(empty_to_null(wrong)).alias("errorMessage"), _AT)
+
+
+def _where(tagged: DataFrame, test: Column) -> DataFrame:
+    """Filter after parsing. The partition id in the test keeps Spark from moving it below: there it
+    would parse every line again for the test, and meet lines that are still to be dropped."""
+    return tagged.filter(F.when(test, F.col(_AT) >= 0).otherwise(F.lit(False))).drop(_AT)
+
+
+def tag_delimited(spark: SparkSession, path: str | Sequence[str], schema: T.StructType,
+                  **options) -> DataFrame:
+    """The typed columns with ``line``, ``errorCode`` and ``errorMessage``, null on good rows.
+
+    Options, with their defaults: ``sep="|"``, ``row_sep="\\n"``, ``header=1`` and ``footer=0`` lines
+    to skip in each file, ``remove_empty=True``, ``trim_all=True`` or ``trim_cols``,
+    ``encoding="UTF-8"``, ``csv=False`` with ``quote`` and ``escape``, ``thousands`` and ``decimal``
+    separators, ``decode_cols`` for hexadecimal and octal numbers, ``split_record`` to cut a line into
+    several records. A row may fail by TYPE (dates only with ``check_date``) or, with
+    ``check_fields``, by FIELDS; without it short rows get nulls and extra fields drop out.
+    """
+    return _tagged(spark, path, schema, **options).drop(_AT)
 
 
 def read_delimited(spark: SparkSession, path: str | Sequence[str], schema: T.StructType,
                    limit: int | None = None, sample_n: int | None = None, seed: int = 0,
                    **options) -> DataFrame:
-    """Good rows; a bad row ends the run, also when only some columns or a count are asked for.
-
-    The partition id makes the test one that Spark may not move: pushed below the removal of
-    header lines it would fail on those.
-    """
-    tagged = tag_delimited(spark, path, schema, **options)
+    """Good rows; a bad row ends the run, also when only some columns or a count are asked for."""
+    tagged = _tagged(spark, path, schema, **options)
     problem = F.concat_ws(" ", "errorCode", "errorMessage", F.lit("in:"), "line")
-    checked = tagged.filter(F.when(F.col("errorCode").isNotNull(),
-                                   F.raise_error(problem).cast("boolean"))
-                            .otherwise(F.spark_partition_id() >= 0))
-    return _some(checked.drop("line", "errorCode", "errorMessage"), limit, sample_n, seed)
+    good = F.when(F.col("errorCode").isNull(), F.lit(True)).otherwise(
+        F.raise_error(problem).cast("boolean"))
+    return _some(_where(tagged, good).drop("line", "errorCode", "errorMessage"), limit, sample_n,
+                 seed)
 
 
 def read_with_rejects(spark: SparkSession, path: str | Sequence[str], schema: T.StructType,
                       limit: int | None = None, sample_n: int | None = None, seed: int = 0,
                       **options) -> dict[str, DataFrame]:
     """``{"main", "reject"}``: typed good rows, and bad rows with their line, code and message."""
-    tagged = tag_delimited(spark, path, schema, **options)
-    good = tagged.filter(F.col("errorCode").isNull()).drop("line", "errorCode", "errorMessage")
+    tagged = _tagged(spark, path, schema, **options)
+    good = _where(tagged, F.col("errorCode").isNull()).drop("line", "errorCode", "errorMessage")
     return {"main": _some(good, limit, sample_n, seed),
-            "reject": tagged.filter(F.col("errorCode").isNotNull())}
+            "reject": _where(tagged, F.col("errorCode").isNotNull())}
 
 
 def _some(df: DataFrame, limit: int | None, sample_n: int | None, seed: int) -> DataFrame:
