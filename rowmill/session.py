@@ -7,8 +7,6 @@ import uuid
 
 from pyspark.sql import SparkSession
 
-# Adaptive execution sizes the shuffles, so the partition count is an upper start value, not a
-# tuning knob: AQE merges small partitions and splits skewed join partitions at run time.
 SETTINGS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
@@ -19,16 +17,45 @@ SETTINGS = {
 }
 
 
-def build_session(app: str = "rowmill", master: str | None = None, **settings: str) -> SparkSession:
+PARTITION_BYTES = 512 * 1024 * 1024
+MOST_PARTITIONS = 100_000
+
+
+def size_settings(input_bytes: int) -> dict[str, str]:
+    """Shuffle partitions and read splits for an input of this size.
+
+    A shuffle partition of half a gigabyte sorts in an executor's memory. Adaptive execution merges
+    what turns out smaller, so the number may be generous, up to what a shuffle can keep track of.
+    """
+    partitions = min(max(input_bytes // PARTITION_BYTES, 200), MOST_PARTITIONS)
+    settings = {"spark.sql.shuffle.partitions": str(partitions)}
+    if input_bytes > MOST_PARTITIONS * PARTITION_BYTES // 4:
+        settings["spark.sql.files.maxPartitionBytes"] = str(PARTITION_BYTES)
+    return settings
+
+
+def build_session(app: str = "rowmill", master: str | None = None, input_bytes: int | None = None,
+                  **settings: str) -> SparkSession:
     """A session with the library's settings; ``master`` is left to spark-submit on a cluster."""
     builder = SparkSession.builder.appName(app)
     if master:
         builder = builder.master(master).config("spark.ui.enabled", "false")
-    for key, value in {**SETTINGS, **settings}.items():
+    sized = size_settings(input_bytes) if input_bytes else {}
+    for key, value in {**SETTINGS, **sized, **settings}.items():
         builder = builder.config(key, value)
     return builder.getOrCreate()
 
 
+def steady_splits(spark: SparkSession) -> None:
+    """Let every read of a file cut it alike, also while executors come and go.
+
+    Spark derives the size of splits from the cores it has at the time; a set number replaces that.
+    """
+    name = "spark.sql.leafNodeDefaultParallelism"
+    if spark.conf.get(name, None) is None:
+        spark.conf.set(name, spark.sparkContext.defaultParallelism)
+
+
 def shared_folder(spark: SparkSession) -> str:
     """The folder every executor sees, as named by ``spark.checkpoint.dir``.
 

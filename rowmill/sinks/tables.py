@@ -214,8 +214,11 @@ def write_upsert(df: DataFrame, table: str, keys: Sequence[str], order_by: Seque
 
 def write_jdbc(df: DataFrame, url: str, table: str, properties: Mapping[str, str] | None = None,
                batch_rows: int = BATCH_ROWS, writers: int = 16) -> None:
-    """Append to a database table in batches, over a bounded number of connections."""
-    (df.coalesce(writers).write.option("batchsize", batch_rows)
+    """Append to a database table in batches, over a bounded number of connections.
+
+    The rows are handed to the writers by a shuffle, so the work before it keeps all its tasks.
+    """
+    (df.repartition(writers).write.option("batchsize", batch_rows)
      .jdbc(url, table, mode="append", properties=dict(properties or {})))
 
 

@@ -12,7 +12,7 @@ from collections.abc import Sequence
 from functools import reduce
 from urllib.parse import unquote
 
-from pyspark.sql import DataFrame, Row, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, Row, SparkSession, functions as F
 
 
 def partition_columns(spark: SparkSession, table: str) -> list[str]:
@@ -43,9 +43,19 @@ def in_partitions(df: DataFrame, columns: Sequence[str], partitions: Sequence[Ro
     """Rows of the given partitions; the values are literals, so other partitions are not read."""
     if not partitions:
         return df.limit(0)
-    tests = [reduce(lambda a, b: a & b, [F.col(f"`{c}`").eqNullSafe(F.lit(row[c])) for c in columns])
-             for row in partitions]
-    return df.filter(reduce(lambda a, b: a | b, tests))
+
+    def is_one_of(column: str) -> Column:
+        values = {row[column] for row in partitions}
+        found = F.col(f"`{column}`").isin([v for v in values if v is not None])
+        return F.coalesce(found, F.lit(None in values))
+
+    out = reduce(lambda rows, column: rows.filter(is_one_of(column)), columns, df)
+    if len(columns) == 1:
+        return out
+    wanted = df.sparkSession.createDataFrame(list(partitions), df.select(*columns).schema)
+    wanted = wanted.toDF(*[f"__{c}" for c in columns])
+    same = reduce(lambda a, b: a & b, [out[c].eqNullSafe(wanted[f"__{c}"]) for c in columns])
+    return out.join(F.broadcast(wanted), same, "left_semi")
 
 
 def _spec(columns: Sequence[str], row: Row) -> str:

@@ -16,6 +16,7 @@ from rowmill.functions.scalars import (
     LATIN1_CHARS, LATIN9_CHARS, decode_number, empty_to_null, from_latin9, plain_number, trim_field,
     typed)
 from rowmill.operators.skew import HOT_ROWS, LOOKUP_SHARE, join_unique
+from rowmill.session import steady_splits
 
 # The employee schema.
 EMPLOYEE = T.StructType([
@@ -52,7 +53,11 @@ def _edge(placed: DataFrame, n: int, last: bool) -> DataFrame:
 
 def skip_lines(placed: DataFrame, header: int = 0, footer: int = 0, rows: int = HOT_ROWS
                ) -> DataFrame:
-    """Drop the first and last lines of every file; a file of any size is never one task's work."""
+    """Drop the first and last lines of every file; a file of any size is never one task's work.
+
+    The files are read twice, to find the edges and to drop them, and cut alike both times.
+    """
+    steady_splits(placed.sparkSession)
     out = placed
     for n, last in ((header, False), (footer, True)):
         if n > 0:

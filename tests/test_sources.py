@@ -86,3 +86,11 @@ def test_seed_and_lossy_text(spark, tmp_path):
     (tmp_path / "bad.bin").write_bytes(b"a\xffb")
     got = S.read_text_lossy(spark, str(tmp_path / "bad.bin"))
     assert rows(got, "text") == [("a�b",)]
+
+
+def test_size_settings():
+    from rowmill.session import size_settings
+    assert size_settings(10**9) == {"spark.sql.shuffle.partitions": "200"}
+    large = size_settings(100 * 10**12)
+    assert large["spark.sql.shuffle.partitions"] == "100000"
+    assert large["spark.sql.files.maxPartitionBytes"] == str(512 * 1024 * 1024)

@@ -110,6 +110,19 @@ def test_upsert_moves_rows_between_partitions_and_empties_one(spark):
     assert rows(spark.table("t_moves")) == want
 
 
+def test_update_of_a_table_with_two_partition_columns(spark):
+    df = spark.createDataFrame([(i, f"p{i % 3}" if i % 3 else None, i % 2, "old") for i in range(12)],
+                               "id int, a string, b int, v string")
+    W.as_table(df, "t_two", ["a", "b"])
+    files = {r["id"]: r["f"] for r in spark.table("t_two")
+             .select("id", F.col("_metadata.file_path").alias("f")).collect()}
+    W.write_update(spark.createDataFrame([(0, "new"), (1, "new")], "id int, v string"), "t_two",
+                   ["id"])
+    after = spark.table("t_two").select("id", "v", F.col("_metadata.file_path").alias("f")).collect()
+    assert {r["id"] for r in after if r["v"] == "new"} == {0, 1} and len(after) == 12
+    assert {r["id"] for r in after if r["f"] != files[r["id"]]} == {0, 6, 1, 7}
+
+
 def test_incremental_creates_then_adds(spark):
     first = spark.createDataFrame([(1, "a", 1), (1, "b", 2)], "id int, name string, at int")
     assert rows(W.as_incremental(first, "t_incremental", ["id"], "at")) == [(1, "b", 2)]
