@@ -87,11 +87,6 @@ def tokens(text: Column, ngram: int | None = None) -> Column:
     return F.when(F.length(text) >= ngram, F.array_distinct(grams)).otherwise(F.array(text))
 
 
-def overlap(a: Column, b: Column) -> Column:
-    shared = F.size(F.array_intersect(a, b))
-    return shared / (F.size(a) + F.size(b) - shared)
-
-
 def similar_pairs(left: DataFrame, right: DataFrame, left_col: str, right_col: str,
                   threshold: float, ngram: int | None = None) -> DataFrame:
     """``(left_value, right_value, score)`` of all distinct values with enough common tokens.
@@ -102,32 +97,39 @@ def similar_pairs(left: DataFrame, right: DataFrame, left_col: str, right_col: s
     """
     if not 0 < threshold <= 1:
         raise ValueError("threshold must lie in (0, 1]")
-    a = _values(left, left_col, "value").withColumn("side", F.lit(0))
-    b = _values(right, right_col, "value").withColumn("side", F.lit(1))
-    sets = a.unionByName(b).withColumn("token", F.explode(tokens(F.col("value"), ngram)))
-    weight = (sets.groupBy(F.col("token").alias("__token"))
+    both = (_values(left, left_col, "value").withColumn("side", F.lit("left"))
+            .unionByName(_values(right, right_col, "value").withColumn("side", F.lit("right"))))
+    sets = both.select("side", "value", tokens(F.col("value"), ngram).alias("words"))
+    single = sets.select("side", "value", F.explode("words").alias("token"))
+    weight = (single.groupBy(F.col("token").alias("__token"))
               .agg(F.count(F.lit(1)).alias("weight")))
-    ranked = (join_unique(sets, weight, ["token"], ["__token"], "inner")
+    ranked = (join_unique(single, weight, ["token"], ["__token"], "inner")
               .groupBy("side", "value")
               .agg(F.sort_array(F.collect_list(F.struct("weight", "token"))).alias("ranked")))
     size = F.size("ranked")
     prefix = size - F.ceil(F.lit(threshold) * size - 1e-9).cast("int") + 1
     heads = ranked.select("side", "value", size.alias("size"),
                           F.posexplode(F.slice("ranked", F.lit(1), prefix)).alias("at", "head"))
-    heads = heads.select("side", "value", "head.token",
-                         F.col("size"), (F.col("size") - F.col("at")).alias("left"))
-
-    def side(which: int, prefix: str) -> DataFrame:
-        return heads.filter(F.col("side") == which).select(
-            F.col("value").alias(f"{prefix}_value"), F.col("size").alias(f"{prefix}_size"),
-            F.col("left").alias(f"{prefix}_rest"), "token")
-
-    needed = F.lit(threshold / (1 + threshold)) * (F.col("left_size") + F.col("right_size")) - 1e-9
-    possible = F.least("left_rest", "right_rest") >= needed
-    score = overlap(tokens(F.col("left_value"), ngram), tokens(F.col("right_value"), ngram))
-    return (side(0, "left").join(side(1, "right"), "token").filter(possible)
-            .select("left_value", "right_value", score.alias("score"))
-            .filter(F.col("score") >= threshold - 1e-12).distinct())
+    heads = heads.select("side", "value", "head.token", "size",
+                         (F.col("size") - F.col("at")).alias("rest"))
+
+    def heads_of(side: str) -> DataFrame:
+        names = {c: f"{side}_{c}" for c in ("value", "size", "rest")}
+        return heads.filter(F.col("side") == side).drop("side").withColumnsRenamed(names)
+
+    def words_of(side: str) -> DataFrame:
+        return sets.filter(F.col("side") == side).select(
+            F.col("value").alias(f"{side}_value"), F.col("words").alias(f"{side}_words"))
+
+    sizes = F.col("left_size") + F.col("right_size")
+    needed = F.lit(threshold / (1 + threshold)) * sizes - 1e-9
+    pairs = (heads_of("left").join(heads_of("right"), "token")
+             .filter(F.least("left_rest", "right_rest") >= needed)
+             .select("left_value", "right_value", "left_size", "right_size").distinct())
+    shared = F.size(F.array_intersect("left_words", "right_words"))
+    return (pairs.join(words_of("left"), "left_value").join(words_of("right"), "right_value")
+            .filter(shared >= needed)
+            .select("left_value", "right_value", (shared / (sizes - shared)).alias("score")))
 
 
 def fuzzy_lookup(main: DataFrame, lk: DataFrame, main_col: str, lk_col: str,

@@ -5,6 +5,7 @@ Each model is a view over the one before it, so Catalyst sees one plan per writt
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from datetime import datetime
 
 from pyspark.sql import DataFrame, functions as F
@@ -40,12 +41,16 @@ def validated(rows: DataFrame) -> DataFrame:
     return require_castable(require_not_null(rows, REQUIRED), TYPES).select(*TYPES)
 
 
-def build(raw: DataFrame, run_at: datetime, prefix: str, **skew) -> dict[str, DataFrame]:
-    """Register the four views and write the two tables, all named with ``prefix``."""
+def build(raw: DataFrame, run_at: datetime, prefix: str,
+          after: Callable[[DataFrame], object] | None = None, **skew) -> dict[str, DataFrame]:
+    """Register the four views and write the two tables, all named with ``prefix``.
+
+    ``after`` gets the finished final table, for one to upsert it elsewhere.
+    """
     staged = as_view(staging(raw), f"{prefix}_staged")
     parts = split(staged, **skew)
     unique = as_view(parts["unique"], f"{prefix}_unique")
     banded = as_view(transformed(unique, run_at), f"{prefix}_transformed")
     checked = as_view(validated(banded), f"{prefix}_validated")
-    return {"final": as_table(checked, f"{prefix}_final"),
+    return {"final": as_table(checked, f"{prefix}_final", after=after),
             "duplicates": as_table(parts["duplicate"], f"{prefix}_duplicates")}

@@ -46,8 +46,8 @@ def _uniq_tagged(spark, d):
     return D.tag_duplicates(table(spark, d, "orders"), ["o_custkey"], ORDER)
 
 
-@query("row_num", f"SELECT {_ORDERS}, CAST(rn AS INTEGER) AS row_num FROM ({_RANKED}) WHERE rn <= 3")
-def _row_num(spark, d):
+@query("first_three_per_key", f"SELECT {_ORDERS}, CAST(rn AS INTEGER) AS row_num FROM ({_RANKED}) WHERE rn <= 3")
+def _first_three_per_key(spark, d):
     numbered = D.row_num(table(spark, d, "orders"), ["o_custkey"], ORDER)
     return numbered.filter(F.col("row_num") <= 3)
 

@@ -31,7 +31,7 @@ def _line(*cols: Column, sep: str = "|") -> Column:
     return F.concat_ws(sep, *cols)
 
 
-def _file(lines: DataFrame, head: str | None = HEAD, foot: str | None = None, files: int = 3,
+def write_lines(lines: DataFrame, head: str | None = HEAD, foot: str | None = None, files: int = 3,
           **options) -> str:
     """Write one column of lines; every file gets the head and foot lines as its own.
 
@@ -68,13 +68,13 @@ def _scan(spark, d):
     p = _people(spark, d)
     line = F.when(p.key % 10 == 0, _text(_line(p.id, p.name, p.dept, p.sal), "\n   ")).otherwise(
         _line(_text(" ", p.id), _text(p.name, "  "), _text(" ", p.dept, " "), _text(p.sal, "\r")))
-    return R.read_delimited(spark, _file(p.select("key", line)), SCHEMA)
+    return R.read_delimited(spark, write_lines(p.select("key", line)), SCHEMA)
 
 
 @query("scan_header_footer", _CUSTOMERS)
 def _scan_header_footer(spark, d):
     p = _people(spark, d)
-    path = _file(p.select("key", _line(p.id, p.name, p.dept, p.sal)), f"made by hand\n{HEAD}",
+    path = write_lines(p.select("key", _line(p.id, p.name, p.dept, p.sal)), f"made by hand\n{HEAD}",
                  "total\nchecked\nend")
     return R.read_delimited(spark, path, SCHEMA, header=2, footer=3)
 
@@ -85,7 +85,7 @@ def _faulty(spark, d) -> str:
             .when(p.key % 7 == 0, _line(p.id, p.name))
             .when(p.key % 11 == 0, _line(p.id, p.name, p.dept, p.sal, F.lit("more")))
             .otherwise(_line(p.id, p.name, p.dept, p.sal)))
-    return _file(p.select("key", line))
+    return write_lines(p.select("key", line))
 
 
 @query("scan_main", _CUSTOMERS + """
@@ -124,7 +124,7 @@ def _scan_loose(spark, d):
 def _scan_quoted(spark, d):
     p = _people(spark, d)
     line = _line(p.id, _text('"', p.name, '|""x"""'), p.dept, p.sal)
-    return R.read_delimited(spark, _file(p.select("key", line)), SCHEMA, csv=True)
+    return R.read_delimited(spark, write_lines(p.select("key", line)), SCHEMA, csv=True)
 
 
 @query("scan_unquoted", """SELECT c_custkey AS id, '"' || c_name || '"' AS name,
@@ -135,14 +135,14 @@ def _scan_unquoted(spark, d):
     p = _people(spark, d)
     dept = F.when(p.key % 2 == 0, F.lit("")).otherwise(p.dept)
     line = _line(p.id, _text('"', p.name, '"'), dept, p.sal)
-    return R.read_delimited(spark, _file(p.select("key", line)), SCHEMA)
+    return R.read_delimited(spark, write_lines(p.select("key", line)), SCHEMA)
 
 
 def _latin9(spark, d, header: int):
     """No writer knows the charset, so its byte for the euro goes out as ISO-8859-1's ¤."""
     p = _people(spark, d)
     name = F.translate(_text(p.name, " Café €"), "€", "¤")
-    path = _file(p.select("key", _line(p.id, name, p.dept, p.sal)), HEAD if header else None,
+    path = write_lines(p.select("key", _line(p.id, name, p.dept, p.sal)), HEAD if header else None,
                  encoding="ISO-8859-1")
     return R.read_delimited(spark, path, SCHEMA, encoding="ISO-8859-15", header=header)
 
@@ -166,7 +166,7 @@ def _scan_numbers(spark, d):
     p = _people(spark, d)
     sal = F.replace(F.format_number(p.sal.cast("int"), 0), F.lit(","), F.lit("."))
     line = _line(_text("0x", F.hex(p.id.cast("bigint"))), p.name, p.dept, sal)
-    return R.read_delimited(spark, _file(p.select("key", line)), SCHEMA, thousands=".", decimal=",",
+    return R.read_delimited(spark, write_lines(p.select("key", line)), SCHEMA, thousands=".", decimal=",",
                             decode_cols=["id"])
 
 
@@ -175,7 +175,7 @@ def _scan_numbers(spark, d):
 def _scan_trim_some(spark, d):
     p = _people(spark, d)
     line = _line(p.id, _text(" ", p.name), _text(" ", p.dept), p.sal)
-    return R.read_delimited(spark, _file(p.select("key", line)), SCHEMA, trim_all=False,
+    return R.read_delimited(spark, write_lines(p.select("key", line)), SCHEMA, trim_all=False,
                             trim_cols=["name"])
 
 
@@ -183,21 +183,21 @@ def _scan_trim_some(spark, d):
 def _scan_split_record(spark, d):
     p = _people(spark, d)
     one = _line(p.id, p.name, p.dept, p.sal)
-    return R.read_delimited(spark, _file(p.select("key", _text(one, "~~", one))), SCHEMA,
+    return R.read_delimited(spark, write_lines(p.select("key", _text(one, "~~", one))), SCHEMA,
                             split_record="~~")
 
 
 @query("scan_row_sep", _CUSTOMERS)
 def _scan_row_sep(spark, d):
     p = _people(spark, d)
-    path = _file(p.select("key", _line(p.id, p.name, p.dept, p.sal)), lineSep=";")
+    path = write_lines(p.select("key", _line(p.id, p.name, p.dept, p.sal)), lineSep=";")
     return R.read_delimited(spark, path, SCHEMA, row_sep=";")
 
 
 @query("scan_compressed", _CUSTOMERS)
 def _scan_compressed(spark, d):
     p = _people(spark, d)
-    path = _file(p.select("key", _line(p.id, p.name, p.dept, p.sal)), compression="gzip")
+    path = write_lines(p.select("key", _line(p.id, p.name, p.dept, p.sal)), compression="gzip")
     return R.read_delimited(spark, path, SCHEMA)
 
 
@@ -209,7 +209,7 @@ def _dated(spark, d) -> str:
     o = table(spark, d, "orders")
     day = F.when(o.o_orderkey % 9 == 0, F.lit("31.02.1999")).otherwise(
         F.date_format("o_orderdate", "dd.MM.yyyy"))
-    return _file(o.select("o_orderkey", _line(o.o_orderkey.cast("string"), day)), "id|day")
+    return write_lines(o.select("o_orderkey", _line(o.o_orderkey.cast("string"), day)), "id|day")
 
 
 @query("scan_dates", """SELECT o_orderkey AS id, CAST(o_orderdate AS DATE) AS day FROM orders
@@ -228,14 +228,14 @@ def _scan_dates_loose(spark, d):
 def _scan_limit(spark, d):
     """Which rows come is open, so their number is checked."""
     p = _people(spark, d)
-    path = _file(p.select("key", _line(p.id, p.name, p.dept, p.sal)))
+    path = write_lines(p.select("key", _line(p.id, p.name, p.dept, p.sal)))
     return R.read_delimited(spark, path, SCHEMA, limit=100).agg(F.count(F.lit(1)).alias("n_rows"))
 
 
 @query("scan_sample", "SELECT least(count(*), 10) AS n_rows, true AS all_known FROM customer")
 def _scan_sample(spark, d):
     p = _people(spark, d)
-    path = _file(p.select("key", _line(p.id, p.name, p.dept, p.sal)))
+    path = write_lines(p.select("key", _line(p.id, p.name, p.dept, p.sal)))
     picked = R.read_delimited(spark, path, SCHEMA, sample_n=10, seed=7)
     known = table(spark, d, "customer").select(F.col("c_custkey").alias("known"))
     return (picked.join(known, picked.id == known.known, "left")
@@ -263,6 +263,14 @@ def _csv_relation(spark, d):
     return S.read_csv(spark, path, sep="|")
 
 
+@query("seed_table", "SELECT n_nationkey, n_name FROM nation")
+def _seed_table(spark, d):
+    path = scratch_path(spark, "seed")
+    rows = table(spark, d, "nation").select("n_nationkey", "n_name")
+    rows.write.option("header", True).csv(path)
+    return S.seed(spark, path, f"seed_{uuid.uuid4().hex}", rows.schema)
+
+
 @query("external_files", "SELECT c_custkey, c_name FROM customer")
 def _external_files(spark, d):
     path = scratch_path(spark, "external")

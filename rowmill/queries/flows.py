@@ -11,7 +11,9 @@ from rowmill.operators.summary import flow_counts
 from rowmill.plans import employee, models
 from rowmill.queries import query
 from rowmill.queries.fixtures import EMPLOYEES, employees
+from rowmill.queries.files import write_lines
 from rowmill.queries.writes import stored
+from rowmill.sources.delimited import EMPLOYEE, read_delimited
 
 RUN_AT = datetime(2024, 3, 1, 8, 30)
 ORDER = ["ID", "DEPT", "SAL", "AGE"]
@@ -97,6 +99,23 @@ def _flow_written(spark, d):
                                              "errorCode")))
 
 
+_TEXT_FLOW = _FLOW.replace("FROM employees)", """FROM (SELECT coalesce("ID", '') AS "ID", "NAME",
+        coalesce("DEPT", '') AS "DEPT", "SAL", coalesce("AGE", '') AS "AGE" FROM employees))""")
+
+
+@query("flow_from_file", _TEXT_FLOW + """
+    SELECT *, NULL AS "errorCode", NULL AS "errorMessage" FROM passed
+    UNION ALL SELECT * FROM rejected""")
+def _flow_from_file(spark, d):
+    """The flow from its delimited file on; a null is an empty field there, and empty text after."""
+    people = employees(spark, d)
+    cells = [F.coalesce(F.col(c).cast("string"), F.lit("")) for c in people.columns]
+    path = write_lines(people.select(F.xxhash64(*people.columns), F.concat_ws("|", *cells)),
+                       "|".join(people.columns))
+    links = employee.flow(read_delimited(spark, path, EMPLOYEE), RUN_AT, ORDER)
+    return links["pass"].unionByName(links["reject"], allowMissingColumns=True)
+
+
 _MODELS = f"""WITH {EMPLOYEES}, staged AS (
     SELECT trim("ID") AS employee_id, trim("NAME") AS employee_name, trim("DEPT") AS department,
            "SAL" AS salary, trim("AGE") AS age FROM employees),

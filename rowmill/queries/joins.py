@@ -94,27 +94,17 @@ def _fuzzy_lookup_lev(spark, d):
     return L.fuzzy_lookup(_typos(spark, d), lk, "typed", "match_name", ["match_key"], levenshtein=2)
 
 
-_HEADS = """heads AS (SELECT DISTINCT array_to_string(list_slice(list_filter(
-    string_split(replace(text, chr(10), ' '), ' '), lambda x: x <> ''), 1, 6), ' ') AS head FROM documents)"""
-_SETS = f"""WITH {_HEADS}, sets AS (
-    SELECT head, list_distinct(string_split(head, ' ')) AS words FROM heads WHERE head <> ''),
-    scored AS (SELECT a.head AS left_value, b.head AS right_value,
-        len(list_intersect(a.words, b.words)) AS shared, len(a.words) + len(b.words) AS total
-    FROM sets a, sets b)"""
-
-
-def _heads(spark, d):
-    words = F.array_remove(F.split(F.replace(F.col("text"), F.lit("\n"), F.lit(" ")), " "), "")
-    return table(spark, d, "documents").select(
-        "doc_id", F.array_join(F.slice(words, 1, 6), " ").alias("head"))
-
-
-@query("fuzzy_pairs_jaccard", _SETS + """SELECT left_value, right_value,
-    CAST(shared AS DOUBLE) / (total - shared) AS score FROM scored
-    WHERE CAST(shared AS DOUBLE) / (total - shared) >= 0.4""")
+@query("fuzzy_pairs_jaccard", """WITH sets AS (
+        SELECT DISTINCT url, list_distinct(list_transform(range(1, greatest(length(url) - 1, 2)),
+            lambda i: substring(url, i, 3))) AS grams FROM pages),
+    scored AS (SELECT a.url AS left_value, b.url AS right_value,
+        len(list_intersect(a.grams, b.grams)) AS shared, len(a.grams) + len(b.grams) AS total
+    FROM sets a, sets b)
+    SELECT left_value, right_value, CAST(shared AS DOUBLE) / (total - shared) AS score FROM scored
+    WHERE CAST(shared AS DOUBLE) / (total - shared) >= 0.6""")
 def _fuzzy_pairs_jaccard(spark, d):
-    heads = _heads(spark, d).filter("head <> ''")
-    return L.similar_pairs(heads, heads, "head", "head", 0.4)
+    pages = table(spark, d, "pages")
+    return L.similar_pairs(pages, pages, "url", "url", 0.6, ngram=3)
 
 
 @query("fuzzy_lookup_jaccard", f"""WITH {_TYPOS}, grams AS (

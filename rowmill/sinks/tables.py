@@ -7,7 +7,7 @@ table they read and write only the partitions the change can alter.
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, Row, functions as F
 
@@ -167,7 +167,8 @@ def _touched(target: DataFrame, source: DataFrame, keys: Sequence[str], columns:
     return found.distinct().collect()
 
 
-def _write_version(df: DataFrame, table: str, keys: Sequence[str], change, moved: bool,
+def _write_version(df: DataFrame, table: str, keys: Sequence[str],
+                   change: Callable[..., DataFrame], moved: bool,
                    null_safe: bool = False, share: float = LOOKUP_SHARE, rows: int = HOT_ROWS
                    ) -> str:
     """Apply ``change`` to the table, or to no more than the partitions it can alter."""
@@ -227,9 +228,14 @@ def as_view(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.table(name)
 
 
-def as_table(df: DataFrame, name: str, partition_by: Sequence[str] = ()) -> DataFrame:
+def as_table(df: DataFrame, name: str, partition_by: Sequence[str] = (),
+             after: Callable[[DataFrame], object] | None = None) -> DataFrame:
+    """Write ``df`` as a table; ``after`` is called with the table once it is complete."""
     df.write.mode("overwrite").partitionBy(*partition_by).saveAsTable(name)
-    return df.sparkSession.table(name)
+    table = df.sparkSession.table(name)
+    if after is not None:
+        after(table)
+    return table
 
 
 def newer_than(df: DataFrame, target: DataFrame, since: str) -> DataFrame:

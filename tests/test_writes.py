@@ -1,12 +1,14 @@
 from datetime import datetime
 
 import pytest
+from pyspark.errors import ArithmeticException
 from pyspark.sql import functions as F
 
 from conftest import rows
 from rowmill.operators.lookup import close_pairs, fits_in_memory, lookup, similar_pairs
-from rowmill.operators.project import schema_diff
-from rowmill.plans import employee
+from rowmill.operators.project import (
+    convert_to, empty_like, map_columns, schema_diff, split_columns)
+from rowmill.plans import employee, models
 from rowmill.sinks import tables as W
 
 HOT = {"share": 0.0, "rows": 1}
@@ -196,3 +198,30 @@ def test_schema_diff(spark):
     before = spark.createDataFrame([], "a int, b string, c int").schema
     after = spark.createDataFrame([], "a int, b int, d int").schema
     assert schema_diff(before, after) == {"d": "added", "c": "dropped", "b": "changed"}
+
+
+def test_hook_after_a_model_upserts_it(spark):
+    W.as_table(spark.createDataFrame([("1", "old")], "employee_id string, salary_range string"),
+               "t_synced")
+    raw = spark.createDataFrame([("1", " Ann ", "HR", 5500, "30"), ("2", "Bob", "IT", 7000, "40"),
+                                 ("3", "Ann", "IT", 1, "31"), ("4", "Cy", None, 1, "9")],
+                                "ID string, NAME string, DEPT string, SAL int, AGE string")
+    built = models.build(raw, datetime(2024, 1, 2), "t_hook",
+                         after=lambda df: W.write_upsert(df, "t_synced", ["employee_id"]))
+    assert rows(spark.table("t_synced")) == [("1", "Low"), ("2", "High")]
+    assert rows(built["duplicates"], "employee_id") == [("3",)]
+    assert spark.table("t_hook_validated").count() == 2
+
+
+def test_a_failing_map_expression_ends_the_run(spark):
+    df = map_columns(spark.range(2), {"x": "1 div id"})
+    with pytest.raises(ArithmeticException):
+        df.collect()
+
+
+def test_convert_and_split(spark):
+    df = spark.createDataFrame([("1|a|",), ("|b|c",)], "line string")
+    parts = split_columns(df, "line", "|", ["id", "name", "dept"], key="id")
+    assert rows(parts) == [("1", "a", None)]
+    typed = convert_to(parts, empty_like(spark, "id int, name string").schema)
+    assert typed.dtypes == [("id", "int"), ("name", "string")] and rows(typed) == [(1, "a")]
