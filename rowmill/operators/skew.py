@@ -56,12 +56,12 @@ def comparable(df: DataFrame) -> list[str]:
     return [f.name for f in df.schema.fields if not _holds_map(f.dataType)]
 
 
-def salt(df: DataFrame, salts: int = SALTS) -> Column:
+def salt(columns: Sequence[str], salts: int = SALTS) -> Column:
     """Spreads the rows of one key: by content, and for exact copies by where they were read.
 
     Both parts stay the same when a lost task is run again, in whatever order its rows arrive.
     """
-    content = F.xxhash64(*[F.col(f"`{c}`") for c in comparable(df)])
+    content = F.xxhash64(*[F.col(f"`{c}`") for c in columns]) if columns else F.lit(0)
     return F.pmod(content + F.spark_partition_id(), F.lit(salts))
 
 

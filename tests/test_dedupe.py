@@ -66,6 +66,19 @@ def test_first_per_key_limits_before_the_shuffle(spark):
     assert plan.index("Final") < plan.index("Exchange") < plan.index("Partial")
 
 
+@pytest.mark.parametrize("skew", PATHS)
+def test_named_tie_break_reads_no_other_column(spark, tmp_path, skew):
+    data = spark.range(60).select((F.col("id") % 4).alias("k"), "id", F.lit("wide").alias("w"))
+    data.write.parquet(str(tmp_path / "t"))
+    df = spark.read.parquet(str(tmp_path / "t"))
+    out = uniq(df, ["k"], ["id"], tie_break=(), **skew)
+    assert rows(out["unique"], "id") == [(0,), (1,), (2,), (3,)]
+    assert out["duplicate"].count() == 56
+    for part in out.values():
+        plan = part.select("id")._jdf.queryExecution().executedPlan().toString()
+        assert "w:string" not in plan
+
+
 def test_any_per_key(spark):
     assert rows(any_per_key(people(spark), ["name"]), "name") == [
         (None,), ("ANN",), ("Ann",), ("Bob",), ("ann",)]
