@@ -7,18 +7,8 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, functions as F
 
 from rowmill.operators.dedupe import first_per_key
-from rowmill.operators.skew import HOT_ROWS, LOOKUP_SHARE, join_unique, same_key
-
-MAX_ROWS = 1_000_000
-MAX_BYTES = 64 * 1024 * 1024
-
-
-def fits_in_memory(df: DataFrame, max_rows: int = MAX_ROWS, max_bytes: int = MAX_BYTES) -> bool:
-    """Measure a lookup before it is broadcast: one aggregate over its rows and their text size."""
-    size = F.sum(F.octet_length(F.to_json(F.struct(*df.columns), {"ignoreNullFields": "false"})))
-    rows, held = df.agg(F.count(F.lit(1)), size).first()
-    return rows <= max_rows and (held or 0) <= max_bytes
-
+from rowmill.operators.skew import (
+    HOT_ROWS, LOOKUP_SHARE, MAX_BYTES, MAX_ROWS, fits_in_memory, join_unique)
 
 def lookup(main: DataFrame, lk: DataFrame, on: Mapping[str, str], order_by: Sequence[str | Column],
            load: str = "shuffle", null_safe: bool = False, max_rows: int = MAX_ROWS,
@@ -33,12 +23,9 @@ def lookup(main: DataFrame, lk: DataFrame, on: Mapping[str, str], order_by: Sequ
     single = first_per_key(lk, list(on.values()), order_by)
     right = single.select(*[F.col(c).alias(k) for k, c in keys.items()],
                           *[F.col(c) for c in lk.columns if c not in on.values()])
-    if load == "once" and fits_in_memory(lk, max_rows, max_bytes):
-        cond = same_key([main[c] for c in on], [right[k] for k in keys], null_safe)
-        joined = main.join(F.broadcast(right), cond, "left")
-    else:
-        joined = join_unique(main, right, list(on), list(keys), "left", null_safe, share, rows)
-    return joined.drop(*keys)
+    fits = load == "once" and fits_in_memory(lk, max_rows, max_bytes)
+    return join_unique(main, right, list(on), list(keys), "left", null_safe, share, rows,
+                       fits).drop(*keys)
 
 
 def _deletions(text: Column, limit: int) -> Column:

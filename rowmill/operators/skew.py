@@ -70,20 +70,28 @@ def same_key(left: Sequence[Column], right: Sequence[Column], null_safe: bool) -
     return reduce(lambda a, b: a & b, pairs)
 
 
+MAX_ROWS = 1_000_000
+MAX_BYTES = 64 * 1024 * 1024
+
+
+def fits_in_memory(df: DataFrame, max_rows: int = MAX_ROWS, max_bytes: int = MAX_BYTES) -> bool:
+    """Measure a table before it is broadcast: one aggregate over its rows and their text size."""
+    size = F.sum(F.octet_length(F.to_json(F.struct(*[F.col(f"`{c}`") for c in df.columns]),
+                                          {"ignoreNullFields": "false"})))
+    rows, held = df.agg(F.count(F.lit(1)), size).first()
+    return rows <= max_rows and (held or 0) <= max_bytes
+
+
 def join_unique(left: DataFrame, right: DataFrame, left_keys: Sequence[str],
                 right_keys: Sequence[str], how: str, null_safe: bool = False,
-                share: float = LOOKUP_SHARE, rows: int = HOT_ROWS) -> DataFrame:
+                share: float = LOOKUP_SHARE, rows: int = HOT_ROWS, fits: bool = False) -> DataFrame:
     """Equi-join with a right side that has each key once; ``how`` is left, inner, semi or anti.
 
-    Cold keys shuffle. Hot keys of the left side meet a broadcast of the fewer than ``1 / share``
-    right rows that carry them, so no task gets a whole hot key. The right key columns must not
-    share names with the left ones.
+    ``fits`` says that the right side was measured to fit in memory: it is broadcast, and the left
+    side is read once and not shuffled. Otherwise cold keys shuffle, and hot keys of the left side
+    meet a broadcast of the fewer than ``1 / share`` right rows that carry them, so no task gets a
+    whole hot key. The right key columns must not share names with the left ones.
     """
-    left_cols = [F.col(f"`{c}`") for c in left_keys]
-    right_cols = [F.col(f"`{c}`") for c in right_keys]
-    cold, warm, hot = split_hot(left, left_cols, share, rows)
-    few = (right.withColumn(_HOT, F.xxhash64(*right_cols))
-           .join(F.broadcast(hot), _HOT, "left_semi").drop(_HOT))
     kind = {"semi": "left_semi", "anti": "left_anti"}.get(how, how)
 
     def joined(side: DataFrame, other: DataFrame) -> DataFrame:
@@ -91,4 +99,11 @@ def join_unique(left: DataFrame, right: DataFrame, left_keys: Sequence[str],
                       null_safe)
         return side.join(other, on, kind)
 
+    if fits:
+        return joined(left, F.broadcast(right))
+    left_cols = [F.col(f"`{c}`") for c in left_keys]
+    right_cols = [F.col(f"`{c}`") for c in right_keys]
+    cold, warm, hot = split_hot(left, left_cols, share, rows)
+    few = (right.withColumn(_HOT, F.xxhash64(*right_cols))
+           .join(F.broadcast(hot), _HOT, "left_semi").drop(_HOT))
     return joined(cold, right).unionByName(joined(warm, F.broadcast(few)))

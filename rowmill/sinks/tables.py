@@ -12,7 +12,7 @@ from collections.abc import Callable, Mapping, Sequence
 from pyspark.sql import Column, DataFrame, Row, functions as F
 
 from rowmill.operators.compliance import ColumnRule, compliance
-from rowmill.operators.skew import HOT_ROWS, LOOKUP_SHARE, comparable, join_unique
+from rowmill.operators.skew import comparable, fits_in_memory, join_unique
 from rowmill.sinks.versions import (
     in_partitions, partition_columns, replace_partitions, replace_table)
 
@@ -59,38 +59,39 @@ def with_masks(df: DataFrame, columns: Sequence[str] | None) -> list[str]:
 
 
 def updated(target: DataFrame, source: DataFrame, keys: Sequence[str], order_by: Sequence[str] = (),
-            updatable: Sequence[str] | None = None, null_safe: bool = False,
-            share: float = LOOKUP_SHARE, rows: int = HOT_ROWS) -> DataFrame:
-    """The target with matching rows set from the source; source rows without a match are ignored."""
+            updatable: Sequence[str] | None = None, null_safe: bool = False, **join) -> DataFrame:
+    """The target with matching rows set from the source; source rows without a match are ignored.
+
+    ``join`` options, here and below, are those of ``join_unique``: ``share``, ``rows``, ``fits``.
+    """
     _need_keys(keys)
     cols = [c for c in with_masks(source, updatable) if c not in keys and c in target.columns]
     usable, _ = _split_null_keys(source, keys, null_safe)
     latest = _per_key(usable, keys, order_by, (), cols)
     joined = join_unique(target, latest, list(keys), [f"__key_{k}" for k in keys], "left",
-                         null_safe, share, rows)
+                         null_safe, **join)
     return joined.select(*[
         (F.when(F.col("__hit"), F.col(f"__last.`{c}`")).otherwise(F.col(f"`{c}`")).alias(c)
          if c in cols else F.col(f"`{c}`")) for c in target.columns])
 
 
 def upserted(target: DataFrame, source: DataFrame, keys: Sequence[str], order_by: Sequence[str] = (),
-             insertable: Sequence[str] | None = None, null_safe: bool = False,
-             share: float = LOOKUP_SHARE, rows: int = HOT_ROWS) -> DataFrame:
+             insertable: Sequence[str] | None = None, null_safe: bool = False, **join) -> DataFrame:
     """Replace on key: every source key's latest row, and the target rows no source key matches."""
     _need_keys(keys)
     cols = [c for c in with_masks(source, insertable) if c in target.columns]
     usable, unmatched = _split_null_keys(source, keys, null_safe)
     latest = _per_key(usable, keys, order_by, (), cols)
-    kept = join_unique(target, latest, list(keys), [f"__key_{k}" for k in keys], "anti",
-                       null_safe, share, rows)
+    kept = join_unique(target, latest.drop("__last"), list(keys), [f"__key_{k}" for k in keys],
+                       "anti", null_safe, **join)
     out = _as_target(kept, target).unionByName(_as_target(latest.select("__last.*"), target))
     return out if unmatched is None else out.unionByName(_as_target(unmatched, target, cols))
 
 
 def inserted_or_updated(target: DataFrame, source: DataFrame, keys: Sequence[str],
                         order_by: Sequence[str] = (), on_duplicate: Sequence[str] = (),
-                        insertable: Sequence[str] | None = None, null_safe: bool = False,
-                        share: float = LOOKUP_SHARE, rows: int = HOT_ROWS) -> DataFrame:
+                        insertable: Sequence[str] | None = None, null_safe: bool = False, **join
+                        ) -> DataFrame:
     """Insert; on a key that exists set only the ``on_duplicate`` columns.
 
     Of a source key that repeats, the first row is inserted and the last sets those columns.
@@ -99,11 +100,12 @@ def inserted_or_updated(target: DataFrame, source: DataFrame, keys: Sequence[str
     cols = [c for c in with_masks(source, insertable) if c in target.columns]
     sets = [c for c in on_duplicate if c in source.columns and c not in keys]
     usable, unmatched = _split_null_keys(source, keys, null_safe)
-    changed = updated(target, usable, keys, order_by, sets, null_safe, share, rows)
-    held = target.select(*[F.col(f"`{k}`").alias(f"__held_{k}") for k in keys]).distinct()
+    changed = updated(target, usable, keys, order_by, sets, null_safe, **join)
+    held = _matched(target.select(*keys), usable, keys, null_safe, **join).distinct()
+    held = held.toDF(*[f"__held_{k}" for k in keys])
     per_key = _per_key(usable, keys, order_by, cols, sets)
     fresh = join_unique(per_key, held, [f"__key_{k}" for k in keys],
-                        [f"__held_{k}" for k in keys], "anti", null_safe, share, rows)
+                        [f"__held_{k}" for k in keys], "anti", null_safe, **join)
     fresh = fresh.select(*[F.col(f"__last.`{c}`").alias(c) if c in sets
                            else F.col(f"__first.`{c}`").alias(c) for c in cols])
     out = changed.unionByName(_as_target(fresh, target))
@@ -111,12 +113,18 @@ def inserted_or_updated(target: DataFrame, source: DataFrame, keys: Sequence[str
 
 
 def deleted(target: DataFrame, source: DataFrame, keys: Sequence[str], null_safe: bool = False,
-            share: float = LOOKUP_SHARE, rows: int = HOT_ROWS) -> DataFrame:
+            **join) -> DataFrame:
     """The target without the rows a source key matches."""
     _need_keys(keys)
-    gone = source.select(*[F.col(f"`{k}`").alias(f"__key_{k}") for k in keys]).distinct()
-    return join_unique(target, gone, list(keys), [f"__key_{k}" for k in keys], "anti", null_safe,
-                       share, rows)
+    return _matched(target, source, keys, null_safe, "anti", **join)
+
+
+def _matched(target: DataFrame, source: DataFrame, keys: Sequence[str], null_safe: bool = False,
+             how: str = "semi", **join) -> DataFrame:
+    """Target rows that some source key matches, or with ``anti`` that none does."""
+    wanted = source.select(*[F.col(f"`{k}`").alias(f"__key_{k}") for k in keys]).distinct()
+    return join_unique(target, wanted, list(keys), [f"__key_{k}" for k in keys], how, null_safe,
+                       **join)
 
 
 def _as_target(df: DataFrame, target: DataFrame, cols: Sequence[str] | None = None) -> DataFrame:
@@ -156,31 +164,30 @@ def write_insert(df: DataFrame, table: str, add_cols: Mapping[str, Column] | Non
 
 
 def _touched(target: DataFrame, source: DataFrame, keys: Sequence[str], columns: Sequence[str],
-             null_safe: bool, share: float, rows: int, moved: bool) -> list[Row]:
+             moved: bool, **join) -> list[Row]:
     """Partitions with a row that a source key matches, and those that source rows go to."""
-    wanted = source.select(*[F.col(f"`{k}`").alias(f"__key_{k}") for k in keys]).distinct()
-    hit = join_unique(target.select(*dict.fromkeys([*keys, *columns])), wanted, list(keys),
-                      [f"__key_{k}" for k in keys], "semi", null_safe, share, rows)
-    found = hit.select(*columns)
+    narrow = target.select(*dict.fromkeys([*keys, *columns]))
+    found = _matched(narrow, source, keys, **join).select(*columns)
     if moved:
         found = found.unionByName(_as_target(source, target).select(*columns))
     return found.distinct().collect()
 
 
 def _write_version(df: DataFrame, table: str, keys: Sequence[str],
-                   change: Callable[..., DataFrame], moved: bool,
-                   null_safe: bool = False, share: float = LOOKUP_SHARE, rows: int = HOT_ROWS
-                   ) -> str:
-    """Apply ``change`` to the table, or to no more than the partitions it can alter."""
+                   change: Callable[..., DataFrame], moved: bool, **join) -> str:
+    """Apply ``change`` to the table, or to no more than the partitions it can alter.
+
+    The source is measured first: one that fits in memory leaves the target unshuffled.
+    """
     _need_keys(keys)
     spark = df.sparkSession
     target, columns = spark.table(table), partition_columns(spark, table)
-    options = {"null_safe": null_safe, "share": share, "rows": rows}
+    join = {"fits": fits_in_memory(df), **join}
     if not columns:
-        return replace_table(_as_target(change(target, **options), target), table)
-    touched = _touched(target, df, keys, columns, moved=moved, **options)
+        return replace_table(_as_target(change(target, **join), target), table)
+    touched = _touched(target, df, keys, columns, moved, **join)
     part = in_partitions(target, columns, touched)
-    return replace_partitions(_as_target(change(part, **options), target), table, columns, touched)
+    return replace_partitions(_as_target(change(part, **join), target), table, columns, touched)
 
 
 def write_update(df: DataFrame, table: str, keys: Sequence[str], order_by: Sequence[str] = (),
@@ -192,8 +199,8 @@ def write_update(df: DataFrame, table: str, keys: Sequence[str], order_by: Seque
     moved = any(c in with_masks(source, updatable) and c not in keys and c in source.columns
                 for c in columns)
 
-    def change(target: DataFrame, **skew) -> DataFrame:
-        return updated(target, source, keys, order_by, updatable, **skew)
+    def change(target: DataFrame, **join) -> DataFrame:
+        return updated(target, source, keys, order_by, updatable, **join)
 
     return _write_version(source, table, keys, change, moved, **options)
 
@@ -205,10 +212,10 @@ def write_upsert(df: DataFrame, table: str, keys: Sequence[str], order_by: Seque
     """Replace on key, or with ``on_duplicate`` insert and set only those columns on a match."""
     source = with_added(df, add_cols)
 
-    def change(target: DataFrame, **skew) -> DataFrame:
+    def change(target: DataFrame, **join) -> DataFrame:
         if on_duplicate is None:
-            return upserted(target, source, keys, order_by, insertable, **skew)
-        return inserted_or_updated(target, source, keys, order_by, on_duplicate, insertable, **skew)
+            return upserted(target, source, keys, order_by, insertable, **join)
+        return inserted_or_updated(target, source, keys, order_by, on_duplicate, insertable, **join)
 
     return _write_version(source, table, keys, change, True, **options)
 

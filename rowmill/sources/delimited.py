@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F,
 from rowmill.functions.scalars import (
     LATIN1_CHARS, LATIN9_CHARS, decode_number, empty_to_null, from_latin9, plain_number, trim_field,
     typed)
-from rowmill.operators.skew import HOT_ROWS, LOOKUP_SHARE, join_unique
+from rowmill.operators.skew import join_unique
 from rowmill.session import steady_splits
 
 # The employee schema.
@@ -32,6 +32,7 @@ _WHOLE = "__whole"
 _AT = "__at"
 _BAD = "__bad"
 _PLACE = ("__file", "__block", "__row")
+FILES_IN_MEMORY = 100_000
 
 
 def _placed(lines: DataFrame) -> DataFrame:
@@ -51,22 +52,24 @@ def _edge(placed: DataFrame, n: int, last: bool) -> DataFrame:
             .agg((F.min(place) if last else F.max(place)).alias("__edge")))
 
 
-def skip_lines(placed: DataFrame, header: int = 0, footer: int = 0, rows: int = HOT_ROWS
-               ) -> DataFrame:
+def skip_lines(lines: DataFrame, header: int = 0, footer: int = 0) -> DataFrame:
     """Drop the first and last lines of every file; a file of any size is never one task's work.
 
-    The files are read twice, to find the edges and to drop them, and cut alike both times.
+    The files are read twice, to find the edges and to drop them, and cut alike both times. The
+    edges are a row per file; up to ``FILES_IN_MEMORY`` of them are broadcast.
     """
-    steady_splits(placed.sparkSession)
+    steady_splits(lines.sparkSession)
+    fits = len(lines.inputFiles()) <= FILES_IN_MEMORY
+    placed = _placed(lines)
     out = placed
     for n, last in ((header, False), (footer, True)):
         if n > 0:
-            joined = join_unique(out, _edge(placed, n, last), [_PLACE[0]], ["__edge_file"], "left",
-                                 share=LOOKUP_SHARE, rows=rows)
+            joined = join_unique(out, _edge(placed, n, last), [_PLACE[0]], ["__edge_file"], "inner",
+                                 fits=fits)
             place = F.struct(*_PLACE[1:])
             inside = place < F.col("__edge") if last else place > F.col("__edge")
             out = joined.filter(inside).drop("__edge_file", "__edge")
-    return out
+    return out.select("value")
 
 
 def _decoded(value: Column, encoding: str) -> Column:
@@ -98,8 +101,8 @@ def read_lines(spark: SparkSession, path: str | Sequence[str], encoding: str = "
                remove_empty: bool = True) -> DataFrame:
     """One ``value`` column, one row per line, decoded, without header and footer lines.
 
-    One header line costs nothing. More header lines, or footers, have to be found first: two more
-    passes over the files.
+    One header line costs nothing. More header lines, or footers, have to be found first, by one
+    more pass over the files for each.
     """
     paths = [path] if isinstance(path, str) else list(path)
     if header == 1 and not footer and remove_empty and len(row_sep) == 1:
@@ -107,7 +110,7 @@ def read_lines(spark: SparkSession, path: str | Sequence[str], encoding: str = "
     else:
         lines = spark.read.option("lineSep", row_sep).text(paths)
         if header or footer:
-            lines = skip_lines(_placed(lines), header, footer)
+            lines = skip_lines(lines, header, footer)
         lines = lines.select(_decoded(F.col("value"), encoding).alias("value"))
     return lines.filter(trim_field(F.col("value")) != "") if remove_empty else lines
 

@@ -38,7 +38,9 @@ def test_a_bad_row_ends_the_run_even_if_its_column_is_not_read(spark, tmp_path,
         action(read_delimited(spark, path, EMPLOYEE))
 
 
-def test_header_of_two_lines_and_footer_over_several_files(spark, tmp_path):
+@pytest.mark.parametrize("in_memory", [100_000, 0])
+def test_header_of_two_lines_and_footer_over_several_files(spark, tmp_path, monkeypatch, in_memory):
+    monkeypatch.setattr("rowmill.sources.delimited.FILES_IN_MEMORY", in_memory)
     for i in range(3):
         put(tmp_path, f"made\n{HEAD}{i}|a|b|1|2\n{i + 5}|a|b|1|2\ntotal\n", f"{i}.txt")
     got = read_delimited(spark, str(tmp_path), EMPLOYEE, header=2, footer=1)

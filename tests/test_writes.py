@@ -5,13 +5,15 @@ from pyspark.errors import ArithmeticException
 from pyspark.sql import functions as F
 
 from conftest import rows
-from rowmill.operators.lookup import close_pairs, fits_in_memory, lookup, similar_pairs
+from rowmill.operators.lookup import close_pairs, lookup, similar_pairs
 from rowmill.operators.project import (
     convert_to, empty_like, map_columns, schema_diff, split_columns)
+from rowmill.operators.skew import fits_in_memory
 from rowmill.plans import employee, models
 from rowmill.sinks import tables as W
 
 HOT = {"share": 0.0, "rows": 1}
+WAYS = [{}, HOT, {"fits": True}]
 
 
 def target(spark):
@@ -24,7 +26,7 @@ def source(spark):
                                  "id int, name string, seq int")
 
 
-@pytest.mark.parametrize("skew", [{}, HOT])
+@pytest.mark.parametrize("skew", WAYS)
 def test_update_last_row_wins_and_unmatched_rows_are_ignored(spark, skew):
     got = W.updated(target(spark), source(spark), ["id"], ["seq"], **skew)
     assert rows(got) == [(None, "n", 4), (1, "a", 1), (2, "y", 2), (2, "y", 3)]
@@ -40,16 +42,18 @@ def test_update_without_keys_is_an_error(spark):
         W.updated(target(spark), source(spark), [])
 
 
-def test_upsert(spark):
-    got = W.upserted(target(spark), source(spark), ["id"], ["seq"])
+@pytest.mark.parametrize("skew", WAYS)
+def test_upsert(spark, skew):
+    got = W.upserted(target(spark), source(spark), ["id"], ["seq"], **skew)
     assert rows(got) == [(None, "n", 4), (None, "q", None), (1, "a", 1), (2, "y", None),
                          (3, "z", None)]
 
 
-def test_insert_or_update_only_the_named_columns(spark):
+@pytest.mark.parametrize("skew", WAYS)
+def test_insert_or_update_only_the_named_columns(spark, skew):
     more = source(spark).union(spark.createDataFrame([(3, "last", 9)], "id int, name string, n int"))
     got = W.inserted_or_updated(target(spark), more.withColumn("n", F.col("seq") * 10), ["id"],
-                                ["seq"], on_duplicate=["n"])
+                                ["seq"], on_duplicate=["n"], **skew)
     assert rows(got) == [(None, "n", 4), (None, "q", 10), (1, "a", 1), (2, "b", 20), (2, "bb", 20),
                          (3, "z", 90)]
 
