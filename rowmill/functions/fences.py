@@ -13,10 +13,14 @@ ANY_FENCE = r"(?sm)^[ ]*```(\w*)\n(.*?)^[ ]*```[ ]*$"
 BLOCK_HEADER = "-- model #"
 
 
-def sql_blocks(text: Column, fallback: bool = False) -> Column:
-    """Bodies of untagged or ``sql`` fences; with ``fallback`` a text without one is one block."""
-    found = F.regexp_extract_all(text, F.lit(SQL_FENCE), F.lit(1))
-    return F.when(F.size(found) == 0, F.array(text)).otherwise(found) if fallback else found
+def sql_blocks(text: Column) -> Column:
+    """Bodies of untagged or ``sql`` fences."""
+    return F.regexp_extract_all(text, F.lit(SQL_FENCE), F.lit(1))
+
+
+def or_whole(blocks: Column, text: Column) -> Column:
+    """The blocks, or where there is none the whole text as the one block."""
+    return F.when(F.size(blocks) == 0, F.array(text)).otherwise(blocks)
 
 
 def tagged_blocks(text: Column) -> Column:

@@ -7,19 +7,33 @@ from collections.abc import Mapping
 from pyspark.sql import Column, DataFrame, functions as F
 
 from rowmill.functions.fences import (
-    BLOCK_HEADER, numbered, numbered_text, sql_blocks, tagged_blocks)
+    BLOCK_HEADER, numbered, numbered_text, or_whole, sql_blocks, tagged_blocks)
 
+_FOUND = "__found"
+_TEXT = "__text"
 RECORD_SCHEMA = "raw_output STRING, files MAP<STRING, STRING>"
 
 
 def code_blocks(df: DataFrame, doc: str, text: str, fallback: bool = False,
                 with_lang: bool = False) -> DataFrame:
-    """``(doc, idx, block)`` with ``idx`` from 1; ``with_lang`` reads every fence and its tag."""
+    """``(doc, idx, block)`` with ``idx`` from 1; ``with_lang`` reads every fence and its tag.
+
+    Matched once per text: a plain explode would be given a filter that matches again.
+    """
+    found = _found(df, doc, text, with_lang)
+    blocks = or_whole(F.col(_FOUND), F.col(_TEXT)) if fallback and not with_lang else F.col(_FOUND)
+    rows = (found.select(doc, F.posexplode_outer(blocks).alias("pos", "block"))
+            .filter(F.col("pos").isNotNull()))
+    idx = (F.col("pos") + 1).alias("idx")
     if with_lang:
-        rows = df.select(doc, F.posexplode(tagged_blocks(F.col(text))).alias("pos", "found"))
-        return rows.select(doc, (F.col("pos") + 1).alias("idx"), "found.lang", "found.block")
-    rows = df.select(doc, F.posexplode(sql_blocks(F.col(text), fallback)).alias("pos", "block"))
-    return rows.select(doc, (F.col("pos") + 1).alias("idx"), "block")
+        return rows.select(doc, idx, "block.lang", "block.block")
+    return rows.select(doc, idx, "block")
+
+
+def _found(df: DataFrame, doc: str, text: str, with_lang: bool = False) -> DataFrame:
+    """The matches in a column of their own, so that what follows shares them."""
+    blocks = (tagged_blocks if with_lang else sql_blocks)(F.col(text))
+    return df.select(doc, F.col(text).alias(_TEXT), blocks.alias(_FOUND))
 
 
 def numbered_blocks(blocks: DataFrame, header: str = BLOCK_HEADER) -> DataFrame:
@@ -36,8 +50,8 @@ def join_blocks(blocks: DataFrame, doc: str, header: str = BLOCK_HEADER) -> Data
 
 def joined_text(df: DataFrame, doc: str, text: str, header: str = BLOCK_HEADER) -> DataFrame:
     """Extract, number and join within the row: the same texts as above without a shuffle."""
-    return df.select(doc, numbered_text(sql_blocks(F.col(text), fallback=True), header)
-                     .alias("text"))
+    blocks = or_whole(F.col(_FOUND), F.col(_TEXT))
+    return _found(df, doc, text).select(doc, numbered_text(blocks, header).alias("text"))
 
 
 def block_counts(blocks: DataFrame, doc: str) -> DataFrame:
@@ -55,8 +69,8 @@ def result_record(df: DataFrame, doc: str, raw: str, files: Mapping[str, Column]
 def record_files(df: DataFrame, doc: str, record: str = "record") -> DataFrame:
     """``(doc, label, location)``: the artifacts of JSON records as rows."""
     parsed = F.from_json(F.col(record), RECORD_SCHEMA)
-    return (df.select(doc, F.explode(F.map_entries(parsed["files"])).alias("file"))
-            .select(doc, F.col("file.key").alias("label"), F.col("file.value").alias("location")))
+    return (df.select(doc, F.explode_outer(F.map_entries(parsed["files"])).alias("file"))
+            .filter(F.col("file").isNotNull()).select(doc, F.col("file.key").alias("label"), F.col("file.value").alias("location")))
 
 
 def artifact_id(content: Column) -> Column:

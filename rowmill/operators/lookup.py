@@ -56,7 +56,7 @@ def close_pairs(left: DataFrame, right: DataFrame, left_col: str, right_col: str
     names and codes; the forms per value grow with its length to the power of ``limit``.
     """
     def signed(df: DataFrame, name: str) -> DataFrame:
-        return df.select(name, F.explode(_deletions(F.col(name), limit)).alias("__form"))
+        return df.select(name, F.explode_outer(_deletions(F.col(name), limit)).alias("__form"))
 
     a = signed(_values(left, left_col, "left_value"), "left_value")
     b = signed(_values(right, right_col, "right_value"), "right_value")
@@ -87,7 +87,8 @@ def similar_pairs(left: DataFrame, right: DataFrame, left_col: str, right_col: s
     both = (_values(left, left_col, "value").withColumn("side", F.lit("left"))
             .unionByName(_values(right, right_col, "value").withColumn("side", F.lit("right"))))
     sets = both.select("side", "value", tokens(F.col("value"), ngram).alias("words"))
-    single = sets.select("side", "value", F.explode("words").alias("token"))
+    single = (sets.select("side", "value", F.explode_outer("words").alias("token"))
+              .filter(F.col("token").isNotNull()))
     weight = (single.groupBy(F.col("token").alias("__token"))
               .agg(F.count(F.lit(1)).alias("weight")))
     ranked = (join_unique(single, weight, ["token"], ["__token"], "inner")

@@ -157,7 +157,7 @@ def _tagged(spark: SparkSession, path: str | Sequence[str], schema: T.StructType
             split_record: str | None = None) -> DataFrame:
     lines = read_lines(spark, path, encoding, row_sep, header, footer, remove_empty)
     if split_record:
-        lines = lines.select(F.explode(F.split("value", re.escape(split_record))).alias("value"))
+        lines = lines.select(F.explode_outer(F.split("value", re.escape(split_record))).alias("value"))
     fields, whole = _text_fields(F.col("value"), schema.names, sep, csv, quote, escape)
     rows = lines.select("value", fields.alias(_FIELDS), F.spark_partition_id().alias(_AT))
     rows = rows.withColumn(_WHOLE, whole if not csv else F.col(f"{_FIELDS}.{_BAD}").isNull())
