@@ -117,7 +117,10 @@ def read_lines(spark: SparkSession, path: str | Sequence[str], encoding: str = "
 
 def _text_fields(line: Column, names: Sequence[str], sep: str, csv: bool, quote: str,
                  escape: str) -> tuple[Column, Column]:
-    """``(fields, whole)``: a struct of text fields, null where missing, and if the count is right."""
+    """``(fields, whole)``: a struct of text fields, null where missing, and if the count is right.
+
+    Both stand in one projection, which cuts a line once for all of them.
+    """
     if not csv:
         parts = F.split(line, re.escape(sep), -1)
         fields = [F.get(parts, F.lit(i)).alias(n) for i, n in enumerate(names)]
@@ -159,8 +162,8 @@ def _tagged(spark: SparkSession, path: str | Sequence[str], schema: T.StructType
     if split_record:
         lines = lines.select(F.explode_outer(F.split("value", re.escape(split_record))).alias("value"))
     fields, whole = _text_fields(F.col("value"), schema.names, sep, csv, quote, escape)
-    rows = lines.select("value", fields.alias(_FIELDS), F.spark_partition_id().alias(_AT))
-    rows = rows.withColumn(_WHOLE, whole if not csv else F.col(f"{_FIELDS}.{_BAD}").isNull())
+    rows = lines.select("value", fields.alias(_FIELDS), whole.alias(_WHOLE),
+                        F.spark_partition_id().alias(_AT))
     typed_fields = {f.name: _field(f, trim_all or f.name in trim_cols, check_date, thousands,
                                    decimal, f.name in decode_cols) for f in schema.fields}
     wrong = F.concat_ws(";", *[F.when(bad, F.lit(f"{n}:type"))
