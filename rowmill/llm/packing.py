@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from rowmill.llm.common import by_bytes, stored
-from rowmill.llm.tokens import BATCH_BYTES, Memory, encode
+from rowmill.llm.tokens import BATCH_BYTES, Memory, encode, memory
 
 GROUP_PIECES = 20_000
 _PIECES = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, salt long"
@@ -94,24 +94,28 @@ def best_fit(lengths: list[int], capacity: int) -> tuple[list[int], list[int]]:
 def pieces(df: DataFrame, path: str, window: int, end_id: int, text: str = "text", key: str = "doc_id") -> DataFrame:
     """A row per piece: full windows of a document's ids, then what is left of it."""
 
-    def values(of: list[str]) -> list[bytes]:
+    def encoded(of: list[str]) -> list[bytes]:
         return [np.array(ids, "<u4").tobytes() for ids in encode(path, of)]
 
-    last, feed_of = np.array([end_id], "<u4").tobytes(), []
+    def values(known: Memory, of: list[str]) -> Iterator[bytes]:
+        stems = [w[:-1] if w[-1:] in (",", ".") and w[-2:-1].isascii() and w[-2:-1].isalpha() else w for w in of]
+        new = list({*stems, ",", ".", "\n"} - known.keys())
+        known.update(zip(new, encoded(new)))
+        return (known[s] if len(s) == len(w) else known[s] + known[w[-1]] for s, w in zip(stems, of))
+
+    last = np.array([end_id], "<u4").tobytes()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known, salt = Memory(values), 0
+        known, salt = memory("ids", path, values), 0
         for batch in batches:
-            if not feed_of:
-                feed_of.extend(values(["\n"]))
             texts = [t or "" for t in batch.column(text).to_pylist()]
             keys, rows = batch.column(key).to_pylist(), []
             for start, end in by_bytes(texts, BATCH_BYTES):
                 cut = [cut_text(t) for t in texts[start:end]]
-                known.learn([p for heads, rest in cut for p in (heads, *rest)])
-                get = known.__getitem__
+                known.learn([["\n"], *(p for heads, rest in cut for p in (heads, *rest))])
+                get, feed = known.__getitem__, known["\n"]
                 for doc, (heads, rest) in zip(keys[start:end], cut):
-                    ids = feed_of[0].join(get(h) + b"".join(map(get, r)) for h, r in zip(heads, rest)) + last
+                    ids = feed.join(get(h) + b"".join(map(get, r)) for h, r in zip(heads, rest)) + last
                     n = len(ids) // 4
                     for at in range(0, n, window):
                         part = ids[4 * at: 4 * (at + window)]

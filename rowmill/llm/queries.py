@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rowmill.llm import line_dedup, line_rules, packing, simhash, tokens, urls
+from rowmill.llm import decontam, line_dedup, line_rules, packing, pseudonyms, simhash, tokens, toxicity, urls
 from rowmill.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -93,3 +93,19 @@ def _op10(spark, d):
     cleaned = line_rules.clean_lines(table(spark, d, "documents").select("doc_id", "text"))
     return cleaned.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
                           "base_failed", "kept", "n_lines_failed", F.round("lost", 6).alias("lost"))
+
+
+@query("op5_decontamination")
+def _op5(spark, d):
+    return decontam.contamination(table(spark, d, "documents"), table(spark, d, "benchmark"))
+
+
+@query("op3_toxicity")
+def _op3(spark, d):
+    scored = toxicity.score(table(spark, d, "documents"), table(spark, d, "labels"))
+    return scored.select("doc_id", "held_out", "score", (F.col("score") >= 0.7).cast("int").alias("predicted"), F.size("passages").alias("n_passages"))
+
+
+@query("op1_pseudonyms")
+def _op1(spark, d):
+    return pseudonyms.pseudonymize(table(spark, d, "documents").select("doc_id", "text"), key="key of the registered query")

@@ -9,7 +9,10 @@ No shuffle: the scan cuts its input by bytes, and each row stays in its task.
 from __future__ import annotations
 
 import os
-from collections.abc import Callable, Iterator
+import re
+from bisect import bisect_right
+from collections.abc import Callable, Iterable, Iterator
+from itertools import accumulate
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -18,8 +21,13 @@ from pyspark.sql import types as T
 from rowmill.llm.common import by_bytes, utf8
 
 BATCH_BYTES = 2 * 1024 * 1024
-REMEMBERED = 300_000
+REMEMBERED = 800_000
+JOINED = 256
+UPPER, LOWER = b"ABCDEFGHIJKLMNOPQRSTUVWXYZ", b"abcdefghijklmnopqrstuvwxyz"
+_LOW = bytes.maketrans(UPPER, LOWER)
+_STEM = re.compile(rb"^.*[A-Za-z](?=[.,]$)", re.S)
 _LOADED: dict[str, object] = {}
+_MEMORIES: dict[tuple, Memory] = {}
 
 
 def tokenizer(path: str):
@@ -42,26 +50,61 @@ def encode(path: str, pieces: list[str]) -> list[list[int]]:
 class Memory(dict):
     """Piece to value, filled by the batch and emptied when it holds too many pieces."""
 
-    def __init__(self, values: Callable[[list], list], most: int = REMEMBERED):
+    def __init__(self, values: Callable[[Memory, list], Iterable], most: int = REMEMBERED):
         super().__init__()
         self.values_of, self.most = values, most
 
     def learn(self, lists: list[list]) -> None:
         new = set().union(*lists) - self.keys()
-        if not new:
-            return
-        if len(self) + len(new) > self.most:
+        if new and len(self) + len(new) > self.most:
             self.clear()
             new = set().union(*lists)
-        new = list(new)
-        self.update(zip(new, self.values_of(new)))
+        if new:
+            new = list(new)
+            self.update(zip(new, self.values_of(self, new)))
+
+
+def memory(kind: str, path: str, values: Callable) -> Memory:
+    """What a worker remembers outlives its tasks."""
+    return _MEMORIES.setdefault((kind, path), Memory(values))
+
+
+def counts_of(path: str, words: list[bytes]) -> list[int]:
+    """Token counts of words; plain ones are encoded many to a line and told apart by their places."""
+    plain = [i for i, w in enumerate(words) if w.isascii()]
+    counts = [0] * len(words)
+    rest = [i for i, w in enumerate(words) if not w.isascii()]
+    for i, ids in zip(rest, encode(path, [words[i].decode() for i in rest])):
+        counts[i] = len(ids)
+    lines = [plain[at:at + JOINED] for at in range(0, len(plain), JOINED)]
+    found = tokenizer(path).encode_batch([b" ".join(words[i] for i in line).decode() for line in lines], add_special_tokens=False)
+    for line, encoding in zip(lines, found):
+        ends = list(accumulate(len(words[i]) + 1 for i in line))
+        for at in (o[0] for o in encoding.offsets):
+            counts[line[bisect_right(ends, at)]] += 1
+    return counts
+
+
+def word_counts(path: str) -> Callable[[Memory, list[bytes]], Iterable[int]]:
+    """Counts of new words. A full stop or comma after an ASCII letter is a token of its own, and ASCII
+    capitals count like small letters where no special token's string can be meant."""
+    def values(known: Memory, words: list[bytes]) -> Iterator[int]:
+        stems = []
+        for word in words:
+            found = _STEM.match(word)
+            stem = found[0] if found else word
+            stems.append(stem if b"<|" in stem else stem.translate(_LOW))
+        new = list(set(stems) - known.keys())
+        known.update(zip(new, counts_of(path, new)))
+        return (known[s] + (len(w) - len(s)) for s, w in zip(stems, words))
+    return values
 
 
 def count_tokens(df: DataFrame, path: str, text: str = "text", whole: bool = False) -> DataFrame:
     """``df`` without its text, and ``n_bytes``, ``n_tokens`` of the text as the tokenizer gives them.
 
-    The cut is at ASCII white space, which is safe for tokenizers that drop white space before they
-    look for words (normalization does not join across it either). For others set ``whole``: the
+    The cuts (ASCII white space, and a last full stop or comma) are safe for tokenizers that fold case,
+    drop white space and take runs of letters and of signs apart. For others set ``whole``: the
     texts then go to the encoder uncut. A null or empty text has no bytes and no tokens. A text
     without any white space is one piece, however long. Rows are independent, so repeated rows and
     ids, null ids and an empty table need no rule. Other columns pass through; a column that is
@@ -71,11 +114,11 @@ def count_tokens(df: DataFrame, path: str, text: str = "text", whole: bool = Fal
     schema = T.StructType([*kept, T.StructField("n_bytes", T.LongType()), T.StructField("n_tokens", T.LongType())])
     names = [f.name for f in kept]
 
-    def lengths(pieces: list[bytes]) -> list[int]:
-        return [len(ids) for ids in encode(path, [p.decode() for p in pieces])]
+    def lengths(known: Memory, texts: list[bytes]) -> list[int]:
+        return [len(ids) for ids in encode(path, [t.decode() for t in texts])]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known = Memory(lengths)
+        known = Memory(lengths, most=0) if whole else memory("counts", path, word_counts(path))
         for batch in batches:
             texts, counts = utf8(batch.column(text)), []
             for start, end in by_bytes(texts, BATCH_BYTES):
