@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rowmill.llm import decontam, line_dedup, line_rules, packing, pseudonyms, simhash, tokens, toxicity, urls
+from rowmill.llm import decontam, line_dedup, line_rules, packing, pseudonyms, simhash, suffix_dedup, tokens, toxicity, urls
 from rowmill.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -109,3 +109,9 @@ def _op3(spark, d):
 @query("op1_pseudonyms")
 def _op1(spark, d):
     return pseudonyms.pseudonymize(table(spark, d, "documents").select("doc_id", "text"), key="key of the registered query")
+
+
+@query("op2_suffix_dedup")
+def _op2(spark, d):
+    cleaned = suffix_dedup.remove_repeats(table(spark, d, "documents"))
+    return cleaned.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))

@@ -60,8 +60,8 @@ def _one_label(labels: DataFrame, parts: int, part: int) -> DataFrame:
 
 
 def with_label(docs: DataFrame, labels: DataFrame, sent: int = SENT_LABELS) -> DataFrame:
-    """doc_id, text and ``label`` (null, 0 or 1). A set of up to ``sent`` labels goes to the tasks."""
-    plain = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
+    """doc_id, text, hash (of the text) and ``label`` (null, 0 or 1). A set of up to ``sent`` labels goes to the tasks."""
+    plain = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"), F.xxhash64("text").alias("hash"))
     labels = stored(labels, "labels")
     if labels.count() > sent:
         return plain.join(labels, "doc_id", "left")
@@ -76,9 +76,9 @@ def with_label(docs: DataFrame, labels: DataFrame, sent: int = SENT_LABELS) -> D
             at = np.minimum(np.searchsorted(ids, wanted), max(0, len(ids) - 1))
             none = np.ones(len(wanted), bool) if not len(ids) else (ids[at] != wanted) | own.is_null().to_numpy(zero_copy_only=False)
             label = pa.array(marks[at] if len(ids) else np.zeros(len(wanted), np.int32), pa.int32(), mask=none)
-            yield pa.RecordBatch.from_arrays([own, batch.column("text"), label], names=["doc_id", "text", "label"])
+            yield pa.RecordBatch.from_arrays([own, batch.column("text"), batch.column("hash"), label], names=["doc_id", "text", "hash", "label"])
 
-    return plain.mapInArrow(run, "doc_id long, text string, label int")
+    return plain.mapInArrow(run, "doc_id long, text string, hash long, label int")
 
 
 class Ids(dict):
@@ -188,7 +188,7 @@ def maximal_segments(places: list[int], scores: list[float], drift: float = DRIF
 
 def segments(labelled: DataFrame, model: Model) -> DataFrame:
     """doc_id, label, n_words and the maximal segments of each row's text."""
-    schema = "doc_id long, label int, n_words long, segments array<struct<start:int,end:int,score:double>>"
+    schema = "doc_id long, hash long, label int, n_words long, segments array<struct<start:int,end:int,score:double>>"
     kind = pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32()), ("score", pa.float64())]))
 
     def shown(parts) -> list[dict]:
@@ -227,8 +227,8 @@ def segments(labelled: DataFrame, model: Model) -> DataFrame:
                     places = places[[p == 0 or words[p] != words[p - 1] for p in places.tolist()]] if len(places) else places
                     lengths.append(len(words))
                     found.append(shown(maximal_segments(places.tolist(), value[places].tolist())) if len(places) else [])
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("label"), pa.array(lengths, pa.int64()), pa.array(found, kind)],
-                                             names=["doc_id", "label", "n_words", "segments"])
+            yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in ("doc_id", "hash", "label")), pa.array(lengths, pa.int64()), pa.array(found, kind)],
+                                             names=["doc_id", "hash", "label", "n_words", "segments"])
 
     return labelled.mapInArrow(run, schema)
 
@@ -254,8 +254,8 @@ def _joined_segments(labelled: DataFrame, model: Model, schema: str, kind: pa.Da
                 up = [h for h in sorted(hits or [], key=lambda h: h["place"]) if h["score"] > 0]
                 found.append(shown(maximal_segments([h["place"] for h in up], [h["score"] for h in up])))
             lengths = [len(words_of(t)) for t in utf8(batch.column("text"))]
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("label"), pa.array(lengths, pa.int64()), pa.array(found, kind)],
-                                             names=["doc_id", "label", "n_words", "segments"])
+            yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in ("doc_id", "hash", "label")), pa.array(lengths, pa.int64()), pa.array(found, kind)],
+                                             names=["doc_id", "hash", "label", "n_words", "segments"])
 
     numbered = stored(labelled, "labelled").withColumn("row", F.monotonically_increasing_id())
     numbered = stored(numbered, "numbered")
@@ -264,7 +264,7 @@ def _joined_segments(labelled: DataFrame, model: Model, schema: str, kind: pa.Da
     begun = model.words.filter("prefix").select(F.col("id").alias("prefix"), F.col("score").alias("begun"))
     scored = places.join(begun, "prefix", "left").join(own, "word", "left").select("row", "place", F.coalesce("own", "begun").alias("score"))
     hits = scored.filter("score > 0").groupBy("row").agg(F.collect_list(F.struct("place", "score")).alias("hits"))
-    return numbered.join(hits, "row", "left").select("doc_id", "label", "text", "hits").mapInArrow(close, schema)
+    return numbered.join(hits, "row", "left").select("doc_id", "hash", "label", "text", "hits").mapInArrow(close, schema)
 
 
 def excess(rate: float, level: float) -> Column:
@@ -277,7 +277,7 @@ def excess(rate: float, level: float) -> Column:
 
 def score(docs: DataFrame, labels: DataFrame, parts: int = 3, part: int = 1, sent_words: int = SENT_WORDS,
           sent_labels: int = SENT_LABELS) -> DataFrame:
-    """doc_id, held_out, score (0 to 1), n_words and the significant passages (word places and scores).
+    """doc_id, hash (of the text), held_out, score (0 to 1), n_words and the significant passages (word places and scores).
 
     Learns from labels of rows that are not held out and from the words of all documents; ids, languages
     and sources play no part. A null or empty text has no words and gets what a text without segments
@@ -297,7 +297,7 @@ def score(docs: DataFrame, labels: DataFrame, parts: int = 3, part: int = 1, sen
     model.slope, model.offset = logistic(np.array([r["x"] for r in bins]), np.array([r["label"] for r in bins]), np.array([r["count"] for r in bins], float))
     chance = 1 / (1 + F.exp(-(above * model.slope + model.offset)))
     bar = F.log(F.greatest(F.col("n_words"), F.lit(1))) + model.level
-    return found.select("doc_id", held_out(F.col("doc_id"), parts, part).alias("held_out"), chance.alias("score"), "n_words",
+    return found.select("doc_id", "hash", held_out(F.col("doc_id"), parts, part).alias("held_out"), chance.alias("score"), "n_words",
                         F.filter("segments", lambda s: s["score"] * model.rate > bar).alias("passages"))
 
 
@@ -321,5 +321,5 @@ def logistic(x: np.ndarray, y: np.ndarray, weight: np.ndarray, ridge: float = 1e
 
 def keep_clean(docs: DataFrame, labels: DataFrame, limit: float = 0.7) -> DataFrame:
     """The rows of ``docs`` whose text scores below ``limit``; columns as they are."""
-    scored = score(docs, labels).filter(F.col("score") >= limit).select(order_id().alias("__id")).distinct()
-    return docs.withColumn("__id", order_id()).join(scored, "__id", "left_anti").select(*docs.columns)
+    scored = score(docs, labels).filter(F.col("score") >= limit).select(order_id().alias("__id"), F.col("hash").alias("__hash")).distinct()
+    return docs.withColumns({"__id": order_id(), "__hash": F.xxhash64("text")}).join(scored, ["__id", "__hash"], "left_anti").select(*docs.columns)

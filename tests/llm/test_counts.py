@@ -9,6 +9,7 @@ import public_tokenizers
 import pytest
 from tokenizers import Tokenizer
 
+from llm_fixtures import documents, edge, none  # noqa: F401
 from rowmill.llm.line_rules import clean_lines
 from rowmill.llm.packing import best_fit, pack
 from rowmill.llm.tokens import count_tokens

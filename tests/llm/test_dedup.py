@@ -7,6 +7,7 @@ import numpy as np
 import pytest
 import xxhash
 
+from llm_fixtures import documents, edge, none  # noqa: F401
 from rowmill.llm import line_dedup, simhash
 from rowmill.llm.line_dedup import CuckooFilter, LineIndex, dedup_lines
 
