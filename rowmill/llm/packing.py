@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from rowmill.llm.common import by_bytes, stored
-from rowmill.llm.tokens import BATCH_BYTES, Memory, encode, memory
+from rowmill.llm.tokens import BATCH_BYTES, Memory, encode, ids_of_words, memory
 
 GROUP_PIECES = 20_000
 _PIECES = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, salt long"
@@ -29,22 +29,23 @@ _WORD = re.compile(r"(?<=\S)(?= \S)")
 _RUN = re.compile(r"\s\s")
 
 
-def cut_text(text: str) -> tuple[list[str], list[list[str]]]:
+def cut_text(text: str) -> tuple[list[tuple[str]], list[list[str]]]:
     """Pieces of a text for a byte-level tokenizer that ties one space to the word after it.
 
     A single space between two words may be cut before, a single line feed on both sides. Gives, for
-    each line, its first piece and the others with the space in front.
+    each line, its first piece (in a tuple, to tell it from the others) and the others, whose space in
+    front is left out.
     """
     heads, rest = [], []
     for line in _LINE.split(text) if "\n" in text else [text]:
         if _RUN.search(line):
             words = _WORD.split(line)
-            heads.append(words[0])
-            rest.append(words[1:])
+            heads.append((words[0],))
+            rest.append([w[1:] for w in words[1:]])
         else:
             words = line.split(" ")
-            heads.append(words[0])
-            rest.append([f" {w}" for w in words[1:]])
+            heads.append((words[0],))
+            rest.append(words[1:])
     return heads, rest
 
 
@@ -94,14 +95,15 @@ def best_fit(lengths: list[int], capacity: int) -> tuple[list[int], list[int]]:
 def pieces(df: DataFrame, path: str, window: int, end_id: int, text: str = "text", key: str = "doc_id") -> DataFrame:
     """A row per piece: full windows of a document's ids, then what is left of it."""
 
-    def encoded(of: list[str]) -> list[bytes]:
-        return [np.array(ids, "<u4").tobytes() for ids in encode(path, of)]
-
-    def values(known: Memory, of: list[str]) -> Iterator[bytes]:
-        stems = [w[:-1] if w[-1:] in (",", ".") and w[-2:-1].isascii() and w[-2:-1].isalpha() else w for w in of]
-        new = list({*stems, ",", ".", "\n"} - known.keys())
-        known.update(zip(new, encoded(new)))
-        return (known[s] if len(s) == len(w) else known[s] + known[w[-1]] for s, w in zip(stems, of))
+    def values(known: Memory, of: list) -> Iterator[bytes]:
+        heads = [h for h in of if type(h) is tuple]
+        known.update(zip(heads, (np.array(ids, "<u4").tobytes() for ids in encode(path, [h[0] for h in heads]))))
+        words = [w for w in of if type(w) is str]
+        stems = [w[:-1] if w[-1:] in (",", ".") and w[-2:-1].isascii() and w[-2:-1].isalpha() else w for w in words]
+        new = list({*stems} - known.keys())
+        known.update(zip(new, (ids.tobytes() for ids in ids_of_words(path, new))))
+        known.update((w, known[s] + known[w[-1],]) for s, w in zip(stems, words) if len(s) < len(w))
+        return map(known.__getitem__, of)
 
     last = np.array([end_id], "<u4").tobytes()
 
@@ -112,8 +114,8 @@ def pieces(df: DataFrame, path: str, window: int, end_id: int, text: str = "text
             keys, rows = batch.column(key).to_pylist(), []
             for start, end in by_bytes(texts, BATCH_BYTES):
                 cut = [cut_text(t) for t in texts[start:end]]
-                known.learn([["\n"], *(p for heads, rest in cut for p in (heads, *rest))])
-                get, feed = known.__getitem__, known["\n"]
+                known.learn([[("\n",), (",",), (".",)], *(p for heads, rest in cut for p in (heads, *rest))])
+                get, feed = known.__getitem__, known["\n",]
                 for doc, (heads, rest) in zip(keys[start:end], cut):
                     ids = feed.join(get(h) + b"".join(map(get, r)) for h, r in zip(heads, rest)) + last
                     n = len(ids) // 4

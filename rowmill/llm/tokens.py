@@ -10,10 +10,9 @@ from __future__ import annotations
 
 import os
 import re
-from bisect import bisect_right
 from collections.abc import Callable, Iterable, Iterator
-from itertools import accumulate
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
@@ -26,7 +25,7 @@ JOINED = 256
 UPPER, LOWER = b"ABCDEFGHIJKLMNOPQRSTUVWXYZ", b"abcdefghijklmnopqrstuvwxyz"
 _LOW = bytes.maketrans(UPPER, LOWER)
 _STEM = re.compile(rb"^.*[A-Za-z](?=[.,]$)", re.S)
-_LOADED: dict[str, object] = {}
+_LOADED: dict = {}
 _MEMORIES: dict[tuple, Memory] = {}
 
 
@@ -69,20 +68,38 @@ def memory(kind: str, path: str, values: Callable) -> Memory:
     return _MEMORIES.setdefault((kind, path), Memory(values))
 
 
-def counts_of(path: str, words: list[bytes]) -> list[int]:
-    """Token counts of words; plain ones are encoded many to a line and told apart by their places."""
-    plain = [i for i, w in enumerate(words) if w.isascii()]
-    counts = [0] * len(words)
-    rest = [i for i, w in enumerate(words) if not w.isascii()]
-    for i, ids in zip(rest, encode(path, [words[i].decode() for i in rest])):
-        counts[i] = len(ids)
+def edges(path: str) -> tuple[bool, np.ndarray]:
+    """Whether a vocabulary marks where words end (else where a space begins one), and its marked ids."""
+    if (path, "edges") not in _LOADED:
+        vocab = tokenizer(path).get_vocab(with_added_tokens=False)
+        ends = any(t.endswith("</w>") for t in vocab)
+        marked = np.zeros(max(vocab.values()) + 1, bool)
+        marked[[i for t, i in vocab.items() if (t.endswith("</w>") if ends else t.startswith("Ġ"))]] = True
+        _LOADED[path, "edges"] = ends, marked
+    return _LOADED[path, "edges"]
+
+
+def ids_of_words(path: str, words: list[str]) -> list[np.ndarray]:
+    """Ids of each word with a space before it. Words of letters are encoded many to a line and parted
+    at the marked ids; a line whose marks do not match its words is encoded word by word."""
+    ends, marked = edges(path)
+    out: list = [None] * len(words)
+    plain = [i for i, w in enumerate(words) if w.isalpha()]
+    rest = [i for i, w in enumerate(words) if not w.isalpha()]
     lines = [plain[at:at + JOINED] for at in range(0, len(plain), JOINED)]
-    found = tokenizer(path).encode_batch([b" ".join(words[i] for i in line).decode() for line in lines], add_special_tokens=False)
-    for line, encoding in zip(lines, found):
-        ends = list(accumulate(len(words[i]) + 1 for i in line))
-        for at in (o[0] for o in encoding.offsets):
-            counts[line[bisect_right(ends, at)]] += 1
-    return counts
+    for line, ids in zip(lines, encode(path, ["".join(f" {words[i]}" for i in line) for line in lines])):
+        ids = np.array(ids, "<u4")
+        known = ids < len(marked)
+        at = np.flatnonzero(marked[np.where(known, ids, 0)])
+        if len(at) != len(line) or not known.all() or not (at[-1] == len(ids) - 1 if ends else at[0] == 0):
+            rest += line
+            continue
+        cuts = [0, *(at + 1).tolist()] if ends else [*at.tolist(), len(ids)]
+        for i, a, b in zip(line, cuts, cuts[1:]):
+            out[i] = ids[a:b]
+    for i, ids in zip(rest, encode(path, [f" {words[i]}" for i in rest])):
+        out[i] = np.array(ids, "<u4")
+    return out
 
 
 def word_counts(path: str) -> Callable[[Memory, list[bytes]], Iterable[int]]:
@@ -95,7 +112,7 @@ def word_counts(path: str) -> Callable[[Memory, list[bytes]], Iterable[int]]:
             stem = found[0] if found else word
             stems.append(stem if b"<|" in stem else stem.translate(_LOW))
         new = list(set(stems) - known.keys())
-        known.update(zip(new, counts_of(path, new)))
+        known.update(zip(new, map(len, ids_of_words(path, [w.decode() for w in new]))))
         return (known[s] + (len(w) - len(s)) for s, w in zip(stems, words))
     return values
 
