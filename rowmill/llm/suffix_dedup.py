@@ -1,18 +1,19 @@
 """Repeated substrings: difference-cover suffix sorting over the parts of texts that can repeat at all.
 
-1. Each window of 50 bytes has a minimizer, the least hash of the 16-byte strings in it. Equal windows
+1. Each window of 50 bytes has a minimizer, the least hash of the 24-byte strings in it. Equal windows
    have equal minimizers, so a minimizer seen in one document only rules its windows out. Minimizers are
    counted in shards, as sorted numbers; the ones in several documents go to the tasks if few enough,
    else every window stays in.
 2. What is left is cut into runs of windows under one minimizer, which travel with their bytes: equal
-   windows meet in one shard. Equal runs fold into one with the least document that holds it.
+   windows meet in one shard, where equal runs fold into one with the least document that holds it.
 3. In each shard, of bounded bytes, the difference-cover algorithm sorts all suffixes: positions 1 and 2
    modulo 3 are sorted by triples and named, the names are sorted by the same algorithm until they
    differ, the positions 0 modulo 3 follow from their first symbol and the next rank, and both are
    merged. Neighbours whose first 50 bytes agree form a class; its least document is the one that keeps the bytes.
 4. Minimizers with too many different runs for a shard are split into single windows, grouped by
    their bytes with partial aggregation.
-5. Each occurrence learns, by a join on its run, which of its windows begin in a smaller document.
+5. Each occurrence of a run gets a bit for each of its windows that begins in a smaller document; one
+   join by document brings the bits to the texts.
 """
 
 from __future__ import annotations
@@ -23,15 +24,15 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from rowmill.llm.common import by_bytes, order_id, stored, utf8
 
-LENGTH, GRAM = 50, 16
+LENGTH, GRAM = 50, 24
 SPAN = LENGTH - GRAM + 1
 BATCH_BYTES = 1 << 20
-SHARD_BYTES = 1 << 20
+SHARD_BYTES = 2 << 20
 HOT_BYTES = SHARD_BYTES // 4
+SENT_HOT = 1_000_000
 COUNT_BYTES = 32 << 20
 SENT_NUMBERS = 8_000_000
 _A, _B, _C = (np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9))
@@ -48,9 +49,9 @@ def words_at(data: np.ndarray) -> np.ndarray:
 
 
 def minimizers(data: np.ndarray) -> np.ndarray:
-    """The least hash of the 16-byte strings in each window of 50 bytes."""
+    """The least hash of the 24-byte strings in each window of 50 bytes."""
     words = words_at(data)
-    least = (words[:-8] * _A) ^ (words[8:] * _B)
+    least = (words[:-16] * _A) ^ (words[8:-8] * _B) ^ (words[16:] * _C)
     least ^= least >> np.uint64(29)
     least *= _C
     least ^= least >> np.uint64(32)
@@ -137,7 +138,7 @@ def repeated_minimizers(docs: DataFrame, shards: int) -> DataFrame:
 
 
 def candidate_runs(docs: DataFrame, shards: int, sent_numbers: int) -> DataFrame:
-    """(doc, hash, place, n, least, run, content) of the runs whose minimizer several documents hold."""
+    """(doc, hash, place, least, content) of the runs whose minimizer several documents hold."""
     common = stored(repeated_minimizers(docs, shards), "minimizers")
     if (common.agg(F.sum("n")).first()[0] or 0) > sent_numbers:
         shared = None
@@ -159,11 +160,10 @@ def candidate_runs(docs: DataFrame, shards: int, sent_numbers: int) -> DataFrame
                 raw = data.tobytes()
                 contents = [raw[a:a + k + LENGTH - 1] for a, k in zip(at.tolist(), n.tolist())]
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(doc[row]), pa.array(hash_[row]), pa.array(place.astype(np.int64)), pa.array(n.astype(np.int32)),
-                     pa.array(least.view(np.int64)), pa.array(contents, pa.binary())], names=["doc", "hash", "place", "n", "least", "content"])
+                    [pa.array(doc[row]), pa.array(hash_[row]), pa.array(place.astype(np.int64)), pa.array(least.view(np.int64)),
+                     pa.array(contents, pa.binary())], names=["doc", "hash", "place", "least", "content"])
 
-    rows = docs.mapInArrow(cut, "doc long, hash long, place long, n int, least long, content binary")
-    return rows.withColumn("run", F.xxhash64("content"))
+    return docs.mapInArrow(cut, "doc long, hash long, place long, least long, content binary")
 
 
 def suffix_array(s: np.ndarray) -> np.ndarray:
@@ -228,40 +228,64 @@ def least_holders(contents: list[bytes], docs: np.ndarray) -> np.ndarray:
     return out[window]
 
 
-def holders(found: DataFrame, shard_bytes: int, hot_bytes: int) -> DataFrame:
-    """(least, run, holders): of each different run, the least document for each of its windows."""
-    folded = stored(found.groupBy("least", "run").agg(F.first("content").alias("content"), F.min("doc").alias("first"), F.max("doc").alias("last")), "runs")
-    size = F.octet_length("content")
-    by_minimizer = folded.groupBy("least").agg(F.sum(size).alias("bytes"), F.min("first").alias("a"), F.max("last").alias("b"))
-    hot = by_minimizer.filter(F.col("bytes") > hot_bytes).select("least")
-    # A minimizer of one document alone came through a shortened number; nothing repeats in it.
-    alone = by_minimizer.filter("a = b").select("least")
-    total = folded.agg(F.sum(size)).first()[0] or 0
-    shards = max(1, -(-total // shard_bytes))
-    schema = T.StructType([T.StructField("least", T.LongType()), T.StructField("run", T.LongType()), T.StructField("holders", T.ArrayType(T.LongType()))])
+_MARKED = "doc long, hash long, place long, mask long"
 
-    def sort(table: pa.Table) -> pa.Table:
-        contents = table.column("content").to_pylist()
-        docs, last = (table.column(c).to_numpy() for c in ("first", "last"))
-        held = least_holders(contents, docs)
-        sizes = np.array([len(c) - LENGTH + 1 for c in contents])
-        ends = np.cumsum(sizes)
-        less = np.flatnonzero(np.minimum.reduceat(held, ends - sizes) < last)
-        lists = pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(sizes[less])]), pa.int32()),
-                                         pa.array(held[np.repeat(np.isin(np.arange(len(sizes)), less), sizes)]))
-        return pa.table([table.column("least").take(pa.array(less)), table.column("run").take(pa.array(less)), lists], names=schema.names)
 
+def shard_marks(table: pa.Table) -> pa.Table:
+    """(doc, hash, place, mask) of the runs of a shard: a bit for each window that a smaller document has."""
+    least, doc = (table.column(c).to_numpy() for c in ("least", "doc"))
+    order = np.argsort(least, kind="stable")
+    first = np.flatnonzero(np.concatenate([[True], least[order][1:] != least[order][:-1]]))
+    low, high = np.minimum.reduceat(doc[order], first), np.maximum.reduceat(doc[order], first)
+    # A minimizer of one document alone came through a shortened number; nothing repeats in it.
+    sizes = np.diff(np.append(first, len(order)))
+    table = table.take(pa.array(np.sort(order[np.repeat(low < high, sizes)])))
+    names = ["doc", "hash", "place"]
+    if not table.num_rows:
+        return pa.table([*(table.column(c) for c in names), pa.array([], pa.int64())], names=[*names, "mask"])
+    folded = table.column("content").combine_chunks().dictionary_encode()
+    run, contents, doc = folded.indices.to_numpy(), folded.dictionary.to_pylist(), table.column("doc").to_numpy()
+    holder = np.full(len(contents), np.iinfo(np.int64).max)
+    np.minimum.at(holder, run, doc)
+    held = least_holders(contents, holder)
+    count = np.array([len(c) - LENGTH + 1 for c in contents])
+    start = (np.cumsum(count) - count)[run]
+    mask = np.zeros(len(run), np.int64)
+    for j in range(int(count.max())):
+        has = count[run] > j
+        mask[has] |= (held[start[has] + j] < doc[has]).astype(np.int64) << j
+    keep = pa.array(mask != 0)
+    return pa.table([*(table.column(c).filter(keep) for c in names), pa.array(mask[mask != 0])], names=[*names, "mask"])
+
+
+def single_marks(found: DataFrame) -> DataFrame:
+    """The same for runs of crowded minimizers: each window of a different run by itself."""
+    folded = found.groupBy("least", "run").agg(F.first("content").alias("content"), F.min("doc").alias("first"))
+    single = folded.select("least", "run", "first", "content", F.explode(F.sequence(F.lit(0), F.octet_length("content") - LENGTH)).alias("j")).select(
+        "least", "run", "first", "j", F.substring("content", F.col("j") + 1, F.lit(LENGTH)).alias("window"))
+    holder = single.groupBy("window").agg(F.min("first").alias("holder"))
+    held = single.join(holder, "window").groupBy("least", "run").agg(F.array_sort(F.collect_list(F.struct("j", "holder"))).alias("held"))
+    bits = F.aggregate(F.transform("held", lambda h: F.when(h["holder"] < F.col("doc"), F.call_function(
+        "shiftleft", F.lit(1).cast("long"), h["j"])).otherwise(F.lit(0).cast("long"))), F.lit(0).cast("long"), lambda a, b: a + b)
+    return found.drop("content").join(held, ["least", "run"]).select("doc", "hash", "place", bits.alias("mask")).filter("mask != 0")
+
+
+def marks(found: DataFrame, shard_bytes: int, hot_bytes: int, sent_hot: int) -> DataFrame:
+    """(doc, hash, place, mask): the windows of each run that also begin in a smaller document."""
+    size = F.octet_length("content").cast("long")
+    total = found.agg(F.sum(size)).first()[0] or 0
+    hot = stored(found.groupBy("least").agg(F.sum(size).alias("bytes")).filter(F.col("bytes") > hot_bytes).select("least"), "crowded")
+    few = hot.count() <= sent_hot
+    shards = max(1, -(-total // shard_bytes))
     part = F.pmod(F.xxhash64("least"), F.lit(shards)).alias("part")
-    cold = folded.join(hot.unionByName(alone), "least", "left_anti").select("*", part).groupBy("part").applyInArrow(sort, schema)
-    single = folded.join(hot, "least", "left_semi").select("least", "run", "last", "first", "content", F.explode(
-        F.sequence(F.lit(0), size - LENGTH)).alias("j")).withColumn("window", F.substring("content", F.col("j") + 1, F.lit(LENGTH)))
-    least = single.groupBy("window").agg(F.min("first").alias("holder"))
-    split = single.join(least, "window").groupBy("least", "run").agg(F.array_sort(F.collect_list(F.struct("j", "holder"))).alias("h"))
-    return cold.unionByName(split.select("least", "run", F.transform("h", lambda x: x["holder"]).alias("holders")))
+    sent = F.broadcast(hot) if few else hot
+    cold = found.join(sent, "least", "left_anti").select("doc", "hash", "place", "least", "content", part)
+    crowded = found.join(sent, "least", "left_semi").withColumn("run", F.xxhash64("content"))
+    return cold.groupBy("part").applyInArrow(lambda t: shard_marks(t), _MARKED).unionByName(single_marks(crowded))
 
 
 def remove_repeats(df: DataFrame, shard_bytes: int = SHARD_BYTES, hot_bytes: int = HOT_BYTES, count_bytes: int = COUNT_BYTES,
-                   sent_numbers: int = SENT_NUMBERS) -> DataFrame:
+                   sent_numbers: int = SENT_NUMBERS, sent_hot: int = SENT_HOT) -> DataFrame:
     """doc_id, kept (bytes), n_bytes, n_removed, n_spans of each row's text without its repeats.
 
     A byte goes if a string of 50 bytes over it also starts in a row with a smaller doc_id; strings do not cross texts,
@@ -272,11 +296,9 @@ def remove_repeats(df: DataFrame, shard_bytes: int = SHARD_BYTES, hot_bytes: int
     docs = df.select("doc_id", order_id().alias("doc"), F.xxhash64("text").alias("hash"), F.col("text").cast("string").alias("text"))
     total = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     shards = 1 << max(4, (total // count_bytes).bit_length())
-    found = stored(candidate_runs(docs.drop("doc_id"), shards, sent_numbers), "candidates")
-    marks = F.aggregate(F.transform("holders", lambda h, j: F.when(h < F.col("doc"), F.call_function("shiftleft", F.lit(1).cast("long"), j)).otherwise(F.lit(0).cast("long"))),
-                        F.lit(0).cast("long"), lambda a, b: a + b)
-    removed = found.join(holders(found, shard_bytes, hot_bytes), ["least", "run"]).select("doc", "hash", "place", marks.alias("mask"))
-    by_row = removed.filter("mask != 0").groupBy("doc", "hash").agg(F.collect_list(F.struct("place", "mask")).alias("gone"))
+    found = stored(candidate_runs(docs.drop("doc_id"), shards, sent_numbers), "candidates", compression="zstd")
+    removed = marks(found, shard_bytes, hot_bytes, sent_hot)
+    by_row = removed.groupBy("doc", "hash").agg(F.collect_list(F.struct("place", "mask")).alias("gone"))
 
     def strip(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
