@@ -1,5 +1,6 @@
 """Repeated substrings: difference-cover suffix sorting over the parts of texts that can repeat at all.
 
+0. A text that a smaller document holds as a whole goes as a whole, and takes no further part.
 1. Each window of 50 bytes has a minimizer, the least hash of the 24-byte strings in it. Equal windows
    have equal minimizers, so a minimizer seen in one document only rules its windows out. Minimizers are
    counted in shards, as sorted numbers; the ones in several documents go to the tasks if few enough,
@@ -32,7 +33,7 @@ SPAN = LENGTH - GRAM + 1
 BATCH_BYTES = 1 << 20
 SHARD_BYTES = 2 << 20
 HOT_BYTES = SHARD_BYTES // 4
-SENT_HOT = 1_000_000
+SENT_HOT = SENT_COPIES = 1_000_000
 COUNT_BYTES = 32 << 20
 SENT_NUMBERS = 8_000_000
 _A, _B, _C = (np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9))
@@ -233,16 +234,7 @@ _MARKED = "doc long, hash long, place long, mask long"
 
 def shard_marks(table: pa.Table) -> pa.Table:
     """(doc, hash, place, mask) of the runs of a shard: a bit for each window that a smaller document has."""
-    least, doc = (table.column(c).to_numpy() for c in ("least", "doc"))
-    order = np.argsort(least, kind="stable")
-    first = np.flatnonzero(np.concatenate([[True], least[order][1:] != least[order][:-1]]))
-    low, high = np.minimum.reduceat(doc[order], first), np.maximum.reduceat(doc[order], first)
-    # A minimizer of one document alone came through a shortened number; nothing repeats in it.
-    sizes = np.diff(np.append(first, len(order)))
-    table = table.take(pa.array(np.sort(order[np.repeat(low < high, sizes)])))
     names = ["doc", "hash", "place"]
-    if not table.num_rows:
-        return pa.table([*(table.column(c) for c in names), pa.array([], pa.int64())], names=[*names, "mask"])
     folded = table.column("content").combine_chunks().dictionary_encode()
     run, contents, doc = folded.indices.to_numpy(), folded.dictionary.to_pylist(), table.column("doc").to_numpy()
     holder = np.full(len(contents), np.iinfo(np.int64).max)
@@ -279,13 +271,13 @@ def marks(found: DataFrame, shard_bytes: int, hot_bytes: int, sent_hot: int) ->
     shards = max(1, -(-total // shard_bytes))
     part = F.pmod(F.xxhash64("least"), F.lit(shards)).alias("part")
     sent = F.broadcast(hot) if few else hot
-    cold = found.join(sent, "least", "left_anti").select("doc", "hash", "place", "least", "content", part)
+    cold = found.join(sent, "least", "left_anti").select("doc", "hash", "place", "content", part)
     crowded = found.join(sent, "least", "left_semi").withColumn("run", F.xxhash64("content"))
-    return cold.groupBy("part").applyInArrow(lambda t: shard_marks(t), _MARKED).unionByName(single_marks(crowded))
+    return cold.groupBy("part").applyInArrow(lambda t: shard_marks(t.drop_columns("part")), _MARKED).unionByName(single_marks(crowded))
 
 
 def remove_repeats(df: DataFrame, shard_bytes: int = SHARD_BYTES, hot_bytes: int = HOT_BYTES, count_bytes: int = COUNT_BYTES,
-                   sent_numbers: int = SENT_NUMBERS, sent_hot: int = SENT_HOT) -> DataFrame:
+                   sent_numbers: int = SENT_NUMBERS, sent_hot: int = SENT_HOT, sent_copies: int = SENT_COPIES) -> DataFrame:
     """doc_id, kept (bytes), n_bytes, n_removed, n_spans of each row's text without its repeats.
 
     A byte goes if a string of 50 bytes over it also starts in a row with a smaller doc_id; strings do not cross texts,
@@ -296,14 +288,23 @@ def remove_repeats(df: DataFrame, shard_bytes: int = SHARD_BYTES, hot_bytes: int
     docs = df.select("doc_id", order_id().alias("doc"), F.xxhash64("text").alias("hash"), F.col("text").cast("string").alias("text"))
     total = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     shards = 1 << max(4, (total // count_bytes).bit_length())
-    found = stored(candidate_runs(docs.drop("doc_id"), shards, sent_numbers), "candidates", compression="zstd")
+    copied = stored(docs.groupBy("hash").agg(F.min("doc").alias("first"), F.max("doc").alias("last")).filter("first < last").select("hash", "first"), "copies")
+    copied = F.broadcast(copied) if copied.count() <= sent_copies else copied
+    is_copy = F.coalesce((F.col("doc") > F.col("first")) & (F.octet_length("text") >= LENGTH), F.lit(False))
+    docs = docs.join(copied, "hash", "left").withColumn("copy", is_copy).drop("first")
+    own = docs.filter(~F.col("copy")).select("doc", "hash", "text")
+    found = stored(candidate_runs(own, shards, sent_numbers), "candidates", compression="zstd")
     removed = marks(found, shard_bytes, hot_bytes, sent_hot)
     by_row = removed.groupBy("doc", "hash").agg(F.collect_list(F.struct("place", "mask")).alias("gone"))
 
     def strip(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             kept, counts = [], []
-            for text, gone in zip(utf8(batch.column("text")), batch.column("gone").to_pylist()):
+            for text, copy, gone in zip(utf8(batch.column("text")), batch.column("copy").to_pylist(), batch.column("gone").to_pylist()):
+                if copy:
+                    kept.append(b"")
+                    counts.append((len(text), len(text), 1))
+                    continue
                 if not gone:
                     kept.append(text)
                     counts.append((len(text), 0, 0))
@@ -322,4 +323,4 @@ def remove_repeats(df: DataFrame, shard_bytes: int = SHARD_BYTES, hot_bytes: int
                                              names=["doc_id", "kept", "n_bytes", "n_removed", "n_spans"])
 
     schema = df.select("doc_id").schema.add("kept", "binary").add("n_bytes", "long").add("n_removed", "long").add("n_spans", "long")
-    return docs.join(by_row, ["doc", "hash"], "left").select("doc_id", "text", "gone").mapInArrow(strip, schema)
+    return docs.join(by_row, ["doc", "hash"], "left").select("doc_id", "text", "copy", "gone").mapInArrow(strip, schema)
