@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -35,6 +35,17 @@ def utf8(column: pa.Array) -> list[bytes]:
     return [b"" if v is None else v for v in column.cast(pa.large_binary()).to_pylist()]
 
 
+_REMEMBERED: dict = {}
+
+
+def remembered(key, make: Callable):
+    """What a worker process keeps between tasks, of one kind at a time: another key drops it."""
+    if key not in _REMEMBERED:
+        _REMEMBERED.clear()
+        _REMEMBERED[key] = make()
+    return _REMEMBERED[key]
+
+
 def by_bytes(texts: list, limit: int) -> Iterator[tuple[int, int]]:
     """Cut a list into ranges of about ``limit`` bytes; a longer text stands alone."""
     start = size = 0

@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from rowmill.llm.common import by_bytes
+from rowmill.llm.common import by_bytes, remembered
 
 K1, B = 1.2, 0.75
 THRESHOLD = 0.6
@@ -194,15 +194,9 @@ class Index:
             yield self.ids[item], *row
 
 
-_BUILT: dict[int, Index] = {}
-
-
 def _index(shared) -> Index:
     """One index per worker, built from the block that was sent."""
-    if shared.value["name"] not in _BUILT:
-        _BUILT.clear()
-        _BUILT[shared.value["name"]] = Index(*shared.value["args"])
-    return _BUILT[shared.value["name"]]
+    return remembered(shared.value["name"], lambda: Index(*shared.value["args"]))
 
 
 def blocks(items: DataFrame, index_bytes: int = INDEX_BYTES, threshold: float = THRESHOLD) -> Iterator:

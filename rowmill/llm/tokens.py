@@ -17,16 +17,15 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
-from rowmill.llm.common import by_bytes, utf8
+from rowmill.llm.common import by_bytes, remembered, utf8
 
 BATCH_BYTES = 2 * 1024 * 1024
-REMEMBERED = 800_000
+REMEMBERED = 500_000
 JOINED = 256
 UPPER, LOWER = b"ABCDEFGHIJKLMNOPQRSTUVWXYZ", b"abcdefghijklmnopqrstuvwxyz"
 _LOW = bytes.maketrans(UPPER, LOWER)
 _STEM = re.compile(rb"^.*[A-Za-z](?=[.,]$)", re.S)
 _LOADED: dict = {}
-_MEMORIES: dict[tuple, Memory] = {}
 
 
 def tokenizer(path: str):
@@ -65,7 +64,7 @@ class Memory(dict):
 
 def memory(kind: str, path: str, values: Callable) -> Memory:
     """What a worker remembers outlives its tasks."""
-    return _MEMORIES.setdefault((kind, path), Memory(values))
+    return remembered((kind, path), lambda: Memory(values))
 
 
 def edges(path: str) -> tuple[bool, np.ndarray]:

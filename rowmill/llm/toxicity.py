@@ -15,6 +15,7 @@ them. Labels likewise: few enough are sent, else joined.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Iterator
 
 import numpy as np
@@ -23,7 +24,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from rowmill.llm.common import by_bytes, order_id, stored, utf8
+from rowmill.llm.common import by_bytes, order_id, remembered, stored, utf8
 
 PRIOR, CORPUS_PRIOR, DRIFT = 5.0, 0.002, 1.5
 PREFIX_CHARS = 4
@@ -31,7 +32,6 @@ SENT_WORDS, SENT_LABELS = 2_000_000, 4_000_000
 BATCH_BYTES = 2 * 1024 * 1024
 LEAST_SEGMENT = 1.0
 _MARKS = bytes.maketrans(bytes(c for c in range(128) if not chr(c).isalnum()), b" " * (128 - 62))
-_WORDS: dict[str, dict] = {}
 
 
 def words_of(text: bytes) -> list[bytes]:
@@ -85,26 +85,24 @@ class Ids(dict):
     """Word to (word id, prefix id), remembered by a worker up to a number of words."""
 
     def __missing__(self, word: bytes) -> tuple[int, int]:
-        if len(self) > 500_000:
+        if len(self) > 200_000:
             self.clear()
         self[word] = value = (word_id(word), prefix_id(word))
         return value
 
 
-_IDS = Ids()
-
-
 def word_counts(labelled: DataFrame) -> DataFrame:
     """(word, prefix, toxic, clean, n): documents that hold a word, by label, over all of ``labelled``."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known = remembered("word ids", Ids)
         for batch in batches:
             labels, texts = batch.column("label").to_pylist(), utf8(batch.column("text"))
-            for start, end in by_bytes(texts, 8 * BATCH_BYTES):
+            for start, end in by_bytes(texts, 4 * BATCH_BYTES):
                 ids, sizes = [], []
                 for text in texts[start:end]:
                     own = set(words_of(text))
-                    ids.extend(map(_IDS.__getitem__, own))
+                    ids.extend(map(known.__getitem__, own))
                     sizes.append(len(own))
                 pairs = np.array(ids, np.int64).reshape(-1, 2)
                 mark = np.repeat(np.array([-1 if x is None else x for x in labels[start:end]], np.int64), sizes)
@@ -196,14 +194,11 @@ def segments(labelled: DataFrame, model: Model) -> DataFrame:
 
     if model.shared is None:
         return _joined_segments(labelled, model, schema, kind, shown)
-    shared, name = model.shared, str(id(model.shared)) + str(np.random.default_rng().integers(1 << 60))
+    shared, name = model.shared, uuid.uuid4().hex
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         ids, scores = shared.value
-        if name not in _WORDS:
-            _WORDS.clear()
-            _WORDS[name] = {}
-        known = _WORDS[name]
+        known = remembered(name, dict)
 
         def learn(words: list[bytes]) -> None:
             both = np.array([(word_id(w), prefix_id(w)) for w in words], np.int64).reshape(-1, 2)
@@ -217,7 +212,7 @@ def segments(labelled: DataFrame, model: Model) -> DataFrame:
             for start, end in by_bytes(texts, BATCH_BYTES):
                 lists = [words_of(t) for t in texts[start:end]]
                 new = set().union(*lists) - known.keys()
-                if len(known) + len(new) > 600_000:
+                if len(known) + len(new) > 300_000:
                     known.clear()
                     new = set().union(*lists)
                 learn(list(new))
@@ -237,13 +232,14 @@ def _joined_segments(labelled: DataFrame, model: Model, schema: str, kind: pa.Da
     """The same segments where the scoring words are too many to send: words of texts meet them in a join."""
 
     def words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known = remembered("word ids", Ids)
         for batch in batches:
             for row, text in zip(batch.column("row").to_pylist(), utf8(batch.column("text"))):
                 own = words_of(text)
                 first = [i for i, w in enumerate(own) if not i or w != own[i - 1]]
                 for at in range(0, len(first), 100_000):
                     part = first[at:at + 100_000]
-                    pairs = np.array([_IDS[own[i]] for i in part], np.int64).reshape(-1, 2)
+                    pairs = np.array([known[own[i]] for i in part], np.int64).reshape(-1, 2)
                     yield pa.RecordBatch.from_arrays([pa.array([row] * len(part), pa.int64()), pa.array(part, pa.int64()),
                                                       pa.array(pairs[:, 0]), pa.array(pairs[:, 1])], names=["row", "place", "word", "prefix"])
 
