@@ -46,6 +46,16 @@ def remembered(key, make: Callable):
     return _REMEMBERED[key]
 
 
+def slices(batches: Iterator[pa.RecordBatch], rows: int = 1000, keep: bool = False) -> Iterator[pa.RecordBatch]:
+    """Batches in parts, so that a task holds few texts at a time; unless told to keep it, what the
+    worker remembers for another kind of task goes first."""
+    if not keep:
+        _REMEMBERED.clear()
+    for batch in batches:
+        for at in range(0, batch.num_rows, rows):
+            yield batch.slice(at, rows)
+
+
 def by_bytes(texts: list, limit: int) -> Iterator[tuple[int, int]]:
     """Cut a list into ranges of about ``limit`` bytes; a longer text stands alone."""
     start = size = 0

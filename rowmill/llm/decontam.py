@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from rowmill.llm.common import by_bytes, remembered
+from rowmill.llm.common import by_bytes, remembered, slices
 
 K1, B = 1.2, 0.75
 THRESHOLD = 0.6
@@ -257,7 +257,7 @@ def contamination(docs: DataFrame, items: DataFrame, index_bytes: int = INDEX_BY
     out = docs.sparkSession.createDataFrame([], schema)
     for shared in blocks(items, index_bytes):
         def run(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
-            for batch in batches:
+            for batch in slices(batches, keep=True):
                 ids = batch.column("doc_id").to_pylist()
                 rows = [(ids[i], *r) for i, leaks in found_in(shared, batch.column("text").to_pylist()) for r in leaks]
                 if rows:
@@ -274,7 +274,7 @@ def decontaminate(docs: DataFrame, items: DataFrame, index_bytes: int = INDEX_BY
     """The rows of ``docs`` that hold no item, columns as they are."""
     for shared in blocks(items, index_bytes):
         def run(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
-            for batch in batches:
+            for batch in slices(batches, keep=True):
                 hit = {i for i, _ in found_in(shared, batch.column("text").to_pylist())}
                 yield batch.filter(pa.array([i not in hit for i in range(batch.num_rows)], pa.bool_()))
 

@@ -23,7 +23,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rowmill.llm.common import order_id, stored, utf8
+from rowmill.llm.common import order_id, slices, stored, utf8
 
 MIN_CHARS, MIN_DOCS = 40, 5
 SPACES = b" \t\n\x0b\f\r"
@@ -124,7 +124,7 @@ def references(df: DataFrame, min_chars: int = MIN_CHARS) -> DataFrame:
     """(hi, lo, doc): each key of at least ``min_chars`` code points and a document that holds it, once."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in slices(batches):
             docs, keys, owners = batch.column("doc").to_pylist(), [], []
             for doc, text in zip(docs, utf8(batch.column("text"))):
                 found = {line_key(x, min_chars) for x in text.split(b"\n") if len(x) >= min_chars} - {None}
@@ -259,7 +259,7 @@ class LineIndex:
         schema = df.select(*kept).schema.add("n_lines", "long").add("n_dropped", "long")
 
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            for batch in batches:
+            for batch in slices(batches):
                 texts, lines, dropped = [], [], []
                 raw = batch.column("text").to_pylist()
                 for text, keys in zip(raw, batch.column("__keys").to_pylist()):

@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from rowmill.llm.common import by_bytes, stored
+from rowmill.llm.common import by_bytes, slices, stored
 from rowmill.llm.tokens import BATCH_BYTES, Memory, encode, ids_of_words, memory
 
 GROUP_PIECES = 20_000
@@ -109,7 +109,7 @@ def pieces(df: DataFrame, path: str, window: int, end_id: int, text: str = "text
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known, salt = memory("ids", path, values), 0
-        for batch in batches:
+        for batch in slices(batches, keep=True):
             texts = [t or "" for t in batch.column(text).to_pylist()]
             keys, rows = batch.column(key).to_pylist(), []
             for start, end in by_bytes(texts, BATCH_BYTES):

@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from rowmill.llm.common import LOWEST, order_id, stored, utf8
+from rowmill.llm.common import LOWEST, order_id, slices, stored, utf8
 
 SEED = 42
 SHINGLE = 3
@@ -72,18 +72,18 @@ def fingerprint(text: bytes, shingle: int = SHINGLE, seed: int = SEED) -> int:
     return int(np.packbits(2 * ones > total, bitorder="little").view("<u8")[0])
 
 
-def with_fingerprint(df: DataFrame, shingle: int = SHINGLE, seed: int = SEED, text: str = "text") -> DataFrame:
-    """``df`` and ``fingerprint``, the 64 bits as a signed long; a column of that name is replaced."""
-    kept = [f for f in df.schema.fields if f.name != "fingerprint"]
+def fingerprints(df: DataFrame, shingle: int = SHINGLE, seed: int = SEED) -> DataFrame:
+    """doc_id, text_hash and fingerprint (the 64 bits as a signed long) of each row; texts go no further."""
+    names = ["doc_id", "text_hash", "fingerprint"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            marks = np.array([fingerprint(t, shingle, seed) for t in utf8(batch.column(text))], np.uint64)
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(marks.view(np.int64))],
-                                             names=[*(f.name for f in kept), "fingerprint"])
+        for batch in slices(batches):
+            marks = np.array([fingerprint(t, shingle, seed) for t in utf8(batch.column("text"))], np.uint64)
+            yield pa.RecordBatch.from_arrays([*(batch.column(n) for n in names[:2]), pa.array(marks.view(np.int64))], names=names)
 
-    schema = T.StructType([*kept, T.StructField("fingerprint", T.LongType())])
-    return df.select(*(f.name for f in kept)).mapInArrow(run, schema)
+    rows = df.select("doc_id", F.xxhash64("text").alias("text_hash"), F.col("text").cast("string").alias("text"))
+    schema = T.StructType([*rows.schema.fields[:2], T.StructField("fingerprint", T.LongType())])
+    return rows.mapInArrow(run, schema)
 
 
 @cache
@@ -203,8 +203,7 @@ def grouped(df: DataFrame, shingle: int, max_distance: int, seed: int, pair_limi
     """doc_id, text_hash, fingerprint, root (of the component) and first (its least id) of each row."""
     if not 0 <= max_distance <= MAX_DISTANCE:
         raise ValueError(f"the keys find fingerprints up to {MAX_DISTANCE} bits apart, not {max_distance}")
-    marked = with_fingerprint(df.select("doc_id", "text"), shingle, seed)
-    marked = stored(marked.select("doc_id", F.xxhash64("text").alias("text_hash"), "fingerprint"), "fingerprints")
+    marked = stored(fingerprints(df, shingle, seed), "fingerprints")
     marks = marked.groupBy("fingerprint").agg(F.min(order_id()).alias("least"))
     rooted = marks.withColumn("root", F.col("fingerprint"))
     if max_distance:

@@ -24,7 +24,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from rowmill.llm.common import by_bytes, order_id, remembered, stored, utf8
+from rowmill.llm.common import by_bytes, order_id, remembered, slices, stored, utf8
 
 PRIOR, CORPUS_PRIOR, DRIFT = 5.0, 0.002, 1.5
 PREFIX_CHARS = 4
@@ -207,7 +207,7 @@ def segments(labelled: DataFrame, model: Model) -> DataFrame:
             value = np.where(hit[:, 0], scores[at[:, 0]], np.where(hit[:, 1], scores[at[:, 1]], 0.0)) if len(ids) else np.zeros(len(words))
             known.update(zip(words, np.maximum(value, 0.0).tolist()))
 
-        for batch in batches:
+        for batch in slices(batches, keep=True):
             texts, lengths, found = utf8(batch.column("text")), [], []
             for start, end in by_bytes(texts, BATCH_BYTES):
                 lists = [words_of(t) for t in texts[start:end]]
