@@ -48,8 +48,8 @@ def rules_from_schema(schema: T.StructType) -> list[ColumnRule]:
 
 
 def positional_rules(df: DataFrame, schema: T.StructType) -> list[ColumnRule]:
-    """Rules of another schema, its n-th column applied to the n-th input column."""
-    return [replace(rule, name=name) for rule, name in zip(rules_from_schema(schema), df.columns)]
+    """Rules of another schema, its n-th column applied to the n-th input column; as many of each."""
+    return [replace(rule, name=name) for rule, name in zip(rules_from_schema(schema), df.columns, strict=True)]
 
 
 def _matches_date(value: Column, rule: ColumnRule, mode: str, ignore_zone: bool) -> Column:
@@ -84,8 +84,11 @@ def _column_code(df: DataFrame, rule: ColumnRule, empty_is_null: bool, date_mode
     if rule.max_length is not None:
         over.append(F.length(text) > rule.max_length)
     if rule.precision is not None and rule.type != "string":
-        digits = F.regexp_extract(text, r"^[-+]?\d*\.(\d*?)0*$", 1)
-        over.append(F.length(digits) > rule.precision)
+        if isinstance(held, (T.FloatType, T.DoubleType)):  # their text may have an exponent
+            over.append(value != F.round(value, rule.precision))
+        else:
+            digits = F.regexp_extract(text, r"^[-+]?\d*\.(\d*?)0*$", 1)
+            over.append(F.length(digits) > rule.precision)
     if over:
         code = code + F.when(reduce(lambda a, b: a | b, over), LENGTH_CODE).otherwise(0)
     return F.when(value.isNull(), F.lit(0 if rule.nullable else EMPTY_CODE)).otherwise(code)

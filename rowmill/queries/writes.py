@@ -137,6 +137,29 @@ def _update_partitions(spark, d):
     return spark.table(name)
 
 
+@query("upsert_partitions_masked", """SELECT * REPLACE (
+        CASE WHEN o_totalprice > 400000 THEN o_totalprice + 1 ELSE o_totalprice END AS o_totalprice,
+        CASE WHEN o_totalprice <= 400000 THEN o_orderstatus END AS o_orderstatus) FROM orders""")
+def _upsert_partitions_masked(spark, d):
+    """A column that may not be set is null in the rows that come, also where it cuts the table."""
+    orders = table(spark, d, "orders")
+    name = stored(orders, "orders", ["o_orderstatus"])
+    dear = orders.filter("o_totalprice > 400000").withColumn("o_totalprice", F.col("o_totalprice") + 1)
+    W.write_upsert(dear, name, ["o_orderkey"], insertable=[c for c in orders.columns if c != "o_orderstatus"])
+    return spark.table(name)
+
+
+@query("incremental_late", """SELECT user_id, event_id, ts, event_type, value, props FROM (
+    SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY ts DESC) AS rn FROM events) WHERE rn = 1""")
+def _incremental_late(spark, d):
+    """The newer half first; the older half comes late, with known and with new users, and is looked back for."""
+    events = table(spark, d, "events")
+    half = events.agg(F.avg("event_id").alias("half")).scalar()
+    newer = events.filter((F.col("event_id") >= half) & (F.col("user_id") % 3 > 0))
+    name = stored(W.upserted(events.limit(0), newer, ["user_id"], ["ts"]), "late")
+    return W.as_incremental(events, name, ["user_id"], "ts", F.expr("INTERVAL 3650 DAYS"))
+
+
 _BY_USER = """SELECT user_id, event_id, ts, event_type, value, props FROM (
     SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY ts DESC) AS rn FROM events)
     WHERE rn = 1"""
@@ -191,7 +214,7 @@ def _sink_quarantine(spark, d):
 
 
 @query("high_water", """SELECT event_id, ts FROM events
-    WHERE ts > (SELECT max(ts) FROM events WHERE event_type = 'error')""")
+    WHERE ts >= (SELECT max(ts) FROM events WHERE event_type = 'error')""")
 def _high_water(spark, d):
     events = table(spark, d, "events").select("event_id", "ts", "event_type")
     return W.newer_than(events, events.filter("event_type = 'error'"), "ts").drop("event_type")

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -57,12 +58,16 @@ def steady_splits(spark: SparkSession) -> None:
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder every executor sees, as named by ``spark.checkpoint.dir``.
+    """The folder every executor sees: that of ``spark.checkpoint.dir``, else the one set on the context.
 
-    A folder of our own is made only where the setting is missing, which is the local test case.
+    A folder of our own is made only in local mode, where there are no other machines.
     """
-    folder = spark.conf.get("spark.checkpoint.dir", None)
-    return folder.rstrip("/") if folder else tempfile.mkdtemp(prefix="rowmill-")
+    folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    if folder:
+        return folder.rstrip("/")
+    if not re.match(r"local(\[|$)", spark.sparkContext.master):
+        raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+    return tempfile.mkdtemp(prefix="rowmill-")
 
 
 def scratch_path(spark: SparkSession, label: str) -> str:

@@ -8,6 +8,7 @@ table they read and write only the partitions the change can alter.
 from __future__ import annotations
 
 from collections.abc import Callable, Mapping, Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Row, functions as F
 
@@ -164,17 +165,18 @@ def write_insert(df: DataFrame, table: str, add_cols: Mapping[str, Column] | Non
 
 
 def _touched(target: DataFrame, source: DataFrame, keys: Sequence[str], columns: Sequence[str],
-             moved: bool, **join) -> list[Row]:
-    """Partitions with a row that a source key matches, and those that source rows go to."""
+             masks: Sequence[Sequence[str]], **join) -> list[Row]:
+    """Partitions with a row that a source key matches, and those that source rows go to when only
+    the columns of a mask are taken from them."""
     narrow = target.select(*dict.fromkeys([*keys, *columns]))
     found = _matched(narrow, source, keys, **join).select(*columns)
-    if moved:
-        found = found.unionByName(_as_target(source, target).select(*columns))
+    for mask in masks:
+        found = found.unionByName(_as_target(source, target, [c for c in mask if c in source.columns]).select(*columns))
     return found.distinct().collect()
 
 
 def _write_version(df: DataFrame, table: str, keys: Sequence[str],
-                   change: Callable[..., DataFrame], moved: bool, **join) -> str:
+                   change: Callable[..., DataFrame], masks: Sequence[Sequence[str]], **join) -> str:
     """Apply ``change`` to the table, or to no more than the partitions it can alter.
 
     The source is measured first: one that fits in memory leaves the target unshuffled.
@@ -185,7 +187,7 @@ def _write_version(df: DataFrame, table: str, keys: Sequence[str],
     join = {"fits": fits_in_memory(df), **join}
     if not columns:
         return replace_table(_as_target(change(target, **join), target), table)
-    touched = _touched(target, df, keys, columns, moved, **join)
+    touched = _touched(target, df, keys, columns, masks, **join)
     part = in_partitions(target, columns, touched)
     return replace_partitions(_as_target(change(part, **join), target), table, columns, touched)
 
@@ -202,7 +204,7 @@ def write_update(df: DataFrame, table: str, keys: Sequence[str], order_by: Seque
     def change(target: DataFrame, **join) -> DataFrame:
         return updated(target, source, keys, order_by, updatable, **join)
 
-    return _write_version(source, table, keys, change, moved, **options)
+    return _write_version(source, table, keys, change, [list(source.columns)] if moved else [], **options)
 
 
 def write_upsert(df: DataFrame, table: str, keys: Sequence[str], order_by: Sequence[str] = (),
@@ -217,7 +219,10 @@ def write_upsert(df: DataFrame, table: str, keys: Sequence[str], order_by: Seque
             return upserted(target, source, keys, order_by, insertable, **join)
         return inserted_or_updated(target, source, keys, order_by, on_duplicate, insertable, **join)
 
-    return _write_version(source, table, keys, change, True, **options)
+    masks = [with_masks(source, insertable)]
+    if on_duplicate is not None:
+        masks.append(list(on_duplicate))
+    return _write_version(source, table, keys, change, masks, **options)
 
 
 def write_jdbc(df: DataFrame, url: str, table: str, properties: Mapping[str, str] | None = None,
@@ -245,18 +250,38 @@ def as_table(df: DataFrame, name: str, partition_by: Sequence[str] = (),
     return table
 
 
-def newer_than(df: DataFrame, target: DataFrame, since: str) -> DataFrame:
-    """Rows past the target's high-water mark; all rows if the target has none."""
+def newer_than(df: DataFrame, target: DataFrame, since: str, lookback: Column | None = None) -> DataFrame:
+    """Rows from the target's high-water mark on, or from ``lookback`` (a duration or number) before it,
+    and rows without a time; all rows if the target has no mark."""
     mark = target.agg(F.max(since).alias("mark")).scalar()
-    return df.filter(mark.isNull() | (F.col(since) > mark))
+    start = mark if lookback is None else mark - lookback
+    return df.filter(mark.isNull() | F.col(since).isNull() | (F.col(since) >= start))
 
 
-def as_incremental(df: DataFrame, table: str, keys: Sequence[str], since: str) -> DataFrame:
-    """Create the table on the first run; later upsert only rows newer than what it holds."""
+def not_older(df: DataFrame, target: DataFrame, keys: Sequence[str], order_by: Sequence[str]) -> DataFrame:
+    """Rows that come after, or with, what the target holds for their key; a null comes before all."""
+    held = target.groupBy(*[F.col(f"`{k}`").alias(f"__key_{k}") for k in keys]).agg(
+        F.max(F.struct(*[F.col(f"`{c}`") for c in order_by])).alias("__held"))
+    same = [F.col(f"`{k}`") == F.col(f"__key_{k}") for k in keys]
+    place = F.struct(*[F.col(f"`{c}`") for c in order_by])
+    return df.join(held, same, "left").filter(F.col("__held").isNull() | (place >= F.col("__held"))).select(*df.columns)
+
+
+def as_incremental(df: DataFrame, table: str, keys: Sequence[str], since: str, lookback: Column | None = None) -> DataFrame:
+    """Create the table on the first run; later upsert the rows that are new to it.
+
+    Rows at the mark, and with ``lookback`` some time before it, are taken again, which changes nothing:
+    a row replaces what the table holds for its key only if it is not older. Rows whose key is null
+    cannot be recognized, so of those only rows past the mark are added.
+    """
     spark = df.sparkSession
     if not spark.catalog.tableExists(table):
         return as_table(upserted(df.limit(0), df, keys, [since]), table)
-    write_upsert(newer_than(df, spark.table(table), since), table, keys, [since])
+    target = spark.table(table)
+    mark = target.agg(F.max(since).alias("mark")).scalar()
+    known = ~reduce(lambda a, b: a | b, [F.col(f"`{k}`").isNull() for k in keys])
+    fresh = newer_than(df, target, since, lookback).filter(known | mark.isNull() | (F.col(since) > mark))
+    write_upsert(not_older(fresh, target, keys, [since]), table, keys, [since])
     return spark.table(table)
 
 

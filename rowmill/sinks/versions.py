@@ -1,12 +1,14 @@
-"""New versions of parquet tables, written beside the old files.
+"""New versions of tables, written beside the old files in the table's own format.
 
 A table, or a partition of it, moves to its new files by a change of its location in the catalogue.
-Until then readers see the old version, and a lost executor or a failed job changes nothing. Old
-files stay for readers under way; the caller removes them when it likes.
+Until then readers see the old version, and a lost executor or a failed write changes nothing. A whole
+table moves at once; partitions move one by one, so a driver lost between two leaves some old and
+some new. Old files stay for readers under way; the caller removes them when it likes.
 """
 
 from __future__ import annotations
 
+import re
 import uuid
 from collections.abc import Sequence
 from functools import reduce
@@ -24,8 +26,18 @@ def table_location(spark: SparkSession, table: str) -> str:
     return rows.first()["data_type"]
 
 
+def table_format(spark: SparkSession, table: str) -> str:
+    rows = spark.sql(f"DESCRIBE TABLE EXTENDED {table}").filter("col_name = 'Provider'")
+    return rows.first()["data_type"]
+
+
 def _beside(location: str) -> str:
-    return f"{location.rstrip('/').split('__v_')[0]}__v_{uuid.uuid4().hex}"
+    """A folder next to the table's; the mark of an earlier version is cut from its last part only."""
+    return f"{re.sub('__v_[0-9a-f]{32}$', '', location.rstrip('/'))}__v_{uuid.uuid4().hex}"
+
+
+def _quoted(path: str) -> str:
+    return path.replace("\\", "\\\\").replace("'", "\\'")
 
 
 def replace_table(df: DataFrame, table: str) -> str:
@@ -33,8 +45,8 @@ def replace_table(df: DataFrame, table: str) -> str:
     spark = df.sparkSession
     old = table_location(spark, table)
     new = _beside(old)
-    df.write.parquet(new)
-    spark.sql(f"ALTER TABLE {table} SET LOCATION '{new}'")
+    df.write.format(table_format(spark, table)).save(new)
+    spark.sql(f"ALTER TABLE {table} SET LOCATION '{_quoted(new)}'")
     spark.catalog.refreshTable(table)
     return old
 
@@ -71,21 +83,24 @@ def replace_partitions(df: DataFrame, table: str, columns: Sequence[str],
     """Make ``df`` the content of the touched partitions, and leave all others as they are.
 
     Partitions are names in the catalogue, which the driver holds in any case; no rows reach it. A
-    touched partition without rows is pointed at a folder that holds none.
+    touched partition without rows is pointed at a folder that holds none. Rows for any other partition
+    are an error, found before the first one moves.
     """
     spark = df.sparkSession
-    new = _beside(table_location(spark, table))
-    df.write.partitionBy(*columns).parquet(new)
+    new, kind = _beside(table_location(spark, table)), table_format(spark, table)
+    df.write.partitionBy(*columns).format(kind).save(new)
     empty = f"{new}__empty"
-    df.limit(0).drop(*columns).write.parquet(empty)
-    written = spark.read.schema(df.schema).parquet(new)
+    df.limit(0).drop(*columns).write.format(kind).save(empty)
+    written = spark.read.schema(df.schema).format(kind).load(new)
     folder = F.regexp_replace(F.col("_metadata.file_path"), "/[^/]*$", "")
     made = {tuple(r[c] for c in columns): unquote(r["folder"]) for r in
             written.select(*columns, folder.alias("folder")).distinct().collect()}
+    known = {tuple(row[c] for c in columns) for row in touched}
+    if lost := made.keys() - known:
+        raise ValueError(f"rows were written for partitions that were not read: {sorted(map(str, lost))[:5]}")
     for row in touched:
         spec, path = _spec(columns, row), made.get(tuple(row[c] for c in columns), empty)
         spark.sql(f"ALTER TABLE {table} ADD IF NOT EXISTS PARTITION ({spec})")
-        path = path.replace("\\", "\\\\").replace("'", "\\'")
-        spark.sql(f"ALTER TABLE {table} PARTITION ({spec}) SET LOCATION '{path}'")
+        spark.sql(f"ALTER TABLE {table} PARTITION ({spec}) SET LOCATION '{_quoted(path)}'")
     spark.catalog.refreshTable(table)
     return new

@@ -6,7 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
 
-from rowmill.sinks.tables import as_table, upserted, write_upsert
+from rowmill.sinks.tables import as_table, not_older, upserted, write_upsert
 
 
 def load_new(stream: DataFrame, table: str, keys: Sequence[str], order_by: Sequence[str],
@@ -14,11 +14,14 @@ def load_new(stream: DataFrame, table: str, keys: Sequence[str], order_by: Seque
     """Upsert all unread input of ``stream`` into ``table``, in batches, then end.
 
     The stream's checkpoint (a folder all executors share) keeps what was read. A batch repeated
-    after a failure upserts the same rows again and changes nothing.
+    after a failure upserts the same rows again and changes nothing, and a late batch does not turn
+    rows back: what the table holds for a key stays if it is newer by ``order_by``.
     """
     def apply(batch: DataFrame, _: int) -> None:
         if batch.sparkSession.catalog.tableExists(table):
-            write_upsert(batch, table, keys, order_by)
+            held = batch.sparkSession.table(table)
+            fresh = not_older(batch, held, keys, order_by) if order_by else batch
+            write_upsert(fresh, table, keys, order_by)
         else:
             as_table(upserted(batch.limit(0), batch, keys, order_by), table)
 

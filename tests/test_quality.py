@@ -6,7 +6,8 @@ from pyspark.sql import functions as F, types as T
 from conftest import rows
 from rowmill.functions import scalars as S
 from rowmill.operators import checks as C
-from rowmill.operators.compliance import ColumnRule, compliance, rules_from_schema, tag_compliance
+from rowmill.operators.compliance import (
+    ColumnRule, compliance, positional_rules, rules_from_schema, tag_compliance)
 from rowmill.operators.summary import error_summary, flow_counts, freshness, metered
 
 RULES = [ColumnRule("id"), ColumnRule("name", nullable=False, max_length=5),
@@ -135,3 +136,30 @@ def test_metered_counts_without_a_job_of_its_own(spark):
     df.collect()
     assert meter.get == {"n_rows": 7}
     assert rows(flow_counts({"a": spark.range(2)})) == [("a", 2)]
+
+
+def test_precision_of_doubles(spark):
+    df = spark.createDataFrame([(0.00001234,), (1.239,), (1.23,), (1.5e10,)], "x double")
+    out = compliance(df, [ColumnRule("x", "double", precision=2)])
+    assert sorted(r.x for r in out["reject"].collect()) == [0.00001234, 1.239]
+
+
+def test_positional_rules_need_as_many_columns(spark):
+    df = spark.createDataFrame([("a", "b")], "x string, y string")
+    with pytest.raises(ValueError):
+        positional_rules(df, spark.createDataFrame([], "n string").schema)
+
+
+def test_a_folder_of_our_own_only_in_local_mode(spark):
+    from types import SimpleNamespace
+
+    from rowmill.session import shared_folder
+
+    def session(master):
+        return SimpleNamespace(conf=SimpleNamespace(get=lambda *_: None),
+                               sparkContext=SimpleNamespace(master=master, getCheckpointDir=lambda: None))
+
+    assert shared_folder(session("local[2]"))
+    for master in ("yarn", "local-cluster[2,1,1024]", "spark://host:7077"):
+        with pytest.raises(ValueError):
+            shared_folder(session(master))

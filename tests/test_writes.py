@@ -2,7 +2,7 @@ from datetime import datetime
 
 import pytest
 from pyspark.errors import ArithmeticException
-from pyspark.sql import functions as F
+from pyspark.sql import Row, functions as F
 
 from conftest import rows
 from rowmill.operators.lookup import close_pairs, lookup, similar_pairs
@@ -10,7 +10,8 @@ from rowmill.operators.project import (
     convert_to, empty_like, map_columns, schema_diff, split_columns)
 from rowmill.operators.skew import fits_in_memory
 from rowmill.plans import employee, models
-from rowmill.sinks import tables as W
+from rowmill.sinks import tables as W, versions
+from rowmill.streaming.incremental import load_new
 
 HOT = {"share": 0.0, "rows": 1}
 WAYS = [{}, HOT, {"fits": True}]
@@ -229,3 +230,49 @@ def test_convert_and_split(spark):
     assert rows(parts) == [("1", "a", None)]
     typed = convert_to(parts, empty_like(spark, "id int, name string").schema)
     assert typed.dtypes == [("id", "int"), ("name", "string")] and rows(typed) == [(1, "a")]
+
+
+def test_masked_upsert_keeps_every_row(spark):
+    spark.createDataFrame([(1, "a", "p1"), (2, "b", "p2"), (9, "n", None)], "id int, v string, p string").write.partitionBy(
+        "p").saveAsTable("t_masked")
+    source = spark.createDataFrame([(2, "B", "p2"), (3, "C", "p1")], "id int, v string, p string")
+    W.write_upsert(source, "t_masked", ["id"], insertable=["id", "v"])
+    assert rows(spark.table("t_masked")) == [(1, "a", "p1"), (2, "B", None), (3, "C", None), (9, "n", None)]
+
+
+def test_rows_for_unread_partitions_are_an_error(spark):
+    spark.createDataFrame([(1, "p1"), (2, "p2")], "id int, p string").write.partitionBy("p").saveAsTable("t_unread")
+    with pytest.raises(ValueError, match="not read"):
+        versions.replace_partitions(spark.createDataFrame([(1, "p1"), (3, "p2")], "id int, p string"), "t_unread", ["p"],
+                                    [Row(p="p1")])
+    assert rows(spark.table("t_unread")) == [(1, "p1"), (2, "p2")]
+
+
+def test_a_new_version_keeps_format_and_place(spark, tmp_path):
+    for name, kind, cut in (("t_orc", "orc", []), ("t_orc_parts", "orc", ["p"])):
+        folder = tmp_path / "x__v_1" / name
+        spark.createDataFrame([(1, "a", "p1"), (2, "b", "p2")], "id int, v string, p string").write.format(kind).option(
+            "path", str(folder)).partitionBy(*cut).saveAsTable(name)
+        for value in ("B", "C"):
+            W.write_update(spark.createDataFrame([(2, value)], "id int, v string"), name, ["id"])
+        assert rows(spark.table(name)) == [(1, "a", "p1"), (2, "C", "p2")]
+    assert versions.table_location(spark, "t_orc").startswith(f"file:{tmp_path}/x__v_1/t_orc__v_")
+    assert versions.table_location(spark, "t_orc").count("__v_") == 2
+
+
+def test_late_rows_are_taken_but_turn_nothing_back(spark):
+    first = spark.createDataFrame([(1, "new", 10)], "id int, v string, at int")
+    W.as_incremental(first, "t_late", ["id"], "at")
+    later = spark.createDataFrame([(1, "old", 5), (2, "tie", 10), (3, "none", None), (4, "late", 9), (None, "nobody", 10)],
+                                  "id int, v string, at int")
+    assert rows(W.as_incremental(later, "t_late", ["id"], "at")) == [(1, "new", 10), (2, "tie", 10), (3, "none", None)]
+    assert rows(W.as_incremental(later, "t_late", ["id"], "at", F.lit(5))) == [
+        (1, "new", 10), (2, "tie", 10), (3, "none", None), (4, "late", 9)]
+
+
+def test_a_late_batch_of_a_stream_turns_nothing_back(spark, tmp_path):
+    schema = "id int, v string, at int"
+    for batch in ([(1, "new", 10)], [(1, "old", 5), (2, "b", 1)]):
+        spark.createDataFrame(batch, schema).write.mode("append").parquet(str(tmp_path / "in"))
+        load_new(spark.readStream.schema(schema).parquet(str(tmp_path / "in")), "t_late_stream", ["id"], ["at"], str(tmp_path / "cp"))
+    assert rows(spark.table("t_late_stream")) == [(1, "new", 10), (2, "b", 1)]
