@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
@@ -38,10 +39,20 @@ def utf8(column: pa.Array) -> list[bytes]:
 _REMEMBERED: dict = {}
 
 
+def forget() -> None:
+    """Drop what the worker remembers and give its memory back to the system, where the C library can."""
+    if _REMEMBERED:
+        _REMEMBERED.clear()
+        pa.default_memory_pool().release_unused()
+        trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+        if trim:
+            trim(0)
+
+
 def remembered(key, make: Callable):
     """What a worker process keeps between tasks, of one kind at a time: another key drops it."""
     if key not in _REMEMBERED:
-        _REMEMBERED.clear()
+        forget()
         _REMEMBERED[key] = make()
     return _REMEMBERED[key]
 
@@ -50,7 +61,7 @@ def slices(batches: Iterator[pa.RecordBatch], rows: int = 1000, keep: bool = Fal
     """Batches in parts, so that a task holds few texts at a time; unless told to keep it, what the
     worker remembers for another kind of task goes first."""
     if not keep:
-        _REMEMBERED.clear()
+        forget()
     for batch in batches:
         for at in range(0, batch.num_rows, rows):
             yield batch.slice(at, rows)

@@ -85,7 +85,7 @@ class Ids(dict):
     """Word to (word id, prefix id), remembered by a worker up to a number of words."""
 
     def __missing__(self, word: bytes) -> tuple[int, int]:
-        if len(self) > 200_000:
+        if len(self) > 120_000:
             self.clear()
         self[word] = value = (word_id(word), prefix_id(word))
         return value
@@ -212,7 +212,7 @@ def segments(labelled: DataFrame, model: Model) -> DataFrame:
             for start, end in by_bytes(texts, BATCH_BYTES):
                 lists = [words_of(t) for t in texts[start:end]]
                 new = set().union(*lists) - known.keys()
-                if len(known) + len(new) > 300_000:
+                if len(known) + len(new) > 200_000:
                     known.clear()
                     new = set().union(*lists)
                 learn(list(new))
