@@ -9,6 +9,7 @@ enough that their few unfilled sequences hardly count, and their size does not g
 
 from __future__ import annotations
 
+import gc
 import re
 import zlib
 from collections.abc import Iterator
@@ -22,6 +23,8 @@ from rowmill.llm.common import by_bytes, slices, stored
 from rowmill.llm.tokens import BATCH_BYTES, Memory, encode, ids_of_words, memory
 
 GROUP_PIECES = 20_000
+# A run of these after a letter is a token run of its own; letters before LATIN_END are letters in every Unicode version in use.
+SIGNS, LATIN_END = ".,;:!?#*$%&", "\u0250"
 _PIECES = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, salt long"
 _PACKED = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long"
 _LINE = re.compile(r"(?<=\S)\n(?=\S)")
@@ -96,13 +99,14 @@ def pieces(df: DataFrame, path: str, window: int, end_id: int, text: str = "text
     """A row per piece: full windows of a document's ids, then what is left of it."""
 
     def values(known: Memory, of: list) -> Iterator[bytes]:
-        heads = [h for h in of if type(h) is tuple]
-        known.update(zip(heads, (np.array(ids, "<u4").tobytes() for ids in encode(path, [h[0] for h in heads]))))
         words = [w for w in of if type(w) is str]
-        stems = [w[:-1] if w[-1:] in (",", ".") and w[-2:-1].isascii() and w[-2:-1].isalpha() else w for w in words]
-        new = list({*stems} - known.keys())
-        known.update(zip(new, (ids.tobytes() for ids in ids_of_words(path, new))))
-        known.update((w, known[s] + known[w[-1],]) for s, w in zip(stems, words) if len(s) < len(w))
+        stems = [s if s and s[-1] < LATIN_END and s[-1].isalpha() else w for w, s in ((w, w.rstrip(SIGNS)) for w in words)]
+        signed = [(w, s, (w[len(s):],)) for w, s in zip(words, stems) if len(s) < len(w)]
+        heads = known.unknown({*(h for h in of if type(h) is tuple), *(sign for _, _, sign in signed)})
+        known.update(zip(heads, (np.array(ids, "<u4").tobytes() for ids in encode(path, [h[0] for h in heads]))))
+        new = known.unknown({*stems})
+        known.update(zip(new, ids_of_words(path, new)))
+        known.update((w, known[s] + known[sign]) for w, s, sign in signed)
         return map(known.__getitem__, of)
 
     last = np.array([end_id], "<u4").tobytes()
@@ -110,11 +114,12 @@ def pieces(df: DataFrame, path: str, window: int, end_id: int, text: str = "text
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known, salt = memory("ids", path, values), 0
         for batch in slices(batches, keep=True):
+            gc.disable()  # nothing below makes cycles, and each search for them walks through all remembered words
             texts = [t or "" for t in batch.column(text).to_pylist()]
             keys, rows = batch.column(key).to_pylist(), []
             for start, end in by_bytes(texts, BATCH_BYTES):
                 cut = [cut_text(t) for t in texts[start:end]]
-                known.learn([[("\n",), (",",), (".",)], *(p for heads, rest in cut for p in (heads, *rest))])
+                known.learn([[("\n",)], *(p for heads, rest in cut for p in (heads, *rest))])
                 get, feed = known.__getitem__, known["\n",]
                 for doc, (heads, rest) in zip(keys[start:end], cut):
                     ids = feed.join(get(h) + b"".join(map(get, r)) for h, r in zip(heads, rest)) + last
@@ -123,6 +128,7 @@ def pieces(df: DataFrame, path: str, window: int, end_id: int, text: str = "text
                         part = ids[4 * at: 4 * (at + window)]
                         rows.append((doc, at, len(part) // 4, zlib.crc32(part), n, salt))
                         salt += 1
+            gc.enable()
             columns = list(zip(*rows)) or [[]] * 6
             yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns],
                                              names=["doc_id", "start", "length", "ids_crc32", "doc_tokens", "salt"])

@@ -11,6 +11,7 @@ from __future__ import annotations
 import os
 import re
 from collections.abc import Callable, Iterable, Iterator
+from itertools import filterfalse
 
 import numpy as np
 import pyarrow as pa
@@ -52,8 +53,12 @@ class Memory(dict):
         super().__init__()
         self.values_of, self.most = values, most
 
+    def unknown(self, pieces: Iterable) -> list:
+        """A set minus the keys would walk through all keys."""
+        return list(filterfalse(self.__contains__, pieces))
+
     def learn(self, lists: list[list]) -> None:
-        new = set().union(*lists) - self.keys()
+        new = set(self.unknown(set().union(*lists)))
         if new and len(self) + len(new) > self.most:
             self.clear()
             new = set().union(*lists)
@@ -78,9 +83,9 @@ def edges(path: str) -> tuple[bool, np.ndarray]:
     return _LOADED[path, "edges"]
 
 
-def ids_of_words(path: str, words: list[str]) -> list[np.ndarray]:
-    """Ids of each word with a space before it. Words of letters are encoded many to a line and parted
-    at the marked ids; a line whose marks do not match its words is encoded word by word."""
+def ids_of_words(path: str, words: list[str]) -> list[bytes]:
+    """Ids, four bytes each, of each word with a space before it. Words of letters are encoded many to a
+    line and parted at the marked ids; a line whose marks do not match its words is encoded word by word."""
     ends, marked = edges(path)
     out: list = [None] * len(words)
     plain = [i for i, w in enumerate(words) if w.isalpha()]
@@ -93,11 +98,12 @@ def ids_of_words(path: str, words: list[str]) -> list[np.ndarray]:
         if len(at) != len(line) or not known.all() or not (at[-1] == len(ids) - 1 if ends else at[0] == 0):
             rest += line
             continue
-        cuts = [0, *(at + 1).tolist()] if ends else [*at.tolist(), len(ids)]
+        cuts, raw = (4 * (at + ends)).tolist(), ids.tobytes()
+        cuts = [0, *cuts] if ends else [*cuts, len(raw)]
         for i, a, b in zip(line, cuts, cuts[1:]):
-            out[i] = ids[a:b]
+            out[i] = raw[a:b]
     for i, ids in zip(rest, encode(path, [f" {words[i]}" for i in rest])):
-        out[i] = np.array(ids, "<u4")
+        out[i] = np.array(ids, "<u4").tobytes()
     return out
 
 
@@ -110,8 +116,8 @@ def word_counts(path: str) -> Callable[[Memory, list[bytes]], Iterable[int]]:
             found = _STEM.match(word)
             stem = found[0] if found else word
             stems.append(stem if b"<|" in stem else stem.translate(_LOW))
-        new = list(set(stems) - known.keys())
-        known.update(zip(new, map(len, ids_of_words(path, [w.decode() for w in new]))))
+        new = known.unknown(set(stems))
+        known.update(zip(new, (len(ids) // 4 for ids in ids_of_words(path, [w.decode() for w in new]))))
         return (known[s] + (len(w) - len(s)) for s, w in zip(stems, words))
     return values
 
