@@ -160,6 +160,29 @@ def _incremental_late(spark, d):
     return W.as_incremental(events, name, ["user_id"], "ts", F.expr("INTERVAL 3650 DAYS"))
 
 
+@query("incremental_null_keys", """WITH nulled AS (SELECT * REPLACE (
+        CASE WHEN event_id % 7 <> 0 THEN user_id END AS user_id, CASE WHEN event_id % 21 <> 0 THEN ts END AS ts)
+        FROM events),
+    parted AS (SELECT *, event_id >= (SELECT avg(event_id) FROM events) AND event_id % 2 = 0 AS early FROM nulled),
+    marked AS (SELECT *, early OR coalesce(ts > (SELECT max(ts) FROM parted WHERE early), false) AS added FROM parted)
+    SELECT 'table' AS place, event_id, ts, user_id, event_type, value, props FROM (
+        SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY ts DESC) AS rn FROM marked) WHERE user_id IS NOT NULL AND rn = 1
+    UNION ALL SELECT CASE WHEN added THEN 'table' ELSE 'reject' END, event_id, ts, user_id, event_type, value, props
+    FROM marked WHERE user_id IS NULL""")
+def _incremental_null_keys(spark, d):
+    """Rows without a user or a time, half of the newer half first, then all events twice: each ends in one place, once."""
+    events = table(spark, d, "events")
+    half = events.agg(F.avg("event_id").alias("half")).scalar()
+    early = (F.col("event_id") >= half) & (F.col("event_id") % 2 == 0)
+    nulled = events.withColumns({c: F.when(F.col("event_id") % n != 0, F.col(c)) for c, n in (("user_id", 7), ("ts", 21))})
+    name = stored(W.upserted(nulled.limit(0), nulled.filter(early), ["user_id"], ["ts"]), "null_keys")
+    nulled.limit(0).write.option("path", scratch_path(spark, "unkeyed")).saveAsTable(W.unkeyed_table(name))
+    for _ in range(2):
+        loaded = W.as_incremental(nulled, name, ["user_id"], "ts", F.expr("INTERVAL 3650 DAYS"))
+    return loaded.withColumn("place", F.lit("table")).unionByName(
+        spark.table(W.unkeyed_table(name)).withColumn("place", F.lit("reject")))
+
+
 _BY_USER = """SELECT user_id, event_id, ts, event_type, value, props FROM (
     SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY ts DESC) AS rn FROM events)
     WHERE rn = 1"""

@@ -267,21 +267,44 @@ def not_older(df: DataFrame, target: DataFrame, keys: Sequence[str], order_by: S
     return df.join(held, same, "left").filter(F.col("__held").isNull() | (place >= F.col("__held"))).select(*df.columns)
 
 
+def beyond(df: DataFrame, held: DataFrame) -> DataFrame:
+    """Rows of ``df`` that ``held``, of the same columns, lacks: nulls are equal, and copies count one by one."""
+    both = df.withColumn("__n", F.lit(1)).unionByName(held.withColumn("__n", F.lit(-1)))
+    more = both.groupBy(*[F.col(f"`{c}`") for c in df.columns]).agg(F.sum("__n").alias("__n")).filter("__n > 0")
+    return more.withColumn("__n", F.explode(F.sequence(F.lit(1), F.col("__n").cast("int")))).drop("__n")
+
+
+def unkeyed_table(table: str) -> str:
+    """Where ``as_incremental`` puts rows without a key that it cannot place."""
+    return f"{table}_unkeyed"
+
+
 def as_incremental(df: DataFrame, table: str, keys: Sequence[str], since: str, lookback: Column | None = None) -> DataFrame:
     """Create the table on the first run; later upsert the rows that are new to it.
 
     Rows at the mark, and with ``lookback`` some time before it, are taken again, which changes nothing:
-    a row replaces what the table holds for its key only if it is not older. Rows whose key is null
-    cannot be recognized, so of those only rows past the mark are added.
+    a row replaces what the table holds for its key only if it is not older. A row with a null key replaces
+    nothing. Of those, whatever their time, the rows are new that neither the table nor its reject,
+    ``unkeyed_table``, holds in all columns (copies count, so what comes again must come whole): past the
+    mark they are added; at it, behind it or without a time they are returned in the reject, which is made
+    when first needed.
     """
     spark = df.sparkSession
     if not spark.catalog.tableExists(table):
         return as_table(upserted(df.limit(0), df, keys, [since]), table)
-    target = spark.table(table)
+    target, reject = spark.table(table), unkeyed_table(table)
     mark = target.agg(F.max(since).alias("mark")).scalar()
-    known = ~reduce(lambda a, b: a | b, [F.col(f"`{k}`").isNull() for k in keys])
-    fresh = newer_than(df, target, since, lookback).filter(known | mark.isNull() | (F.col(since) > mark))
-    write_upsert(not_older(fresh, target, keys, [since]), table, keys, [since])
+    missing = reduce(lambda a, b: a | b, [F.col(f"`{k}`").isNull() for k in keys])
+    held = target.filter(missing)
+    if spark.catalog.tableExists(reject):
+        held = held.unionByName(spark.table(reject))
+    unkeyed = beyond(_as_target(df.filter(missing), target), held)
+    past = mark.isNull() | F.coalesce(F.col(f"`{since}`") > mark, F.lit(False))
+    late = unkeyed.filter(~past)
+    if not late.isEmpty():  # before the table, and with it the mark, moves
+        late.write.mode("append").saveAsTable(reject)
+    fresh = not_older(newer_than(df, target, since, lookback).filter(~missing), target, keys, [since])
+    write_upsert(_as_target(fresh, target).unionByName(unkeyed.filter(past)), table, keys, [since])
     return spark.table(table)
 
 

@@ -270,6 +270,28 @@ def test_late_rows_are_taken_but_turn_nothing_back(spark):
         (1, "new", 10), (2, "tie", 10), (3, "none", None), (4, "late", 9)]
 
 
+def test_late_rows_without_a_key_are_returned(spark):
+    schema = "id int, v string, at int, m map<string,int>"
+    W.as_incremental(spark.createDataFrame([(1, "a", 10, None), (None, "held", 10, {"x": 1}), (None, "held", None, None)], schema),
+                     "t_unkeyed_late", ["id"], "at")
+    later = spark.createDataFrame([
+        (1, "b", 11, None), (None, "held", 10, {"x": 1}), (None, "held", 10, {"x": 1}), (None, "tie", 10, None), (None, "old", 3, None),
+        (None, "held", None, None), (None, "timeless", None, None), (None, "past", 12, None)], schema)
+    for _ in range(2):
+        assert rows(W.as_incremental(later, "t_unkeyed_late", ["id"], "at"), "id", "v", "at") == [
+            (None, "held", None), (None, "held", 10), (None, "past", 12), (1, "b", 11)]
+        assert rows(spark.table(W.unkeyed_table("t_unkeyed_late")), "id", "v", "at") == [
+            (None, "held", 10), (None, "old", 3), (None, "tie", 10), (None, "timeless", None)]
+
+
+def test_loads_without_any_time_repeat_nothing(spark):
+    timeless = spark.createDataFrame([(None, "a", None), (1, "b", None)], "id int, v string, at int")
+    for _ in range(3):
+        loaded = W.as_incremental(timeless, "t_timeless", ["id"], "at")
+    assert rows(loaded) == [(None, "a", None), (1, "b", None)]
+    assert not spark.catalog.tableExists(W.unkeyed_table("t_timeless"))
+
+
 def test_a_late_batch_of_a_stream_turns_nothing_back(spark, tmp_path):
     schema = "id int, v string, at int"
     for batch in ([(1, "new", 10)], [(1, "old", 5), (2, "b", 1)]):
