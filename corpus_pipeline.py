@@ -28,8 +28,8 @@ def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def benchmark_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that hold a question and answer of the benchmark go."""
-    return decontam.decontaminate(docs, table(spark, sf_dir, "benchmark"))
+    """Documents that hold a question and answer of the benchmark, or most of an item as a whole, go."""
+    return decontam.decontaminate(docs, table(spark, sf_dir, "benchmark"), whole=True)
 
 
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -4,7 +4,8 @@ The items are the indexed side, so the index is small and the corpus is scanned
 shuffle. An item's impacts are scaled by its score for itself: a passage that holds all of an item
 scores one. Passages are windows of twice the longest item, half of it shared with the next, so an item
 that occurs lies in one of them. Retrieved are all items at or above the threshold; verified are those of whose
-question and answer, each, most word shingles occur in the passage.
+question and answer, each, most word shingles occur in the passage. With ``whole``, items of whose shingles as a whole most
+occur are verified too: a part of few words, where one changed word spoils most, is so judged together with its neighbour.
 
 Before a passage is searched, a bound is tried on all passages of a batch at once: an item can only
 reach the threshold if its own rare terms, without its common ones' total, bring enough within a
@@ -77,8 +78,8 @@ class Index:
     """Postings with block maxima over scaled impacts, and per-item rare terms."""
 
     def __init__(self, items: list[tuple], frequency: dict[bytes, int], n_items: int, mean_length: float,
-                 threshold: float = THRESHOLD):
-        self.threshold, self.ids, self.parts = threshold, [], []
+                 threshold: float = THRESHOLD, whole: bool = False):
+        self.threshold, self.whole, self.ids, self.parts = threshold, whole, [], []
         self.vocab: dict[bytes, int] = {}
         postings: list[list[tuple[int, float]]] = []
         rare: list[list[tuple[int, float]]] = []
@@ -188,7 +189,7 @@ class Index:
             held = shingles(part)
             for item, score in hits:
                 question, answer = (contained(x, held, part) for x in self.parts[item])
-                if question >= OVERLAP and answer >= OVERLAP:
+                if min(question, answer) >= OVERLAP or self.whole and contained(sum(self.parts[item], []), held, part) >= OVERLAP:
                     best[item] = max(best.get(item, ()), (score, question, answer))
         for item, row in best.items():
             yield self.ids[item], *row
@@ -199,7 +200,7 @@ def _index(shared) -> Index:
     return remembered(shared.value["name"], lambda: Index(*shared.value["args"]))
 
 
-def blocks(items: DataFrame, index_bytes: int = INDEX_BYTES, threshold: float = THRESHOLD) -> Iterator:
+def blocks(items: DataFrame, index_bytes: int = INDEX_BYTES, threshold: float = THRESHOLD, whole: bool = False) -> Iterator:
     """Broadcast blocks of items of bounded size, each with its terms' counts over all items."""
     import uuid
 
@@ -215,16 +216,16 @@ def blocks(items: DataFrame, index_bytes: int = INDEX_BYTES, threshold: float =
     counted = items.mapInArrow(words, "term binary, n long").groupBy("term").agg(F.count("*").alias("df"), F.sum("n").alias("n"))
     size = items.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     parts = max(1, -(-size // index_bytes))
-    whole = [r for r in counted.filter(F.col("term") == F.lit(b"")).collect()]
-    if not whole:
+    total = [r for r in counted.filter(F.col("term") == F.lit(b"")).collect()]
+    if not total:
         return
-    n_items, mean_length = whole[0]["df"], whole[0]["n"] / whole[0]["df"]
+    n_items, mean_length = total[0]["df"], total[0]["n"] / total[0]["df"]
     for part in range(parts):
         block = items.filter(F.pmod(F.xxhash64("text"), F.lit(parts)) == part)
         own = block.mapInArrow(words, "term binary, n long").select("term").distinct()
         frequency = {bytes(r["term"]): r["df"] for r in counted.join(own, "term", "left_semi").collect()}
         rows = sorted(((r["item_id"], r["text"]) for r in block.collect()), key=lambda r: (r[0] is None, r[0] or 0, r[1]))
-        yield spark.sparkContext.broadcast({"name": uuid.uuid4().hex, "args": (rows, frequency, n_items, mean_length, threshold)})
+        yield spark.sparkContext.broadcast({"name": uuid.uuid4().hex, "args": (rows, frequency, n_items, mean_length, threshold, whole)})
 
 
 def found_in(shared, texts: list[str | None]) -> Iterator[tuple[int, list[tuple]]]:
@@ -246,16 +247,18 @@ def found_in(shared, texts: list[str | None]) -> Iterator[tuple[int, list[tuple]
                 yield start + i, rows
 
 
-def contamination(docs: DataFrame, items: DataFrame, index_bytes: int = INDEX_BYTES) -> DataFrame:
+def contamination(docs: DataFrame, items: DataFrame, index_bytes: int = INDEX_BYTES, whole: bool = False) -> DataFrame:
     """(doc_id, item_id, score, question_overlap, answer_overlap): items found in each row of ``docs``.
 
+    Both overlaps reach 0.8; a part of under five words has 1 where it stands verbatim, else 0. With ``whole`` it is also
+    enough that the item's shingles as a whole reach 0.8; one overlap may then be lower, down to 0.
     Null and empty texts hold nothing, null and empty items are found nowhere; items with null ids are found under a null
     id. Repeated items count in the term statistics and are reported as often as their rows, repeated
     documents likewise. An empty table on either side gives no rows. Other columns are not read.
     """
     schema = "doc_id long, item_id long, score double, question_overlap double, answer_overlap double"
     out = docs.sparkSession.createDataFrame([], schema)
-    for shared in blocks(items, index_bytes):
+    for shared in blocks(items, index_bytes, whole=whole):
         def run(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
             for batch in slices(batches, keep=True):
                 ids = batch.column("doc_id").to_pylist()
@@ -270,9 +273,9 @@ def contamination(docs: DataFrame, items: DataFrame, index_bytes: int = INDEX_BY
     return out
 
 
-def decontaminate(docs: DataFrame, items: DataFrame, index_bytes: int = INDEX_BYTES) -> DataFrame:
-    """The rows of ``docs`` that hold no item, columns as they are."""
-    for shared in blocks(items, index_bytes):
+def decontaminate(docs: DataFrame, items: DataFrame, index_bytes: int = INDEX_BYTES, whole: bool = False) -> DataFrame:
+    """The rows of ``docs`` that hold no item, columns as they are; ``whole`` as in ``contamination``."""
+    for shared in blocks(items, index_bytes, whole=whole):
         def run(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
             for batch in slices(batches, keep=True):
                 hit = {i for i, _ in found_in(shared, batch.column("text").to_pylist())}

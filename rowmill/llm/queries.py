@@ -97,7 +97,7 @@ def _op10(spark, d):
 
 @query("op5_decontamination")
 def _op5(spark, d):
-    return decontam.contamination(table(spark, d, "documents"), table(spark, d, "benchmark"))
+    return decontam.contamination(table(spark, d, "documents"), table(spark, d, "benchmark"), whole=True)
 
 
 @query("op3_toxicity")

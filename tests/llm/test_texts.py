@@ -286,6 +286,18 @@ def test_decontamination(spark, documents, edge, none):
     assert decontam.decontaminate(edge, strange).columns == edge.columns
 
 
+def test_edited_items_are_found_as_a_whole(spark):
+    asked = " ".join(f"q{i}" for i in range(30))
+    rows = [(1, f"{asked}? yes it is so"), (2, f"{asked.replace('q', 'r')}? one two three four five six"),
+            (3, " ".join(f"h{i}" for i in range(20)) + "? " + " ".join(f"k{i}" for i in range(20)))]
+    items = spark.createDataFrame(rows, "item_id long, text string")
+    docs = [(1, "yes it was so"), (1, "yes it is"), (1, ""), (2, "one two three four 5 six"), (2, "one two three four five")]
+    texts = [f"x y z {rows[i - 1][1].split('?')[0]}? {answer}" for i, answer in docs] + [rows[2][1].split("?")[0] + " other" * 20, rows[0][1]]
+    found = decontam.contamination(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"), items, whole=True).collect()
+    assert {(r.doc_id, r.item_id) for r in found} == {*enumerate(i for i, _ in docs), (6, 1)}
+    assert {(r.doc_id, r.question_overlap, r.answer_overlap) for r in found if r.doc_id < 3} == {(0, 1.0, 0.0), (1, 1.0, 0.0), (2, 1.0, 0.0)}
+
+
 def test_block_max_wand_finds_all():
     rng = np.random.default_rng(7)
     vocab = [f"t{i}" for i in range(60)]
