@@ -3,7 +3,7 @@
 Words are counted once a document, in toxic, in clean and in all documents. A word's chance to be toxic
 is a Dirichlet posterior: its prior is the posterior of all words with the same beginning, whose own
 prior is the base rate; words that are frequent in the whole corpus need more labels to leave it. The
-log-odds against the base rate, less a drift, score a word, so ordinary text runs downhill; a word right after itself adds nothing. All maximal segments
+log-odds against the base rate, less a drift, score a word, so ordinary text runs downhill; a scoring word right after itself adds nothing and costs nothing. All maximal segments
 of a text come from one linear scan (Ruzzo and Tompa). Segment scores of clean text follow an
 extreme-value law; its two constants are computed from the clean training documents, and what the
 segments of a text have above the level expected of its length is summed. One logistic curve over
@@ -164,7 +164,8 @@ class Model:
 def maximal_segments(places: list[int], scores: list[float], drift: float = DRIFT) -> list[tuple[int, int, float]]:
     """All maximal scoring segments (start, end, score); words between ``places`` cost the drift each.
 
-    One pass: each scoring word starts a segment, which joins those to its left that it can extend.
+    One pass: each scoring word starts a segment, which joins those to its left that it can extend. A place
+    with score 0 costs no drift and makes no segment of its own.
     """
     done: list[list] = []  # start, end, sum before, sum after
     total, before = 0.0, -1
@@ -181,7 +182,7 @@ def maximal_segments(places: list[int], scores: list[float], drift: float = DRIF
                 break
             part = [done[j][0], part[1], done[j][2], part[3]]
             del done[j:]
-    return [(s, e, after - start) for s, e, start, after in done]
+    return [(s, e, after - start) for s, e, start, after in done if after > start]
 
 
 def segments(labelled: DataFrame, model: Model) -> DataFrame:
@@ -218,10 +219,10 @@ def segments(labelled: DataFrame, model: Model) -> DataFrame:
                 learn(list(new))
                 for words in lists:
                     value = np.fromiter(map(known.__getitem__, words), np.float64, len(words))
-                    places = np.flatnonzero(value)
-                    places = places[[p == 0 or words[p] != words[p - 1] for p in places.tolist()]] if len(places) else places
+                    places = np.flatnonzero(value).tolist()
+                    up = [0.0 if p and words[p] == words[p - 1] else float(value[p]) for p in places]
                     lengths.append(len(words))
-                    found.append(shown(maximal_segments(places.tolist(), value[places].tolist())) if len(places) else [])
+                    found.append(shown(maximal_segments(places, up)))
             yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in ("doc_id", "hash", "label")), pa.array(lengths, pa.int64()), pa.array(found, kind)],
                                              names=["doc_id", "hash", "label", "n_words", "segments"])
 
@@ -245,11 +246,17 @@ def _joined_segments(labelled: DataFrame, model: Model, schema: str, kind: pa.Da
 
     def close(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            found = []
-            for hits in batch.column("hits").to_pylist():
-                up = [h for h in sorted(hits or [], key=lambda h: h["place"]) if h["score"] > 0]
-                found.append(shown(maximal_segments([h["place"] for h in up], [h["score"] for h in up])))
-            lengths = [len(words_of(t)) for t in utf8(batch.column("text"))]
+            found, lengths = [], []
+            for hits, text in zip(batch.column("hits").to_pylist(), utf8(batch.column("text"))):
+                own, places, up = words_of(text), [], []
+                for hit in sorted(hits or [], key=lambda h: h["place"]):
+                    places.append(hit["place"])
+                    up.append(hit["score"])
+                    while places[-1] + 1 < len(own) and own[places[-1] + 1] == own[places[-1]]:
+                        places.append(places[-1] + 1)
+                        up.append(0.0)
+                lengths.append(len(own))
+                found.append(shown(maximal_segments(places, up)))
             yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in ("doc_id", "hash", "label")), pa.array(lengths, pa.int64()), pa.array(found, kind)],
                                              names=["doc_id", "hash", "label", "n_words", "segments"])
 

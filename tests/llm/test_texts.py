@@ -183,6 +183,20 @@ def labelled(spark):
     return spark.read.parquet(f"{folder}/documents.parquet"), spark.read.parquet(f"{folder}/labels.parquet")
 
 
+def test_repeated_scoring_words_cost_nothing(spark):
+    assert toxicity.maximal_segments([3, 4, 5, 6], [2.0, 0.0, 0.0, 1.0]) == [(3, 7, 3.0)]
+    assert toxicity.maximal_segments([3, 4], [2.0, 0.0]) == [(3, 4, 2.0)] and toxicity.maximal_segments([0, 1], [0.0, 0.0]) == []
+    plain = "some plain words that nobody minds at all"
+    learned = [(i, f"{plain} {'vile foul ' if i % 4 == 0 else ''}{plain}", int(i % 4 == 0)) for i in range(400)]
+    asked = [(1000, f"{plain} vile foul {plain}"), (1001, f"{plain} vile vile vile vile foul {plain}")]
+    docs = spark.createDataFrame([r[:2] for r in learned] + asked, "doc_id long, text string")
+    labels = spark.createDataFrame([r[::2] for r in learned], "doc_id long, toxic int")
+    for sent in (toxicity.SENT_WORDS, 0):
+        made = toxicity.score(docs, labels, sent_words=sent, sent_labels=sent).collect()
+        once, often = ([(p.start, p.end, p.score) for p in r.passages] for r in sorted(made, key=lambda r: r.doc_id) if r.doc_id >= 1000)
+        assert [(8, 10)] == [p[:2] for p in once] and [(8, 13)] == [p[:2] for p in often] and abs(once[0][2] - often[0][2]) < 1e-9
+
+
 def test_toxicity_on_held_out_rows(labelled):
     docs, labels = labelled
     rows = {r.doc_id: r for r in toxicity.score(docs, labels).collect()}
