@@ -30,7 +30,6 @@ PRIOR, CORPUS_PRIOR, DRIFT = 5.0, 0.002, 1.5
 PREFIX_CHARS = 4
 SENT_WORDS, SENT_LABELS = 2_000_000, 4_000_000
 BATCH_BYTES = 2 * 1024 * 1024
-LEAST_SEGMENT = 1.0
 _MARKS = bytes.maketrans(bytes(c for c in range(128) if not chr(c).isalnum()), b" " * (128 - 62))
 
 
@@ -191,7 +190,7 @@ def segments(labelled: DataFrame, model: Model) -> DataFrame:
     kind = pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32()), ("score", pa.float64())]))
 
     def shown(parts) -> list[dict]:
-        return [{"start": s, "end": e, "score": v} for s, e, v in parts if v >= LEAST_SEGMENT]
+        return [{"start": s, "end": e, "score": v} for s, e, v in parts]
 
     if model.shared is None:
         return _joined_segments(labelled, model, schema, kind, shown)
@@ -284,7 +283,8 @@ def score(docs: DataFrame, labels: DataFrame, parts: int = 3, part: int = 1, sen
 
     Learns from labels of rows that are not held out and from the words of all documents; ids, languages
     and sources play no part. A null or empty text has no words and gets what a text without segments
-    gets. Of repeated labels the larger holds; repeated documents count and are scored one by one; a null
+    gets. Segments of any score above zero are tested against the bar of their text's length; no floor
+    stands before it. Of repeated labels the larger holds; repeated documents count and are scored one by one; a null
     id has no label. Without labels of both kinds every score is the base rate (a half where there are
     no labels). An empty table gives no rows. Other columns are not read.
     """

@@ -207,6 +207,11 @@ def test_toxicity_on_held_out_rows(labelled):
     assert all(rows[i].held_out == (zlib.crc32(str(i).encode()) % 3 == 1) for i in rows)
 
 
+def test_passages_have_no_floor_before_the_bar(labelled):
+    made = [r for r in toxicity.score(*labelled).collect() if r.passages]
+    assert any(0 < p.score < 1 for r in made for p in r.passages)
+
+
 def test_toxicity_by_joins_is_the_same(labelled):
     docs, labels = labelled
     a = {r.doc_id: r.score for r in toxicity.score(docs, labels).collect()}
