@@ -63,3 +63,39 @@ def test_pipeline_on_strange_rows(spark, edge, none):
                 assert out.columns == docs.columns
                 docs = spark.createDataFrame(out.collect(), docs.schema)
         out.collect()
+
+
+def test_stages_beside_plain_python(spark):
+    """Rows, texts and counts that toxicity's scores, the line rule and the item rule leave, one by one."""
+    from rowmill.llm import decontam, toxicity
+    made, docs = pipeline(), spark.read.parquet(f"{SMALL}/documents.parquet")
+    rows = {r.doc_id: (r.text, r.n_chars) for r in docs.collect()}
+
+    def left(stage):
+        return {r.doc_id: (r.text, r.n_chars) for r in stage(spark, docs, SMALL).collect()}
+
+    scores = {r.doc_id: r.score for r in toxicity.score(docs, spark.read.parquet(f"{SMALL}/labels.parquet")).collect()}
+    assert left(made.toxic_documents) == {i: v for i, v in rows.items() if scores[i] < 0.7}
+
+    lower = {c: c + 32 for c in range(65, 91)}
+    key = lambda line: line.strip(" \t\n\v\f\r").translate(lower)
+    holders = {}
+    for i, (text, _) in rows.items():
+        for k in {key(line) for line in (text or "").split("\n")}:
+            holders.setdefault(k, set()).add(i)
+    want = {}
+    for i, (text, n) in rows.items():
+        lines = (text or "").split("\n")
+        kept = [x for x in lines if len(key(x)) < 40 or len(holders[key(x)]) < 5 or max(holders[key(x)]) == i]
+        want[i] = (text, n) if len(kept) == len(lines) else ("\n".join(kept), len("\n".join(kept)))
+    assert left(made.repeated_lines) == want != rows
+
+    items = [decontam.question_and_answer(r.text) for r in spark.read.parquet(f"{SMALL}/benchmark.parquet").collect()]
+    leaks = set()
+    for i, (text, _) in rows.items():
+        words = decontam.terms_of(text)
+        held = decontam.shingles(words)
+        for q, a in items:
+            if decontam.contained(q + a, held, words) >= 0.8 or min(decontam.contained(p, held, words) for p in (q, a)) >= 0.8:
+                leaks.add(i)
+    assert left(made.benchmark_leaks) == {i: v for i, v in rows.items() if i not in leaks} != rows
