@@ -8,11 +8,12 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from rowmill.operators.dedupe import first_per_key
 from rowmill.operators.skew import (
-    HOT_ROWS, LOOKUP_SHARE, MAX_BYTES, MAX_ROWS, fits_in_memory, join_unique)
+    HOT_ROWS, MAX_BYTES, MAX_ROWS, fits_in_memory, join_unique)
+
 
 def lookup(main: DataFrame, lk: DataFrame, on: Mapping[str, str], order_by: Sequence[str | Column],
            load: str = "shuffle", null_safe: bool = False, max_rows: int = MAX_ROWS,
-           max_bytes: int = MAX_BYTES, share: float = LOOKUP_SHARE, rows: int = HOT_ROWS
+           max_bytes: int = MAX_BYTES, share: float | None = None, rows: int = HOT_ROWS
            ) -> DataFrame:
     """Main rows with the columns of the first lookup row (by ``order_by``) that has the same key.
 

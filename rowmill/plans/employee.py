@@ -16,7 +16,7 @@ from rowmill.operators.compliance import ColumnRule, compliance, tag_compliance
 from rowmill.operators.dedupe import tag_duplicates, uniq
 from rowmill.operators.project import map_columns
 from rowmill.session import scratch_path
-from rowmill.sinks.tables import quarantine, write_insert, write_update
+from rowmill.sinks.tables import quarantine, write_insert, write_run, write_update
 
 COLUMNS = ("ID", "NAME", "DEPT", "SAL", "AGE")
 # The checked columns. Only ID may be null; the stamp has no length check.
@@ -75,7 +75,11 @@ def link_counts(rows: DataFrame, run_at: datetime | Column,
 def run(spark: SparkSession, rows: DataFrame, run_at: datetime, clean_table: str,
         duplicate_table: str, reject_table: str, update_keys: Sequence[str],
         order_by: Sequence[str | Column] = ("ID",), **skew) -> Mapping[str, str]:
-    """Write all three tables; the stored split is cut by route, so each sink reads its part only."""
+    """Write all three tables; the stored split is cut by route, so each sink reads its part only.
+
+    A run repeated with one ``run_at`` leaves the reject table, and a duplicate table that has a column ``run``, as one run
+    does; a duplicate table without it cannot tell runs apart and gets the rows again.
+    """
     path = scratch_path(spark, "split")
     tagged = tag_duplicates(rows, list(KEYS), order_by, CASE, "route", **skew)
     tagged.write.partitionBy("route").parquet(path)
@@ -83,7 +87,10 @@ def run(spark: SparkSession, rows: DataFrame, run_at: datetime, clean_table: str
     unique = stored.filter(F.col("route") == "unique").drop("route")
     duplicate = stored.filter(F.col("route") == "duplicate").drop("route")
     out = _links(unique, duplicate, run_at)
-    write_insert(duplicate, duplicate_table)
+    if "run" in spark.table(duplicate_table).columns:
+        write_run(duplicate, duplicate_table, {"run": run_at.isoformat()})
+    else:
+        write_insert(duplicate, duplicate_table)
     quarantine(out["reject"], reject_table, clean_table, run_at.isoformat())
     replaced = write_update(out["pass"], clean_table, update_keys)
     return {"split": path, "replaced": replaced}

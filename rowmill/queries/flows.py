@@ -99,6 +99,29 @@ def _flow_written(spark, d):
                                              "errorCode")))
 
 
+@query("flow_written_twice", _FLOW + """
+    SELECT 'clean' AS kind, *, NULL AS "errorCode", NULL AS "errorMessage", NULL AS run FROM passed WHERE "ID" IS NOT NULL
+    UNION ALL SELECT 'untouched', "ID", NULL, NULL, NULL, NULL, 'old', NULL, NULL, NULL, NULL FROM employees WHERE "ID" IS NOT NULL
+        AND "ID" NOT IN (SELECT "ID" FROM passed WHERE "ID" IS NOT NULL)
+    UNION ALL SELECT 'duplicate', *, NULL, NULL, NULL, NULL, '2024-03-01T08:30:00' FROM repeated
+    UNION ALL SELECT 'reject', *, '2024-03-01T08:30:00' FROM rejected""")
+def _flow_written_twice(spark, d):
+    """All columns of all three tables after one run that was started twice."""
+    people = employees(spark, d)
+    held = people.filter(F.col("ID").isNotNull()).select(
+        "ID", *[F.lit(None).cast(people.schema[c].dataType).alias(c) for c in people.columns[1:]],
+        F.lit("old").alias("SAL_RANGE"), F.lit(None).cast("string").alias("DATE_TIMESTAMP"))
+    clean, extra = stored(held, "clean"), stored(people.withColumn("run", F.lit("")).limit(0), "duplicate", ["run"])
+    shape = employee.flow(people, RUN_AT, ORDER)["reject"].withColumns({"source": F.lit(""), "run": F.lit("")})
+    wrong = stored(shape.limit(0), "reject", ["source", "run"])
+    for _ in range(2):
+        employee.run(spark, people, RUN_AT, clean, extra, wrong, ["ID"], ORDER)
+    kind = F.when(F.col("SAL_RANGE") == "old", "untouched").otherwise("clean")
+    parts = [spark.table(clean).withColumn("kind", kind), spark.table(extra).withColumn("kind", F.lit("duplicate")),
+             spark.table(wrong).drop("source").withColumn("kind", F.lit("reject"))]
+    return parts[2].unionByName(parts[0], True).unionByName(parts[1], True)
+
+
 _TEXT_FLOW = _FLOW.replace("FROM employees)", """FROM (SELECT coalesce("ID", '') AS "ID", "NAME",
         coalesce("DEPT", '') AS "DEPT", "SAL", coalesce("AGE", '') AS "AGE" FROM employees))""")
 

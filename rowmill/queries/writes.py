@@ -13,6 +13,7 @@ from rowmill.queries.fixtures import (
     CUSTOMER_CHANGES, RAW_PEOPLE, customer_changes, raw_people, table)
 from rowmill.session import scratch_path
 from rowmill.sinks import tables as W
+from rowmill.sinks.snapshots import as_of, create_snapshot_table, roll_back
 from rowmill.streaming.incremental import load_new
 
 KEY = ["c_custkey"]
@@ -149,6 +150,66 @@ def _upsert_partitions_masked(spark, d):
     return spark.table(name)
 
 
+def _dear(orders: DataFrame) -> DataFrame:
+    return orders.filter("o_totalprice > 400000").select(
+        "o_orderkey", (F.col("o_totalprice") + 1).alias("o_totalprice"),
+        F.when(F.col("o_orderstatus") == "P", "F").otherwise(F.col("o_orderstatus")).alias("o_orderstatus"))
+
+
+def _snapshot(orders: DataFrame) -> tuple[str, str]:
+    """Orders by status as a snapshot table, and its first version."""
+    name = f"orders_{uuid.uuid4().hex}"
+    return name, create_snapshot_table(orders, name, ["o_orderstatus"], scratch_path(orders.sparkSession, "snapshot"))
+
+
+_DEAR = """SELECT * REPLACE (
+        CASE WHEN o_totalprice > 400000 THEN o_totalprice + 1 ELSE o_totalprice END AS o_totalprice,
+        CASE WHEN o_totalprice > 400000 AND o_orderstatus = 'P' THEN 'F' ELSE o_orderstatus END
+            AS o_orderstatus) FROM orders"""
+
+
+@query("update_snapshot", f"""SELECT 'now' AS version, * FROM ({_DEAR})
+    UNION ALL SELECT 'before', * FROM orders""")
+def _update_snapshot(spark, d):
+    """Partitions that change in one step; the version before stays readable."""
+    orders = table(spark, d, "orders")
+    name, first = _snapshot(orders)
+    W.write_update(_dear(orders), name, ["o_orderkey"])
+    now, before = spark.table(name), as_of(spark, name, first)
+    return now.select(F.lit("now").alias("version"), "*").unionByName(before.select(F.lit("before").alias("version"), "*"))
+
+
+@query("upsert_snapshot", """SELECT * REPLACE (
+        CASE WHEN o_totalprice > 400000 THEN o_totalprice + 1 ELSE o_totalprice END AS o_totalprice,
+        CASE WHEN o_totalprice <= 400000 THEN o_orderstatus END AS o_orderstatus) FROM orders""")
+def _upsert_snapshot(spark, d):
+    """Rows move to the partition of the null status, which the table lacked."""
+    orders = table(spark, d, "orders")
+    name, _ = _snapshot(orders)
+    dear = orders.filter("o_totalprice > 400000").withColumn("o_totalprice", F.col("o_totalprice") + 1)
+    W.write_upsert(dear, name, ["o_orderkey"], insertable=[c for c in orders.columns if c != "o_orderstatus"])
+    return spark.table(name)
+
+
+@query("snapshot_rolled_back", "SELECT * FROM orders")
+def _snapshot_rolled_back(spark, d):
+    orders = table(spark, d, "orders")
+    name, first = _snapshot(orders)
+    W.write_update(_dear(orders), name, ["o_orderkey"])
+    roll_back(spark, name, first)
+    return spark.table(name)
+
+
+@query("upsert_bucketed", _UPSERTED)
+def _upsert_bucketed(spark, d):
+    """The same changes twice into a table in buckets by its key, which is not shuffled."""
+    name = f"bucketed_{uuid.uuid4().hex}"
+    W.as_bucketed(table(spark, d, "customer"), name, KEY, 16, scratch_path(spark, "bucketed"))
+    for _ in range(2):
+        W.write_upsert(customer_changes(spark, d), name, KEY, ["seq"], fits=False)
+    return spark.table(name)
+
+
 @query("incremental_late", """SELECT user_id, event_id, ts, event_type, value, props FROM (
     SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY ts DESC) AS rn FROM events) WHERE rn = 1""")
 def _incremental_late(spark, d):
@@ -160,7 +221,7 @@ def _incremental_late(spark, d):
     return W.as_incremental(events, name, ["user_id"], "ts", F.expr("INTERVAL 3650 DAYS"))
 
 
-@query("incremental_null_keys", """WITH nulled AS (SELECT * REPLACE (
+_NULL_KEYS = """WITH nulled AS (SELECT * REPLACE (
         CASE WHEN event_id % 7 <> 0 THEN user_id END AS user_id, CASE WHEN event_id % 21 <> 0 THEN ts END AS ts)
         FROM events),
     parted AS (SELECT *, event_id >= (SELECT avg(event_id) FROM events) AND event_id % 2 = 0 AS early FROM nulled),
@@ -168,7 +229,10 @@ def _incremental_late(spark, d):
     SELECT 'table' AS place, event_id, ts, user_id, event_type, value, props FROM (
         SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY ts DESC) AS rn FROM marked) WHERE user_id IS NOT NULL AND rn = 1
     UNION ALL SELECT CASE WHEN added THEN 'table' ELSE 'reject' END, event_id, ts, user_id, event_type, value, props
-    FROM marked WHERE user_id IS NULL""")
+    FROM marked WHERE user_id IS NULL"""
+
+
+@query("incremental_null_keys", _NULL_KEYS)
 def _incremental_null_keys(spark, d):
     """Rows without a user or a time, half of the newer half first, then all events twice: each ends in one place, once."""
     events = table(spark, d, "events")
@@ -183,6 +247,22 @@ def _incremental_null_keys(spark, d):
         spark.table(W.unkeyed_table(name)).withColumn("place", F.lit("reject")))
 
 
+@query("incremental_stream_null_keys", _NULL_KEYS)
+def _incremental_stream_null_keys(spark, d):
+    """The same by stream: early rows, then all events, then all events again as a batch that is repeated."""
+    inbox, events = scratch_path(spark, "inbox"), table(spark, d, "events")
+    half = events.agg(F.avg("event_id").alias("half")).scalar()
+    early = (F.col("event_id") >= half) & (F.col("event_id") % 2 == 0)
+    nulled = events.withColumns({c: F.when(F.col("event_id") % n != 0, F.col(c)) for c, n in (("user_id", 7), ("ts", 21))})
+    name, checkpoint = stored(nulled.limit(0), "stream_null_keys"), scratch_path(spark, "stream-checkpoint")
+    nulled.limit(0).write.option("path", scratch_path(spark, "unkeyed")).saveAsTable(W.unkeyed_table(name))
+    for part in (nulled.filter(early), nulled, nulled):
+        part.write.mode("append").parquet(inbox)
+        load_new(spark.readStream.schema(nulled.schema).parquet(inbox), name, ["user_id"], ["ts"], checkpoint)
+    return spark.table(name).withColumn("place", F.lit("table")).unionByName(
+        spark.table(W.unkeyed_table(name)).withColumn("place", F.lit("reject")))
+
+
 _BY_USER = """SELECT user_id, event_id, ts, event_type, value, props FROM (
     SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY ts DESC) AS rn FROM events)
     WHERE rn = 1"""

@@ -2,7 +2,9 @@
 
 Parquet tables have no UPDATE or MERGE. The functions in the first half compute the new version of
 a table as a DataFrame; the ``write_`` functions store it as in ``versions``, and of a partitioned
-table they read and write only the partitions the change can alter.
+table they read and write only the partitions the change can alter. Two layouts help a table that changes
+often: buckets by its key (``as_bucketed``), which spare the table its shuffle, and snapshots (``snapshots``),
+whose partitions change in one step.
 """
 
 from __future__ import annotations
@@ -13,9 +15,10 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Row, functions as F
 
 from rowmill.operators.compliance import ColumnRule, compliance
-from rowmill.operators.skew import comparable, fits_in_memory, join_unique
+from rowmill.operators.skew import comparable, fits_in_memory, join_unique, same_key
+from rowmill.sinks.snapshots import change_snapshot, snapshot
 from rowmill.sinks.versions import (
-    in_partitions, partition_columns, replace_partitions, replace_table)
+    bucketed_writer, bucketing, in_partitions, partition_columns, replace_partitions, replace_table)
 
 BATCH_ROWS = 10_000
 
@@ -85,8 +88,8 @@ def upserted(target: DataFrame, source: DataFrame, keys: Sequence[str], order_by
     latest = _per_key(usable, keys, order_by, (), cols)
     kept = join_unique(target, latest.drop("__last"), list(keys), [f"__key_{k}" for k in keys],
                        "anti", null_safe, **join)
-    out = _as_target(kept, target).unionByName(_as_target(latest.select("__last.*"), target))
-    return out if unmatched is None else out.unionByName(_as_target(unmatched, target, cols))
+    out = as_target(kept, target).unionByName(as_target(latest.select("__last.*"), target))
+    return out if unmatched is None else out.unionByName(as_target(unmatched, target, cols))
 
 
 def inserted_or_updated(target: DataFrame, source: DataFrame, keys: Sequence[str],
@@ -102,15 +105,15 @@ def inserted_or_updated(target: DataFrame, source: DataFrame, keys: Sequence[str
     sets = [c for c in on_duplicate if c in source.columns and c not in keys]
     usable, unmatched = _split_null_keys(source, keys, null_safe)
     changed = updated(target, usable, keys, order_by, sets, null_safe, **join)
-    held = _matched(target.select(*keys), usable, keys, null_safe, **join).distinct()
-    held = held.toDF(*[f"__held_{k}" for k in keys])
+    # Of the target's keys one record a key and task is left, so a hot one does not weigh here.
+    held = target.select(*[F.col(f"`{k}`").alias(f"__held_{k}") for k in keys]).distinct()
     per_key = _per_key(usable, keys, order_by, cols, sets)
-    fresh = join_unique(per_key, held, [f"__key_{k}" for k in keys],
-                        [f"__held_{k}" for k in keys], "anti", null_safe, **join)
+    same = same_key([per_key[f"`__key_{k}`"] for k in keys], [held[f"`__held_{k}`"] for k in keys], null_safe)
+    fresh = per_key.join(held, same, "left_anti")
     fresh = fresh.select(*[F.col(f"__last.`{c}`").alias(c) if c in sets
                            else F.col(f"__first.`{c}`").alias(c) for c in cols])
-    out = changed.unionByName(_as_target(fresh, target))
-    return out if unmatched is None else out.unionByName(_as_target(unmatched, target, cols))
+    out = changed.unionByName(as_target(fresh, target))
+    return out if unmatched is None else out.unionByName(as_target(unmatched, target, cols))
 
 
 def deleted(target: DataFrame, source: DataFrame, keys: Sequence[str], null_safe: bool = False,
@@ -128,7 +131,7 @@ def _matched(target: DataFrame, source: DataFrame, keys: Sequence[str], null_saf
                        **join)
 
 
-def _as_target(df: DataFrame, target: DataFrame, cols: Sequence[str] | None = None) -> DataFrame:
+def as_target(df: DataFrame, target: DataFrame, cols: Sequence[str] | None = None) -> DataFrame:
     """The columns and types of the target; columns the rows lack or may not set are null."""
     have = set(df.columns if cols is None else cols)
     return df.select(*[
@@ -157,7 +160,7 @@ def write_insert(df: DataFrame, table: str, add_cols: Mapping[str, Column] | Non
     if not spark.catalog.tableExists(table):
         raise ValueError(f"table does not exist: {table}")
     rows = with_added(df, add_cols)
-    shaped = _as_target(rows, spark.table(table), insertable)
+    shaped = as_target(rows, spark.table(table), insertable)
     writer = shaped.write
     if max_records_per_file:
         writer = writer.option("maxRecordsPerFile", max_records_per_file)
@@ -165,31 +168,40 @@ def write_insert(df: DataFrame, table: str, add_cols: Mapping[str, Column] | Non
 
 
 def _touched(target: DataFrame, source: DataFrame, keys: Sequence[str], columns: Sequence[str],
-             masks: Sequence[Sequence[str]], **join) -> list[Row]:
-    """Partitions with a row that a source key matches, and those that source rows go to when only
-    the columns of a mask are taken from them."""
-    narrow = target.select(*dict.fromkeys([*keys, *columns]))
-    found = _matched(narrow, source, keys, **join).select(*columns)
-    for mask in masks:
-        found = found.unionByName(_as_target(source, target, [c for c in mask if c in source.columns]).select(*columns))
-    return found.distinct().collect()
+             change: Callable[..., DataFrame], **join) -> DataFrame:
+    """Partitions with a row that a source key matches, and those that changed and new rows go to.
+
+    ``change`` of the matching rows alone says where rows go; it needs the keys and these columns only.
+    """
+    narrow = target.select(*[F.col(f"`{c}`") for c in dict.fromkeys([*keys, *columns])])
+    hit = _matched(narrow, source, keys, **join)
+    places = [F.col(f"`{c}`") for c in columns]
+    return hit.select(*places).unionByName(change(hit, **join).select(*places)).distinct()
 
 
 def _write_version(df: DataFrame, table: str, keys: Sequence[str],
-                   change: Callable[..., DataFrame], masks: Sequence[Sequence[str]], **join) -> str:
+                   change: Callable[..., DataFrame], **join) -> str:
     """Apply ``change`` to the table, or to no more than the partitions it can alter.
 
-    The source is measured first: one that fits in memory leaves the target unshuffled.
+    The source is measured first: one that fits in memory leaves the target unshuffled. So does a target
+    with buckets by the keys: the source is then dealt out like the buckets.
     """
     _need_keys(keys)
     spark = df.sparkSession
-    target, columns = spark.table(table), partition_columns(spark, table)
+    target, shown = spark.table(table), snapshot(spark, table)
     join = {"fits": fits_in_memory(df), **join}
+    if shown is not None:
+        touched = _touched(target, df, keys, shown.partitions, change, **join)
+        return change_snapshot(shown, touched, lambda part: as_target(change(part, **join), target))
+    columns = partition_columns(spark, table)
     if not columns:
-        return replace_table(_as_target(change(target, **join), target), table)
-    touched = _touched(target, df, keys, columns, masks, **join)
+        buckets = bucketing(spark, table)
+        if buckets and buckets[1] == list(keys) and not join["fits"]:
+            join["spread"] = buckets[0]
+        return replace_table(as_target(change(target, **join), target), table)
+    touched = _touched(target, df, keys, columns, change, **join).collect()
     part = in_partitions(target, columns, touched)
-    return replace_partitions(_as_target(change(part, **join), target), table, columns, touched)
+    return replace_partitions(as_target(change(part, **join), target), table, columns, touched)
 
 
 def write_update(df: DataFrame, table: str, keys: Sequence[str], order_by: Sequence[str] = (),
@@ -197,14 +209,11 @@ def write_update(df: DataFrame, table: str, keys: Sequence[str], order_by: Seque
                  updatable: Sequence[str] | None = None, **options) -> str:
     """Update matching rows of a table; of a partitioned one only the partitions that hold any."""
     source = with_added(df, add_cols)
-    columns = partition_columns(df.sparkSession, table)
-    moved = any(c in with_masks(source, updatable) and c not in keys and c in source.columns
-                for c in columns)
 
     def change(target: DataFrame, **join) -> DataFrame:
         return updated(target, source, keys, order_by, updatable, **join)
 
-    return _write_version(source, table, keys, change, [list(source.columns)] if moved else [], **options)
+    return _write_version(source, table, keys, change, **options)
 
 
 def write_upsert(df: DataFrame, table: str, keys: Sequence[str], order_by: Sequence[str] = (),
@@ -219,10 +228,7 @@ def write_upsert(df: DataFrame, table: str, keys: Sequence[str], order_by: Seque
             return upserted(target, source, keys, order_by, insertable, **join)
         return inserted_or_updated(target, source, keys, order_by, on_duplicate, insertable, **join)
 
-    masks = [with_masks(source, insertable)]
-    if on_duplicate is not None:
-        masks.append(list(on_duplicate))
-    return _write_version(source, table, keys, change, masks, **options)
+    return _write_version(source, table, keys, change, **options)
 
 
 def write_jdbc(df: DataFrame, url: str, table: str, properties: Mapping[str, str] | None = None,
@@ -250,6 +256,19 @@ def as_table(df: DataFrame, name: str, partition_by: Sequence[str] = (),
     return table
 
 
+def as_bucketed(df: DataFrame, name: str, keys: Sequence[str], buckets: int, path: str | None = None) -> DataFrame:
+    """Write ``df`` as a table in buckets by ``keys``, sorted within them.
+
+    Upserts by these keys, and joins on them, then leave the table where it is and shuffle only the other side.
+    Rows are dealt out by key first, so a bucket is one file.
+    """
+    _need_keys(keys)
+    dealt = df.repartition(buckets, *[F.col(f"`{k}`") for k in keys])
+    writer = bucketed_writer(dealt.write.mode("overwrite"), buckets, keys, keys)
+    (writer.option("path", path) if path else writer).saveAsTable(name)
+    return df.sparkSession.table(name)
+
+
 def newer_than(df: DataFrame, target: DataFrame, since: str, lookback: Column | None = None) -> DataFrame:
     """Rows from the target's high-water mark on, or from ``lookback`` (a duration or number) before it,
     and rows without a time; all rows if the target has no mark."""
@@ -279,36 +298,74 @@ def unkeyed_table(table: str) -> str:
     return f"{table}_unkeyed"
 
 
-def as_incremental(df: DataFrame, table: str, keys: Sequence[str], since: str, lookback: Column | None = None) -> DataFrame:
-    """Create the table on the first run; later upsert the rows that are new to it.
+def split_unkeyed(df: DataFrame, table: str, keys: Sequence[str], since: str | None) -> DataFrame:
+    """The rows of ``df`` with a null key that are to be added to ``table``; late ones go to its reject.
 
-    Rows at the mark, and with ``lookback`` some time before it, are taken again, which changes nothing:
-    a row replaces what the table holds for its key only if it is not older. A row with a null key replaces
-    nothing. Of those, whatever their time, the rows are new that neither the table nor its reject,
-    ``unkeyed_table``, holds in all columns (copies count, so what comes again must come whole): past the
-    mark they are added; at it, behind it or without a time they are returned in the reject, which is made
-    when first needed.
+    Such a row replaces nothing. Those are new that neither the table nor its reject, ``unkeyed_table``, holds
+    in all columns: past the table's mark, the greatest ``since``, they are returned; at it, behind it or without a time
+    they are put in the reject, which is made when first needed. Copies within ``df`` count one by one, so
+    what comes again must come whole.
     """
     spark = df.sparkSession
-    if not spark.catalog.tableExists(table):
-        return as_table(upserted(df.limit(0), df, keys, [since]), table)
     target, reject = spark.table(table), unkeyed_table(table)
-    mark = target.agg(F.max(since).alias("mark")).scalar()
     missing = reduce(lambda a, b: a | b, [F.col(f"`{k}`").isNull() for k in keys])
     held = target.filter(missing)
     if spark.catalog.tableExists(reject):
         held = held.unionByName(spark.table(reject))
-    unkeyed = beyond(_as_target(df.filter(missing), target), held)
+    unkeyed = beyond(as_target(df.filter(missing), target), held)
+    if since is None:
+        return unkeyed
+    mark = target.agg(F.max(f"`{since}`").alias("mark")).scalar()
     past = mark.isNull() | F.coalesce(F.col(f"`{since}`") > mark, F.lit(False))
     late = unkeyed.filter(~past)
     if not late.isEmpty():  # before the table, and with it the mark, moves
         late.write.mode("append").saveAsTable(reject)
-    fresh = not_older(newer_than(df, target, since, lookback).filter(~missing), target, keys, [since])
-    write_upsert(_as_target(fresh, target).unionByName(unkeyed.filter(past)), table, keys, [since])
+    return unkeyed.filter(past)
+
+
+def as_incremental(df: DataFrame, table: str, keys: Sequence[str], since: str, lookback: Column | None = None) -> DataFrame:
+    """Create the table on the first run; later upsert the rows that are new to it.
+
+    Rows at the mark, and with ``lookback`` some time before it, are taken again, which changes nothing:
+    a row replaces what the table holds for its key only if it is not older. Rows with a null key are taken, whatever
+    their time, as in ``split_unkeyed``.
+    """
+    spark = df.sparkSession
+    if not spark.catalog.tableExists(table):
+        return as_table(upserted(df.limit(0), df, keys, [since]), table)
+    target = spark.table(table)
+    unkeyed = split_unkeyed(df, table, keys, since)
+    keyed = df.dropna(how="any", subset=list(keys))
+    fresh = not_older(newer_than(keyed, target, since, lookback), target, keys, [since])
+    write_upsert(as_target(fresh, target).unionByName(unkeyed), table, keys, [since])
     return spark.table(table)
 
 
+def write_run(df: DataFrame, table: str, tags: Mapping[str, str]) -> None:
+    """Put the rows of one run in a table, tagged, in place of what it holds of that run.
+
+    A run repeated after a failure, or by mistake, leaves the table as one run does. Of a table
+    partitioned by the tags only the run's partition is written, in one step; any other is rewritten if it
+    holds rows of the run, else appended to. A table that does not exist is made with such partitions.
+    """
+    spark, names = df.sparkSession, list(tags)
+    tagged = df.withColumns({c: F.lit(v) for c, v in tags.items()})
+    if not spark.catalog.tableExists(table):
+        tagged.write.partitionBy(*names).saveAsTable(table)
+        return
+    target = spark.table(table)
+    shaped = as_target(tagged, target)
+    if partition_columns(spark, table) == names:
+        run = [Row(**{c: tags[c] for c in names})]
+        replace_partitions(shaped, table, names, run)
+        return
+    same = reduce(lambda a, b: a & b, [F.col(f"`{c}`") == v for c, v in tags.items()])
+    if target.filter(same).isEmpty():
+        shaped.write.insertInto(table)
+    else:
+        replace_table(target.filter(~F.coalesce(same, F.lit(False))).unionByName(shaped), table)
+
+
 def quarantine(reject: DataFrame, table: str, source: str, run: str) -> None:
-    """Add rejected rows to an error table, tagged with where and when they failed."""
-    tagged = reject.withColumns({"source": F.lit(source), "run": F.lit(run)})
-    tagged.write.mode("append").saveAsTable(table)
+    """Add rejected rows to an error table, tagged with where and when they failed; a run counts once."""
+    write_run(reject, table, {"source": source, "run": run})

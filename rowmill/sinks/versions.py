@@ -2,8 +2,9 @@
 
 A table, or a partition of it, moves to its new files by a change of its location in the catalogue.
 Until then readers see the old version, and a lost executor or a failed write changes nothing. A whole
-table moves at once; partitions move one by one, so a driver lost between two leaves some old and
-some new. Old files stay for readers under way; the caller removes them when it likes.
+table moves at once, buckets and all; partitions move one by one, so a driver lost between two leaves some old and
+some new (``snapshots`` holds partitioned tables that change in one step). Old files stay for readers under
+way; the caller removes them when it likes.
 """
 
 from __future__ import annotations
@@ -14,13 +15,27 @@ from collections.abc import Sequence
 from functools import reduce
 from urllib.parse import unquote
 
-from pyspark.sql import Column, DataFrame, Row, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, DataFrameWriter, Row, SparkSession, functions as F
 
 
 def partition_columns(spark: SparkSession, table: str) -> list[str]:
     return [c.name for c in spark.catalog.listColumns(table) if c.isPartition]
 
 
+def bucketing(spark: SparkSession, table: str) -> tuple[int, list[str], list[str]] | None:
+    """Number of buckets, the columns they go by and those they are sorted by; None for a table without buckets."""
+    said = {r["col_name"]: r["data_type"] for r in spark.sql(f"DESCRIBE TABLE EXTENDED {table}").filter(
+        "col_name IN ('Num Buckets', 'Bucket Columns', 'Sort Columns')").collect()}
+    if "Num Buckets" not in said:
+        return None
+    return int(said["Num Buckets"]), *(re.findall("`([^`]+)`", said.get(n, "")) for n in ("Bucket Columns", "Sort Columns"))
+
+
+def bucketed_writer(writer: DataFrameWriter, buckets: int, by: Sequence[str], sort: Sequence[str]) -> DataFrameWriter:
+    cut = writer.bucketBy(buckets, *by)
+    return cut.sortBy(*sort) if sort else cut
+
+
 def table_location(spark: SparkSession, table: str) -> str:
     rows = spark.sql(f"DESCRIBE TABLE EXTENDED {table}").filter("col_name = 'Location'")
     return rows.first()["data_type"]
@@ -43,9 +58,15 @@ def _quoted(path: str) -> str:
 def replace_table(df: DataFrame, table: str) -> str:
     """Make ``df`` the whole content of the table; returns the folder of the old version."""
     spark = df.sparkSession
-    old = table_location(spark, table)
+    old, buckets = table_location(spark, table), bucketing(spark, table)
     new = _beside(old)
-    df.write.format(table_format(spark, table)).save(new)
+    writer = df.write.format(table_format(spark, table))
+    if buckets is None:
+        writer.save(new)
+    else:  # files know their bucket only if they are written as a table's
+        made = f"{table}__v_{uuid.uuid4().hex}"
+        bucketed_writer(writer.option("path", new), *buckets).saveAsTable(made)
+        spark.sql(f"DROP TABLE {made}")
     spark.sql(f"ALTER TABLE {table} SET LOCATION '{_quoted(new)}'")
     spark.catalog.refreshTable(table)
     return old
