@@ -1,7 +1,7 @@
 """Catalogue of ETL job files: a table of ``(job, xml)`` in, component and link tables out.
 
 Spark's XML function parses each file into one nested row; every table below is an explode of it, so
-the catalogue of a large corpus shuffles only for lineage and census. Parsing is the cost: to build
+the catalogue of a large corpus shuffles only for the census. Parsing is the cost: to build
 several tables, write ``parse_jobs`` to a table once and start from that.
 """
 
@@ -9,8 +9,6 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from rowmill.session import use_shared_checkpoints
-
 # Element and attribute names of the job file format.
 _COLUMNS = """array<struct<_name:string, _type:string, _length:int, _precision:int,
   _nullable:boolean, _key:boolean>>"""
@@ -177,22 +175,25 @@ def column_changes(jobs: DataFrame) -> DataFrame:
 def lineage(jobs: DataFrame) -> DataFrame:
     """``(job, source, target, distance)``: everything reachable, by its shortest path.
 
-    Each round extends the newest pairs by one link and keeps the pairs not reached before, so a
-    pair is never walked twice and cycles end. Rounds are checkpointed in the shared folder.
+    A job's row holds all its links, so the closure is worked out within the row, without a shuffle: from each
+    source the newest targets go one link further, round by round, and targets reached before are left out, so
+    cycles end. A component that a cycle leads back to is reached from itself.
     """
-    spark = jobs.sparkSession
-    use_shared_checkpoints(spark)
-    edges = links(jobs).select("job", "source", "target").distinct().checkpoint()
-    steps = edges.select("job", F.col("source").alias("target"), F.col("target").alias("next"))
-    newest = edges.withColumn("distance", F.lit(1))
-    reached = newest
-    while not newest.isEmpty():
-        further = (newest.join(steps, ["job", "target"])
-                   .select("job", "source", F.col("next").alias("target"),
-                           (F.col("distance") + 1).alias("distance")).distinct())
-        newest = further.join(reached, ["job", "source", "target"], "left_anti").checkpoint()
-        reached = reached.unionByName(newest)
-    return reached
+    edges = F.array_distinct(F.transform(F.filter("connection", lambda c: c["_source"].isNotNull() & c["_target"].isNotNull()),
+                                         lambda c: F.struct(c["_source"].alias("source"), c["_target"].alias("target"))))
+    rows = jobs.select("job", edges.alias("edges"))
+    rows = rows.select("job", "edges", F.explode_outer(F.array_distinct(F.col("edges.source"))).alias("source"))
+    rows = rows.filter(F.col("source").isNotNull())
+    # The next targets are worked out once and then used twice.
+    onward = """transform(array(array_distinct(transform(
+            filter(edges, e -> array_contains(acc.newest, e.source) AND NOT array_contains(acc.reached.target, e.target)), e -> e.target))),
+        next -> named_struct('reached', concat(acc.reached, transform(next, t -> named_struct('target', t, 'distance', d))), 'newest', next))[0]"""
+    reached = F.expr(f"""aggregate(sequence(1, size(array_distinct(edges.target))),
+        named_struct('reached', CAST(array() AS array<struct<target:string,distance:int>>), 'newest', array(source)),
+        (acc, d) -> IF(size(acc.newest) = 0, acc, {onward}), acc -> acc.reached)""")
+    pairs = rows.select("job", "source", reached.alias("reached"))
+    pairs = pairs.select("job", "source", F.explode_outer("reached").alias("r")).filter(F.col("r").isNotNull())
+    return pairs.select("job", "source", "r.target", "r.distance")
 
 
 def dangling_outputs(jobs: DataFrame) -> DataFrame:

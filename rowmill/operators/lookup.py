@@ -7,6 +7,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, functions as F
 
 from rowmill.operators.dedupe import first_per_key
+from rowmill.operators.nearness import close_pairs, similar_by_minhash
 from rowmill.operators.skew import (
     HOT_ROWS, MAX_BYTES, MAX_ROWS, fits_in_memory, join_unique)
 
@@ -29,43 +30,10 @@ def lookup(main: DataFrame, lk: DataFrame, on: Mapping[str, str], order_by: Sequ
                        fits).drop(*keys)
 
 
-def _deletions(text: Column, limit: int) -> Column:
-    """Hashes of the text with up to ``limit`` characters left out.
-
-    Two texts within edit distance ``limit`` share one of them, so equal hashes find every match.
-    """
-    def shorter(s: Column) -> Column:
-        one_less = F.transform(F.sequence(F.lit(1), F.length(s)),
-                               lambda i: F.concat(F.left(s, i - 1), F.substr(s, i + 1)))
-        return F.when(F.length(s) > 0, one_less).otherwise(F.array().cast("array<string>"))
-
-    levels = [F.array(text)]
-    for _ in range(limit):
-        levels.append(F.array_distinct(F.flatten(F.transform(levels[-1], shorter))))
-    return F.array_distinct(F.transform(F.concat(*levels), lambda s: F.xxhash64(s)))
-
-
 def _values(df: DataFrame, col: str, name: str) -> DataFrame:
     return df.select(F.col(col).alias(name)).filter(F.col(name).isNotNull()).distinct()
 
 
-def close_pairs(left: DataFrame, right: DataFrame, left_col: str, right_col: str,
-                limit: int) -> DataFrame:
-    """``(left_value, right_value, distance)`` of all distinct values within an edit distance.
-
-    Exact, and no block is paired off: only values with a common shortened form meet. Meant for
-    names and codes; the forms per value grow with its length to the power of ``limit``.
-    """
-    def signed(df: DataFrame, name: str) -> DataFrame:
-        return df.select(name, F.explode_outer(_deletions(F.col(name), limit)).alias("__form"))
-
-    a = signed(_values(left, left_col, "left_value"), "left_value")
-    b = signed(_values(right, right_col, "right_value"), "right_value")
-    within = F.levenshtein("left_value", "right_value", limit)
-    return (a.join(b, "__form").select("left_value", "right_value", within.alias("distance"))
-            .filter(F.col("distance") >= 0).distinct())
-
-
 def tokens(text: Column, ngram: int | None = None) -> Column:
     """Distinct words of a text, or its distinct character n-grams."""
     if ngram is None:
@@ -76,15 +44,19 @@ def tokens(text: Column, ngram: int | None = None) -> Column:
 
 
 def similar_pairs(left: DataFrame, right: DataFrame, left_col: str, right_col: str,
-                  threshold: float, ngram: int | None = None) -> DataFrame:
+                  threshold: float, ngram: int | None = None, recall: float | None = None) -> DataFrame:
     """``(left_value, right_value, score)`` of all distinct values with enough common tokens.
 
+    With ``recall`` pairs are found by MinHash instead, each with that chance or better, for sets whose tokens are all common.
+
     Exact prefix filter: with tokens ordered from rare to common, two sets of overlap t share a
     token among the first n - ceil(t n) + 1 of each, so common tokens rarely join anything. A pair
     goes on only if the tokens from its first shared one can still add up to the threshold.
     """
     if not 0 < threshold <= 1:
         raise ValueError("threshold must lie in (0, 1]")
+    if recall is not None:
+        return similar_by_minhash(left, right, left_col, right_col, threshold, tokens(F.col("value"), ngram), recall)
     both = (_values(left, left_col, "value").withColumn("side", F.lit("left"))
             .unionByName(_values(right, right_col, "value").withColumn("side", F.lit("right"))))
     sets = both.select("side", "value", tokens(F.col("value"), ngram).alias("words"))
@@ -123,11 +95,11 @@ def similar_pairs(left: DataFrame, right: DataFrame, left_col: str, right_col: s
 
 def fuzzy_lookup(main: DataFrame, lk: DataFrame, main_col: str, lk_col: str,
                  order_by: Sequence[str | Column], levenshtein: int = 0, jaccard: float = 0.0,
-                 ngram: int | None = None) -> DataFrame:
+                 ngram: int | None = None, recall: float | None = None) -> DataFrame:
     """Main rows with the lookup row of the closest value, null where none is close enough.
 
     Closest is the least edit distance or the highest token overlap; a tie goes to the value that
-    sorts first. Thresholds of 0 mean an exact lookup.
+    sorts first. Thresholds of 0 mean an exact lookup; ``recall`` is that of ``similar_pairs``.
     """
     if not levenshtein and not jaccard:
         return lookup(main, lk, {main_col: lk_col}, order_by)
@@ -137,7 +109,7 @@ def fuzzy_lookup(main: DataFrame, lk: DataFrame, main_col: str, lk_col: str,
         pairs = close_pairs(main, lk, main_col, lk_col, levenshtein)
         rank = F.struct(F.col("distance"), F.col("right_value"))
     else:
-        pairs = similar_pairs(main, lk, main_col, lk_col, jaccard, ngram)
+        pairs = similar_pairs(main, lk, main_col, lk_col, jaccard, ngram, recall)
         rank = F.struct(-F.col("score"), F.col("right_value"))
     best = (pairs.groupBy("left_value").agg(F.min(rank).alias("best"))
             .select(F.col("left_value").alias("__left"),

@@ -127,3 +127,27 @@ def _fuzzy_lookup_jaccard(spark, d):
                                         F.col("p_name").alias("match_name"))
     return L.fuzzy_lookup(_typos(spark, d), lk, "typed", "match_name", ["match_key"], jaccard=0.6,
                           ngram=2)
+
+
+@query("similar_minhash")
+def _similar_minhash(spark, d):
+    """The pairs of ``fuzzy_pairs_jaccard`` by MinHash; a test holds its recall against the exact rows."""
+    pages = table(spark, d, "pages")
+    return L.similar_pairs(pages, pages, "url", "url", 0.6, ngram=3, recall=0.97)
+
+
+# DuckDB's distance counts bytes, so other signs than ASCII are replaced.
+_LONG = """long AS (SELECT DISTINCT regexp_replace(substring(text, 1, 200), '[^ -~]', '_', 'g') AS value FROM documents
+        WHERE length(text) >= 200),
+    edited AS (SELECT value, substring(value, 1, 50) || 'x' || substring(value, 52, 70) || substring(value, 124) AS typed FROM long)"""
+
+
+@query("fuzzy_pairs_lev_long", f"""WITH {_LONG} SELECT typed AS left_value, l.value AS right_value,
+    CAST(levenshtein(typed, l.value) AS INTEGER) AS distance
+    FROM (SELECT DISTINCT typed FROM edited) e, long l WHERE levenshtein(typed, l.value) <= 3""")
+def _fuzzy_pairs_lev_long(spark, d):
+    """Beginnings of texts, 200 characters each, with one character replaced and two left out."""
+    value = F.regexp_replace(F.substring("text", 1, 200), "[^ -~]", "_")
+    long = table(spark, d, "documents").filter(F.length("text") >= 200).select(value.alias("value")).distinct()
+    typed = long.select(F.concat(F.substring("value", 1, 50), F.lit("x"), F.substring("value", 52, 70), F.expr("substring(value, 124)")).alias("typed"))
+    return L.close_pairs(typed, long, "typed", "value", 3)

@@ -6,6 +6,7 @@ from datetime import datetime
 
 from pyspark.sql import functions as F, types as T
 
+from rowmill.functions.sqltests import register_tests
 from rowmill.operators import checks as C, summary
 from rowmill.operators.compliance import (
     ColumnRule, compliance, positional_rules, rules_from_schema, tag_compliance)
@@ -230,3 +231,29 @@ AS_OF = datetime(2024, 2, 1)
     FROM (SELECT max(ts) AS newest, TIMESTAMP '2024-02-01 00:00:00' AS as_of FROM events)""")
 def _freshness(spark, d):
     return summary.freshness(table(spark, d, "events"), "ts", F.lit(AS_OF))
+
+
+def _by_sql(spark, d, test: str):
+    """Failing rows of ``raw_people`` by a table function in SQL."""
+    register_tests(spark)
+    return spark.sql("SELECT people.* FROM {people} AS people, LATERAL " + test + " AS test WHERE test.failing", people=raw_people(spark, d))
+
+
+@query("sql_is_numeric", f"""WITH {RAW_PEOPLE} SELECT * FROM raw_people WHERE NOT regexp_matches("SAL", '^-?\\d+$')""")
+def _sql_is_numeric(spark, d):
+    return _by_sql(spark, d, "is_numeric(people.SAL)")
+
+
+@query("sql_is_valid_timestamp", f"""WITH {RAW_PEOPLE} SELECT * FROM raw_people
+    WHERE NOT regexp_matches("BORN" || ' 08:30:00', '^\\d{{4}}-\\d{{2}}-\\d{{2}} \\d{{2}}:\\d{{2}}:\\d{{2}}$')""")
+def _sql_is_valid_timestamp(spark, d):
+    return _by_sql(spark, d, "is_valid_timestamp(concat(people.BORN, ' 08:30:00'))")
+
+
+@query("sql_accepted_values", """SELECT o_orderkey, o_orderstatus, o_orderpriority FROM orders
+    WHERE o_orderstatus NOT IN ('F', 'O')""")
+def _sql_accepted_values(spark, d):
+    register_tests(spark)
+    orders = table(spark, d, "orders").select("o_orderkey", "o_orderstatus", "o_orderpriority")
+    return spark.sql("""SELECT o.* FROM {orders} AS o, LATERAL accepted_values(o.o_orderstatus, array('F', 'O')) AS test
+        WHERE test.failing""", orders=orders)

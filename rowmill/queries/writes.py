@@ -13,6 +13,7 @@ from rowmill.queries.fixtures import (
     CUSTOMER_CHANGES, RAW_PEOPLE, customer_changes, raw_people, table)
 from rowmill.session import scratch_path
 from rowmill.sinks import tables as W
+from rowmill.sinks.refusing import FileSink, write_to_sink
 from rowmill.sinks.snapshots import as_of, create_snapshot_table, roll_back
 from rowmill.streaming.incremental import load_new
 
@@ -333,3 +334,19 @@ def _sink_quarantine(spark, d):
 def _high_water(spark, d):
     events = table(spark, d, "events").select("event_id", "ts", "event_type")
     return W.newer_than(events, events.filter("event_type = 'error'"), "ts").drop("event_type")
+
+
+@query("sink_refused", """SELECT *, 'taken' AS place, NULL AS "errorMessage" FROM customer
+    WHERE c_acctbal >= 100
+    UNION ALL SELECT *, 'refused', c_name || ' holds too little' FROM customer WHERE c_acctbal < 100""")
+def _sink_refused(spark, d):
+    """A sink with a rule that only it knows: what it took, and what it gave back."""
+    customers, folder = table(spark, d, "customer"), scratch_path(spark, "sink")
+
+    def refuse(row):
+        return ("99", f"{row.c_name} holds too little") if row.c_acctbal < 100 else None
+
+    back = write_to_sink(customers, FileSink(folder, customers.schema, refuse))
+    taken = spark.read.schema(customers.schema).parquet(folder)
+    return (taken.withColumns({"place": F.lit("taken"), "errorMessage": F.lit(None).cast("string")})
+            .unionByName(back.drop("errorCode").withColumn("place", F.lit("refused"))))
