@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import ctypes
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -67,13 +67,18 @@ def slices(batches: Iterator[pa.RecordBatch], rows: int = 1000, keep: bool = Fal
             yield batch.slice(at, rows)
 
 
+def spans(sizes: Iterable[int], limit: int) -> Iterator[tuple[int, int]]:
+    """Cut a list of sizes into ranges of about ``limit`` in all; a larger one stands alone."""
+    start, held, i = 0, 0, -1
+    for i, size in enumerate(sizes):
+        if held and held + size > limit:
+            yield start, i
+            start, held = i, 0
+        held += size
+    if start <= i:
+        yield start, i + 1
+
+
 def by_bytes(texts: list, limit: int) -> Iterator[tuple[int, int]]:
     """Cut a list into ranges of about ``limit`` bytes; a longer text stands alone."""
-    start = size = 0
-    for i, text in enumerate(texts):
-        if size and size + len(text) > limit:
-            yield start, i
-            start, size = i, 0
-        size += len(text)
-    if start < len(texts):
-        yield start, len(texts)
+    return spans(map(len, texts), limit)
