@@ -21,7 +21,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from rowmill.llm.common import stored
+from rowmill.llm.common import by_place, stored
 
 # Beyond this a squared distance of 64 components would not fit 64 bits.
 MOST = 1 << 27
@@ -107,6 +107,7 @@ def nearest(nodes: list[Node], centroids: np.ndarray, vectors: np.ndarray) -> tu
 
 def vectors(df: DataFrame, dims: int, scale: int, vector: str, key: str) -> DataFrame:
     """(vec_id, v): the vectors that can be clustered, as integers."""
+    df = by_place(df, (key, vector))[0]
     x = F.col(f"`{vector}`").cast("array<double>")
     finite = F.forall(x, lambda v: F.coalesce(F.abs(v) < float("inf"), F.lit(False)))
     whole = F.transform(x, lambda v: F.when(F.abs(v) * scale < MOST, F.floor(v * scale).cast("int")).otherwise(

@@ -26,6 +26,22 @@ def stored(df: DataFrame, label: str, **options: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def by_place(df: DataFrame, own: Iterable[str], made: Iterable[str] = ()) -> tuple[DataFrame, dict[str, str]]:
+    """``df`` with its columns, but for ``own``, named by their place, and the names to give back by ``by_name``.
+
+    An operator's own helper columns then clash with none, and names with dots or signs need no quotes.
+    Columns named like those in ``made``, which the operator adds, are left out.
+    """
+    own, made = set(own), set(made)
+    places = [c if c in own else f"__c{i}" for i, c in enumerate(df.columns)]
+    kept = [p for p, c in zip(places, df.columns) if c in own or c not in made]
+    return df.toDF(*places).select(*kept), dict(zip(places, df.columns))
+
+
+def by_name(df: DataFrame, names: dict[str, str]) -> DataFrame:
+    return df.toDF(*[names.get(c, c) for c in df.columns])
+
+
 def order_id(name: str = "doc_id") -> Column:
     """The id as an order without nulls; a null id comes before all others."""
     return F.coalesce(F.col(name).cast("long"), F.lit(LOWEST))

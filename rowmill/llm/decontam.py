@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from rowmill.llm.common import by_bytes, remembered, slices
+from rowmill.llm.common import by_bytes, by_name, by_place, remembered, slices
 
 K1, B = 1.2, 0.75
 THRESHOLD = 0.6
@@ -256,6 +256,7 @@ def contamination(docs: DataFrame, items: DataFrame, index_bytes: int = INDEX_BY
     id. Repeated items count in the term statistics and are reported as often as their rows, repeated
     documents likewise. An empty table on either side gives no rows. Other columns are not read.
     """
+    docs = by_place(docs, ("doc_id", "text"))[0]
     schema = "doc_id long, item_id long, score double, question_overlap double, answer_overlap double"
     out = docs.sparkSession.createDataFrame([], schema)
     for shared in blocks(items, index_bytes, whole=whole):
@@ -275,11 +276,12 @@ def contamination(docs: DataFrame, items: DataFrame, index_bytes: int = INDEX_BY
 
 def decontaminate(docs: DataFrame, items: DataFrame, index_bytes: int = INDEX_BYTES, whole: bool = False) -> DataFrame:
     """The rows of ``docs`` that hold no item, columns as they are; ``whole`` as in ``contamination``."""
+    plain, names = by_place(docs, ("text",))
     for shared in blocks(items, index_bytes, whole=whole):
         def run(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
             for batch in slices(batches, keep=True):
                 hit = {i for i, _ in found_in(shared, batch.column("text").to_pylist())}
                 yield batch.filter(pa.array([i not in hit for i in range(batch.num_rows)], pa.bool_()))
 
-        docs = docs.mapInArrow(run, docs.schema)
-    return docs
+        plain = plain.mapInArrow(run, plain.schema)
+    return by_name(plain, names)

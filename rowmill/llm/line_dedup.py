@@ -23,12 +23,13 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rowmill.llm.common import order_id, slices, stored, utf8
+from rowmill.llm.common import by_name, by_place, order_id, slices, stored, utf8
 
 MIN_CHARS, MIN_DOCS = 40, 5
 SPACES = b" \t\n\x0b\f\r"
 SLOTS, MARK_BYTES, LOAD, KICKS = 4, 2, 0.8, 500
 SHARD_KEYS = 1 << 18
+MOST_CHANGES = 16
 FILTER_BYTES = 64 * 1024 * 1024
 _LOW = bytes.maketrans(b"ABCDEFGHIJKLMNOPQRSTUVWXYZ", b"abcdefghijklmnopqrstuvwxyz")
 _MIX = np.uint64(0x9E3779B97F4A7C15)
@@ -136,7 +137,7 @@ def references(df: DataFrame, min_chars: int = MIN_CHARS) -> DataFrame:
             yield pa.RecordBatch.from_arrays([pa.array(halves[:, 0]), pa.array(halves[:, 1]), pa.array(owners, pa.int64())],
                                              names=["hi", "lo", "doc"])
 
-    rows = df.select(order_id().alias("doc"), F.col("text").cast("string").alias("text"))
+    rows = by_place(df, ("doc_id", "text"))[0].select(order_id().alias("doc"), F.col("text").cast("string").alias("text"))
     return rows.mapInArrow(run, "hi long, lo long, doc long").distinct()
 
 
@@ -148,8 +149,8 @@ def counts(refs: DataFrame, min_docs: int = MIN_DOCS) -> DataFrame:
 class LineIndex:
     """References, exact counts and filters of a corpus, kept in the shared folder.
 
-    ``insert`` and ``delete`` take documents and change all three; each writes new tables beside the
-    old ones, so a failed call leaves the index as it was. ``clean`` drops repeated lines from texts.
+    ``insert`` and ``delete`` take documents and change all three; each writes what is new beside the
+    old tables, so a failed call leaves the index as it was. ``clean`` drops repeated lines from texts.
     """
 
     def __init__(self, spark: SparkSession, min_chars: int = MIN_CHARS, min_docs: int = MIN_DOCS,
@@ -157,22 +158,38 @@ class LineIndex:
         self.spark, self.min_chars, self.min_docs = spark, min_chars, min_docs
         self.shard_keys, self.filter_bytes = shard_keys, filter_bytes
         self.refs = self.common = self.filters = None
-        self.shards = self.n_keys = 0
+        self.shards = self.n_keys = self.changes = 0
+
+    def _empty(self) -> DataFrame:
+        return self.spark.createDataFrame([], "hi long, lo long, doc long")
 
     def insert(self, df: DataFrame) -> LineIndex:
-        """Add documents; a doc_id that is there already gains the lines it did not have."""
-        new = references(df, self.min_chars)
-        refs = new if self.refs is None else self.refs.unionByName(new).distinct()
-        return self._move(refs)
+        """Add documents; a doc_id that is there already gains the lines it did not have.
 
-    def delete(self, ids: DataFrame) -> LineIndex:
-        """Take out the documents with these ids, with all their references."""
-        gone = ids.select(order_id().alias("doc")).distinct()
-        return self._move(self.refs.join(gone, "doc", "left_anti"))
+        Only the new references are written, beside the others, and only their keys are counted again.
+        """
+        new = stored(references(df, self.min_chars), "line-references")
+        refs = new if self.refs is None else self.refs.unionByName(new)
+        return self._move(refs, new.select("hi", "lo").distinct())
 
-    def _move(self, refs: DataFrame) -> LineIndex:
-        refs = stored(refs, "line-references")
-        common = stored(counts(refs, self.min_docs), "line-counts")
+    def delete(self, ids: DataFrame) -> LineIndex:
+        """Take out the documents with these ids, with all their references. Only the ids are written."""
+        gone = stored(ids.select(order_id().alias("doc")).distinct(), "line-deletions")
+        held = self._empty() if self.refs is None else self.refs
+        touched = stored(held.join(gone, "doc", "left_semi").select("hi", "lo").distinct(), "line-touched")
+        return self._move(held.join(gone, "doc", "left_anti"), touched)
+
+    def _move(self, refs: DataFrame, touched: DataFrame) -> LineIndex:
+        """Take ``refs``, of which the keys ``touched`` have changed. Many changes one above another are written as one."""
+        self.changes += 1
+        if self.changes % MOST_CHANGES == 0:
+            refs = stored(refs.distinct(), "line-references")
+        if self.common is None:
+            counted = counts(refs, self.min_docs)
+        else:
+            again = counts(refs.join(touched, ["hi", "lo"], "left_semi").distinct(), self.min_docs)
+            counted = self.common.join(touched, ["hi", "lo"], "left_anti").unionByName(again)
+        common = stored(counted, "line-counts")
         n = common.count()
         rebuilt = self.filters is None or n > self.shards * self.shard_keys
         if rebuilt:
@@ -236,7 +253,9 @@ class LineIndex:
         return refs.mapInArrow(run, "hi long, lo long, doc long")
 
     def drops(self, refs: DataFrame) -> DataFrame:
-        """(doc, keys): the line keys that each document loses, as 16-byte values."""
+        """(doc, keys): the line keys that each document loses, as 16-byte values; none by an index without documents."""
+        if self.common is None:
+            self._move(self._empty(), self._empty().select("hi", "lo"))
         both = self.asked(refs).join(self.common, ["hi", "lo"]).filter(F.col("doc") < F.col("last"))
         key = F.concat(F.to_binary(F.lpad(F.hex("hi"), 16, "0"), F.lit("hex")), F.to_binary(F.lpad(F.hex("lo"), 16, "0"), F.lit("hex")))
         return both.groupBy("doc").agg(F.collect_list(key).alias("keys"))
@@ -252,11 +271,12 @@ class LineIndex:
         then serve for its lines.
         """
         min_chars = self.min_chars
-        drops = self.drops(self.refs if indexed else references(df, min_chars))
-        kept = [f.name for f in df.schema.fields if f.name not in ("n_lines", "n_dropped")]
-        joined = df.select(*kept, order_id().alias("__doc")).join(
+        plain, outer = by_place(df, ("doc_id", "text"), ("n_lines", "n_dropped"))
+        drops = self.drops(self.refs if indexed and self.refs is not None else references(plain, min_chars))
+        kept = plain.columns
+        joined = plain.select(*kept, order_id().alias("__doc")).join(
             drops.select(F.col("doc").alias("__doc"), F.col("keys").alias("__keys")), "__doc", "left")
-        schema = df.select(*kept).schema.add("n_lines", "long").add("n_dropped", "long")
+        schema = plain.schema.add("n_lines", "long").add("n_dropped", "long")
 
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for batch in slices(batches):
@@ -277,7 +297,7 @@ class LineIndex:
                 yield pa.RecordBatch.from_arrays([*columns.values(), pa.array(lines, pa.int64()), pa.array(dropped, pa.int64())],
                                                  names=[*columns, "n_lines", "n_dropped"])
 
-        return joined.select(*kept, "__keys").mapInArrow(run, schema)
+        return by_name(joined.select(*kept, "__keys").mapInArrow(run, schema), outer)
 
 
 def dedup_lines(df: DataFrame, min_chars: int = MIN_CHARS, min_docs: int = MIN_DOCS) -> DataFrame:

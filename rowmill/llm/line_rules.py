@@ -8,6 +8,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from rowmill.llm.common import by_name, by_place
+
 SPACES = " \t\n\x0b\f\r"
 SPACE_CLASS = r"[\x20\x09-\x0D]"
 SYMBOLS = "#*$%&|<>"
@@ -58,6 +60,9 @@ def n_chars(text: Column) -> Column:
     return F.length(F.translate(text, SPACES, "")).cast("long")
 
 
+ADDED = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "n_lines_failed", "clean_text", "lost", "kept")
+
+
 def line_fails(line: Column) -> Column:
     """True for a line with shouting or symbol runs, of a menu, of boilerplate, or a short one without an end."""
     short = (F.size(F.split(F.trim(F.translate(line, "\t\x0b\f\r", "    ")), " +")) <= SHORT_WORDS) & ~line.rlike(SENTENCE_END)
@@ -76,8 +81,9 @@ def clean_lines(df: DataFrame, text: str = "text", most_lost: float = MOST_LOST,
     without a word are neither judged nor removed. Rows are independent: repeated rows and ids give
     repeated results, an empty table none.
     """
-    body = F.coalesce(F.col(text).cast("string"), F.lit(""))
-    lines = df.withColumn("__text", body).withColumn("__lines", F.split("__text", "\n")).withColumn(
+    plain, names = by_place(df, (text,), ADDED)
+    body = F.coalesce(F.col(f"`{text}`").cast("string"), F.lit(""))
+    lines = plain.withColumn("__text", body).withColumn("__lines", F.split("__text", "\n")).withColumn(
         "__words", words_of(F.col("__text")))
     spoken = F.filter("__lines", lambda x: x.rlike(r"[^\x20\x09-\x0D]"))
     good = F.filter("__lines", lambda x: ~(x.rlike(r"[^\x20\x09-\x0D]") & line_fails(x)))
@@ -92,4 +98,4 @@ def clean_lines(df: DataFrame, text: str = "text", most_lost: float = MOST_LOST,
         "clean_text": F.array_join("__good", "\n")})
     lost = F.when(F.col("word_chars") > 0, 1 - n_chars(F.col("clean_text")) / F.col("word_chars")).otherwise(F.lit(0.0))
     judged = figures.withColumn("lost", lost).withColumn("kept", ~F.col("base_failed") & (F.col("lost") <= most_lost))
-    return judged.drop("__text", "__lines", "__words", "__spoken", "__good")
+    return by_name(judged.drop("__text", "__lines", "__words", "__spoken", "__good"), names)

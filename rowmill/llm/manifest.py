@@ -19,7 +19,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from rowmill.llm.common import stored
+from rowmill.llm.common import by_place, stored
 
 FIELDS = ("doc_id", "source", "lang", "n_chars", "text")
 SLOTS = 16
@@ -144,6 +144,7 @@ def manifest(df: DataFrame, fields: Sequence[str] = FIELDS, group: str = "lang",
     as they are found later: ``folded_root`` is computed from the row with those values, and ``verified`` says whether it is the
     root. An empty table has no root and gives no rows. Texts of any length are hashed whole. Columns beyond ``fields``, ``group`` and ``order`` are not read.
     """
+    df = by_place(df, {*fields, group, order})[0]
     now = [F.col(f"`{c}`") for c in fields]
     later = [(changed or {}).get(c, F.col(f"`{c}`")) for c in fields]
     differs = F.lit(False)

@@ -22,7 +22,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from rowmill.llm.common import remembered, slices, spans, stored
+from rowmill.llm.common import by_place, remembered, slices, spans, stored
 from rowmill.llm.tokens import BATCH_BYTES, JOINED, edges, encode
 
 GROUP_PIECES, POOL_PIECES = 20_000, 600_000
@@ -272,6 +272,7 @@ def pieces(df: DataFrame, path: str, window: int, end_id: int, text: str = "text
             yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns],
                                              names=["doc_id", "start", "length", "ids_crc32", "doc_tokens", "salt"])
 
+    df = by_place(df, (key, text))[0]
     return df.select(F.col(key).cast("long").alias(key), F.col(text).cast("string").alias(text)).mapInArrow(run, _PIECES)
 
 

@@ -15,6 +15,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from rowmill.llm.common import by_name, by_place
+
 ROUNDS = 10
 EMAIL = r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]{1,64}+@[A-Za-z0-9-]++(?:\.[A-Za-z0-9-]++)++"
 ISO_DATE = r"(?<![0-9-])[0-9]{4}-[0-9]{2}-[0-9]{2}(?![0-9]|-[0-9])"
@@ -186,11 +188,13 @@ def pseudonymize(df: DataFrame, key: str, text: str = "text") -> DataFrame:
     like one stay as they are. A null text stays null, with no values. Rows are independent: repeated rows
     and ids give equal results, an empty table none. A column named n_values is replaced; others pass.
     """
-    body = F.col(text).cast("string")
+    plain, names = by_place(df, (text,), ("n_values",))
+    body = F.col(f"`{text}`").cast("string")
     found = F.when(body.rlike("[0-9@]"), F.regexp_extract_all(body, F.lit(VALUES), F.lit(0))).otherwise(F.array().cast("array<string>"))
-    marked = df.withColumn("__values", F.coalesce(found, F.array().cast("array<string>")))
+    marked = plain.withColumn("__values", F.coalesce(found, F.array().cast("array<string>")))
     changed = marked.withColumn("__new", F.transform("__values", lambda v: pseudonym(v, key)))
     joined = F.array_join(F.zip_with(F.split(body, VALUES, -1), F.zip_with("__values", "__new", lambda v, n: F.coalesce(n, v)),
                                      lambda gap, v: F.concat(gap, F.coalesce(v, F.lit("")))), "")
-    return changed.withColumns({text: F.when(F.size("__values") > 0, joined).otherwise(body),
+    done = changed.withColumns({text: F.when(F.size("__values") > 0, joined).otherwise(body),
                                 "n_values": F.size(F.filter("__new", lambda n: n.isNotNull())).cast("long")}).drop("__values", "__new")
+    return by_name(done, names)

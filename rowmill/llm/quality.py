@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from rowmill.llm.common import order_id, slices, stored, utf8
+from rowmill.llm.common import by_place, order_id, slices, stored, utf8
 from rowmill.llm.toxicity import held_out
 
 SAMPLE_ROWS = 40_000
@@ -64,7 +64,7 @@ def described(docs: DataFrame, text: str = "text", key: str = "doc_id") -> DataF
             lists = pa.ListArray.from_arrays(pa.array(np.arange(0, len(values) + 1, len(FEATURES), dtype=np.int32)), pa.array(values))
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), lists], names=["doc_id", "figures"])
 
-    own = docs.select(F.col(f"`{key}`").alias("doc_id"), F.col(f"`{text}`").cast("string").alias("text"))
+    own = by_place(docs, (key, text))[0].select(F.col(f"`{key}`").alias("doc_id"), F.col(f"`{text}`").cast("string").alias("text"))
     return own.mapInArrow(run, own.select("doc_id").schema.add("figures", T.ArrayType(T.FloatType())))
 
 

@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from rowmill.llm.common import LOWEST, order_id, slices, stored, utf8
+from rowmill.llm.common import LOWEST, by_name, by_place, order_id, slices, stored, utf8
 
 SEED = 42
 SHINGLE = 3
@@ -203,7 +203,7 @@ def grouped(df: DataFrame, shingle: int, max_distance: int, seed: int, pair_limi
     """doc_id, text_hash, fingerprint, root (of the component) and first (its least id) of each row."""
     if not 0 <= max_distance <= MAX_DISTANCE:
         raise ValueError(f"the keys find fingerprints up to {MAX_DISTANCE} bits apart, not {max_distance}")
-    marked = stored(fingerprints(df, shingle, seed), "fingerprints")
+    marked = stored(fingerprints(by_place(df, ("doc_id", "text"))[0], shingle, seed), "fingerprints")
     marks = marked.groupBy("fingerprint").agg(F.min(order_id()).alias("least"))
     rooted = marks.withColumn("root", F.col("fingerprint"))
     if max_distance:
@@ -231,8 +231,9 @@ def near_duplicates(df: DataFrame, shingle: int = SHINGLE, max_distance: int = M
 def keep_one(df: DataFrame, shingle: int = SHINGLE, max_distance: int = MAX_DISTANCE, seed: int = SEED,
              pair_limit: int = PAIR_LIMIT) -> DataFrame:
     """One row of each group: that of the least doc_id, then of the least text hash; columns as they are."""
-    first = grouped(df, shingle, max_distance, seed, pair_limit).groupBy("root").agg(
+    plain, names = by_place(df, ("doc_id", "text"))
+    first = grouped(plain, shingle, max_distance, seed, pair_limit).groupBy("root").agg(
         F.min(F.struct(order_id().alias("id"), "text_hash")).alias("w")).select("w.id", "w.text_hash")
-    tagged = df.withColumns({"__id": order_id(), "__hash": F.xxhash64("text")})
+    tagged = plain.withColumns({"__id": order_id(), "__hash": F.xxhash64("text")})
     kept = tagged.join(first, (tagged["__id"] == first["id"]) & (tagged["__hash"] == first["text_hash"]), "left_semi")
-    return kept.dropDuplicates(["__id", "__hash"]).select(*df.columns)
+    return by_name(kept.dropDuplicates(["__id", "__hash"]).select(*plain.columns), names)

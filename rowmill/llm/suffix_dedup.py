@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from rowmill.llm.common import by_bytes, order_id, stored, utf8
+from rowmill.llm.common import by_bytes, by_place, order_id, stored, utf8
 
 LENGTH, GRAM = 50, 24
 SPAN = LENGTH - GRAM + 1
@@ -285,6 +285,7 @@ def remove_repeats(df: DataFrame, shard_bytes: int = SHARD_BYTES, hot_bytes: int
     others. Rows that share a doc_id remove nothing from each other. Texts under 50 bytes stay whole, an
     empty table gives no rows, other columns, whatever their names, are not read.
     """
+    df = by_place(df, ("doc_id", "text"))[0]
     docs = df.select("doc_id", order_id().alias("doc"), F.xxhash64("text").alias("hash"), F.col("text").cast("string").alias("text"))
     total = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     shards = 1 << max(4, (total // count_bytes).bit_length())

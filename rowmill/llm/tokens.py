@@ -16,9 +16,10 @@ from itertools import filterfalse
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from rowmill.llm.common import by_bytes, remembered, utf8
+from rowmill.llm.common import by_bytes, by_name, by_place, remembered, utf8
 
 BATCH_BYTES = 2 * 1024 * 1024
 REMEMBERED = 300_000
@@ -132,7 +133,8 @@ def count_tokens(df: DataFrame, path: str, text: str = "text", whole: bool = Fal
     ids, null ids and an empty table need no rule. Other columns pass through; a column that is
     already named n_bytes or n_tokens is replaced.
     """
-    kept = [f for f in df.schema.fields if f.name not in (text, "n_bytes", "n_tokens")]
+    plain, outer = by_place(df, (text,), ("n_bytes", "n_tokens"))
+    kept = [f for f in plain.schema.fields if f.name != text]
     schema = T.StructType([*kept, T.StructField("n_bytes", T.LongType()), T.StructField("n_tokens", T.LongType())])
     names = [f.name for f in kept]
 
@@ -142,7 +144,7 @@ def count_tokens(df: DataFrame, path: str, text: str = "text", whole: bool = Fal
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = Memory(lengths, most=0) if whole else memory("counts", path, word_counts(path))
         for batch in batches:
-            texts, counts = utf8(batch.column(text)), []
+            texts, counts = utf8(batch.column("__text")), []
             for start, end in by_bytes(texts, BATCH_BYTES):
                 lists = [[t] if whole else t.split() for t in texts[start:end]]
                 known.learn(lists)
@@ -151,4 +153,4 @@ def count_tokens(df: DataFrame, path: str, text: str = "text", whole: bool = Fal
                 [*(batch.column(n) for n in names), pa.array([len(t) for t in texts], pa.int64()),
                  pa.array(counts, pa.int64())], names=[*names, "n_bytes", "n_tokens"])
 
-    return df.select(*names, text).mapInArrow(run, schema)
+    return by_name(plain.select(*names, F.col(f"`{text}`").alias("__text")).mapInArrow(run, schema), outer)

@@ -24,7 +24,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from rowmill.llm.common import by_bytes, order_id, remembered, slices, stored, utf8
+from rowmill.llm.common import by_bytes, by_name, by_place, order_id, remembered, slices, stored, utf8
 
 PRIOR, CORPUS_PRIOR, DRIFT = 5.0, 0.002, 1.5
 PREFIX_CHARS = 4
@@ -289,7 +289,7 @@ def score(docs: DataFrame, labels: DataFrame, parts: int = 3, part: int = 1, sen
     no labels). An empty table gives no rows. Other columns are not read.
     """
     spark = docs.sparkSession
-    labelled = with_label(docs, _one_label(labels, parts, part), sent_labels)
+    labelled = with_label(by_place(docs, ("doc_id", "text"))[0], _one_label(labels, parts, part), sent_labels)
     model = Model(spark, labelled, sent_words)
     found = stored(segments(labelled, model), "segments")
     most = F.coalesce(F.array_max(F.transform("segments", lambda s: s["score"])), F.lit(0.0))
@@ -324,5 +324,7 @@ def logistic(x: np.ndarray, y: np.ndarray, weight: np.ndarray, ridge: float = 1e
 
 def keep_clean(docs: DataFrame, labels: DataFrame, limit: float = 0.7) -> DataFrame:
     """The rows of ``docs`` whose text scores below ``limit``; columns as they are."""
-    scored = score(docs, labels).filter(F.col("score") >= limit).select(order_id().alias("__id"), F.col("hash").alias("__hash")).distinct()
-    return docs.withColumns({"__id": order_id(), "__hash": F.xxhash64("text")}).join(scored, ["__id", "__hash"], "left_anti").select(*docs.columns)
+    plain, names = by_place(docs, ("doc_id", "text"))
+    scored = score(plain, labels).filter(F.col("score") >= limit).select(order_id().alias("__id"), F.col("hash").alias("__hash")).distinct()
+    tagged = plain.withColumns({"__id": order_id(), "__hash": F.xxhash64("text")})
+    return by_name(tagged.join(scored, ["__id", "__hash"], "left_anti").select(*plain.columns), names)
