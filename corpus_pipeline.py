@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from rowmill.llm import decontam, line_dedup, packing, simhash, toxicity
-from rowmill.llm.common import stored, table
+from rowmill.llm.common import by_name, by_place, stored, table
 
 
 def toxic_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -17,9 +17,10 @@ def toxic_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 def repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Long lines that five or more documents hold stay in the last of them; n_chars follows the text."""
-    cleaned = line_dedup.dedup_lines(docs)
-    chars = F.when(F.col("n_dropped") > 0, F.length("text")).otherwise(F.col("n_chars")).cast(docs.schema["n_chars"].dataType)
-    return cleaned.withColumn("n_chars", chars).select(*docs.columns)
+    plain, names = by_place(docs, ("doc_id", "text", "n_chars"))
+    cleaned = line_dedup.dedup_lines(plain)
+    chars = F.when(F.col("n_dropped") > 0, F.length("text")).otherwise(F.col("n_chars")).cast(plain.schema["n_chars"].dataType)
+    return by_name(cleaned.withColumn("n_chars", chars).select(*plain.columns), names)
 
 
 def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
