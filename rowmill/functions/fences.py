@@ -24,10 +24,16 @@ def or_whole(blocks: Column, text: Column) -> Column:
 
 
 def tagged_blocks(text: Column) -> Column:
-    """``(lang, block)`` of every fence, whatever its tag or indent."""
-    tags = F.regexp_extract_all(text, F.lit(ANY_FENCE), F.lit(1))
-    bodies = F.regexp_extract_all(text, F.lit(ANY_FENCE), F.lit(2))
-    return F.arrays_zip(tags.alias("lang"), bodies.alias("block"))
+    """``(lang, block)`` of every fence, whatever its tag or indent.
+
+    The text is matched once; a fence then comes apart at its first and its last line.
+    """
+    def apart(fence: Column) -> Column:
+        rest = F.substr(fence, F.instr(fence, "\n") + 1)
+        return F.struct(F.regexp_extract(fence, r"^[ ]*```(\w*)", 1).alias("lang"),
+                        F.left(rest, F.length(rest) - F.length(F.substring_index(rest, "\n", -1))).alias("block"))
+
+    return F.transform(F.regexp_extract_all(text, F.lit(ANY_FENCE), F.lit(0)), apart)
 
 
 def numbered(idx: Column, block: Column, header: str = BLOCK_HEADER) -> Column:

@@ -7,20 +7,23 @@ several tables, write ``parse_jobs`` to a table once and start from that.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 # Element and attribute names of the job file format.
 _COLUMNS = """array<struct<_name:string, _type:string, _length:int, _precision:int,
-  _nullable:boolean, _key:boolean>>"""
+  _nullable:boolean, _key:boolean, _pattern:string>>"""
 _ENTRIES = "array<struct<_name:string, _expression:string, _type:string>>"
-_TABLES = f"array<struct<_name:string, mapperTableEntries:{_ENTRIES}>>"
-_LINKS = """array<struct<_connectorName:string, _label:string, _metaname:string, _source:string,
-  _target:string>>"""
+_TABLES = f"array<struct<_name:string, _matchingMode:string, _lookupMode:string, mapperTableEntries:{_ENTRIES}>>"
+_PARAMETERS = """array<struct<_field:string, _name:string, _value:string,
+    elementValue:array<struct<_elementRef:string, _value:string>>>>"""
+_LINKS = f"""array<struct<_connectorName:string, _label:string, _metaname:string, _source:string,
+  _target:string, elementParameter:{_PARAMETERS}>>"""
 JOB_SCHEMA = f"""
 node array<struct<
   _componentName:string, _componentVersion:string,
-  elementParameter:array<struct<_field:string, _name:string, _value:string,
-    elementValue:array<struct<_elementRef:string, _value:string>>>>,
+  elementParameter:{_PARAMETERS},
   metadata:array<struct<_connector:string, _name:string, column:{_COLUMNS}>>,
   nodeData:struct<varTables:{_TABLES}, outputTables:{_TABLES}, inputTables:{_TABLES}>>>,
 connection {_LINKS}
@@ -79,21 +82,24 @@ def table_parameters(jobs: DataFrame) -> DataFrame:
 
     The file holds a flat list; a group begins wherever the first element's name comes again.
     """
-    rows = _nodes(jobs).select("job", "unique_name",
-                               F.explode("node.elementParameter").alias("p"))
+    return _groups(_nodes(jobs).select("job", "unique_name", F.explode("node.elementParameter").alias("p")))
+
+
+def _groups(rows: DataFrame) -> DataFrame:
+    """The groups of each parameter ``p`` that has elements."""
+    known = [c for c in rows.columns if c != "p"]
     rows = rows.filter(F.size("p.elementValue") > 0).select(
-        "job", "unique_name", F.col("p._name").alias("name"),
-        F.col("p.elementValue").alias("flat"))
+        *known, F.col("p._name").alias("name"), F.col("p.elementValue").alias("flat"))
     places = F.filter(F.sequence(F.lit(0), F.size("flat") - 1),
                       lambda i: F.get("flat", i)["_elementRef"] == F.get("flat", 0)["_elementRef"])
     rows = rows.withColumn("starts", places)
     ends = F.concat(F.slice("starts", F.lit(2), F.size("starts")), F.array(F.size("flat")))
-    rows = rows.select("job", "unique_name", "name", "flat",
+    rows = rows.select(*known, "name", "flat",
                        F.posexplode(F.arrays_zip("starts", ends.alias("ends")))
                        .alias("pos", "span"))
     group = F.slice("flat", F.col("span.starts") + 1, F.col("span.ends") - F.col("span.starts"))
     pairs = F.transform(group, lambda e: F.struct(e["_elementRef"], e["_value"]))
-    return rows.select("job", "unique_name", "name", (F.col("pos") + 1).alias("row"),
+    return rows.select(*known, "name", (F.col("pos") + 1).alias("row"),
                        F.map_from_entries(pairs).alias("values"))
 
 
@@ -123,6 +129,38 @@ def links(jobs: DataFrame) -> DataFrame:
                        F.col("c._target").alias("target"))
 
 
+def _link_parameters(jobs: DataFrame) -> DataFrame:
+    rows = _rows(jobs, "connection", "c")
+    return rows.select("job", F.col("c._label").alias("label"), F.explode_outer("c.elementParameter").alias("p")).filter(F.col("p").isNotNull())
+
+
+def link_parameters(jobs: DataFrame) -> DataFrame:
+    """One row per link and parameter; repeated groups are in ``link_table_parameters``."""
+    return _link_parameters(jobs).select("job", "label", F.col("p._field").alias("field"), F.col("p._name").alias("name"),
+                                         F.col("p._value").alias("value"))
+
+
+def link_table_parameters(jobs: DataFrame) -> DataFrame:
+    """One row per group of a link's repeated parameter, such as its trace settings: a column, whether it is shown, a condition."""
+    return _groups(_link_parameters(jobs))
+
+
+def map_inputs(jobs: DataFrame) -> DataFrame:
+    """The inputs of maps, and how a lookup among them is matched and loaded (null where the file does not say)."""
+    rows = _nodes(jobs).filter(F.col("node.nodeData").isNotNull())
+    rows = rows.select("job", "unique_name", F.posexplode_outer("node.nodeData.inputTables").alias("pos", "t")).filter(F.col("t").isNotNull())
+    return rows.select("job", "unique_name", (F.col("pos") + 1).alias("position"), F.col("t._name").alias("table"),
+                       F.col("t._matchingMode").alias("matching_mode"), F.col("t._lookupMode").alias("lookup_mode"))
+
+
+def column_patterns(jobs: DataFrame) -> DataFrame:
+    """Columns with a pattern of their own, as dates have."""
+    rows = _nodes(jobs).select("job", "unique_name", F.explode("node.metadata").alias("m"))
+    rows = rows.select("job", "unique_name", "m._connector", F.explode("m.column").alias("c"))
+    return rows.filter(F.coalesce(F.col("c._pattern"), F.lit("")) != "").select(
+        "job", "unique_name", F.col("_connector").alias("connector"), F.col("c._name").alias("column"), F.col("c._pattern").alias("pattern"))
+
+
 def _declared(node: Column) -> Column:
     """Every connector of a component with its columns, as one array."""
     return F.transform(node["metadata"],
@@ -135,16 +173,20 @@ def _all_declared() -> Column:
     return F.flatten(F.transform(some, _declared)).cast(_DECLARED)
 
 
-def _shape(column: Column) -> Column:
-    parts = [F.coalesce(column[p].cast("string"), F.lit("")) for p in
-             ("_type", "_length", "_nullable")]
+SHAPE = ("_type", "_length", "_nullable")
+# All that a declared column says of itself.
+WHOLE_SHAPE = (*SHAPE, "_precision", "_key", "_pattern")
+
+
+def _shape(column: Column, parts: Sequence[str]) -> Column:
+    parts = [F.coalesce(column[p].cast("string"), F.lit("")) for p in parts]
     return F.when(column.isNotNull(), F.concat_ws("/", *parts))
 
 
-def column_changes(jobs: DataFrame) -> DataFrame:
+def column_changes(jobs: DataFrame, parts: Sequence[str] = SHAPE) -> DataFrame:
     """Columns added, dropped or changed between what a link carries and what its target passes on.
 
-    The row of a job holds both ends of its links, so nothing is shuffled.
+    A column changes if one of ``parts`` does; with ``WHOLE_SHAPE`` precision, key and pattern count too. The row of a job holds both ends of its links, so nothing is shuffled.
     """
     flows = _rows(jobs, "connection", "link", _all_declared().alias("declared"))
 
@@ -165,8 +207,8 @@ def column_changes(jobs: DataFrame) -> DataFrame:
     def named(side: str) -> Column:
         return F.get(F.filter(side, lambda c: c["_name"] == F.col("column")), F.lit(0))
 
-    rows = rows.select("job", "label", "target", "column", _shape(named("old")).alias("before"),
-                       _shape(named("new")).alias("after"))
+    rows = rows.select("job", "label", "target", "column", _shape(named("old"), parts).alias("before"),
+                       _shape(named("new"), parts).alias("after"))
     change = (F.when(F.col("before").isNull(), "added").when(F.col("after").isNull(), "dropped")
               .when(F.col("before") != F.col("after"), "changed"))
     return rows.withColumn("change", change).filter(F.col("change").isNotNull())

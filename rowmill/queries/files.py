@@ -285,3 +285,15 @@ def _lossy_text(spark, d):
     raw = F.concat(F.encode("p_name", "UTF-8"), F.unhex(F.lit("FF"))).cast("string")
     names = table(spark, d, "part").select(F.make_valid_utf8(raw).alias("name"))
     return names.groupBy("name").agg(F.count(F.lit(1)).alias("n"))
+
+
+@query("lossy_files", "SELECT p_name || '\ufffd' AS text, count(*) AS n FROM part GROUP BY 1")
+def _lossy_files(spark, d):
+    """Files of bytes that are no UTF-8, one for each name, read whole by ``read_text_lossy``."""
+    path = scratch_path(spark, "lossy")
+    names = table(spark, d, "part").groupBy("p_name").agg(F.count(F.lit(1)).alias("n"))
+    raw = F.concat(F.encode("p_name", "UTF-8"), F.unhex(F.lit("FF"))).cast("string")
+    # A file a name: the text writer writes bytes as they are and ends the line, which is cut off again.
+    names.select(F.md5("p_name").alias("file"), raw.alias("value")).write.partitionBy("file").text(path)
+    read = S.read_text_lossy(spark, f"{path}/*/*.txt").select(F.regexp_replace("text", "\n$", "").alias("text"), F.regexp_extract("path", "file=([0-9a-f]+)", 1).alias("file"))
+    return read.join(names.select(F.md5("p_name").alias("file"), "n"), "file").select("text", "n")

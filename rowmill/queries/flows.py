@@ -74,6 +74,16 @@ def _flow_counts_by_link(spark, d):
     return flow_counts({link: links[link] for link in ("duplicate", "reject")})
 
 
+@query("flow_counts_of_all_links", _FLOW + """SELECT 'unique' AS link, count(*) AS n_rows FROM mapped
+    UNION ALL SELECT 'duplicate', count(*) FROM repeated
+    UNION ALL SELECT 'mapped', count(*) FROM mapped
+    UNION ALL SELECT 'pass', count(*) FROM passed
+    UNION ALL SELECT 'reject', count(*) FROM rejected""")
+def _flow_counts_of_all_links(spark, d):
+    """Each link counted as a plan of its own."""
+    return flow_counts(_flow(spark, d))
+
+
 @query("flow_written", _FLOW + """
     SELECT 'clean' AS kind, "ID", "DEPT", "SAL_RANGE", "DATE_TIMESTAMP" FROM passed
         WHERE "ID" IS NOT NULL
@@ -175,3 +185,16 @@ def _models_built(spark, d):
     """The same models registered as views and written as tables."""
     built = models.build(employees(spark, d), RUN_AT, f"m{uuid.uuid4().hex}")
     return flow_counts(built).withColumnRenamed("link", "model")
+
+
+@query("models_contents", _MODELS + """
+    SELECT 'final' AS model, employee_id, employee_name, department, salary, age,
+        CASE WHEN salary <= 5500 THEN 'Low' WHEN salary > 6500 THEN 'High' ELSE 'Medium' END AS salary_range
+    FROM ranked WHERE rn = 1 AND employee_id IS NOT NULL AND employee_name IS NOT NULL
+        AND department IS NOT NULL AND salary IS NOT NULL AND age IS NOT NULL
+    UNION ALL SELECT 'duplicates', employee_id, employee_name, department, salary, age, NULL FROM ranked WHERE rn > 1""")
+def _models_contents(spark, d):
+    """All rows of both tables that the models are written as."""
+    built = models.build(employees(spark, d), RUN_AT, f"m{uuid.uuid4().hex}")
+    final = built["final"].drop("date_timestamp").withColumn("model", F.lit("final"))
+    return final.unionByName(built["duplicates"].withColumn("model", F.lit("duplicates")), allowMissingColumns=True)

@@ -49,9 +49,9 @@ _XML = r"""concat(
   '</j:Job>')"""
 
 
-def _files(rows: DataFrame) -> DataFrame:
+def _files(rows: DataFrame, xml: str = _XML) -> DataFrame:
     jobs = spread(rows.withColumn("last", (F.col("o_orderkey") % 3 + 1).cast("int")))
-    return jobs.select(F.col("o_orderkey").cast("string").alias("job"), F.expr(_XML).alias("xml"))
+    return jobs.select(F.col("o_orderkey").cast("string").alias("job"), F.expr(xml).alias("xml"))
 
 
 def _jobs(spark: SparkSession, d: str) -> DataFrame:
@@ -189,3 +189,55 @@ def _schema_diff(spark, d):
                         for c, k in sorted(diff.items())])
     return (after.agg(F.count(F.lit(1)).alias("n_rows"))
             .select("n_rows", F.inline(changes)))
+
+
+# The same jobs with what lookups, traces, patterns and keys say; the map reads its input unique and once.
+_RICH = (_XML.replace('<outputTables name="out">', '<inputTables name="row" matchingMode="UNIQUE_MATCH" lookupMode="LOAD_ONCE"/><inputTables name="look"/><outputTables name="out">')
+         .replace("""'" nullable="true" precision="-1" type="id_String"/>'""", """'" nullable="true" pattern="', CASE WHEN c = 1 THEN concat('p', i) ELSE '' END, '" precision="', i, '" type="id_String"/>'""")
+         .replace("""'" target="n', i,
+    '"/>')""", """'" target="n', i, '">',
+    '<elementParameter field="TABLE" name="TRACES"><elementValue elementRef="COLUMN" value="c0"/><elementValue elementRef="CONDITION" value="c0 &gt; ', i, '"/>',
+    '<elementValue elementRef="COLUMN" value="c', i, '"/><elementValue elementRef="CONDITION" value=""/></elementParameter>',
+    '<elementParameter field="TEXT" name="UNIQUE_NAME" value="row', i, '"/></connection>')"""))
+
+
+def _rich_jobs(spark: SparkSession, d: str) -> DataFrame:
+    return J.parse_jobs(_files(table(spark, d, "orders"), _RICH))
+
+
+@query("job_link_parameters", _NODES + """
+    SELECT job, 'row' || i AS label, 'TABLE' AS field, 'TRACES' AS name, NULL AS value FROM nodes WHERE i > 0
+    UNION ALL SELECT job, 'row' || i, 'TEXT', 'UNIQUE_NAME', 'row' || i FROM nodes WHERE i > 0""")
+def _job_link_parameters(spark, d):
+    return J.link_parameters(_rich_jobs(spark, d))
+
+
+@query("job_link_traces", _NODES + """
+    SELECT job, 'row' || i AS label, 1::INT AS row, 'c0' AS "column", 'c0 > ' || i AS condition FROM nodes WHERE i > 0
+    UNION ALL SELECT job, 'row' || i, 2, 'c' || i, '' FROM nodes WHERE i > 0""")
+def _job_link_traces(spark, d):
+    rows = J.link_table_parameters(_rich_jobs(spark, d)).filter("name = 'TRACES'")
+    return rows.select("job", "label", "row", F.col("values.COLUMN").alias("column"), F.col("values.CONDITION").alias("condition"))
+
+
+@query("job_map_inputs", _NODES + """
+    SELECT job, 'n1' AS unique_name, 1::INT AS position, 'row' AS "table", 'UNIQUE_MATCH' AS matching_mode, 'LOAD_ONCE' AS lookup_mode FROM jobs
+    UNION ALL SELECT job, 'n1', 2, 'look', NULL, NULL FROM jobs""")
+def _job_map_inputs(spark, d):
+    return J.map_inputs(_rich_jobs(spark, d))
+
+
+@query("job_column_patterns", _NODES + """SELECT job, unique_name, 'FLOW' AS connector, 'c1' AS "column", 'p' || i AS pattern
+    FROM nodes WHERE i >= 1""")
+def _job_column_patterns(spark, d):
+    return J.column_patterns(_rich_jobs(spark, d))
+
+
+@query("job_column_changes_whole", _NODES + """, shown AS (SELECT *, 'id_String/' || CASE WHEN c = 0 THEN i ELSE -1 END || '/true/' || i || '/' || (c = 0)
+        || '/' || CASE WHEN c = 1 THEN 'p' || i ELSE '' END AS shape FROM cols)
+    SELECT new.job, 'row' || new.i AS label, new.unique_name AS target, 'c' || new.c AS "column", old.shape AS before, new.shape AS after,
+        CASE WHEN old.shape IS NULL THEN 'added' ELSE 'changed' END AS change
+    FROM shown new LEFT JOIN shown old ON old.job = new.job AND old.i = new.i - 1 AND old.c = new.c WHERE new.i > 0""")
+def _job_column_changes_whole(spark, d):
+    """Precision differs along every link, so every column changes."""
+    return J.column_changes(_rich_jobs(spark, d), J.WHOLE_SHAPE).filter("label <> 'bad'")

@@ -101,7 +101,8 @@ def read_lines(spark: SparkSession, path: str | Sequence[str], encoding: str = "
                remove_empty: bool = True) -> DataFrame:
     """One ``value`` column, one row per line, decoded, without header and footer lines.
 
-    One header line costs nothing. More header lines, or footers, have to be found first, by one
+    Blank lines that are removed count for neither: the header is then the first line with anything on it, whichever
+    way the file is read. One header line costs nothing. More header lines, or footers, have to be found first, by one
     more pass over the files for each.
     """
     paths = [path] if isinstance(path, str) else list(path)
@@ -109,6 +110,8 @@ def read_lines(spark: SparkSession, path: str | Sequence[str], encoding: str = "
         lines = _after_first_line(spark, paths, encoding, row_sep)
     else:
         lines = spark.read.option("lineSep", row_sep).text(paths)
+        if remove_empty:  # before lines are counted, as the reader does
+            lines = lines.filter(trim_field(F.col("value")) != "")
         if header or footer:
             lines = skip_lines(lines, header, footer)
         lines = lines.select(_decoded(F.col("value"), encoding).alias("value"))

@@ -96,3 +96,14 @@ def test_size_settings():
     large = size_settings(100 * 10**12)
     assert large["spark.sql.shuffle.partitions"] == "100000"
     assert large["spark.sql.files.maxPartitionBytes"] == str(512 * 1024 * 1024)
+
+
+@pytest.mark.parametrize("before,after", [("", ""), ("\n", "\n"), ("\n  \n\n", "\n \n")])
+def test_blank_lines_are_neither_header_nor_footer(spark, tmp_path, before, after):
+    (tmp_path / "a.txt").write_text(f"{before}ID|NAME\n\n1|a\n{before}2|b\nend\n{after}")
+    path = str(tmp_path / "a.txt")
+    want = [("1|a",), ("2|b",), ("end",)]
+    assert rows(read_lines(spark, path, header=1)) == want
+    assert rows(read_lines(spark, path, header=1, footer=1)) == want[:2]
+    assert rows(read_lines(spark, path, header=2)) == want[1:]
+    assert ("ID|NAME",) in rows(read_lines(spark, path, header=1, remove_empty=False)) or not before
