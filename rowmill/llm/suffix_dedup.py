@@ -167,6 +167,34 @@ def candidate_runs(docs: DataFrame, shards: int, sent_numbers: int) -> DataFrame
     return docs.mapInArrow(cut, "doc long, hash long, place long, least long, content binary")
 
 
+def sorted_places(values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The places of values, not below zero, in their order, and the values in that order; equal ones by place.
+
+    Value and place share a word where they fit, as words are sorted much faster than places by their words.
+    """
+    bits = max(1, int(len(values) - 1).bit_length())
+    if len(values) and int(values.max()) >> (63 - bits) == 0:
+        word = np.sort(values << bits | np.arange(len(values)))
+        return word & ((1 << bits) - 1), word >> bits
+    order = np.argsort(values, kind="stable")
+    return order, values[order]
+
+
+def named(first: np.ndarray, last: np.ndarray, base: int) -> tuple[np.ndarray, np.ndarray]:
+    """Order of (first, last), and their names: equal numbers for equal pairs, in their order."""
+    if int(first.max(initial=0)) < (1 << 62) // base:
+        order, held = sorted_places(first * base + last)
+        new = held[1:] != held[:-1]
+    else:
+        by_last, _ = sorted_places(last)
+        order, held = sorted_places(first[by_last])
+        order = by_last[order]
+        new = (held[1:] != held[:-1]) | (last[order[1:]] != last[order[:-1]])
+    name = np.empty(len(order), np.int64)
+    name[order] = np.concatenate([[0], np.cumsum(new)])
+    return order, name
+
+
 def suffix_array(s: np.ndarray) -> np.ndarray:
     """Places of all suffixes in order, by the difference cover {1, 2} modulo 3; symbols are above zero."""
     n = len(s)
@@ -176,27 +204,22 @@ def suffix_array(s: np.ndarray) -> np.ndarray:
     base = int(s.max()) + 1
     ones, twos = np.arange(1, n + (n % 3 == 1), 3), np.arange(2, n, 3)
     sample = np.concatenate([ones, twos])
-    if base < 1 << 21:
-        triple = (s[sample] * base + s[sample + 1]) * base + s[sample + 2]
-    else:
-        _, pair = np.unique(s[sample] * base + s[sample + 1], return_inverse=True)
-        triple = pair * base + s[sample + 2]
-    _, name = np.unique(triple, return_inverse=True)
+    order, name = named(s[sample] * base + s[sample + 1], s[sample + 2], base)
     if int(name.max()) + 1 < len(name):
         order = suffix_array(name + 1)
-    else:
-        order = np.argsort(name, kind="stable")
     rank = np.zeros(n + 3, np.int64)
     rank[sample[order]] = np.arange(1, len(sample) + 1)
-    zeros = np.arange(0, n, 3)
-    wide = n + 3
-    zeros = zeros[np.argsort(s[zeros] * wide + rank[zeros + 1], kind="stable")]
+    zeros, wide = np.arange(0, n, 3), n + 3
+    by_zero, zero = sorted_places(s[zeros] * wide + rank[zeros + 1])
+    zeros = zeros[by_zero]
     in_order = sample[order]
     in_order = in_order[in_order < n]
     one, two = in_order[in_order % 3 == 1], in_order[in_order % 3 == 2]
     # One merge of sorted lists: how many suffixes of the sample come before each of the others.
-    _, head = np.unique(s[:n + 1] * base + s[1:n + 2], return_inverse=True)
-    before = np.searchsorted(s[one] * wide + rank[one + 1], s[zeros] * wide + rank[zeros + 1])
+    head = s[:n + 1] * base + s[1:n + 2]
+    if base * base >= (1 << 62) // wide:
+        head = named(head, np.zeros(len(head), np.int64), 1)[1]
+    before = np.searchsorted(s[one] * wide + rank[one + 1], zero)
     before = before + np.searchsorted(head[two] * wide + rank[two + 2], head[zeros] * wide + rank[zeros + 2])
     out = np.empty(n, np.int64)
     at = np.arange(len(zeros)) + before
