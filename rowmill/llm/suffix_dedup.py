@@ -309,13 +309,15 @@ def remove_repeats(df: DataFrame, shard_bytes: int = SHARD_BYTES, hot_bytes: int
     empty table gives no rows, other columns, whatever their names, are not read.
     """
     df = by_place(df, ("doc_id", "text"))[0]
-    docs = df.select("doc_id", order_id().alias("doc"), F.xxhash64("text").alias("hash"), F.col("text").cast("string").alias("text"))
+    # Whole texts fold by two hashes of different seeds, 128 bits in all.
+    docs = df.select("doc_id", order_id().alias("doc"), F.xxhash64("text").alias("hash"), F.xxhash64(F.lit("wide"), "text").alias("wide"),
+                     F.col("text").cast("string").alias("text"))
     total = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     shards = 1 << max(4, (total // count_bytes).bit_length())
-    copied = stored(docs.groupBy("hash").agg(F.min("doc").alias("first"), F.max("doc").alias("last")).filter("first < last").select("hash", "first"), "copies")
+    copied = stored(docs.groupBy("hash", "wide").agg(F.min("doc").alias("first"), F.max("doc").alias("last")).filter("first < last").select("hash", "wide", "first"), "copies")
     copied = F.broadcast(copied) if copied.count() <= sent_copies else copied
     is_copy = F.coalesce((F.col("doc") > F.col("first")) & (F.octet_length("text") >= LENGTH), F.lit(False))
-    docs = docs.join(copied, "hash", "left").withColumn("copy", is_copy).drop("first")
+    docs = docs.join(copied, ["hash", "wide"], "left").withColumn("copy", is_copy).drop("first", "wide")
     own = docs.filter(~F.col("copy")).select("doc", "hash", "text")
     found = stored(candidate_runs(own, shards, sent_numbers), "candidates", compression="zstd")
     removed = marks(found, shard_bytes, hot_bytes, sent_hot)
