@@ -136,18 +136,14 @@ def _similar_minhash(spark, d):
     return L.similar_pairs(pages, pages, "url", "url", 0.6, ngram=3, recall=0.97)
 
 
-# DuckDB's distance counts bytes, so other signs than ASCII are replaced.
-_LONG = """long AS (SELECT DISTINCT regexp_replace(substring(text, 1, 200), '[^ -~]', '_', 'g') AS value FROM documents
-        WHERE length(text) >= 200),
-    edited AS (SELECT value, substring(value, 1, 50) || 'x' || substring(value, 52, 70) || substring(value, 124) AS typed FROM long)"""
-
-
-@query("fuzzy_pairs_lev_long", f"""WITH {_LONG} SELECT typed AS left_value, l.value AS right_value,
-    CAST(levenshtein(typed, l.value) AS INTEGER) AS distance
-    FROM (SELECT DISTINCT typed FROM edited) e, long l WHERE levenshtein(typed, l.value) <= 3""")
-def _fuzzy_pairs_lev_long(spark, d):
-    """Beginnings of texts, 200 characters each, with one character replaced and two left out."""
-    value = F.regexp_replace(F.substring("text", 1, 200), "[^ -~]", "_")
-    long = table(spark, d, "documents").filter(F.length("text") >= 200).select(value.alias("value")).distinct()
-    typed = long.select(F.concat(F.substring("value", 1, 50), F.lit("x"), F.substring("value", 52, 70), F.expr("substring(value, 124)")).alias("typed"))
-    return L.close_pairs(typed, long, "typed", "value", 3)
+_EDITED = """edited AS (SELECT DISTINCT substring(url, 1, 12) || '~' || substring(url, 14, 5) || substring(url, 20, 3) || substring(url, 24) AS typed FROM pages)"""
+
+
+@query("fuzzy_pairs_lev_urls", f"""WITH {_EDITED}, urls AS (SELECT DISTINCT url FROM pages WHERE url IS NOT NULL)
+    SELECT typed AS left_value, url AS right_value, CAST(levenshtein(typed, url) AS INTEGER) AS distance
+    FROM edited, urls WHERE levenshtein(typed, url) <= 3""")
+def _fuzzy_pairs_lev_urls(spark, d):
+    """Addresses with one character replaced and two left out, many of them with a long part in common."""
+    pages = table(spark, d, "pages")
+    typed = F.concat(F.substring("url", 1, 12), F.lit("~"), F.substring("url", 14, 5), F.substring("url", 20, 3), F.expr("substring(url, 24)"))
+    return L.close_pairs(pages.select(typed.alias("typed")), pages, "typed", "url", 3)

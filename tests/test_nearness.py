@@ -48,6 +48,16 @@ def test_close_pairs_beside_all_pairs(spark, limit, least, most, letters):
         assert sorted(map(tuple, got)) == sorted(want)
 
 
+@pytest.mark.parametrize("limit", [1, 2, 3])
+def test_texts_of_200_characters(spark, limit):
+    rng = random.Random(limit)
+    right = ["".join(rng.choice("abcd efgh") for _ in range(200)) for _ in range(40)]
+    left = [edited(rng.choice(right), rng.randint(0, 4), rng, "abcd") for _ in range(40)]
+    a, b = frame(spark, left).distinct(), frame(spark, right).distinct()
+    want = a.toDF("x").crossJoin(b.toDF("y")).withColumn("d", F.levenshtein("x", "y")).filter(f"d <= {limit}").select("x", "y", "d")
+    assert rows(N.close_pairs(a, b, "w", "w", limit)) == rows(want) != []
+
+
 def test_long_texts_have_few_keys(spark):
     texts = frame(spark, ["x" * 50 + "y" * 150, "z" * 1000]).filter("w IS NOT NULL").withColumnRenamed("w", "text")
     for limit in (1, 2, 3):
