@@ -2,9 +2,9 @@
 
 0. A text that a smaller document holds as a whole goes as a whole, and takes no further part.
 1. Each window of 50 bytes has a minimizer, the least hash of the 24-byte strings in it. Equal windows
-   have equal minimizers, so a minimizer seen in one document only rules its windows out. Minimizers are
-   counted in shards, as sorted numbers; the ones in several documents go to the tasks if few enough,
-   else every window stays in.
+   have equal minimizers, so a minimizer seen in one document only rules its windows out. Texts lie in
+   stored batches; minimizers are counted in shards, as sorted numbers with the batch they came from, and
+   each batch is told which of its own several documents hold. Nothing that grows with the data goes to all tasks.
 2. What is left is cut into runs of windows under one minimizer, which travel with their bytes: equal
    windows meet in one shard, where equal runs fold into one with the least document that holds it.
 3. In each shard, of bounded bytes, the difference-cover algorithm sorts all suffixes: positions 1 and 2
@@ -14,7 +14,7 @@
 4. Minimizers with too many different runs for a shard are split into single windows, grouped by
    their bytes with partial aggregation.
 5. Each occurrence of a run gets a bit for each of its windows that begins in a smaller document; one
-   join by document brings the bits to the texts.
+   join by batch brings the bits to the texts.
 """
 
 from __future__ import annotations
@@ -23,6 +23,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -34,8 +35,8 @@ BATCH_BYTES = 1 << 20
 SHARD_BYTES = 2 << 20
 HOT_BYTES = SHARD_BYTES // 4
 SENT_HOT = SENT_COPIES = 1_000_000
-COUNT_BYTES = 32 << 20
-SENT_NUMBERS = 8_000_000
+COUNT_BYTES = 64 << 20
+MOST_FREQUENT = 1000
 _A, _B, _C = (np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9))
 
 
@@ -101,70 +102,107 @@ def unpacked(data: bytes) -> np.ndarray:
     return out.view("<u8").reshape(-1)
 
 
-def repeated_minimizers(docs: DataFrame, shards: int) -> DataFrame:
-    """(shard, numbers, n): minimizers that several documents hold, shortened to shard and 40 bits.
+def batched(docs: DataFrame) -> DataFrame:
+    """(batch, bytes, blob): rows in batches of about a megabyte of text, each a compressed Arrow stream.
 
-    Shortening only joins minimizers, so none that repeats is missed.
+    Stored, so that a batch holds the same rows whenever it is read; a copy travels without its text.
     """
-    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def put(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        made = TaskContext.get().partitionId() << 32
+        options = pa.ipc.IpcWriteOptions(compression="zstd")
         for batch in batches:
             texts = utf8(batch.column("text"))
-            owner = batch.column("doc").to_numpy(zero_copy_only=False)
-            parts = [(least, owner[row]) for row, _, _, least, _, _ in runs(texts)]
+            for start, end in by_bytes(texts, BATCH_BYTES):
+                part = batch.slice(start, end - start).drop_columns("text").append_column("text", pa.array(texts[start:end], pa.binary()))
+                sink = pa.BufferOutputStream()
+                with pa.ipc.new_stream(sink, part.schema, options=options) as out:
+                    out.write_batch(part)
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array([made], pa.int64()), pa.array([sum(map(len, texts[start:end]))], pa.int64()), pa.array([sink.getvalue().to_pybytes()], pa.binary())],
+                    names=["batch", "bytes", "blob"])
+                made += 1
+
+    return stored(docs.mapInArrow(put, "batch long, bytes long, blob binary"), "batches", compression="uncompressed")
+
+
+def opened(batches: Iterator[pa.RecordBatch], other: str | None = None) -> Iterator[tuple[int, pa.RecordBatch, list | None]]:
+    """(batch, its rows, what the column ``other`` holds for it) of rows made by ``batched``, one at a time."""
+    for part in batches:
+        for i, number in enumerate(part.column("batch").to_pylist()):
+            rows = pa.ipc.open_stream(part.column("blob")[i].as_buffer()).read_next_batch()
+            yield number, rows, part.column(other)[i].as_py() if other else None
+
+
+def numbered(least: np.ndarray, shards: int) -> np.ndarray:
+    """Shard and 40 bits of a minimizer. Shortening only joins minimizers, so none that repeats is missed."""
+    return (least % np.uint64(shards)) << np.uint64(40) | (least >> np.uint64(24))
+
+
+def repeated_minimizers(texts: DataFrame, shards: int) -> DataFrame:
+    """(batch, known): for each batch of texts, which of its minimizers several documents hold, by shard."""
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch, rows, _ in opened(batches):
+            owner = rows.column("doc").to_numpy(zero_copy_only=False)
+            parts = [(least, owner[row]) for row, _, _, least, _, _ in runs(rows.column("text").to_pylist())]
             if not parts:
                 continue
             least, doc = (np.concatenate(x) for x in zip(*parts))
-            number = (least % np.uint64(shards)) << np.uint64(40) | (least >> np.uint64(24))
+            number = numbered(least, shards)
             order = np.argsort(number, kind="stable")
             number, doc = number[order], doc[order]
             first = np.flatnonzero(np.concatenate([[True], number[1:] != number[:-1]]))
             several = np.minimum.reduceat(doc, first) != np.maximum.reduceat(doc, first)
             number = number[first]
-            cuts = np.searchsorted(number, np.arange(shards + 1, dtype=np.uint64) << np.uint64(40))
-            rows = [(s, packed(x[~y]), packed(x[y])) for s, (a, b) in enumerate(zip(cuts, cuts[1:])) if b > a
-                    for x, y in [(number[a:b], several[a:b])]]
-            yield pa.RecordBatch.from_arrays([pa.array([r[0] for r in rows], pa.int64()), *(pa.array([r[i] for r in rows], pa.binary()) for i in (1, 2))],
-                                             names=["shard", "one", "several"])
+            edges = np.arange(shards + 1, dtype=np.uint64) << np.uint64(40)
+            held = [(packed(x), 5 * np.searchsorted(x, edges)) for x in (number[~several], number[several])]
+            filled = np.flatnonzero(sum(np.diff(at) for _, at in held))
+            cut = [pa.array([data[at[s]:at[s + 1]] for s in filled.tolist()], pa.binary()) for data, at in held]
+            yield pa.RecordBatch.from_arrays([pa.array(filled, pa.int64()), pa.array(np.full(len(filled), batch), pa.int64()), *cut],
+                                             names=["shard", "batch", "one", "several"])
 
     def gather(table: pa.Table) -> pa.Table:
-        several = [unpacked(x) for x in table.column("several").to_pylist()]
-        every = np.concatenate([*several, *(unpacked(x) for x in table.column("one").to_pylist())])
-        number, seen = np.unique(every, return_counts=True)
-        keep = np.union1d(number[seen > 1], np.concatenate(several))
-        return pa.table([table.column("shard").slice(0, 1), pa.array([packed(keep)], pa.binary()), pa.array([len(keep)], pa.int64())],
-                        names=["shard", "numbers", "n"])
-
-    rows = docs.mapInArrow(count, "shard long, one binary, several binary")
-    return rows.groupBy("shard").applyInArrow(gather, "shard long, numbers binary, n long")
-
-
-def candidate_runs(docs: DataFrame, shards: int, sent_numbers: int) -> DataFrame:
-    """(doc, hash, place, least, content) of the runs whose minimizer several documents hold."""
-    common = stored(repeated_minimizers(docs, shards), "minimizers")
-    if (common.agg(F.sum("n")).first()[0] or 0) > sent_numbers:
-        shared = None
-    else:
-        found = [(r["shard"], unpacked(bytes(r["numbers"]))) for r in common.orderBy("shard").collect()]
-        numbers = np.concatenate([np.zeros(0, np.uint64), *(np.uint64(s) << np.uint64(40) | n for s, n in found)])
-        shared = docs.sparkSession.sparkContext.broadcast(numbers)
-
+        held = [x for c in ("one", "several") for x in table.column(c).to_pylist()]
+        number = unpacked(b"".join(held))
+        sizes = np.array([len(x) // 5 for x in held])
+        row = np.repeat(np.arange(len(held)) % table.num_rows, sizes)
+        in_order = np.sort(number)
+        common = np.union1d(in_order[1:][in_order[1:] == in_order[:-1]], number[sizes[:table.num_rows].sum():])
+        keep = np.flatnonzero(holds(common, number))
+        keep = keep[np.argsort(row[keep], kind="stable")]
+        at, data = 5 * np.searchsorted(row[keep], np.arange(table.num_rows + 1)), packed(number[keep])
+        numbers = [data[a:b] for a, b in zip(at.tolist(), at[1:].tolist())]
+        out = pa.table([table.column("batch"), table.column("shard"), pa.array(numbers, pa.binary())], names=["batch", "shard", "numbers"])
+        return out.filter(pa.array(np.diff(at) > 0))
+
+    rows = texts.mapInArrow(count, "shard long, batch long, one binary, several binary")
+    found = rows.groupBy("shard").applyInArrow(gather, "batch long, shard long, numbers binary")
+    return found.groupBy("batch").agg(F.collect_list(F.struct("shard", "numbers")).alias("known"))
+
+
+def holds(known: np.ndarray, numbers: np.ndarray) -> np.ndarray:
+    """Which numbers are among the known ones, which are sorted."""
+    if not len(known):
+        return np.zeros(len(numbers), bool)
+    return known[np.minimum(np.searchsorted(known, numbers), len(known) - 1)] == numbers
+
+
+def candidate_runs(texts: DataFrame, shards: int) -> DataFrame:
+    """(batch, row, doc, place, least, content) of the runs whose minimizer several documents hold."""
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known = None if shared is None else shared.value
-        for batch in batches:
-            texts = utf8(batch.column("text"))
-            doc, hash_ = (batch.column(c).to_numpy(zero_copy_only=False) for c in ("doc", "hash"))
-            for row, place, n, least, data, at in runs(texts):
-                if known is not None:
-                    number = (least % np.uint64(shards)) << np.uint64(40) | (least >> np.uint64(24))
-                    keep = np.flatnonzero(known[np.minimum(np.searchsorted(known, number), len(known) - 1)] == number) if len(known) else np.zeros(0, np.int64)
-                    row, place, n, least, at = (x[keep] for x in (row, place, n, least, at))
+        for batch, rows, found in opened(batches, "known"):
+            known = np.sort(np.concatenate([np.uint64(f["shard"]) << np.uint64(40) | unpacked(f["numbers"]) for f in found]))
+            doc = rows.column("doc").to_numpy(zero_copy_only=False)
+            for row, place, n, least, data, at in runs(rows.column("text").to_pylist()):
+                keep = np.flatnonzero(holds(known, numbered(least, shards)))
+                row, place, n, least, at = (x[keep] for x in (row, place, n, least, at))
                 raw = data.tobytes()
                 contents = [raw[a:a + k + LENGTH - 1] for a, k in zip(at.tolist(), n.tolist())]
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(doc[row]), pa.array(hash_[row]), pa.array(place.astype(np.int64)), pa.array(least.view(np.int64)),
-                     pa.array(contents, pa.binary())], names=["doc", "hash", "place", "least", "content"])
+                    [pa.array(np.full(len(row), batch), pa.int64()), pa.array(row, pa.int64()), pa.array(doc[row]), pa.array(place, pa.int64()),
+                     pa.array(least.view(np.int64)), pa.array(contents, pa.binary())], names=["batch", "row", "doc", "place", "least", "content"])
 
-    return docs.mapInArrow(cut, "doc long, hash long, place long, least long, content binary")
+    known = repeated_minimizers(texts.select("batch", "blob"), shards)
+    return texts.select("batch", "blob").join(known, "batch").mapInArrow(cut, "batch long, row long, doc long, place long, least long, content binary")
 
 
 def sorted_places(values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -252,12 +290,12 @@ def least_holders(contents: list[bytes], docs: np.ndarray) -> np.ndarray:
     return out[window]
 
 
-_MARKED = "doc long, hash long, place long, mask long"
+_MARKED = "batch long, row long, place long, mask long"
 
 
 def shard_marks(table: pa.Table) -> pa.Table:
-    """(doc, hash, place, mask) of the runs of a shard: a bit for each window that a smaller document has."""
-    names = ["doc", "hash", "place"]
+    """(batch, row, place, mask) of the runs of a shard: a bit for each window that a smaller document has."""
+    names = ["batch", "row", "place"]
     folded = table.column("content").combine_chunks().dictionary_encode()
     run, contents, doc = folded.indices.to_numpy(), folded.dictionary.to_pylist(), table.column("doc").to_numpy()
     holder = np.full(len(contents), np.iinfo(np.int64).max)
@@ -275,18 +313,23 @@ def shard_marks(table: pa.Table) -> pa.Table:
 
 def single_marks(found: DataFrame) -> DataFrame:
     """The same for runs of crowded minimizers: each window of a different run by itself."""
-    folded = found.groupBy("least", "run").agg(F.first("content").alias("content"), F.min("doc").alias("first"))
-    single = folded.select("least", "run", "first", "content", F.explode(F.sequence(F.lit(0), F.octet_length("content") - LENGTH)).alias("j")).select(
-        "least", "run", "first", "j", F.substring("content", F.col("j") + 1, F.lit(LENGTH)).alias("window"))
+    folded = found.groupBy("least", "run").agg(F.first("content").alias("content"), F.min("doc").alias("first"), F.count("*").alias("n"))
+    single = folded.select("least", "run", "n", "first", "content", F.explode(F.sequence(F.lit(0), F.octet_length("content") - LENGTH)).alias("j")).select(
+        "least", "run", "n", "first", "j", F.substring("content", F.col("j") + 1, F.lit(LENGTH)).alias("window"))
     holder = single.groupBy("window").agg(F.min("first").alias("holder"))
-    held = single.join(holder, "window").groupBy("least", "run").agg(F.array_sort(F.collect_list(F.struct("j", "holder"))).alias("held"))
+    held = stored(single.join(holder, "window").groupBy("least", "run", "n").agg(F.array_sort(F.collect_list(F.struct("j", "holder"))).alias("held")), "holders")
+    # Fewer than MOST_FREQUENT runs can each make up more than that part of all occurrences; these are sent to the tasks.
+    frequent = F.col("n") * MOST_FREQUENT > (held.agg(F.sum("n")).first()[0] or 0)
+    sent, rare = F.broadcast(held.filter(frequent).drop("n")), held.filter(~frequent).drop("n")
     bits = F.aggregate(F.transform("held", lambda h: F.when(h["holder"] < F.col("doc"), F.call_function(
         "shiftleft", F.lit(1).cast("long"), h["j"])).otherwise(F.lit(0).cast("long"))), F.lit(0).cast("long"), lambda a, b: a + b)
-    return found.drop("content").join(held, ["least", "run"]).select("doc", "hash", "place", bits.alias("mask")).filter("mask != 0")
+    found, keys = found.drop("content"), ["least", "run"]
+    both = found.join(sent, keys).unionByName(found.join(sent, keys, "left_anti").join(rare, keys))
+    return both.select("batch", "row", "place", bits.alias("mask")).filter("mask != 0")
 
 
 def marks(found: DataFrame, shard_bytes: int, hot_bytes: int, sent_hot: int) -> DataFrame:
-    """(doc, hash, place, mask): the windows of each run that also begin in a smaller document."""
+    """(batch, row, place, mask): the windows of each run that also begin in a smaller document."""
     size = F.octet_length("content").cast("long")
     total = found.agg(F.sum(size)).first()[0] or 0
     hot = stored(found.groupBy("least").agg(F.sum(size).alias("bytes")).filter(F.col("bytes") > hot_bytes).select("least"), "crowded")
@@ -294,13 +337,13 @@ def marks(found: DataFrame, shard_bytes: int, hot_bytes: int, sent_hot: int) ->
     shards = max(1, -(-total // shard_bytes))
     part = F.pmod(F.xxhash64("least"), F.lit(shards)).alias("part")
     sent = F.broadcast(hot) if few else hot
-    cold = found.join(sent, "least", "left_anti").select("doc", "hash", "place", "content", part)
+    cold = found.join(sent, "least", "left_anti").select("batch", "row", "doc", "place", "content", part)
     crowded = found.join(sent, "least", "left_semi").withColumn("run", F.xxhash64("content"))
     return cold.groupBy("part").applyInArrow(lambda t: shard_marks(t.drop_columns("part")), _MARKED).unionByName(single_marks(crowded))
 
 
 def remove_repeats(df: DataFrame, shard_bytes: int = SHARD_BYTES, hot_bytes: int = HOT_BYTES, count_bytes: int = COUNT_BYTES,
-                   sent_numbers: int = SENT_NUMBERS, sent_hot: int = SENT_HOT, sent_copies: int = SENT_COPIES) -> DataFrame:
+                   sent_hot: int = SENT_HOT, sent_copies: int = SENT_COPIES) -> DataFrame:
     """doc_id, kept (bytes), n_bytes, n_removed, n_spans of each row's text without its repeats.
 
     A byte goes if a string of 50 bytes over it also starts in a row with a smaller doc_id; strings do not cross texts,
@@ -312,41 +355,40 @@ def remove_repeats(df: DataFrame, shard_bytes: int = SHARD_BYTES, hot_bytes: int
     # Whole texts fold by two hashes of different seeds, 128 bits in all.
     docs = df.select("doc_id", order_id().alias("doc"), F.xxhash64("text").alias("hash"), F.xxhash64(F.lit("wide"), "text").alias("wide"),
                      F.col("text").cast("string").alias("text"))
-    total = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    shards = 1 << max(4, (total // count_bytes).bit_length())
     copied = stored(docs.groupBy("hash", "wide").agg(F.min("doc").alias("first"), F.max("doc").alias("last")).filter("first < last").select("hash", "wide", "first"), "copies")
     copied = F.broadcast(copied) if copied.count() <= sent_copies else copied
     is_copy = F.coalesce((F.col("doc") > F.col("first")) & (F.octet_length("text") >= LENGTH), F.lit(False))
-    docs = docs.join(copied, ["hash", "wide"], "left").withColumn("copy", is_copy).drop("first", "wide")
-    own = docs.filter(~F.col("copy")).select("doc", "hash", "text")
-    found = stored(candidate_runs(own, shards, sent_numbers), "candidates", compression="zstd")
+    docs = docs.join(copied, ["hash", "wide"], "left").withColumn("copy", is_copy)
+    size = F.coalesce(F.octet_length("text"), F.lit(0)).cast("long")
+    texts = batched(docs.select("doc_id", "doc", "copy", size.alias("size"), F.when(~F.col("copy"), F.col("text")).alias("text")))
+    total = texts.agg(F.sum("bytes")).first()[0] or 0
+    shards = 1 << max(4, (total // count_bytes).bit_length())
+    found = stored(candidate_runs(texts, shards), "candidates", compression="zstd")
     removed = marks(found, shard_bytes, hot_bytes, sent_hot)
-    by_row = removed.groupBy("doc", "hash").agg(F.collect_list(F.struct("place", "mask")).alias("gone"))
+    by_batch = removed.groupBy("batch").agg(F.collect_list(F.struct("row", "place", "mask")).alias("gone"))
 
     def strip(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            kept, counts = [], []
-            for text, copy, gone in zip(utf8(batch.column("text")), batch.column("copy").to_pylist(), batch.column("gone").to_pylist()):
-                if copy:
-                    kept.append(b"")
-                    counts.append((len(text), len(text), 1))
-                    continue
-                if not gone:
-                    kept.append(text)
-                    counts.append((len(text), 0, 0))
+        for _, rows, gone in opened(batches, "gone"):
+            marked = {}
+            for g in gone or ():
+                marked.setdefault(g["row"], []).append((g["place"], g["mask"]))
+            kept, counts = rows.column("text").to_pylist(), []
+            for row, (size, copy) in enumerate(zip(rows.column("size").to_pylist(), rows.column("copy").to_pylist())):
+                if copy or row not in marked:
+                    counts.append((size, size, 1) if copy else (size, 0, 0))
                     continue
-                place = np.array([g["place"] for g in gone])
-                mask = np.array([g["mask"] for g in gone])
+                text = kept[row]
+                place, mask = np.array(marked[row]).T
                 at, j = np.nonzero(mask[:, None] >> np.arange(SPAN) & 1)
                 starts = place[at] + j
                 edge = np.zeros(len(text) + 1, np.int64)
                 np.add.at(edge, starts, 1)
                 np.add.at(edge, starts + LENGTH, -1)
                 covered = np.cumsum(edge[:-1]) > 0
-                kept.append(np.frombuffer(text, np.uint8)[~covered].tobytes())
-                counts.append((len(text), int(covered.sum()), int((np.diff(covered.astype(np.int8), prepend=0) == 1).sum())))
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(kept, pa.binary()), *(pa.array([c[i] for c in counts], pa.int64()) for i in range(3))],
+                kept[row] = np.frombuffer(text, np.uint8)[~covered].tobytes()
+                counts.append((size, int(covered.sum()), int((np.diff(covered.astype(np.int8), prepend=0) == 1).sum())))
+            yield pa.RecordBatch.from_arrays([rows.column("doc_id"), pa.array(kept, pa.binary()), *(pa.array([c[i] for c in counts], pa.int64()) for i in range(3))],
                                              names=["doc_id", "kept", "n_bytes", "n_removed", "n_spans"])
 
     schema = df.select("doc_id").schema.add("kept", "binary").add("n_bytes", "long").add("n_removed", "long").add("n_spans", "long")
-    return docs.join(by_row, ["doc", "hash"], "left").select("doc_id", "text", "copy", "gone").mapInArrow(strip, schema)
+    return texts.select("batch", "blob").join(by_batch, "batch", "left").mapInArrow(strip, schema)

@@ -131,7 +131,7 @@ def plain_removal(rows):
         yield (len(text), int(gone.sum()), int((np.diff(gone.astype(int), prepend=0) == 1).sum()), np.frombuffer(text, np.uint8)[~gone].tobytes())
 
 
-@pytest.mark.parametrize("options", [{}, {"hot_bytes": 100, "shard_bytes": 2000, "sent_numbers": 0, "sent_hot": 0, "sent_copies": 0}], ids=["plain", "split"])
+@pytest.mark.parametrize("options", [{}, {"hot_bytes": 100, "shard_bytes": 2000, "count_bytes": 1000, "sent_hot": 0, "sent_copies": 0}], ids=["plain", "split"])
 @pytest.mark.parametrize("name", ["edge", "documents", "none"])
 def test_suffix_removal(name, options, request):
     df = request.getfixturevalue(name)
