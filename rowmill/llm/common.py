@@ -55,14 +55,19 @@ def utf8(column: pa.Array) -> list[bytes]:
 _REMEMBERED: dict = {}
 
 
+def trim() -> None:
+    """Give memory no longer in use back to the system, where the C library can."""
+    pa.default_memory_pool().release_unused()
+    give_back = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if give_back:
+        give_back(0)
+
+
 def forget() -> None:
-    """Drop what the worker remembers and give its memory back to the system, where the C library can."""
+    """Drop what the worker remembers and give its memory back to the system."""
     if _REMEMBERED:
         _REMEMBERED.clear()
-        pa.default_memory_pool().release_unused()
-        trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
-        if trim:
-            trim(0)
+        trim()
 
 
 def remembered(key, make: Callable):

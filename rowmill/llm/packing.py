@@ -22,10 +22,10 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from rowmill.llm.common import by_place, remembered, slices, spans, stored
+from rowmill.llm.common import by_place, remembered, slices, spans, stored, trim
 from rowmill.llm.tokens import BATCH_BYTES, JOINED, edges, encode
 
-GROUP_PIECES, POOL_PIECES = 20_000, 600_000
+GROUP_PIECES, POOL_PIECES = 20_000, 400_000
 # A run of these after a letter is a token run of its own; letters before LATIN_END are letters in every Unicode version in use.
 SIGNS, LATIN_END = ".,;:!?#*$%&", "\u0250"
 _PIECES = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, salt long"
@@ -102,23 +102,38 @@ class Pool:
     """Token ids of pieces, remembered by a worker in one array; a piece is a place in it.
 
     ``words`` have a space before them, ``heads`` nothing. Documents are put together from the places of their
-    pieces by numpy, a batch at a time.
+    pieces by numpy, a batch at a time. A full pool keeps the pieces that came again after the batch that
+    brought them; most pieces come once.
     """
 
-    def __init__(self, path: str, end_id: int):
-        self.path, self.end = path, np.array([end_id], np.uint32)
+    def __init__(self, path: str, end_id: int, most: int | None = None):
+        self.path, self.end, self.most = path, np.array([end_id], np.uint32), most or POOL_PIECES
         self.clear()
 
     def clear(self) -> None:
         self.words: dict[str, int] = {}
         self.heads: dict[str, int] = {}
         self.ids, self.starts, self.lens = np.zeros(0, np.uint32), np.zeros(0, np.int64), np.zeros(0, np.int64)
+        self.again = np.zeros(0, bool)
         self.add(self.heads, [_END], self.end, np.array([1]))
 
+    def shrink(self) -> None:
+        """Forget the pieces that did not come again, or all if even the others fill most of the pool."""
+        self.again[self.heads[_END]] = True
+        kept = np.flatnonzero(self.again)
+        if 4 * len(kept) > 3 * self.most:
+            self.clear()
+            return
+        place = (np.cumsum(self.again) - 1).tolist()
+        self.words, self.heads = ({p: place[i] for p, i in known.items() if self.again[i]} for known in (self.words, self.heads))
+        self.ids, self.lens = self.gathered(kept)
+        self.starts, self.again = np.cumsum(self.lens) - self.lens, np.zeros(len(kept), bool)
+
     def add(self, known: dict, pieces: list, ids: np.ndarray, lens: np.ndarray) -> None:
         known.update(zip(pieces, range(len(self.lens), len(self.lens) + len(lens))))
         self.starts = np.concatenate([self.starts, len(self.ids) + np.cumsum(lens) - lens])
         self.lens, self.ids = np.concatenate([self.lens, lens]), np.concatenate([self.ids, ids])
+        self.again = np.concatenate([self.again, np.zeros(len(lens), bool)])
 
     def gathered(self, places: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """The ids of pieces one after another, and how many each has."""
@@ -127,6 +142,7 @@ class Pool:
 
     def places(self, known: dict, pieces: list, learn: Callable[[list], None]) -> np.ndarray:
         found = np.fromiter(map(known.get, pieces, repeat(-1)), np.int64, len(pieces))
+        self.again[found[found >= 0]] = True
         missing = np.flatnonzero(found < 0).tolist()
         if missing:
             new = [pieces[i] for i in missing]
@@ -178,8 +194,8 @@ class Pool:
 
     def encoded(self, texts: pa.StringArray) -> list[np.ndarray]:
         """The ids of each text, with the end id."""
-        if len(self.words) + len(self.heads) > POOL_PIECES:
-            self.clear()
+        if len(self.lens) > self.most:
+            self.shrink()
         out: list = [None] * len(texts)
         odd = pc.match_substring_regex(texts, _ODD).to_numpy(zero_copy_only=False)
         for rows in (np.flatnonzero(odd), np.flatnonzero(~odd)):
@@ -271,6 +287,7 @@ def pieces(df: DataFrame, path: str, window: int, end_id: int, text: str = "text
             columns = list(zip(*rows)) or [[]] * 6
             yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns],
                                              names=["doc_id", "start", "length", "ids_crc32", "doc_tokens", "salt"])
+        trim()
 
     df = by_place(df, (key, text))[0]
     return df.select(F.col(key).cast("long").alias(key), F.col(text).cast("string").alias(text)).mapInArrow(run, _PIECES)
