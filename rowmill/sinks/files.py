@@ -6,6 +6,10 @@ from pyspark.sql import DataFrame, functions as F
 
 from rowmill.operators.blocks import joined_text
 
+# Tasks put their own files in place; otherwise the driver renames the files of all documents, one by one. A job that fails
+# may so leave some of its files, and a path is written once.
+BY_TASKS = {"mapreduce.fileoutputcommitter.algorithm.version": "2"}
+
 
 def write_blocks(df: DataFrame, doc: str, text: str, path: str, per_document: bool = True) -> None:
     """The numbered blocks of each document, in order, as text.
@@ -15,6 +19,6 @@ def write_blocks(df: DataFrame, doc: str, text: str, path: str, per_document: bo
     """
     texts = joined_text(df, doc, text).withColumnRenamed("text", "value")
     if per_document:
-        texts.write.partitionBy(doc).text(path)
+        texts.write.options(**BY_TASKS).partitionBy(doc).text(path)
     else:
         texts.select("value").write.text(path)
