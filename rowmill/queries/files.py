@@ -14,6 +14,7 @@ from rowmill.sources import delimited as R, tables as S
 SCHEMA = T.StructType([T.StructField("id", T.LongType()), T.StructField("name", T.StringType()),
                        T.StructField("dept", T.StringType()), T.StructField("sal", T.IntegerType())])
 HEAD = "id|name|dept|sal"
+LINES_A_FILE = 1_000_000
 
 
 def _text(*parts: str | Column) -> Column:
@@ -31,15 +32,17 @@ def _line(*cols: Column, sep: str = "|") -> Column:
     return F.concat_ws(sep, *cols)
 
 
-def write_lines(lines: DataFrame, head: str | None = HEAD, foot: str | None = None, files: int = 3,
+def write_lines(lines: DataFrame, head: str | None = HEAD, foot: str | None = None, files: int | None = None,
           **options) -> str:
     """Write one column of lines; every file gets the head and foot lines as its own.
 
-    A file is a part of the table, so a line counts as the first or last of its part by its place.
+    A file is a part of the table, so a line counts as the first or last of its part by its place. A task sorts whole
+    parts, so there are as many as keep them to ``LINES_A_FILE``, and three at least.
     """
     spark = lines.sparkSession
     path = scratch_path(spark, "delimited")
     named = lines.toDF("key", "line")
+    files = files or max(3, -(-named.count() // LINES_A_FILE))
     part = F.pmod("key", F.lit(files))
     rows = named.select(part.alias("part"), F.lit(1).alias("place"), "key", "line")
     for place, text in ((0, head), (2, foot)):
