@@ -2,7 +2,8 @@
 
 Spark's XML function parses each file into one nested row; every table below is an explode of it, so
 the catalogue of a large corpus shuffles only for the census. Parsing is the cost: to build
-several tables, write ``parse_jobs`` to a table once and start from that.
+several tables, write ``parse_jobs`` to a table once and start from that; to build one, give
+``parse_jobs`` the part of the schema that it reads.
 """
 
 from __future__ import annotations
@@ -28,6 +29,20 @@ node array<struct<
   nodeData:struct<varTables:{_TABLES}, outputTables:{_TABLES}, inputTables:{_TABLES}>>>,
 connection {_LINKS}
 """
+# What each table reads of a file, for tables that are built alone: the parser passes over all else.
+_NAMED = "elementParameter:array<struct<_name:string, _value:string>>"
+_ENDS = "connection array<struct<_connectorName:string, _label:string, _source:string, _target:string>>"
+_DECLARING = f"{_NAMED}, metadata:array<struct<_connector:string, _name:string, column:{_COLUMNS}>>"
+COMPONENTS = f"node array<struct<_componentName:string, _componentVersion:string, {_NAMED}>>"
+PARAMETERS = f"node array<struct<elementParameter:{_PARAMETERS}>>"
+CONNECTORS = f"node array<struct<{_NAMED}, metadata:array<struct<_connector:string, _name:string, column:array<struct<_name:string>>>>>>"
+COLUMNS = f"node array<struct<{_DECLARING}>>"
+PATTERNS = f"node array<struct<{_NAMED}, metadata:array<struct<_connector:string, column:array<struct<_name:string, _pattern:string>>>>>>"
+LINKS, LINK_PARAMETERS = _ENDS, f"connection {_LINKS}"
+LINEAGE = "connection array<struct<_source:string, _target:string>>"
+CHANGES = f"{COLUMNS}, {_ENDS}"
+MAP_INPUTS = f"node array<struct<{_NAMED}, nodeData:struct<inputTables:array<struct<_name:string, _matchingMode:string, _lookupMode:string>>>>>"
+MAP_EXPRESSIONS = f"node array<struct<{_NAMED}, nodeData:struct<varTables:{_TABLES}, outputTables:{_TABLES}>>>"
 UNIQUE_NAME = "UNIQUE_NAME"
 FLOW = "FLOW"
 
@@ -41,10 +56,10 @@ def read_job_files(spark: SparkSession, path: str) -> DataFrame:
             .select(F.col("_metadata.file_path").alias("job"), F.col("value").alias("xml")))
 
 
-def parse_jobs(files: DataFrame) -> DataFrame:
-    """``(job, node, connection)``; a file that is no job has neither."""
-    parsed = F.from_xml(F.col("xml"), JOB_SCHEMA, {"ignoreSurroundingSpaces": "true"})
-    return files.select("job", parsed.alias("doc")).select("job", "doc.node", "doc.connection")
+def parse_jobs(files: DataFrame, schema: str = JOB_SCHEMA) -> DataFrame:
+    """``(job, node, connection)``, or those of the two that ``schema`` names; a file that is no job has neither."""
+    parsed = F.from_xml(F.col("xml"), schema, {"ignoreSurroundingSpaces": "true"})
+    return files.select("job", parsed.alias("doc")).select("job", "doc.*")
 
 
 def _unique_name(node: Column) -> Column:
@@ -52,7 +67,7 @@ def _unique_name(node: Column) -> Column:
     return F.get(named, 0)["_value"]
 
 
-def _rows(jobs: DataFrame, array: Column | str, name: str, *others: Column) -> DataFrame:
+def _rows(jobs: DataFrame, array: Column | str, name: str, *others: Column | str) -> DataFrame:
     """One row per element. A plain explode would first filter on the array's size, and Spark would
     parse every file again for that filter."""
     rows = jobs.select("job", F.explode_outer(array).alias(name), *others)
@@ -188,7 +203,9 @@ def column_changes(jobs: DataFrame, parts: Sequence[str] = SHAPE) -> DataFrame:
 
     A column changes if one of ``parts`` does; with ``WHOLE_SHAPE`` precision, key and pattern count too. The row of a job holds both ends of its links, so nothing is shuffled.
     """
-    flows = _rows(jobs, "connection", "link", _all_declared().alias("declared"))
+    # Once per job, not per link, and links then carry no components along.
+    whole = jobs.select("job", "connection", _all_declared().alias("declared"))
+    flows = _rows(whole, "connection", "link", "declared")
 
     def ends_at(component: str, connector: Column) -> Column:
         found = F.filter("declared", lambda d: (d["component"] == F.col(component))
@@ -241,7 +258,7 @@ def lineage(jobs: DataFrame) -> DataFrame:
 def dangling_outputs(jobs: DataFrame) -> DataFrame:
     """Declared side outputs with columns that no link takes; the main flow may end anywhere."""
     rows = _rows(jobs, _all_declared(), "d",
-                 F.coalesce("connection", F.array().cast(_LINKS)).alias("connection"))
+                 F.coalesce("connection", F.array().cast(jobs.schema["connection"].dataType)).alias("connection"))
     taken = F.exists("connection", lambda c: (c["_source"] == F.col("d.component"))
                      & (c["_connectorName"] == F.col("d.connector")))
     rows = rows.filter((F.col("d.connector") != FLOW) & (F.size("d.column") > 0) & ~taken)

@@ -9,10 +9,16 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+# Rows whose costly work makes one task of moderate length.
+ROWS_A_TASK = 50_000
+
+
 def spread(df: DataFrame) -> DataFrame:
-    """Small tables come as one file and so as one task; give each core a part of the costly work."""
+    """Small tables come as one file and so as one task; give each core a part of the costly work, and a task no more than
+    ``ROWS_A_TASK`` rows of a large table, however many cores there are."""
     cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+    parts = max(cores, -(-df.count() // ROWS_A_TASK))
+    return df.repartition(parts) if df.rdd.getNumPartitions() < parts else df
 
 
 def null_every(n: int, key: str, value: Column) -> Column:

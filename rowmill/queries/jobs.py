@@ -10,6 +10,7 @@ from rowmill.plans.employee import enrich
 from rowmill.queries import query
 from rowmill.queries.fixtures import employees, spread, table
 from rowmill.session import scratch_path
+from rowmill.sinks.files import BY_TASKS
 
 # A job has 2 to 4 components in a chain; component i declares columns c0 to ci. The second is a
 # map with a variable, the first has a reject output that only even orders link to the last.
@@ -54,8 +55,8 @@ def _files(rows: DataFrame, xml: str = _XML) -> DataFrame:
     return jobs.select(F.col("o_orderkey").cast("string").alias("job"), F.expr(xml).alias("xml"))
 
 
-def _jobs(spark: SparkSession, d: str) -> DataFrame:
-    return J.parse_jobs(_files(table(spark, d, "orders")))
+def _jobs(spark: SparkSession, d: str, schema: str) -> DataFrame:
+    return J.parse_jobs(_files(table(spark, d, "orders")), schema)
 
 
 _NODES = """WITH jobs AS (
@@ -75,7 +76,7 @@ _NODES = """WITH jobs AS (
     CASE i WHEN 0 THEN 'reader' WHEN 1 THEN 'map' ELSE 'writer' END AS component_name, unique_name,
     '0.' || i AS version FROM nodes""")
 def _job_components(spark, d):
-    return J.components(_jobs(spark, d))
+    return J.components(_jobs(spark, d, J.COMPONENTS))
 
 
 @query("job_parameters", _NODES + """
@@ -83,13 +84,13 @@ def _job_components(spark, d):
     UNION ALL SELECT job, unique_name, 'CLOSED_LIST', 'STATUS', o_orderstatus FROM nodes
     UNION ALL SELECT job, unique_name, 'TABLE', 'KEYS', NULL FROM nodes""")
 def _job_parameters(spark, d):
-    return J.parameters(_jobs(spark, d))
+    return J.parameters(_jobs(spark, d, J.PARAMETERS))
 
 
 @query("job_table_parameters", _NODES + """SELECT job, unique_name, 'KEYS' AS name,
     CAST(c + 1 AS INTEGER) AS row, 'c' || c AS "column", CAST(c = 0 AS VARCHAR) AS key FROM cols""")
 def _job_table_parameters(spark, d):
-    rows = J.table_parameters(_jobs(spark, d))
+    rows = J.table_parameters(_jobs(spark, d, J.PARAMETERS))
     return rows.select("job", "unique_name", "name", "row", F.col("values.COLUMN").alias("column"),
                        F.col("values.KEY").alias("key"))
 
@@ -100,7 +101,7 @@ def _job_table_parameters(spark, d):
     UNION ALL SELECT job, unique_name, CASE i WHEN 0 THEN 'REJECT' ELSE 'OTHER' END,
         CASE i WHEN 0 THEN 'REJECT' ELSE 'OTHER' END, CASE i WHEN 0 THEN 1 ELSE 0 END FROM nodes""")
 def _job_connectors(spark, d):
-    return J.connectors(_jobs(spark, d))
+    return J.connectors(_jobs(spark, d, J.CONNECTORS))
 
 
 @query("job_columns", _NODES + """
@@ -110,12 +111,12 @@ def _job_connectors(spark, d):
     UNION ALL SELECT job, 'n0', 'REJECT', 1, 'errorCode', 'id_String', 255, 0, true, false
     FROM jobs""")
 def _job_columns(spark, d):
-    return J.columns(_jobs(spark, d))
+    return J.columns(_jobs(spark, d, J.COLUMNS))
 
 
 @query("job_links", _NODES + "SELECT * FROM edges")
 def _job_links(spark, d):
-    return J.links(_jobs(spark, d))
+    return J.links(_jobs(spark, d, J.LINKS))
 
 
 @query("job_column_changes", _NODES + """
@@ -130,7 +131,7 @@ def _job_links(spark, d):
     UNION ALL SELECT job, 'bad', 'n' || last, 'errorCode', 'id_String/255/true', NULL, 'dropped'
     FROM jobs WHERE o_orderkey % 2 = 0""")
 def _job_column_changes(spark, d):
-    return J.column_changes(_jobs(spark, d))
+    return J.column_changes(_jobs(spark, d, J.CHANGES))
 
 
 @query("job_lineage", _NODES + """
@@ -139,13 +140,13 @@ def _job_column_changes(spark, d):
             AS distance
     FROM nodes a JOIN nodes b ON a.job = b.job AND a.i < b.i""")
 def _job_lineage(spark, d):
-    return J.lineage(_jobs(spark, d))
+    return J.lineage(_jobs(spark, d, J.LINEAGE))
 
 
 @query("job_dangling", _NODES + """SELECT job, 'n0' AS unique_name, 'REJECT' AS connector
     FROM jobs WHERE o_orderkey % 2 <> 0""")
 def _job_dangling(spark, d):
-    return J.dangling_outputs(_jobs(spark, d))
+    return J.dangling_outputs(_jobs(spark, d, J.CHANGES))
 
 
 @query("job_map_expressions", _NODES + """
@@ -155,14 +156,14 @@ def _job_dangling(spark, d):
     UNION ALL SELECT job, 'n1', 'out', 'c',
         '(((row.c0 <= ' || o_custkey || ') ? 1 : 2) * 3) + 1', 'id_Integer' FROM jobs""")
 def _job_map_expressions(spark, d):
-    return J.map_expressions(_jobs(spark, d))
+    return J.map_expressions(_jobs(spark, d, J.MAP_EXPRESSIONS))
 
 
 @query("job_census", _NODES + """
     SELECT CASE i WHEN 0 THEN 'reader' WHEN 1 THEN 'map' ELSE 'writer' END AS component_name,
         count(*) AS n_uses, count(DISTINCT job) AS n_jobs FROM nodes GROUP BY 1""")
 def _job_census(spark, d):
-    return J.census(_jobs(spark, d))
+    return J.census(_jobs(spark, d, J.COMPONENTS))
 
 
 @query("job_files_read", _NODES.replace("FROM orders)", """FROM (SELECT s_suppkey AS o_orderkey,
@@ -175,8 +176,8 @@ def _job_files_read(spark, d):
         F.col("s_suppkey").alias("o_orderkey"), F.col("s_nationkey").alias("o_custkey"),
         F.lit("A").alias("o_orderstatus"))
     path = scratch_path(spark, "jobs")
-    _files(rows).withColumnRenamed("xml", "value").write.partitionBy("job").text(path)
-    return J.census(J.parse_jobs(J.read_job_files(spark, path)))
+    _files(rows).withColumnRenamed("xml", "value").write.options(**BY_TASKS).partitionBy("job").text(path)
+    return J.census(J.parse_jobs(J.read_job_files(spark, path), J.COMPONENTS))
 
 
 @query("schema_diff", """SELECT * FROM (VALUES ('SAL_RANGE', 'added'), ('DATE_TIMESTAMP', 'added'))
@@ -201,22 +202,22 @@ _RICH = (_XML.replace('<outputTables name="out">', '<inputTables name="row" matc
     '<elementParameter field="TEXT" name="UNIQUE_NAME" value="row', i, '"/></connection>')"""))
 
 
-def _rich_jobs(spark: SparkSession, d: str) -> DataFrame:
-    return J.parse_jobs(_files(table(spark, d, "orders"), _RICH))
+def _rich_jobs(spark: SparkSession, d: str, schema: str) -> DataFrame:
+    return J.parse_jobs(_files(table(spark, d, "orders"), _RICH), schema)
 
 
 @query("job_link_parameters", _NODES + """
     SELECT job, 'row' || i AS label, 'TABLE' AS field, 'TRACES' AS name, NULL AS value FROM nodes WHERE i > 0
     UNION ALL SELECT job, 'row' || i, 'TEXT', 'UNIQUE_NAME', 'row' || i FROM nodes WHERE i > 0""")
 def _job_link_parameters(spark, d):
-    return J.link_parameters(_rich_jobs(spark, d))
+    return J.link_parameters(_rich_jobs(spark, d, J.LINK_PARAMETERS))
 
 
 @query("job_link_traces", _NODES + """
     SELECT job, 'row' || i AS label, 1::INT AS row, 'c0' AS "column", 'c0 > ' || i AS condition FROM nodes WHERE i > 0
     UNION ALL SELECT job, 'row' || i, 2, 'c' || i, '' FROM nodes WHERE i > 0""")
 def _job_link_traces(spark, d):
-    rows = J.link_table_parameters(_rich_jobs(spark, d)).filter("name = 'TRACES'")
+    rows = J.link_table_parameters(_rich_jobs(spark, d, J.LINK_PARAMETERS)).filter("name = 'TRACES'")
     return rows.select("job", "label", "row", F.col("values.COLUMN").alias("column"), F.col("values.CONDITION").alias("condition"))
 
 
@@ -224,13 +225,13 @@ def _job_link_traces(spark, d):
     SELECT job, 'n1' AS unique_name, 1::INT AS position, 'row' AS "table", 'UNIQUE_MATCH' AS matching_mode, 'LOAD_ONCE' AS lookup_mode FROM jobs
     UNION ALL SELECT job, 'n1', 2, 'look', NULL, NULL FROM jobs""")
 def _job_map_inputs(spark, d):
-    return J.map_inputs(_rich_jobs(spark, d))
+    return J.map_inputs(_rich_jobs(spark, d, J.MAP_INPUTS))
 
 
 @query("job_column_patterns", _NODES + """SELECT job, unique_name, 'FLOW' AS connector, 'c1' AS "column", 'p' || i AS pattern
     FROM nodes WHERE i >= 1""")
 def _job_column_patterns(spark, d):
-    return J.column_patterns(_rich_jobs(spark, d))
+    return J.column_patterns(_rich_jobs(spark, d, J.PATTERNS))
 
 
 @query("job_column_changes_whole", _NODES + """, shown AS (SELECT *, 'id_String/' || CASE WHEN c = 0 THEN i ELSE -1 END || '/true/' || i || '/' || (c = 0)
@@ -240,4 +241,4 @@ def _job_column_patterns(spark, d):
     FROM shown new LEFT JOIN shown old ON old.job = new.job AND old.i = new.i - 1 AND old.c = new.c WHERE new.i > 0""")
 def _job_column_changes_whole(spark, d):
     """Precision differs along every link, so every column changes."""
-    return J.column_changes(_rich_jobs(spark, d), J.WHOLE_SHAPE).filter("label <> 'bad'")
+    return J.column_changes(_rich_jobs(spark, d, J.CHANGES), J.WHOLE_SHAPE).filter("label <> 'bad'")
