@@ -203,29 +203,27 @@ def column_changes(jobs: DataFrame, parts: Sequence[str] = SHAPE) -> DataFrame:
 
     A column changes if one of ``parts`` does; with ``WHOLE_SHAPE`` precision, key and pattern count too. The row of a job holds both ends of its links, so nothing is shuffled.
     """
-    # Once per job, not per link, and links then carry no components along.
+    # Declared columns are gathered once per job; both ends of a link, and both forms of a column, are looked up once, inside
+    # the row: what a filter or a branch asks of an explode's result is not worked out again.
     whole = jobs.select("job", "connection", _all_declared().alias("declared"))
-    flows = _rows(whole, "connection", "link", "declared")
 
-    def ends_at(component: str, connector: Column) -> Column:
-        found = F.filter("declared", lambda d: (d["component"] == F.col(component))
-                         & (d["connector"] == connector))
+    def ends_at(component: Column, connector: Column) -> Column:
+        found = F.filter("declared", lambda d: (d["component"] == component) & (d["connector"] == connector))
         return F.get(found, F.lit(0))["column"]
 
-    ends = flows.select("job", F.col("link._label").alias("label"),
-                        F.col("link._target").alias("target"),
-                        ends_at("link._source", F.col("link._connectorName")).alias("old"),
-                        ends_at("link._target", F.lit(FLOW)).alias("new"))
-    ends = ends.filter((F.size("old") > 0) & (F.size("new") > 0))
-    names = F.array_union(F.transform("old", lambda c: c["_name"]),
-                          F.transform("new", lambda c: c["_name"]))
-    rows = ends.withColumn("column", F.explode(names))
+    ends = F.transform("connection", lambda c: F.struct(
+        c["_label"].alias("label"), c["_target"].alias("target"), ends_at(c["_source"], c["_connectorName"]).alias("old"),
+        ends_at(c["_target"], F.lit(FLOW)).alias("new")))
+    rows = _rows(whole, ends, "end").filter((F.size("end.old") > 0) & (F.size("end.new") > 0))
+    names = F.array_union(F.transform("end.old", lambda c: c["_name"]), F.transform("end.new", lambda c: c["_name"]))
 
-    def named(side: str) -> Column:
-        return F.get(F.filter(side, lambda c: c["_name"] == F.col("column")), F.lit(0))
+    def named(side: str, name: Column) -> Column:
+        return F.get(F.filter(side, lambda c: c["_name"] == name), F.lit(0))
 
-    rows = rows.select("job", "label", "target", "column", _shape(named("old"), parts).alias("before"),
-                       _shape(named("new"), parts).alias("after"))
+    forms = F.transform(names, lambda n: F.struct(n.alias("column"), named("end.old", n).alias("old"), named("end.new", n).alias("new")))
+    rows = rows.select("job", "end.label", "end.target", F.explode_outer(forms).alias("c"))
+    rows = rows.select("job", "label", "target", "c.column", _shape(F.col("c.old"), parts).alias("before"),
+                       _shape(F.col("c.new"), parts).alias("after"))
     change = (F.when(F.col("before").isNull(), "added").when(F.col("after").isNull(), "dropped")
               .when(F.col("before") != F.col("after"), "changed"))
     return rows.withColumn("change", change).filter(F.col("change").isNotNull())
