@@ -8,11 +8,19 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 CROWD, ROUNDS, HASHES = 1_000, 3, 128
+# Texts up to this length go along with their keys.
+CARRIED = 500
 
 
 def values_of(df: DataFrame, col: str) -> DataFrame:
-    """``(id, value)`` of the distinct values; the id is a 128-bit hash."""
-    values = df.select(F.col(f"`{col}`").alias("value")).filter(F.col("value").isNotNull()).distinct()
+    """``(id, value)`` of the distinct values; the id is a 128-bit hash.
+
+    Keys are costly to make and short values few bytes, so values are dealt to a set number of tasks: merged by their bytes
+    they would be one.
+    """
+    spark = df.sparkSession
+    parts = max(spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    values = df.select(F.col(f"`{col}`").alias("value")).filter(F.col("value").isNotNull()).repartition(parts, "value").distinct()
     return values.select(F.unhex(F.md5(F.col("value").cast("binary"))).alias("id"), "value")
 
 
@@ -71,8 +79,9 @@ def _keyed(texts: DataFrame, keys: str) -> DataFrame:
                            "concat(left(text, k.at), substring(text, k.at + k.size + 1)) AS text")
 
 
-def _candidates(index: DataFrame, probe: DataFrame, limit: int, crowd: int, rounds: int) -> DataFrame:
-    """``(left_id, right_id)`` that share a key.
+def _candidates(index: DataFrame, probe: DataFrame, limit: int, crowd: int, rounds: int, check: bool = False) -> DataFrame:
+    """``(left_id, right_id)`` that share a key; with ``check`` only if what is left beside the segment is within the limit too,
+    as it is for some key of every close pair. That is seen where the two meet, so pairs that are not close go no further.
 
     A segment that very many values share says little: for those, what is left beside it has to be as close
     as the whole was, so it is cut in the same way again and the new key joins the old one. Without
@@ -81,13 +90,19 @@ def _candidates(index: DataFrame, probe: DataFrame, limit: int, crowd: int, roun
     i, p = _keyed(index, index_keys(limit)), _keyed(probe, probe_keys(limit))
 
     def met(a: DataFrame, b: DataFrame) -> DataFrame:
-        return a.select("key", F.col("id").alias("right_id")).join(b.select("key", F.col("id").alias("left_id")), "key").select("left_id", "right_id")
+        text = [F.when(F.length("text") <= CARRIED, F.col("text")).alias("text")] if check else []
+        a, b = (side.select("key", "id", *text) for side in (a, b))
+        pairs = a.withColumnsRenamed({"id": "right_id", "text": "right_text"}).join(
+            b.withColumnsRenamed({"id": "left_id", "text": "left_text"}).hint("merge"), "key")
+        if check:
+            pairs = pairs.filter(F.coalesce(F.levenshtein("left_text", "right_text", limit) >= 0, F.lit(True)))
+        return pairs.select("left_id", "right_id")
 
     if rounds <= 1:
         return met(i, p)
     crowded = i.filter("divisible").groupBy("key").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > crowd).select("key")
     deeper = [side.join(crowded, "key", "left_semi").select("id", F.col("key").alias("above"), "text") for side in (i, p)]
-    return met(i.join(crowded, "key", "left_anti"), p).unionByName(_candidates(*deeper, limit, crowd, rounds - 1))
+    return met(i.join(crowded, "key", "left_anti"), p).unionByName(_candidates(*deeper, limit, crowd, rounds - 1, check))
 
 
 def close_pairs(left: DataFrame, right: DataFrame, left_col: str, right_col: str, limit: int,
@@ -102,9 +117,11 @@ def close_pairs(left: DataFrame, right: DataFrame, left_col: str, right_col: str
         raise ValueError("an edit distance is not below zero")
     a, b = values_of(left, left_col), values_of(right, right_col)
     index, probe = (side.select("id", F.lit(0).cast("long").alias("above"), F.col("value").alias("text")) for side in (b, a))
-    found = _candidates(index, probe, limit, crowd, rounds).distinct()
-    named = (found.join(a.select(F.col("id").alias("left_id"), F.col("value").alias("left_value")), "left_id")
-             .join(b.select(F.col("id").alias("right_id"), F.col("value").alias("right_value")), "right_id"))
+    found = _candidates(index, probe, limit, crowd, rounds, check=True).distinct()
+    # Both sides grow with the input, and a side that is just small enough to be sent to all tasks is built up by the driver,
+    # several at a time; so all of them are merged.
+    named = (found.join(a.select(F.col("id").alias("left_id"), F.col("value").alias("left_value")).hint("merge"), "left_id")
+             .join(b.select(F.col("id").alias("right_id"), F.col("value").alias("right_value")).hint("merge"), "right_id"))
     within = F.levenshtein("left_value", "right_value", limit)
     return named.select("left_value", "right_value", within.alias("distance")).filter(F.col("distance") >= 0)
 

@@ -1,6 +1,7 @@
 """Close values beside brute force: edit distance by segments, token overlap by MinHash; lineage within a row."""
 
 import random
+import re
 
 import pytest
 from pyspark.sql import functions as F
@@ -128,3 +129,27 @@ def test_lineage_beside_plain_python(spark, links):
     got = lineage(jobs)
     assert {(r.source, r.target): r.distance for r in got.collect()} == plain_lineage(links)
     assert "Exchange" not in got._jdf.queryExecution().executedPlan().toString()
+
+
+def sent_whole(df):
+    """Joins of an executed plan whose one side the driver sent to all tasks; keys of crowds, a thousandth of all at most, may be."""
+    df.collect()
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin" in plan
+    return re.findall(r"BroadcastHashJoin.* Inner.*", plan)
+
+
+def test_close_pairs_send_no_side_through_the_driver(spark):
+    df = frame(spark, [f"region {i:04d}" for i in range(200)])
+    assert sent_whole(N.close_pairs(df, df, "w", "w", 1)) == []
+
+
+def test_pairs_that_are_not_close_end_where_they_meet(spark):
+    """All values share a segment; texts too long to go along are compared later, and none is lost."""
+    values = [f"Customers of the region {(i * 7919) % 100003:06d}-{(i * 104729) % 99991:06d}" for i in range(100)]
+    df = frame(spark, values)
+    index = N.values_of(df, "w").selectExpr("id", "0L AS above", "value AS text")
+    near = sum(distance(a, b) <= 1 for a in values for b in values)
+    assert N._candidates(index, index, 1, 1000, 1, check=True).distinct().count() == near == 100
+    long = frame(spark, ["x" * 600, "x" * 599 + "y", "z" * 700])
+    assert N.close_pairs(long, long, "w", "w", 1).count() == 5
