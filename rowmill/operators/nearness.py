@@ -140,8 +140,22 @@ def bands_for(threshold: float, recall: float, hashes: int = HASHES) -> tuple[in
 
 def band_keys(words: Column, bands: int, rows: int) -> Column:
     """A key a band: the hash of the least hashes of the words under ``rows`` seeds."""
-    least = F.transform(F.sequence(F.lit(0), F.lit(bands * rows - 1)), lambda seed: F.array_min(F.transform(words, lambda w: F.xxhash64(w, seed))))
-    return F.transform(F.sequence(F.lit(0), F.lit(bands - 1)), lambda b: F.xxhash64(b, F.slice(least, b * rows + 1, rows)))
+    def least(b: Column) -> Column:
+        # Of this band only: an expression used in a lambda is worked out again for each of its elements.
+        return F.transform(F.sequence(b * rows, b * rows + (rows - 1)), lambda seed: F.array_min(F.transform(words, lambda w: F.xxhash64(w, seed))))
+
+    return F.transform(F.sequence(F.lit(0), F.lit(bands - 1)), lambda b: F.xxhash64(b, least(b)))
+
+
+def carried(words: Column) -> Column:
+    """Hashes of a set that go along with its keys, to tell where two sets meet whether they may overlap enough; null if there are many."""
+    return F.when(F.size(words) <= CARRIED, F.transform(words, lambda w: F.xxhash64(w)))
+
+
+def may_overlap(left: str, right: str, threshold: float) -> Column:
+    """Whether two sets known by ``carried`` hashes reach the threshold; true if it cannot be told."""
+    needed = F.lit(threshold / (1 + threshold)) * (F.size(left) + F.size(right)) - 1e-9
+    return F.coalesce(F.size(F.array_intersect(left, right)) >= needed, F.lit(True)) | F.col(left).isNull() | F.col(right).isNull()
 
 
 def similar_by_minhash(left: DataFrame, right: DataFrame, left_col: str, right_col: str, threshold: float, words: Column,
@@ -164,17 +178,21 @@ def similar_by_minhash(left: DataFrame, right: DataFrame, left_col: str, right_c
 
     def keyed(sets: DataFrame, side: str) -> DataFrame:
         single = sets.groupBy("set").agg(F.first("words").alias("words"))
-        keys = single.select(F.col("set").alias(side), band_keys(F.col("words"), bands, rows).alias("keys"))
-        return keys.select(side, F.explode_outer("keys").alias("key")).filter(F.col("key").isNotNull())
+        keys = single.select(F.col("set").alias(f"{side}_set"), carried(F.col("words")).alias(f"{side}_hashes"),
+                             band_keys(F.col("words"), bands, rows).alias("keys"))
+        return keys.select(f"{side}_set", f"{side}_hashes", F.explode_outer("keys").alias("key")).filter(F.col("key").isNotNull())
 
-    found = keyed(a, "left_set").join(keyed(b, "right_set"), "key").select("left_set", "right_set").distinct()
+    # Merged, since the driver would build up each side that is sent to all tasks.
+    met = keyed(a, "left").join(keyed(b, "right").hint("merge"), "key").filter(may_overlap("left_hashes", "right_hashes", threshold))
+    found = met.select("left_set", "right_set").distinct()
     singles = [s.groupBy("set").agg(F.first("words").alias("words")) for s in (a, b)]
-    both = (found.join(singles[0].toDF("left_set", "left_words"), "left_set").join(singles[1].toDF("right_set", "right_words"), "right_set"))
+    both = (found.join(singles[0].toDF("left_set", "left_words").hint("merge"), "left_set")
+            .join(singles[1].toDF("right_set", "right_words").hint("merge"), "right_set"))
     shared = F.size(F.array_intersect("left_words", "right_words"))
     sizes = F.size("left_words") + F.size("right_words")
     scored = both.withColumn("shared", shared).filter(F.col("shared") >= F.lit(threshold / (1 + threshold)) * sizes - 1e-9).select(
         "left_set", "right_set", (F.col("shared") / (sizes - F.col("shared"))).alias("score"))
-    return (scored.join(a.select(F.col("set").alias("left_set"), F.col("value").alias("left_value")), "left_set")
-            .join(b.select(F.col("set").alias("right_set"), F.col("value").alias("right_value")), "right_set")
+    return (scored.join(a.select(F.col("set").alias("left_set"), F.col("value").alias("left_value")).hint("merge"), "left_set")
+            .join(b.select(F.col("set").alias("right_set"), F.col("value").alias("right_value")).hint("merge"), "right_set")
             .select("left_value", "right_value", "score"))
 

@@ -153,3 +153,29 @@ def test_pairs_that_are_not_close_end_where_they_meet(spark):
     assert N._candidates(index, index, 1, 1000, 1, check=True).distinct().count() == near == 100
     long = frame(spark, ["x" * 600, "x" * 599 + "y", "z" * 700])
     assert N.close_pairs(long, long, "w", "w", 1).count() == 5
+
+
+def test_band_keys_beside_plain_ones(spark):
+    """A band works out its own hashes only."""
+    df = frame(spark, ["a b c", "b c d e", "x"]).filter("w IS NOT NULL").withColumn("words", F.split("w", " "))
+    least = F.transform(F.sequence(F.lit(0), F.lit(11)), lambda seed: F.array_min(F.transform("words", lambda w: F.xxhash64(w, seed))))
+    want = F.array(*[F.xxhash64(F.lit(b), F.slice(least, b * 3 + 1, 3)) for b in range(4)])
+    keys = N.band_keys(F.col("words"), 4, 3)
+    assert df.filter(keys == want).count() == 3
+    seeds = df.select(keys.alias("k"))._jdf.queryExecution().optimizedPlan().toString()
+    assert "slice(" not in seeds
+
+
+def test_minhash_sends_no_side_through_the_driver(spark):
+    df = frame(spark, [f"region {i} of {i % 7}" for i in range(200)])
+    assert sent_whole(similar_pairs(df, df, "w", "w", 0.6, ngram=3, recall=0.97)) == []
+
+
+@pytest.mark.parametrize("carried", [0, 3, 500])
+@pytest.mark.parametrize("recall", [None, 0.999])
+def test_sets_too_large_to_go_along_lose_no_pair(spark, monkeypatch, carried, recall):
+    monkeypatch.setattr(N, "CARRIED", carried)
+    df = frame(spark, ["a b c", "a b c d", "a b", "x y", "x y z w"])
+    pairs = {("a b c", "a b c d"), ("a b c", "a b")}
+    want = {(v, v) for v in ("a b c", "a b c d", "a b", "x y", "x y z w")} | pairs | {p[::-1] for p in pairs}
+    assert {(r[0], r[1]) for r in similar_pairs(df, df, "w", "w", 0.65, recall=recall).collect()} == want
