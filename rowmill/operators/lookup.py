@@ -7,7 +7,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, functions as F
 
 from rowmill.operators.dedupe import first_per_key
-from rowmill.operators.nearness import close_pairs, similar_by_minhash
+from rowmill.operators.nearness import carried, close_pairs, may_overlap, similar_by_minhash
 from rowmill.operators.skew import (
     HOT_ROWS, MAX_BYTES, MAX_ROWS, fits_in_memory, join_unique)
 
@@ -64,18 +64,19 @@ def similar_pairs(left: DataFrame, right: DataFrame, left_col: str, right_col: s
               .filter(F.col("token").isNotNull()))
     weight = (single.groupBy(F.col("token").alias("__token"))
               .agg(F.count(F.lit(1)).alias("weight")))
-    ranked = (join_unique(single, weight, ["token"], ["__token"], "inner")
+    # Spark takes the tokens of a text to be no more than the text, and would send them all to every task.
+    ranked = (join_unique(single.hint("merge"), weight, ["token"], ["__token"], "inner")
               .groupBy("side", "value")
               .agg(F.sort_array(F.collect_list(F.struct("weight", "token"))).alias("ranked")))
     size = F.size("ranked")
     prefix = size - F.ceil(F.lit(threshold) * size - 1e-9).cast("int") + 1
-    heads = ranked.select("side", "value", size.alias("size"),
+    heads = ranked.select("side", "value", size.alias("size"), carried(F.col("ranked.token")).alias("hashes"),
                           F.posexplode(F.slice("ranked", F.lit(1), prefix)).alias("at", "head"))
-    heads = heads.select("side", "value", "head.token", "size",
+    heads = heads.select("side", "value", "hashes", "head.token", "size",
                          (F.col("size") - F.col("at")).alias("rest"))
 
     def heads_of(side: str) -> DataFrame:
-        names = {c: f"{side}_{c}" for c in ("value", "size", "rest")}
+        names = {c: f"{side}_{c}" for c in ("value", "size", "rest", "hashes")}
         return heads.filter(F.col("side") == side).drop("side").withColumnsRenamed(names)
 
     def words_of(side: str) -> DataFrame:
@@ -84,11 +85,13 @@ def similar_pairs(left: DataFrame, right: DataFrame, left_col: str, right_col: s
 
     sizes = F.col("left_size") + F.col("right_size")
     needed = F.lit(threshold / (1 + threshold)) * sizes - 1e-9
-    pairs = (heads_of("left").join(heads_of("right"), "token")
-             .filter(F.least("left_rest", "right_rest") >= needed)
+    # The overlap is told where two values meet, so other pairs are neither shuffled nor told apart. All sides grow with the
+    # input, and the driver would build up each that is sent to all tasks: so they are merged.
+    pairs = (heads_of("left").join(heads_of("right").hint("merge"), "token")
+             .filter((F.least("left_rest", "right_rest") >= needed) & may_overlap("left_hashes", "right_hashes", threshold))
              .select("left_value", "right_value", "left_size", "right_size").distinct())
     shared = F.size(F.array_intersect("left_words", "right_words"))
-    return (pairs.join(words_of("left"), "left_value").join(words_of("right"), "right_value")
+    return (pairs.join(words_of("left").hint("merge"), "left_value").join(words_of("right").hint("merge"), "right_value")
             .filter(shared >= needed)
             .select("left_value", "right_value", (shared / (sizes - shared)).alias("score")))
 

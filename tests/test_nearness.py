@@ -166,9 +166,10 @@ def test_band_keys_beside_plain_ones(spark):
     assert "slice(" not in seeds
 
 
-def test_minhash_sends_no_side_through_the_driver(spark):
+@pytest.mark.parametrize("recall", [None, 0.97])
+def test_token_overlap_sends_no_side_through_the_driver(spark, recall):
     df = frame(spark, [f"region {i} of {i % 7}" for i in range(200)])
-    assert sent_whole(similar_pairs(df, df, "w", "w", 0.6, ngram=3, recall=0.97)) == []
+    assert sent_whole(similar_pairs(df, df, "w", "w", 0.6, ngram=3, recall=recall)) == []
 
 
 @pytest.mark.parametrize("carried", [0, 3, 500])
