@@ -14,42 +14,54 @@ from rowmill.sinks.files import BY_TASKS
 
 # A job has 2 to 4 components in a chain; component i declares columns c0 to ci. The second is a
 # map with a variable, the first has a reject output that only even orders link to the last.
-_XML = r"""concat(
-  '<?xml version="1.0" encoding="UTF-8"?><j:Job j:version="2.0" xmlns:j="http://example.org/job">',
-  '<context name="Default"/>',
-  array_join(transform(sequence(0, last), i -> concat(
-    '<node componentName="', CASE WHEN i = 0 THEN 'reader' WHEN i = 1 THEN 'map' ELSE 'writer' END,
-    '" componentVersion="0.', i, '" posX="320">',
-    '<elementParameter field="TEXT" name="UNIQUE_NAME" value="n', i, '" show="false"/>',
-    '<elementParameter field="CLOSED_LIST" name="STATUS" value="', o_orderstatus, '"/>',
-    '<elementParameter field="TABLE" name="KEYS">',
-    array_join(transform(sequence(0, i), c -> concat(
-      '<elementValue elementRef="COLUMN" value="c', c, '"/>',
-      '<elementValue elementRef="KEY" value="', c = 0, '"/>')), ''),
-    '</elementParameter><metadata connector="FLOW" name="n', i, '">',
-    array_join(transform(sequence(0, i), c -> concat(
-      '<column key="', c = 0, '" length="', CASE WHEN c = 0 THEN i ELSE -1 END, '" name="c', c,
-      '" nullable="true" precision="-1" type="id_String"/>')), ''),
-    '</metadata>',
-    CASE WHEN i = 0 THEN '<metadata connector="REJECT" name="REJECT"><column key="false"
-      length="255" name="errorCode" nullable="true" precision="0" type="id_String"/></metadata>'
-      ELSE '<metadata connector="OTHER" name="OTHER"/>' END,
-    CASE WHEN i = 1 THEN concat('<nodeData><varTables name="Var">',
-      '<mapperTableEntries name="v" expression="(row.c0 &lt;= ', o_custkey, ') ? 1 : 2 "/>',
-      '<mapperTableEntries name="w" expression="Var.v * 3"/></varTables><outputTables name="out">',
-      '<mapperTableEntries name="a" expression="Var.v " type="id_Integer"/>',
-      '<mapperTableEntries name="b" expression="row.c0 " type="id_String"/>',
-      '<mapperTableEntries name="c" expression="Var.w + 1" type="id_Integer"/>',
-      '</outputTables></nodeData>') ELSE '' END,
-    '</node>')), ''),
-  array_join(transform(sequence(1, last), i -> concat(
-    '<connection connectorName="FLOW" label="row', i, '" source="n', i - 1, '" target="n', i,
-    '"/>')), ''),
-  CASE WHEN o_orderkey % 2 = 0 THEN concat('<connection connectorName="REJECT" label="bad" ',
-    'source="n0" target="n', last, '"/>') ELSE '' END,
+# Only the status, the customer and the number of components come from the row: the text of each component and link is put
+# together here, once, and not element by element for every job.
+
+
+def _node(i: int, rich: bool) -> str:
+    keys = "".join(f'<elementValue elementRef="COLUMN" value="c{c}"/><elementValue elementRef="KEY" value="{str(c == 0).lower()}"/>'
+                   for c in range(i + 1))
+
+    def column(c: int) -> str:
+        more = f'pattern="{f"p{i}" if c == 1 else ""}" precision="{i}"' if rich else 'precision="-1"'
+        return f'<column key="{str(c == 0).lower()}" length="{i if c == 0 else -1}" name="c{c}" nullable="true" {more} type="id_String"/>'
+
+    kind = ("reader", "map")[i] if i < 2 else "writer"
+    side = """<metadata connector="REJECT" name="REJECT"><column key="false"
+      length="255" name="errorCode" nullable="true" precision="0" type="id_String"/></metadata>""" if i == 0 else (
+        '<metadata connector="OTHER" name="OTHER"/>')
+    inputs = ('<inputTables name="row" matchingMode="UNIQUE_MATCH" lookupMode="LOAD_ONCE"/><inputTables name="look"/>' if rich else "")
+    maps = f"""<nodeData><varTables name="Var"><mapperTableEntries name="v" expression="(row.c0 &lt;= ', o_custkey, ') ? 1 : 2 "/>\
+<mapperTableEntries name="w" expression="Var.v * 3"/></varTables>{inputs}<outputTables name="out">\
+<mapperTableEntries name="a" expression="Var.v " type="id_Integer"/><mapperTableEntries name="b" expression="row.c0 " type="id_String"/>\
+<mapperTableEntries name="c" expression="Var.w + 1" type="id_Integer"/></outputTables></nodeData>""" if i == 1 else ""
+    return f"""concat('<node componentName="{kind}" componentVersion="0.{i}" posX="320">\
+<elementParameter field="TEXT" name="UNIQUE_NAME" value="n{i}" show="false"/>\
+<elementParameter field="CLOSED_LIST" name="STATUS" value="', o_orderstatus, '"/><elementParameter field="TABLE" name="KEYS">{keys}\
+</elementParameter><metadata connector="FLOW" name="n{i}">{"".join(column(c) for c in range(i + 1))}</metadata>{side}{maps}</node>')"""
+
+
+def _link(i: int, rich: bool) -> str:
+    traces = f"""<elementParameter field="TABLE" name="TRACES"><elementValue elementRef="COLUMN" value="c0"/>\
+<elementValue elementRef="CONDITION" value="c0 &gt; {i}"/><elementValue elementRef="COLUMN" value="c{i}"/>\
+<elementValue elementRef="CONDITION" value=""/></elementParameter><elementParameter field="TEXT" name="UNIQUE_NAME" value="row{i}"/>"""
+    end = f">{traces}</connection>" if rich else "/>"
+    return f"""'<connection connectorName="FLOW" label="row{i}" source="n{i - 1}" target="n{i}"{end}'"""
+
+
+def _job(rich: bool) -> str:
+    def up_to_last(parts: dict[int, str]) -> str:
+        return f"array_join(array({', '.join(f'IF(last >= {i}, {part}, NULL)' for i, part in parts.items())}), '')"
+
+    return f"""concat('<?xml version="1.0" encoding="UTF-8"?><j:Job j:version="2.0" xmlns:j="http://example.org/job"><context name="Default"/>',
+  {up_to_last({i: _node(i, rich) for i in range(4)})}, {up_to_last({i: _link(i, rich) for i in range(1, 4)})},
+  CASE WHEN o_orderkey % 2 = 0 THEN concat('<connection connectorName="REJECT" label="bad" source="n0" target="n', last, '"/>') ELSE '' END,
   '</j:Job>')"""
 
 
+_XML = _job(rich=False)
+
+
 def _files(rows: DataFrame, xml: str = _XML) -> DataFrame:
     jobs = spread(rows.withColumn("last", (F.col("o_orderkey") % 3 + 1).cast("int")))
     return jobs.select(F.col("o_orderkey").cast("string").alias("job"), F.expr(xml).alias("xml"))
@@ -193,13 +205,7 @@ def _schema_diff(spark, d):
 
 
 # The same jobs with what lookups, traces, patterns and keys say; the map reads its input unique and once.
-_RICH = (_XML.replace('<outputTables name="out">', '<inputTables name="row" matchingMode="UNIQUE_MATCH" lookupMode="LOAD_ONCE"/><inputTables name="look"/><outputTables name="out">')
-         .replace("""'" nullable="true" precision="-1" type="id_String"/>'""", """'" nullable="true" pattern="', CASE WHEN c = 1 THEN concat('p', i) ELSE '' END, '" precision="', i, '" type="id_String"/>'""")
-         .replace("""'" target="n', i,
-    '"/>')""", """'" target="n', i, '">',
-    '<elementParameter field="TABLE" name="TRACES"><elementValue elementRef="COLUMN" value="c0"/><elementValue elementRef="CONDITION" value="c0 &gt; ', i, '"/>',
-    '<elementValue elementRef="COLUMN" value="c', i, '"/><elementValue elementRef="CONDITION" value=""/></elementParameter>',
-    '<elementParameter field="TEXT" name="UNIQUE_NAME" value="row', i, '"/></connection>')"""))
+_RICH = _job(rich=True)
 
 
 def _rich_jobs(spark: SparkSession, d: str, schema: str) -> DataFrame:

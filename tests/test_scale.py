@@ -8,7 +8,7 @@ import pytest
 from conftest import SMALL, rows
 from rowmill.operators import jobs as J
 from rowmill.queries import files, fixtures
-from rowmill.queries.jobs import _RICH, _files
+from rowmill.queries.jobs import _RICH, _XML, _files
 from rowmill.queries.fixtures import table
 from rowmill.sinks.files import write_blocks
 
@@ -59,3 +59,18 @@ def test_tasks_put_files_of_documents_in_place(spark, tmp_path):
         seen.append(open(name).read())
     assert seen == [f"-- model #1\ntext {i}\n\n\n" for i in range(40)]
     assert os.path.exists(f"{path}/_SUCCESS") and not os.path.exists(f"{path}/_temporary")
+
+
+@pytest.mark.parametrize("xml", [_XML, _RICH], ids=["plain", "rich"])
+def test_job_texts_are_not_put_together_element_by_element(spark, xml):
+    """Also for jobs whose status or customer is missing: a component without its value is left out, as is a job without a key."""
+    orders = spark.createDataFrame([(1, 7, "O"), (2, None, "F"), (3, 8, None), (None, 9, "P")],
+                                   "o_orderkey long, o_custkey long, o_orderstatus string")
+    made = _files(orders, xml)
+    assert "transform(" not in made._jdf.queryExecution().optimizedPlan().toString()
+    found = J.parse_jobs(made)
+    kinds = rows(J.components(found), "job", "component_name", "unique_name")
+    assert kinds == [("1", "map", "n1"), ("1", "reader", "n0"), ("1", "writer", "n2"), ("2", "reader", "n0"), ("2", "writer", "n2"),
+                     ("2", "writer", "n3")]
+    assert made.filter("xml IS NULL").count() == 1
+    assert J.links(found).groupBy("job").count().orderBy("job").collect() == [("1", 2), ("2", 4), ("3", 1)]
