@@ -53,10 +53,10 @@ def _job(rich: bool) -> str:
     def up_to_last(parts: dict[int, str]) -> str:
         return f"array_join(array({', '.join(f'IF(last >= {i}, {part}, NULL)' for i, part in parts.items())}), '')"
 
-    return f"""concat('<?xml version="1.0" encoding="UTF-8"?><j:Job j:version="2.0" xmlns:j="http://example.org/job"><context name="Default"/>',
+    return f"""IF(last IS NULL, NULL, concat('<?xml version="1.0" encoding="UTF-8"?><j:Job j:version="2.0" xmlns:j="http://example.org/job"><context name="Default"/>',
   {up_to_last({i: _node(i, rich) for i in range(4)})}, {up_to_last({i: _link(i, rich) for i in range(1, 4)})},
   CASE WHEN o_orderkey % 2 = 0 THEN concat('<connection connectorName="REJECT" label="bad" source="n0" target="n', last, '"/>') ELSE '' END,
-  '</j:Job>')"""
+  '</j:Job>'))"""
 
 
 _XML = _job(rich=False)
