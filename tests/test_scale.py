@@ -4,10 +4,11 @@ import glob
 import os
 
 import pytest
+from pyspark.sql import functions as F
 
 from conftest import SMALL, rows
 from rowmill.operators import jobs as J
-from rowmill.queries import files, fixtures
+from rowmill.queries import files, fixtures, registry
 from rowmill.queries.jobs import _RICH, _XML, _files
 from rowmill.queries.fixtures import table
 from rowmill.sinks.files import write_blocks
@@ -74,3 +75,20 @@ def test_job_texts_are_not_put_together_element_by_element(spark, xml):
                      ("2", "writer", "n3")]
     assert made.filter("xml IS NULL").count() == 1
     assert J.links(found).groupBy("job").count().orderBy("job").collect() == [("1", 2), ("2", 4), ("3", 1)]
+
+
+@pytest.fixture(scope="module")
+def own_orders(spark, tmp_path_factory):
+    folder = str(tmp_path_factory.mktemp("orders"))
+    spark.range(1, 251).selectExpr("id AS o_orderkey", "id % 7 AS o_custkey", "'O' AS o_orderstatus").coalesce(1).write.parquet(f"{folder}/orders.parquet")
+    return folder
+
+
+@pytest.mark.parametrize("name", ["job_map_inputs", "job_table_parameters", "job_link_traces", "job_connectors", "job_map_expressions", "job_links",
+                                  "job_link_parameters", "job_parameters", "job_dangling", "job_columns", "job_lineage"])
+def test_a_task_of_a_job_query_has_no_more_files_on_a_larger_table(spark, own_orders, monkeypatch, name):
+    """A table is built where its files are parsed, so the jobs of a partition are those that its task parsed."""
+    monkeypatch.setattr(fixtures, "ROWS_A_TASK", 10)
+    built = registry()[name][0](spark, own_orders)
+    jobs = built.select("job", F.spark_partition_id().alias("task")).distinct().groupBy("task").count().collect()
+    assert len(jobs) == 25 and max(r["count"] for r in jobs) <= 10
