@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+import re
+import shutil
+from pathlib import Path
+
 from pyspark.sql import DataFrame, functions as F
 
 from rowmill.operators.blocks import joined_text
@@ -11,14 +15,68 @@ from rowmill.operators.blocks import joined_text
 BY_TASKS = {"mapreduce.fileoutputcommitter.algorithm.version": "2"}
 
 
+def _on_disk(df: DataFrame, path: str) -> str | None:
+    """The path as Python opens it, if it lies in a folder of this machine or one mounted alike on all."""
+    default = df.sparkSession.sparkContext._jsc.hadoopConfiguration().get("fs.defaultFS") or ""
+    if re.match(r"file:(//)?/", path):
+        return re.sub(r"^file:(//)?/", "/", path)
+    return path if path.startswith("/") and default.startswith("file:") else None
+
+
+def _write_files(texts: DataFrame, doc: str, path: str) -> None:
+    """What ``texts.write.partitionBy(doc).text(path)`` writes, file by file from the tasks.
+
+    Hadoop's local file system starts a process for every file and folder to set its rights, which takes most of the time
+    of such a write. A file is written aside and then moved to a name that a repeated attempt uses again.
+    """
+    if Path(path).exists():
+        raise FileExistsError(f"path exists: {path}")
+    Path(f"{path}/_temporary").mkdir(parents=True)
+
+    # Nested, so that it travels to workers that do not know this package.
+    def put(batches):
+        import os
+        import re
+        import uuid
+        from itertools import groupby
+
+        from pyspark import TaskContext
+
+        name = f"part-{TaskContext.get().partitionId():05d}.txt"
+        aside = f"{path}/_temporary/{uuid.uuid4().hex}"
+
+        def escaped(value):
+            return re.sub(r"""[\x01-\x1f"#%'*/:=?\\\x7f{\[\]^]""", lambda m: f"%{ord(m[0]):02X}", value) if value else "__HIVE_DEFAULT_PARTITION__"
+
+        key = escaped(doc)
+        rows = (row for b in batches for row in zip(map(escaped, b.column(0).to_pylist()), b.column(1).to_pylist()))
+        for value, lines in groupby(rows, lambda row: row[0]):
+            folder = f"{path}/{key}={value}"
+            with open(aside, "wb") as out:
+                for _, line in lines:
+                    out.write((line or b"") + b"\n")
+            os.makedirs(folder, exist_ok=True)
+            os.replace(aside, f"{folder}/{name}")
+        yield from ()
+
+    value = F.col(f"`{doc}`").cast("string")
+    named = texts.select(F.nullif(value, F.lit("")).alias("doc"), F.col("value").cast("binary").alias("value"))
+    named.sortWithinPartitions("doc").mapInArrow(put, "doc string").write.format("noop").mode("overwrite").save()
+    shutil.rmtree(f"{path}/_temporary", ignore_errors=True)
+    Path(f"{path}/_SUCCESS").touch()
+
+
 def write_blocks(df: DataFrame, doc: str, text: str, path: str, per_document: bool = True) -> None:
     """The numbered blocks of each document, in order, as text.
 
-    One folder and file per document, or, for a large corpus, one line group per document in
+    One folder and file per document (put there by the tasks themselves on a local or mounted file system), or, for a large corpus, one line group per document in
     shared files.
     """
     texts = joined_text(df, doc, text).withColumnRenamed("text", "value")
-    if per_document:
+    here = _on_disk(df, path) if per_document else None
+    if here:
+        _write_files(texts, doc, here)
+    elif per_document:
         texts.write.options(**BY_TASKS).partitionBy(doc).text(path)
     else:
         texts.select("value").write.text(path)

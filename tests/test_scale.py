@@ -11,6 +11,8 @@ from rowmill.operators import jobs as J
 from rowmill.queries import files, fixtures, registry
 from rowmill.queries.jobs import _RICH, _XML, _files
 from rowmill.queries.fixtures import table
+from rowmill.operators.blocks import joined_text
+from rowmill.sinks import files as files_of_blocks
 from rowmill.sinks.files import write_blocks
 
 TABLES = [(J.components, J.COMPONENTS), (J.census, J.COMPONENTS), (J.parameters, J.PARAMETERS), (J.table_parameters, J.PARAMETERS),
@@ -62,6 +64,32 @@ def test_tasks_put_files_of_documents_in_place(spark, tmp_path):
     assert os.path.exists(f"{path}/_SUCCESS") and not os.path.exists(f"{path}/_temporary")
 
 
+def test_files_of_documents_are_written_without_hadoops_local_file_system(spark, tmp_path):
+    """It starts a process for every file and folder, and leaves a checksum beside each; the files are those it would write."""
+    ids = ["1", "a/b=c", "50%", "", None, "é{x}", "1", 'q"[1]^']
+    df = spark.createDataFrame([(v, f"text {i}" if i else None) for i, v in enumerate(ids)], "doc string, text string").coalesce(1)
+    path, plain = str(tmp_path / "blocks"), str(tmp_path / "plain")
+    write_blocks(df, "doc", "text", path)
+    joined_text(df, "doc", "text").withColumnRenamed("text", "value").write.partitionBy("doc").text(plain)
+
+    def written(top):
+        return sorted((os.path.basename(os.path.dirname(f)), open(f, "rb").read()) for f in glob.glob(f"{top}/doc=*/part-*.txt"))
+
+    assert written(path) == written(plain) and len(written(path)) == 6
+    assert glob.glob(f"{path}/*/.*.crc") == []
+    assert rows(spark.read.text(path, wholetext=True), "doc", "value") == rows(spark.read.text(plain, wholetext=True), "doc", "value")
+    with pytest.raises(Exception, match="exists"):
+        write_blocks(df, "doc", "text", path)
+
+
+def test_a_repeated_attempt_would_use_the_same_names(spark, tmp_path):
+    texts = spark.range(0, 6, 1, 2).select("id", F.col("id").cast("string").alias("value"))
+    for k in (1, 2):
+        files_of_blocks._write_files(texts, "id", str(tmp_path / str(k)))
+    first, again = (sorted(os.path.relpath(f, tmp_path / k) for f in glob.glob(f"{tmp_path}/{k}/id=*/*")) for k in "12")
+    assert first == again and len(first) == 6
+
+
 @pytest.mark.parametrize("xml", [_XML, _RICH], ids=["plain", "rich"])
 def test_job_texts_are_not_put_together_element_by_element(spark, xml):
     """Also for jobs whose status or customer is missing: a component without its value is left out, as is a job without a key."""
