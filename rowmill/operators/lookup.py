@@ -7,7 +7,9 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, functions as F
 
 from rowmill.operators.dedupe import first_per_key
-from rowmill.operators.nearness import carried, close_pairs, may_overlap, similar_by_minhash
+from rowmill.operators import nearness
+from rowmill.operators.nearness import close_pairs, similar_by_minhash
+from rowmill.operators.overlap import overlapping
 from rowmill.operators.skew import (
     HOT_ROWS, MAX_BYTES, MAX_ROWS, fits_in_memory, join_unique)
 
@@ -50,8 +52,9 @@ def similar_pairs(left: DataFrame, right: DataFrame, left_col: str, right_col: s
     With ``recall`` pairs are found by MinHash instead, each with that chance or better, for sets whose tokens are all common.
 
     Exact prefix filter: with tokens ordered from rare to common, two sets of overlap t share a
-    token among the first n - ceil(t n) + 1 of each, so common tokens rarely join anything. A pair
-    goes on only if the tokens from its first shared one can still add up to the threshold.
+    token among the first n - ceil(t n) + 1 of each, so common tokens rarely join anything. Sets go along with these tokens
+    and are compared where they meet, at the first such token that both share. A set too large for that is compared later,
+    if the tokens from the first shared one can still add up to the threshold.
     """
     if not 0 < threshold <= 1:
         raise ValueError("threshold must lie in (0, 1]")
@@ -70,14 +73,25 @@ def similar_pairs(left: DataFrame, right: DataFrame, left_col: str, right_col: s
               .agg(F.sort_array(F.collect_list(F.struct("weight", "token"))).alias("ranked")))
     size = F.size("ranked")
     prefix = size - F.ceil(F.lit(threshold) * size - 1e-9).cast("int") + 1
-    heads = ranked.select("side", "value", size.alias("size"), carried(F.col("ranked.token")).alias("hashes"),
+    words = F.col("ranked.token")
+    heads = ranked.select("side", "value", size.alias("size"), words.alias("words"),
                           F.posexplode(F.slice("ranked", F.lit(1), prefix)).alias("at", "head"))
-    heads = heads.select("side", "value", "hashes", "head.token", "size",
-                         (F.col("size") - F.col("at")).alias("rest"))
+    meeting = heads.filter(F.col("size") <= nearness.CARRIED).select(
+        F.col("head.token").alias("key"), (F.col("side") == "right").alias("right"), F.array("value").alias("values"), "words",
+        F.slice("words", F.lit(1), F.col("at")).alias("before"))
+    return overlapping(meeting, threshold).unionByName(_large_pairs(sets, heads, threshold))
 
-    def heads_of(side: str) -> DataFrame:
-        names = {c: f"{side}_{c}" for c in ("value", "size", "rest", "hashes")}
-        return heads.filter(F.col("side") == side).drop("side").withColumnsRenamed(names)
+
+def _large_pairs(sets: DataFrame, heads: DataFrame, threshold: float) -> DataFrame:
+    """The pairs of which one set or both do not go along with their keys."""
+    # The other set of a pair has at least the threshold's share of its tokens.
+    sized = F.col("size") > threshold * nearness.CARRIED - 1e-9
+    heads = heads.filter(sized).select("side", "value", "head.token", "size", (F.col("size") - F.col("at")).alias("rest"))
+    large = F.col("size") > nearness.CARRIED
+
+    def heads_of(side: str, which: Column) -> DataFrame:
+        names = {c: f"{side}_{c}" for c in ("value", "size", "rest")}
+        return heads.filter((F.col("side") == side) & which).drop("side").withColumnsRenamed(names)
 
     def words_of(side: str) -> DataFrame:
         return sets.filter(F.col("side") == side).select(
@@ -85,10 +99,9 @@ def similar_pairs(left: DataFrame, right: DataFrame, left_col: str, right_col: s
 
     sizes = F.col("left_size") + F.col("right_size")
     needed = F.lit(threshold / (1 + threshold)) * sizes - 1e-9
-    # The overlap is told where two values meet, so other pairs are neither shuffled nor told apart. All sides grow with the
-    # input, and the driver would build up each that is sent to all tasks: so they are merged.
-    pairs = (heads_of("left").join(heads_of("right").hint("merge"), "token")
-             .filter((F.least("left_rest", "right_rest") >= needed) & may_overlap("left_hashes", "right_hashes", threshold))
+    # All sides grow with the input, and the driver would build up each that is sent to all tasks: so they are merged.
+    met = [heads_of("left", a).join(heads_of("right", b).hint("merge"), "token") for a, b in ((large, F.lit(True)), (~large, large))]
+    pairs = (met[0].unionByName(met[1]).filter(F.least("left_rest", "right_rest") >= needed)
              .select("left_value", "right_value", "left_size", "right_size").distinct())
     shared = F.size(F.array_intersect("left_words", "right_words"))
     return (pairs.join(words_of("left").hint("merge"), "left_value").join(words_of("right").hint("merge"), "right_value")

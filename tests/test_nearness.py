@@ -3,11 +3,13 @@
 import random
 import re
 
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
 from conftest import SMALL, rows
 from rowmill.operators import nearness as N
+from rowmill.operators import overlap as O
 from rowmill.operators.jobs import lineage, parse_jobs
 from rowmill.operators.lookup import fuzzy_lookup, similar_pairs
 
@@ -180,3 +182,60 @@ def test_sets_too_large_to_go_along_lose_no_pair(spark, monkeypatch, carried, re
     pairs = {("a b c", "a b c d"), ("a b c", "a b")}
     want = {(v, v) for v in ("a b c", "a b c d", "a b", "x y", "x y z w")} | pairs | {p[::-1] for p in pairs}
     assert {(r[0], r[1]) for r in similar_pairs(df, df, "w", "w", 0.65, recall=recall).collect()} == want
+
+
+def jaccard(a, b):
+    return len(a & b) / len(a | b)
+
+
+@pytest.mark.parametrize("cell", [3, 4096])
+@pytest.mark.parametrize("recall", [None, 0.999999])
+def test_token_overlap_in_cells_beside_all_pairs(spark, monkeypatch, cell, recall):
+    """Keys that all values share are dealt to a grid of cells; a pair comes once, from whichever of them it is."""
+    monkeypatch.setattr(O, "CELL", cell)
+    rng = random.Random(cell)
+    left, right = ([" ".join(rng.sample("abcdefgh", rng.randint(1, 6))) for _ in range(60)] for _ in range(2))
+    got = similar_pairs(frame(spark, left), frame(spark, right), "w", "w", 0.7, recall=recall).collect()
+    want = {(a, b, s) for a in set(left) for b in set(right) if (s := jaccard(set(a.split()), set(b.split()))) >= 0.7}
+    assert sorted(map(tuple, got)) == sorted(want) and len(want) > 50
+
+
+def test_no_cell_has_many_rows_of_a_crowded_key(spark):
+    rows_ = spark.range(4000).selectExpr("IF(id % 4 = 0, 'a', 'b') AS key", "id % 3 = 0 AS right", "array(id) AS values", "array('w') AS words",
+                                         "CAST(array() AS array<string>) AS before")
+    alone = spark.range(500).selectExpr("'c' AS key", "true AS right", "array(id) AS values", "array('w') AS words",
+                                        "CAST(array() AS array<string>) AS before")
+    dealt = O.deal(rows_.union(alone), 100)
+    sizes = dealt.groupBy("cell", "right").count().collect()
+    assert max(r["count"] for r in sizes) <= 160
+    met = dealt.filter("NOT right").toDF("cell", "r", "x", "w", "b").join(dealt.filter("right").toDF("cell", "r2", "y", "w2", "b2"), "cell")
+    key = rows_.selectExpr("key", "right", "values[0] AS v")
+    assert met.count() == met.select("x", "y").distinct().count() == key.filter("NOT right").toDF("key", "r", "x").join(key.filter("right").toDF("key", "r2", "y"), "key").count()
+
+
+def test_pairs_are_given_where_they_meet(spark):
+    """No candidate is shuffled, told apart or joined with its texts afterwards."""
+    df = frame(spark, ["a b c", "a b c d", "x y"])
+    for recall in (None, 0.97):
+        plan = similar_pairs(df, df, "w", "w", 0.6, recall=recall)._jdf.queryExecution().optimizedPlan().toString()
+        assert plan.index("Union") < plan.index("MapInArrow") < plan.index("Aggregate")
+
+
+@pytest.mark.parametrize("tile,small,dense,step", [(512, 512, 300, 1000), (2, 5, 1, 7), (3, 1, 10**9, 1), (1, 1000, 2, 3)])
+def test_cells_beside_plain_ones(tile, small, dense, step):
+    """Also cells that come in several batches, and values of equal sets."""
+    rng = random.Random(step)
+    made = []
+    for cell in range(12):
+        for k in range(rng.choice([0, 1, 2, 25])):
+            made.append((f"c{cell:02d}", rng.random() < 0.5, [f"{cell}-{k}-{m}" for m in range(rng.choice([1, 1, 3]))],
+                         rng.sample("abcdefgh", rng.randint(1, 6)), [i for i in range(9) if rng.random() < 0.15]))
+    want = sorted((v, w, jaccard(set(a[3]), set(b[3]))) for a in made for b in made if a[0] == b[0] and not a[1] and b[1]
+                  and jaccard(set(a[3]), set(b[3])) >= 0.5 and not set(a[4]) & set(b[4]) for v in a[2] for w in b[2])
+    kinds = pa.schema([("cell", pa.string()), ("right", pa.bool_()), ("values", pa.list_(pa.string())), ("words", pa.list_(pa.string())),
+                       ("before", pa.list_(pa.int64()))])
+    table = pa.table([pa.array(c, f.type) for c, f in zip(zip(*made), kinds)], schema=kinds)
+    compare = O.compare_cells(0.5, tile, small, dense, rows_out=4)
+    batches = list(compare(iter(table.to_batches(max_chunksize=step))))
+    assert sorted(tuple(r.values()) for b in batches for r in b.to_pylist()) == want and len(want) > 50
+    assert max(b.num_rows for b in batches) <= 4
