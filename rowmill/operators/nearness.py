@@ -7,9 +7,13 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from rowmill.operators.overlap import overlapping
+
 CROWD, ROUNDS, HASHES = 1_000, 3, 128
-# Texts up to this length go along with their keys.
+# Texts up to this length and sets up to this size go along with their keys.
 CARRIED = 500
+# Rows that values of one set make at most; the set is compared once for each.
+SHARES = 8
 
 
 def values_of(df: DataFrame, col: str) -> DataFrame:
@@ -147,24 +151,14 @@ def band_keys(words: Column, bands: int, rows: int) -> Column:
     return F.transform(F.sequence(F.lit(0), F.lit(bands - 1)), lambda b: F.xxhash64(b, least(b)))
 
 
-def carried(words: Column) -> Column:
-    """Hashes of a set that go along with its keys, to tell where two sets meet whether they may overlap enough; null if there are many."""
-    return F.when(F.size(words) <= CARRIED, F.transform(words, lambda w: F.xxhash64(w)))
-
-
-def may_overlap(left: str, right: str, threshold: float) -> Column:
-    """Whether two sets known by ``carried`` hashes reach the threshold; true if it cannot be told."""
-    needed = F.lit(threshold / (1 + threshold)) * (F.size(left) + F.size(right)) - 1e-9
-    return F.coalesce(F.size(F.array_intersect(left, right)) >= needed, F.lit(True)) | F.col(left).isNull() | F.col(right).isNull()
-
-
 def similar_by_minhash(left: DataFrame, right: DataFrame, left_col: str, right_col: str, threshold: float, words: Column,
                        recall: float = 0.97, hashes: int = HASHES) -> DataFrame:
     """``(left_value, right_value, score)`` of distinct values whose token sets overlap by ``threshold`` or more.
 
     Every pair given is verified; a pair at the threshold is found with chance ``recall``. ``words`` is the token set of a column
-    ``value``. Values with equal sets are one set until the end, so neither their keys nor their comparisons multiply. Values
-    without tokens match nothing. Unlike the exact filter, tokens are neither counted nor shuffled one by one.
+    ``value``. Values with equal sets are a few rows until the end, so neither their keys nor their comparisons multiply. Values
+    without tokens match nothing. Unlike the exact filter, tokens are neither counted nor shuffled one by one. Sets go along with
+    their keys and are compared where they meet, in the first band that they share; those too large for that are compared later.
     """
     if not 0 < threshold <= 1:
         raise ValueError("threshold must lie in (0, 1]")
@@ -175,17 +169,33 @@ def similar_by_minhash(left: DataFrame, right: DataFrame, left_col: str, right_c
         return made.withColumn("set", F.unhex(F.md5(F.to_json("words").cast("binary"))))
 
     a, b = sets_of(left, left_col), sets_of(right, right_col)
+    both = a.withColumn("right", F.lit(False)).unionByName(b.withColumn("right", F.lit(True)))
+    share = F.pmod(F.xxhash64("value"), F.lit(SHARES)).alias("share")
+    folded = (both.filter(F.size("words") <= CARRIED).groupBy("right", "set", share)
+              .agg(F.first("words").alias("words"), F.collect_list("value").alias("values")))
+    keyed = folded.select("right", "values", "words", band_keys(F.col("words"), bands, rows).alias("keys"))
+    keyed = (keyed.select("right", "values", "words", "keys", F.posexplode_outer("keys").alias("at", "key")).filter(F.col("key").isNotNull())
+             .select("key", "right", "values", "words", F.slice("keys", F.lit(1), F.col("at")).alias("before")))
+    return overlapping(keyed, threshold).unionByName(_large_by_minhash(a, b, threshold, bands, rows))
+
+
+def _large_by_minhash(a: DataFrame, b: DataFrame, threshold: float, bands: int, rows: int) -> DataFrame:
+    """The pairs of which one set or both do not go along with their keys."""
+    large = F.col("large")
+    # The other set of a pair has at least the threshold's share of its words.
+    sized = [s.filter(F.size("words") > threshold * CARRIED - 1e-9) for s in (a, b)]
 
     def keyed(sets: DataFrame, side: str) -> DataFrame:
         single = sets.groupBy("set").agg(F.first("words").alias("words"))
-        keys = single.select(F.col("set").alias(f"{side}_set"), carried(F.col("words")).alias(f"{side}_hashes"),
+        keys = single.select(F.col("set").alias(f"{side}_set"), (F.size("words") > CARRIED).alias("large"),
                              band_keys(F.col("words"), bands, rows).alias("keys"))
-        return keys.select(f"{side}_set", f"{side}_hashes", F.explode_outer("keys").alias("key")).filter(F.col("key").isNotNull())
+        return keys.select(f"{side}_set", "large", F.explode_outer("keys").alias("key")).filter(F.col("key").isNotNull())
 
+    i, j = keyed(sized[0], "left"), keyed(sized[1], "right")
     # Merged, since the driver would build up each side that is sent to all tasks.
-    met = keyed(a, "left").join(keyed(b, "right").hint("merge"), "key").filter(may_overlap("left_hashes", "right_hashes", threshold))
-    found = met.select("left_set", "right_set").distinct()
-    singles = [s.groupBy("set").agg(F.first("words").alias("words")) for s in (a, b)]
+    met = [i.filter(x).drop("large").join(j.filter(y).drop("large").hint("merge"), "key") for x, y in ((large, F.lit(True)), (~large, large))]
+    found = met[0].unionByName(met[1]).select("left_set", "right_set").distinct()
+    singles = [s.groupBy("set").agg(F.first("words").alias("words")) for s in sized]
     both = (found.join(singles[0].toDF("left_set", "left_words").hint("merge"), "left_set")
             .join(singles[1].toDF("right_set", "right_words").hint("merge"), "right_set"))
     shared = F.size(F.array_intersect("left_words", "right_words"))
@@ -195,4 +205,3 @@ def similar_by_minhash(left: DataFrame, right: DataFrame, left_col: str, right_c
     return (scored.join(a.select(F.col("set").alias("left_set"), F.col("value").alias("left_value")).hint("merge"), "left_set")
             .join(b.select(F.col("set").alias("right_set"), F.col("value").alias("right_value")).hint("merge"), "right_set")
             .select("left_value", "right_value", "score"))
-
