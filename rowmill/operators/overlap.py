@@ -165,7 +165,8 @@ def overlapping(rows: DataFrame, threshold: float, cell: int | None = None) -> D
     one of them was given there.
     """
     spark, cells = rows.sparkSession, deal(rows, cell or CELL)
-    parts = max(4 * spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    # Pairs grow faster than rows, so there are many tasks for few bytes.
+    parts = max(16 * spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions")))
     value = rows.schema["values"].dataType.elementType
     kind = T.StructType([T.StructField("left_value", value), T.StructField("right_value", value), T.StructField("score", T.DoubleType())])
     return cells.repartition(parts, "cell").sortWithinPartitions("cell").mapInArrow(compare_cells(threshold), kind)

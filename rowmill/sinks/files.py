@@ -69,8 +69,8 @@ def _write_files(texts: DataFrame, doc: str, path: str) -> None:
 def write_blocks(df: DataFrame, doc: str, text: str, path: str, per_document: bool = True) -> None:
     """The numbered blocks of each document, in order, as text.
 
-    One folder and file per document (put there by the tasks themselves on a local or mounted file system), or, for a large corpus, one line group per document in
-    shared files.
+    One folder and file per document, or, for a large corpus, one line group per document in
+    shared files. On a local or mounted file system the tasks put the files of documents there themselves.
     """
     texts = joined_text(df, doc, text).withColumnRenamed("text", "value")
     here = _on_disk(df, path) if per_document else None
