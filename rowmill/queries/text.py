@@ -10,7 +10,7 @@ from rowmill.operators import blocks as B
 from rowmill.queries import query
 from rowmill.queries.fixtures import FENCED_DOCUMENTS, fenced_documents, table
 from rowmill.session import scratch_path
-from rowmill.sinks.files import write_blocks
+from rowmill.sinks.files import read_blocks, write_blocks
 
 _FENCE = "'```(?:sql)?\\n(.*?)\\n```'"
 _ANY = "'(?sm)^[ ]*```(\\w*)\\n(.*?)^[ ]*```[ ]*$'"
@@ -88,7 +88,7 @@ def _joined_text(spark, d):
 def _write_blocks(spark, d):
     path = scratch_path(spark, "blocks")
     write_blocks(fenced_documents(spark, d), "doc_id", "text", path)
-    read = spark.read.text(path, wholetext=True)
+    read = read_blocks(spark, path, "doc_id")
     return read.select(F.col("doc_id").cast("bigint").alias("doc_id"),
                        F.regexp_replace("value", r"\n\z", "").alias("text"))
 

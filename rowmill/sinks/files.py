@@ -6,7 +6,7 @@ import re
 import shutil
 from pathlib import Path
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from rowmill.operators.blocks import joined_text
 
@@ -80,3 +80,18 @@ def write_blocks(df: DataFrame, doc: str, text: str, path: str, per_document: bo
         texts.write.options(**BY_TASKS).partitionBy(doc).text(path)
     else:
         texts.select("value").write.text(path)
+
+
+def read_blocks(spark: SparkSession, path: str, doc: str) -> DataFrame:
+    """``(doc, value)`` of the files that ``write_blocks`` put there, a row a file; ``doc`` is text.
+
+    The document is told from the path of its file where that is read: partition discovery would compare the folders of all
+    documents on the driver.
+    """
+    def decoded(name):
+        return F.url_decode(F.replace(name, F.lit("+"), F.lit("%2B")))
+
+    # The folder's name is escaped by the writer and, as part of an address, once more.
+    name = decoded(decoded(F.regexp_extract(F.col("_metadata.file_path"), "=([^/]*)/[^/]*$", 1)))
+    files = spark.read.option("recursiveFileLookup", True).text(path, wholetext=True)
+    return files.select(F.nullif(name, F.lit("__HIVE_DEFAULT_PARTITION__")).alias(doc), "value")

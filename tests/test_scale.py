@@ -66,7 +66,7 @@ def test_tasks_put_files_of_documents_in_place(spark, tmp_path):
 
 def test_files_of_documents_are_written_without_hadoops_local_file_system(spark, tmp_path):
     """It starts a process for every file and folder, and leaves a checksum beside each; the files are those it would write."""
-    ids = ["1", "a/b=c", "50%", "", None, "é{x}", "1", 'q"[1]^']
+    ids = ["1", "a/b=c", "50%", "", None, "é{x} +", "1", 'q"[1]^']
     df = spark.createDataFrame([(v, f"text {i}" if i else None) for i, v in enumerate(ids)], "doc string, text string").coalesce(1)
     path, plain = str(tmp_path / "blocks"), str(tmp_path / "plain")
     write_blocks(df, "doc", "text", path)
@@ -77,7 +77,10 @@ def test_files_of_documents_are_written_without_hadoops_local_file_system(spark,
 
     assert written(path) == written(plain) and len(written(path)) == 6
     assert glob.glob(f"{path}/*/.*.crc") == []
-    assert rows(spark.read.text(path, wholetext=True), "doc", "value") == rows(spark.read.text(plain, wholetext=True), "doc", "value")
+    read = spark.read.text(plain, wholetext=True)
+    assert rows(spark.read.text(path, wholetext=True), "doc", "value") == rows(read, "doc", "value")
+    back = files_of_blocks.read_blocks(spark, path, "doc")
+    assert rows(back) == rows(read, "doc", "value") and {r["doc"] for r in back.collect()} == {v or None for v in ids}
     with pytest.raises(Exception, match="exists"):
         write_blocks(df, "doc", "text", path)
 
